@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Aggregates evaluated per job: wider ones outgrow the generated method.
 AGG_WIDTH = 60
@@ -90,6 +92,14 @@ def small_or_none(df: DataFrame, max_rows: int) -> list[Row] | None:
     return rows if len(rows) <= max_rows else None
 
 
+def local_rows(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType | str) -> DataFrame:
+    """A small table held by the driver: a local relation, whose size the planner knows."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = kind.fieldNames()
+    table = pa.Table.from_pylist([dict(zip(names, r)) for r in rows], schema=to_arrow_schema(kind))
+    return spark.createDataFrame(table, kind)
+
+
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     """Broadcast a side whose size was checked; leave the join to the planner otherwise."""
     return F.broadcast(df) if small else df

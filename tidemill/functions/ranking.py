@@ -7,6 +7,7 @@ how much is sorted, never what the answer is.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,10 +17,11 @@ from pyspark.sql import functions as F
 from tidemill.functions.columns import (
     broadcast_if,
     bucket_of,
+    local_rows,
     long_rows,
     md5_key,
+    one_row,
     small_or_none,
-    unpivot_values,
     value_of,
 )
 
@@ -29,6 +31,97 @@ SMALL_GROUPS = 10_000
 KS_EDGES = 64
 
 
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = SKETCH_ACCURACY
+) -> dict[str, tuple[int, list[float]]]:
+    """Count and linear-interpolation quantiles of whole columns, exact; columns without values are left out.
+
+    Three passes over the needed columns: sketch the neighbourhood of every wanted rank, count the rows below and
+    at each sketch edge, and look up the ranks that fall between two edges among the few values there. A rank
+    among the copies of an edge is answered by the counts, so columns of few values need no third pass.
+    """
+    base = df.select(*[value_of(df, c).cast("double").alias(f"x{j}") for j, c in enumerate(columns)])
+    cuts = _edge_probs(probs, accuracy)
+    sketch = one_row(
+        base,
+        {("n", j): F.count(f"x{j}") for j in range(len(columns))}
+        | {("e", j): F.percentile_approx(f"x{j}", cuts, accuracy) for j in range(len(columns))},
+    )
+    edges = {j: sorted(set(sketch[("e", j)])) for j in range(len(columns)) if sketch[("n", j)]}
+    counts = one_row(
+        base,
+        {("lt", j, e): F.count(F.when(F.col(f"x{j}") < e, 1)) for j in edges for e in edges[j]}
+        | {("le", j, e): F.count(F.when(F.col(f"x{j}") <= e, 1)) for j in edges for e in edges[j]},
+    )
+
+    value: dict[tuple[int, int], float] = {}
+    gaps: dict[tuple[int, int], dict[int, int]] = {}
+    for j in edges:
+        for k in {k for p in probs for k in _around(p, sketch[("n", j)])}:
+            bucket = sum(counts[("le", j, e)] <= k for e in edges[j])
+            if bucket < len(edges[j]) and counts[("lt", j, edges[j][bucket])] <= k:
+                value[(j, k)] = edges[j][bucket]
+            else:
+                below = counts[("le", j, edges[j][bucket - 1])] if bucket else 0
+                gaps.setdefault((j, bucket), {})[k] = k - below
+    if gaps:
+        value |= _values_in_gaps(base, edges, gaps)
+
+    out = {}
+    for j in edges:
+        n, q = sketch[("n", j)], []
+        for p in probs:
+            low, high = _around(p, n)
+            q.append(value[(j, low)] + (value[(j, high)] - value[(j, low)]) * (p * (n - 1) - low))
+        out[columns[j]] = (n, q)
+    return out
+
+
+def _edge_probs(probs: Sequence[float], accuracy: int) -> list[float]:
+    margin = 2.0 / accuracy
+    return sorted({min(max(p + s * margin, 0.0), 1.0) for p in probs for s in (-1, 1)})
+
+
+def _around(p: float, n: int) -> tuple[int, int]:
+    low = math.floor(p * (n - 1))
+    return low, min(low + 1, n - 1)
+
+
+def _values_in_gaps(
+    base: DataFrame, edges: dict[int, list[float]], gaps: dict[tuple[int, int], dict[int, int]]
+) -> dict[tuple[int, int], float]:
+    """Values at ranks (counted within the gap) of the open intervals between edges."""
+    inside, entries = F.lit(False), []
+    for j, bucket in gaps:
+        x = F.col(f"x{j}")
+        hit = x.isNotNull()
+        if bucket > 0:
+            hit = hit & (x > edges[j][bucket - 1])
+        if bucket < len(edges[j]):
+            hit = hit & (x < edges[j][bucket])
+        inside = inside | hit
+        entries.append(F.when(hit, F.struct(F.lit(j).alias("j"), F.lit(bucket).alias("bucket"), x.alias("x"))))
+    in_order = W.partitionBy("j", "bucket").orderBy("x")
+    ranked = (
+        base.where(inside)
+        .select(F.inline(F.array_compact(F.array(*entries))))
+        .groupBy("j", "bucket", "x")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("upto", F.sum("c").over(in_order))
+    )
+    asked = F.lit(False)
+    for (j, bucket), ranks in gaps.items():
+        for r in ranks.values():
+            hit = (F.col("j") == j) & (F.col("bucket") == bucket) & (F.col("upto") > r) & (F.col("upto") - F.col("c") <= r)
+            asked = asked | hit
+    out = {}
+    for row in ranked.where(asked).collect():
+        for k, r in gaps[(row["j"], row["bucket"])].items():
+            if row["upto"] - row["c"] <= r < row["upto"]:
+                out[(row["j"], k)] = row["x"]
+    return out
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -38,35 +131,52 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles per group and column: ``(by..., column, n, q array<double>)``.
 
-    Groups with a null key are left out, as are columns without any value.
+    Works as :func:`column_quantiles`, with one sketch per group. Groups with a null key are left out, as are
+    columns without any value.
     """
-    by = list(by)
-    keys = by + ["column"]
-    values = unpivot_values(df.dropna(subset=by) if by else df, columns, by)
-    margin = 2.0 / accuracy
-    cuts = sorted({min(max(p + s * margin, 0.0), 1.0) for p in probs for s in (-1, 1)})
-    sketch = values.groupBy(*keys).agg(
-        F.count("x").alias("n"), F.percentile_approx("x", cuts, accuracy).alias("edges")
+    by, columns = list(by), list(columns)
+    spark = df.sparkSession
+    if not by:
+        found = column_quantiles(df, columns, probs, accuracy)
+        return local_rows(spark, [(c, n, q) for c, (n, q) in found.items()], "column string, n bigint, q array<double>")
+    base = df.dropna(subset=by).select(
+        *by, *[value_of(df, c).cast("double").alias(f"x{j}") for j, c in enumerate(columns)]
+    )
+    cuts = _edge_probs(probs, accuracy)
+    spots = [(j, i) for j in range(len(columns)) for i in range(len(cuts))]
+    sketch = base.groupBy(*by).agg(
+        *[F.count(f"x{j}").alias(f"n{j}") for j in range(len(columns))],
+        *[F.percentile_approx(f"x{j}", cuts, accuracy).alias(f"e{j}") for j in range(len(columns))],
     )
-    rows = small_or_none(sketch, SMALL_GROUPS)
-    small = rows is not None
+    held = small_or_none(sketch, SMALL_GROUPS)
+    small = held is not None
     if small:
-        sketch = df.sparkSession.createDataFrame(rows, sketch.schema)
+        sketch = local_rows(spark, held, sketch.schema)
+    edged = base.join(broadcast_if(sketch.drop(*[f"n{j}" for j in range(len(columns))]), small), by)
 
-    below_edge = F.lit(0)
-    for i in range(len(cuts)):
-        below_edge = below_edge + F.when(F.col("x") > F.col("edges")[i], 1).otherwise(0)
-    bucketed = values.join(broadcast_if(sketch.select(*keys, "edges"), small), keys).select(
-        *keys, below_edge.alias("bucket"), "x"
+    # rows below, and at or below, every edge: one row per group
+    counts = edged.groupBy(*by).agg(
+        *[F.count(F.when(F.col(f"x{j}") < F.col(f"e{j}")[i], 1)).alias(f"lt{j}_{i}") for j, i in spots],
+        *[F.count(F.when(F.col(f"x{j}") <= F.col(f"e{j}")[i], 1)).alias(f"le{j}_{i}") for j, i in spots],
     )
 
-    # at most len(cuts) + 1 rows per group
-    in_order = W.partitionBy(*keys).orderBy("bucket")
-    counts = (
-        bucketed.groupBy(*keys, "bucket")
-        .agg(F.count("x").alias("m"))
-        .withColumn("below", F.sum("m").over(in_order) - F.col("m"))
-    )
+    def listed(kind: str, j: int) -> Column:
+        return F.array(*[F.col(f"{kind}{j}_{i}") for i in range(len(cuts))]).alias(kind)
+
+    per_column = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.col(f"n{j}").alias("n"),
+            F.col(f"e{j}").alias("edges"),
+            listed("lt", j),
+            listed("le", j),
+        )
+        for j, c in enumerate(columns)
+    ]
+    info = sketch.join(broadcast_if(counts, small), by).select(*by, F.inline(F.array(*per_column)))
+
+    # Bucket b holds what lies above edge b - 1 and not above edge b.
+    keys = [*by, "column"]
     position = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     wanted = []
     for i, pos in enumerate(position):
@@ -75,30 +185,57 @@ def exact_quantiles(
             F.struct(F.lit(i).alias("i"), F.lit(0).alias("side"), low.alias("k")),
             F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"), F.least(low + 1, F.col("n") - 1).alias("k")),
         ]
-    targets = sketch.select(*keys, "n", F.inline(F.array(*wanted)))
-    located = targets.join(broadcast_if(counts, small), keys).where(
-        (F.col("k") >= F.col("below")) & (F.col("k") < F.col("below") + F.col("m"))
+    previous = F.col("bucket") - 1
+    targets = (
+        info.where(F.col("n") > 0)
+        .select(*keys, "n", "edges", "lt", "le", F.inline(F.array(*wanted)))
+        .withColumn("bucket", F.size(F.filter("le", lambda c: c <= F.col("k"))))
+        .withColumns(
+            {
+                "rank": F.col("k") - F.when(previous >= 0, F.get("le", previous)).otherwise(0),
+                "known": F.when(F.get("lt", F.col("bucket")) <= F.col("k"), F.get("edges", F.col("bucket"))),
+                "low": F.when(previous >= 0, F.get("edges", previous)),
+                "high": F.get("edges", F.col("bucket")),
+            }
+        )
+        .select(*keys, "n", "i", "side", "rank", "bucket", "low", "high", "known")
+    )
+    open_targets = targets.where(F.col("known").isNull())
+    gap = F.struct("bucket", "low", "high")
+    gaps = open_targets.groupBy(*by).agg(
+        *[F.collect_set(F.when(F.col("column") == c, gap)).alias(f"w{j}") for j, c in enumerate(columns)]
     )
-    needed = located.select(*keys, "bucket", "below").distinct()
+    entries = []
+    for j, c in enumerate(columns):
+        x = F.col(f"x{j}")
+        holding = F.filter(
+            f"w{j}", lambda g: (g["low"].isNull() | (x > g["low"])) & (g["high"].isNull() | (x < g["high"]))
+        )
+        bucket = F.get(holding, F.lit(0))["bucket"]
+        entry = F.struct(F.lit(c).alias("column"), bucket.alias("bucket"), x.alias("x"))
+        entries.append(F.when(x.isNotNull() & bucket.isNotNull(), entry))
     in_value_order = W.partitionBy(*keys, "bucket").orderBy("x")
     candidates = (
-        bucketed.join(broadcast_if(needed, small), keys + ["bucket"])
-        .groupBy(*keys, "bucket", "below", "x")
-        .agg(F.count("x").alias("c"))
-        .withColumn("upto", F.col("below") + F.sum("c").over(in_value_order))
-        .select(*keys, "bucket", "x", "upto", (F.col("upto") - F.col("c")).alias("from"))
+        base.join(broadcast_if(gaps, small), by)
+        .select(*by, F.inline(F.array_compact(F.array(*entries))))
+        .groupBy(*keys, "bucket", "x")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("upto", F.sum("c").over(in_value_order))
     )
-    picked = (
-        candidates.join(broadcast_if(located.select(*keys, "n", "bucket", "i", "side", "k"), small), keys + ["bucket"])
-        .where((F.col("k") >= F.col("from")) & (F.col("k") < F.col("upto")))
-        .select(*keys, "n", "i", "side", "x")
+    picked = candidates.join(broadcast_if(open_targets, small), [*keys, "bucket"]).where(
+        (F.col("rank") >= F.col("upto") - F.col("c")) & (F.col("rank") < F.col("upto"))
     )
+    answered = targets.where(F.col("known").isNotNull()).withColumnRenamed("known", "x")
+    found = [*keys, "n", "i", "side", "x"]
 
     def at(i: int, side: int) -> Column:
         return F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("x")))
 
-    ends = picked.groupBy(*keys, "n").agg(
-        *[at(i, side).alias(f"e{i}_{side}") for i in range(len(probs)) for side in (0, 1)]
+    ends = (
+        answered.select(found)
+        .unionByName(picked.select(found))
+        .groupBy(*keys, "n")
+        .agg(*[at(i, side).alias(f"e{i}_{side}") for i in range(len(probs)) for side in (0, 1)])
     )
     quantiles = [
         F.col(f"e{i}_0") + (F.col(f"e{i}_1") - F.col(f"e{i}_0")) * (pos - F.floor(pos))
@@ -206,7 +343,7 @@ def smallest_by_hash(df: DataFrame, key: str, seed: int, quota: DataFrame, by: S
         joined = hashed.withColumns({"_last_h": F.lit(end[0]), "_last_key": F.lit(end[1])})
     else:
         if rows is not None:
-            last = spark.createDataFrame(rows, last.schema)
+            last = local_rows(spark, rows, last.schema)
         joined = hashed.join(broadcast_if(last, rows is not None), by, "left")
     within = (F.col("_h") < F.col("_last_h")) | ((F.col("_h") == F.col("_last_h")) & (F.col(key) <= F.col("_last_key")))
     return joined.select(*df.columns, F.coalesce(within, F.lit(False)).alias("selected"))

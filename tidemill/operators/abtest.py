@@ -9,7 +9,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import epoch_seconds, md5_key, total, when_true
+from tidemill.functions.columns import epoch_seconds, local_rows, md5_key, total, when_true
 from tidemill.functions.ordered import with_previous, with_running_sum
 from tidemill.functions.ranking import exact_quantiles
 
@@ -140,7 +140,7 @@ def ab_results(log: DataFrame, test: ABTest, latency: str = "latency") -> DataFr
         "variant", q[0].alias("latency_median"), q[1].alias("latency_p95")
     )
     # one row per variant; variants without records keep a row of zero
-    every = log.sparkSession.createDataFrame([(v,) for v in test.names], "variant string")
+    every = local_rows(log.sparkSession, [(v,) for v in test.names], "variant string")
     return (
         every.join(F.broadcast(basic), "variant", "left")
         .join(F.broadcast(marks), "variant", "left")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import require_columns, value_of
+from tidemill.functions.columns import local_rows, require_columns, value_of
 from tidemill.functions.lineage import cut
 from tidemill.operators.profile import detect_task
 from tidemill.operators.splits import random_split, should_stratify
@@ -183,7 +183,7 @@ def model_catalog(spark: SparkSession, task: str | None = None) -> DataFrame:
         for name, s in CATALOG.items()
         if task is None or s.task == task
     ]
-    return spark.createDataFrame(rows, "name string, description string, task string, parameters map<string,string>")
+    return local_rows(spark, rows, "name string, description string, task string, parameters map<string,string>")
 
 
 def known_parameters(name: str, parameters: dict | None) -> dict:
@@ -301,9 +301,8 @@ def save_model(trained: Trained, path: str) -> None:
         weights = [float(w) for w in last.weights]
         stages = PipelineModel([*trained.pipeline.stages[:-1], *last.models])
     stages.write().overwrite().save(f"{path}/pipeline")
-    SparkSession.active().createDataFrame(
-        [(trained.name, trained.task, trained.features, trained.target, trained.labels, weights)], _DESCRIPTION
-    ).coalesce(1).write.mode("overwrite").json(f"{path}/description")
+    row = (trained.name, trained.task, trained.features, trained.target, trained.labels, weights)
+    local_rows(SparkSession.active(), [row], _DESCRIPTION).coalesce(1).write.mode("overwrite").json(f"{path}/description")
 
 
 def load_model(spark: SparkSession, path: str) -> Trained:
@@ -340,7 +339,7 @@ def feature_importance(trained: Trained) -> DataFrame:
     model = trained.pipeline.stages[-1]
     spark = SparkSession.active()
     rows = [(f, float(v)) for f, v in zip(trained.features, importances(model))]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
+    return local_rows(spark, rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
 
 
 def importances(model) -> np.ndarray:
@@ -583,5 +582,5 @@ def linear_coefficients(trained: Trained) -> DataFrame:
     """``(feature, weight)`` of a linear regression, the intercept under its own name."""
     model = trained.pipeline.stages[-1]
     rows = [*zip(trained.features, [float(v) for v in model.coefficients]), ("(intercept)", float(model.intercept))]
-    return SparkSession.active().createDataFrame(rows, "feature string, weight double")
+    return local_rows(SparkSession.active(), rows, "feature string, weight double")
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions.columns import (
     AGG_WIDTH,
+    local_rows,
     numeric_columns,
     one_row,
     quoted,
@@ -126,7 +127,7 @@ class Suite:
                     k.get("value_set"),
                 )
             )
-        return spark.createDataFrame(rows, SUITE_ROW)
+        return local_rows(spark, rows, SUITE_ROW)
 
 
 def generate_suite(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemill.functions.columns import local_rows
 from tidemill.functions.ranking import smallest_by_hash
 
 # Allowed share of test rows and its default.
@@ -26,7 +27,7 @@ def random_split(
     check_test_size(test_size)
     if stratify is None:
         rows = df.count()
-        quota = df.sparkSession.createDataFrame([(split_size(rows, test_size),)], "quota bigint")
+        quota = local_rows(df.sparkSession, [(split_size(rows, test_size),)], "quota bigint")
         flagged = smallest_by_hash(df, key, seed, quota)
     else:
         # one row per class, and a class column is one with few values

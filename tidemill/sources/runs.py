@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.columns import local_rows
+
 _RUN = r"([^/]+)/([^/]+)/{}/([^/]+)$"
 
 
@@ -78,11 +80,13 @@ def write_run(
     spark: SparkSession, root: str, experiment: str, run: str, metrics: dict[str, float], params: dict[str, str], ts_ms: int
 ) -> None:
     """Append one finished run to tables ``<root>/metrics`` and ``<root>/params`` (a few rows each)."""
-    spark.createDataFrame(
+    local_rows(
+        spark,
         [(experiment, run, k, ts_ms, float(v), 0) for k, v in metrics.items()],
         "experiment_id string, run_id string, key string, ts_ms bigint, value double, step int",
     ).coalesce(1).write.mode("append").parquet(f"{root}/metrics")
-    spark.createDataFrame(
+    local_rows(
+        spark,
         [(experiment, run, k, str(v)) for k, v in params.items()],
         "experiment_id string, run_id string, key string, value string",
     ).coalesce(1).write.mode("append").parquet(f"{root}/params")

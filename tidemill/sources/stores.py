@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.columns import local_rows
 from tidemill.operators.features import FeatureSet, fit_feature_set, transform
 from tidemill.operators.quality import IN_SET, Suite, generate_suite
 from tidemill.sources.tables import read_if_exists
@@ -38,7 +39,7 @@ class _Documents:
 
     def write(self, name: str, version: int, text: str) -> None:
         path = f"{self.root}/name={name}/version={version}"
-        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("error").text(path)
+        local_rows(self.spark, [(text,)], "value string").coalesce(1).write.mode("error").text(path)
 
     def read(self, name: str, version: str | int | None) -> str:
         number = self.latest(name) if version is None else version_number(version)
@@ -108,7 +109,7 @@ class FeatureStore:
             "categorical map<string,struct<mode:string>>, target string"
         )
         if docs is None:
-            docs = self.spark.createDataFrame([], "value string, name string, version int")
+            docs = local_rows(self.spark, [], "value string, name string, version int")
         doc = F.from_json("value", schema)
         return docs.select(doc.alias("doc")).select(
             F.col("doc.name").alias("feature_set_name"),
