@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.plans import profile, quality  # noqa: F401  (registers its queries)
+from tidemill.plans import abtest, drift, features, profile, quality, registry, sources  # noqa: F401  (each registers its queries)
 from tidemill.plans.base import ORACLES, QUERIES
 
 

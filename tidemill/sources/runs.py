@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.columns import local_rows
 
-_RUN = r"([^/]+)/([^/]+)/{}/([^/]+)$"
+# A file of the tree, or a folder of part files as Spark writes it.
+_RUN = r"([^/]+)/([^/]+)/{}/([^/]+)(?:/part-[^/]*)?$"
 
 
 def _path_parts(kind: str) -> list[Column]:
