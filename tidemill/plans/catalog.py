@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.plans import abtest, drift, features, profile, quality, registry, sources  # noqa: F401  (each registers its queries)
+from tidemill.plans import (  # noqa: F401  (each registers its queries)
+    abtest,
+    charts,
+    drift,
+    features,
+    logs,
+    monitor,
+    profile,
+    quality,
+    registry,
+    sources,
+)
 from tidemill.plans.base import ORACLES, QUERIES
 
 
