@@ -156,8 +156,8 @@ def drift_summary(drift: DataFrame, share: float = DATASET_SHARE) -> DataFrame:
     return drift.agg(F.count(F.lit(1)).alias("number_of_columns"), drifted.alias("number_of_drifted_columns")).select(
         "number_of_columns",
         "number_of_drifted_columns",
-        (F.col("number_of_drifted_columns") / F.col("number_of_columns")).alias("drift_share"),
-        (F.col("number_of_drifted_columns") / F.col("number_of_columns") >= share).alias("dataset_drift"),
+        F.try_divide("number_of_drifted_columns", "number_of_columns").alias("drift_share"),
+        (F.try_divide("number_of_drifted_columns", "number_of_columns") >= share).alias("dataset_drift"),
     )
 
 

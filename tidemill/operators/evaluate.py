@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import total, value_of
+from tidemill.functions.columns import value_of
 
 # Fixed value: from this r2 on a fit counts as perfect and has no explained variance.
 PERFECT_R2 = 0.999
@@ -52,14 +52,14 @@ def class_scores(pairs: DataFrame) -> DataFrame:
 
 
 def _weighted(score: str) -> Column:
-    return F.sum(F.col(score) * F.col("support")) / F.sum("support")
+    return F.try_divide(F.sum(F.col(score) * F.col("support")), F.sum("support"))
 
 
 def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """One row ``(accuracy, precision, recall, f1)``, the last three weighted by support."""
     scores = class_scores(pair_counts(df, label, prediction))
     return scores.agg(
-        (F.sum("hits") / F.sum("support")).alias("accuracy"),
+        F.try_divide(F.sum("hits"), F.sum("support")).alias("accuracy"),
         _weighted("precision").alias("precision"),
         _weighted("recall").alias("recall"),
         _weighted("f1").alias("f1"),
@@ -85,7 +85,7 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
             F.col("support").alias("support"),
         )
 
-    accuracy = F.col("hits") / F.col("support")
+    accuracy = F.try_divide("hits", "support")
     macro = [F.col(f"macro_{c}") for c in names]
     weighted = [F.col(f"weighted_{c}") for c in names]
     totals = F.array(
@@ -128,10 +128,3 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: list |
     pivoted = pairs.groupBy("label").pivot("prediction", classes).agg(F.sum("n"))
     return pivoted.fillna(0)
 
-
-def confusion_pairs(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    return pair_counts(df, label, prediction)
-
-
-def row_count(df: DataFrame) -> Column:
-    return total(F.lit(1))

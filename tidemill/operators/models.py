@@ -25,6 +25,8 @@ from tidemill.operators.splits import random_split, should_stratify
 
 log = logging.getLogger(__name__)
 
+# Working columns of a pipeline; named so as not to meet those of a dataset.
+FEATURES, LABEL = "_features", "_label"
 # Spark ML grows trees at most this deep; it stands in for "no limit".
 DEEPEST_TREE = 30
 # Query rows of one nearest-neighbour pass: they travel to every task.
@@ -57,19 +59,19 @@ def _forest(params: dict) -> dict:
     return _tree(params) | {"numTrees": params["n_estimators"]}
 
 
-def _boosted(params: dict, rows: int, classes: int):
+def _boosted(params: dict, rows: int, classes: int, spread: float):
     gbt = C.GBTClassifier(
         maxIter=params["n_estimators"], stepSize=params["learning_rate"], maxDepth=params["max_depth"], seed=params["random_state"]
     )
     return gbt if classes <= 2 else C.OneVsRest(classifier=gbt)
 
 
-def _linear_svm(params: dict, rows: int, classes: int):
-    svc = C.LinearSVC(regParam=1.0 / (params["C"] * max(rows, 1)))
+def _linear_svm(params: dict, rows: int, classes: int, spread: float):
+    svc = C.LinearSVC(regParam=1.0 / (params["C"] * max(rows, 1)), standardization=False)
     return svc if classes <= 2 else C.OneVsRest(classifier=svc)
 
 
-def _linear(params: dict, rows: int, penalty: float, mix: float):
+def _linear(params: dict, penalty: float, mix: float):
     return R.LinearRegression(
         fitIntercept=params["fit_intercept"],
         regParam=penalty,
@@ -88,13 +90,13 @@ CATALOG: dict[str, ModelSpec] = {
         "Random Forest Classifier",
         "classification",
         {"n_estimators": 100, **_TREE_DEFAULTS},
-        lambda p, rows, classes: C.RandomForestClassifier(**_forest(p)),
+        lambda p, rows, classes, spread: C.RandomForestClassifier(**_forest(p)),
     ),
     "logistic_regression": ModelSpec(
         "Logistic Regression",
         "classification",
         {"C": 1.0, "max_iter": 100, "random_state": 42},
-        lambda p, rows, classes: C.LogisticRegression(
+        lambda p, rows, classes, spread: C.LogisticRegression(
             maxIter=p["max_iter"], regParam=1.0 / (p["C"] * max(rows, 1)), standardization=False
         ),
     ),
@@ -102,7 +104,7 @@ CATALOG: dict[str, ModelSpec] = {
         "Decision Tree Classifier",
         "classification",
         dict(_TREE_DEFAULTS),
-        lambda p, rows, classes: C.DecisionTreeClassifier(**_tree(p)),
+        lambda p, rows, classes, spread: C.DecisionTreeClassifier(**_tree(p)),
     ),
     "gradient_boosting": ModelSpec(
         "Gradient Boosting Classifier",
@@ -129,7 +131,7 @@ CATALOG: dict[str, ModelSpec] = {
         "Gaussian Naive Bayes",
         "classification",
         {},
-        lambda p, rows, classes: C.NaiveBayes(modelType="gaussian"),
+        lambda p, rows, classes, spread: C.NaiveBayes(modelType="gaussian"),
     ),
     "adaboost": ModelSpec(
         "AdaBoost Classifier", "classification", {"n_estimators": 50, "learning_rate": 1.0, "random_state": 42}, None
@@ -138,31 +140,32 @@ CATALOG: dict[str, ModelSpec] = {
         "Linear Regression",
         "regression",
         {"fit_intercept": True},
-        lambda p, rows, classes: _linear(p, rows, 0.0, 0.0),
+        lambda p, rows, classes, spread: _linear(p, 0.0, 0.0),
     ),
     "ridge_regression": ModelSpec(
         "Ridge Regression",
         "regression",
         {"alpha": 1.0, "fit_intercept": True, "random_state": 42},
-        lambda p, rows, classes: _linear(p, rows, p["alpha"] / max(rows, 1), 0.0),
+        # Spark divides the penalty by the label's deviation, which suits the lasso but not the ridge
+        lambda p, rows, classes, spread: _linear(p, p["alpha"] / max(rows, 1) * spread, 0.0),
     ),
     "lasso_regression": ModelSpec(
         "Lasso Regression",
         "regression",
         {"alpha": 1.0, "fit_intercept": True, "random_state": 42},
-        lambda p, rows, classes: _linear(p, rows, p["alpha"], 1.0),
+        lambda p, rows, classes, spread: _linear(p, p["alpha"], 1.0),
     ),
     "decision_tree_regressor": ModelSpec(
         "Decision Tree Regressor",
         "regression",
         dict(_TREE_DEFAULTS),
-        lambda p, rows, classes: R.DecisionTreeRegressor(**_tree(p)),
+        lambda p, rows, classes, spread: R.DecisionTreeRegressor(**_tree(p)),
     ),
     "random_forest_regressor": ModelSpec(
         "Random Forest Regressor",
         "regression",
         {"n_estimators": 100, **_TREE_DEFAULTS},
-        lambda p, rows, classes: R.RandomForestRegressor(**_forest(p)),
+        lambda p, rows, classes, spread: R.RandomForestRegressor(**_forest(p)),
     ),
     "knn_regressor": ModelSpec(
         "K-Nearest Neighbors Regressor", "regression", {"n_neighbors": 5, "weights": "uniform"}, None
@@ -222,44 +225,37 @@ class Trained:
         return score(self.pipeline, df, self.labels)
 
 
-def feature_vector(df: DataFrame, features: list[str]) -> DataFrame:
-    require_columns(df, features)
-    return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error").transform(df)
-
-
 def train(df: DataFrame, model_name: str, features: list[str], target: str, parameters: dict | None = None) -> Trained:
     """Fit a catalog model on numeric feature columns."""
     if target in features:
         raise ValueError(f"target {target} is listed as a feature")
     require_columns(df, [*features, target])
     spec, params = model_spec(model_name), known_parameters(model_name, parameters)
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
+    assembler = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="error")
     data = df.select(*features, target).dropna(subset=[target])
     if spec.task == "classification":
-        indexer = StringIndexer(
-            inputCol=target, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"
-        ).fit(data)
+        indexer = StringIndexer(inputCol=target, outputCol=LABEL, stringOrderType="alphabetAsc").fit(data)
         labels = list(indexer.labels)
-        prepared = assembler.transform(indexer.transform(data)).select("features", F.col("label").cast("double"))
+        prepared = assembler.transform(indexer.transform(data)).select(FEATURES, LABEL)
     else:
         labels = None
-        prepared = assembler.transform(data).select("features", F.col(target).cast("double").alias("label"))
+        prepared = assembler.transform(data).select(FEATURES, F.col(target).cast("double").alias(LABEL))
     prepared = prepared.persist()
     try:
-        rows = prepared.count()
-        if model_name == "mlp_classifier":
+        size = prepared.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("spread")).first()
+        if model_name == "adaboost":
+            fitted = fit_adaboost(prepared, len(labels), **params)
+        elif model_name == "mlp_classifier":
             layers = [len(features), *params["hidden_layer_sizes"], len(labels)]
-            estimator = C.MultilayerPerceptronClassifier(
+            network = C.MultilayerPerceptronClassifier(
                 layers=layers, maxIter=params["max_iter"], seed=params["random_state"]
             )
-        elif model_name == "adaboost":
-            fitted = fit_adaboost(prepared, len(labels), **params)
-            return Trained(model_name, spec.task, features, target, PipelineModel([assembler, fitted]), labels)
+            fitted = network.setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(prepared)
         elif spec.build is None:
-            raise ValueError(f"{model_name} has no fitted form: use knn_predict")
+            raise ValueError(f"{model_name} has no fitted form: use knn_classify or knn_regress")
         else:
-            estimator = spec.build(params, rows, len(labels or []))
-        fitted = estimator.fit(prepared)
+            estimator = spec.build(params, size["n"], len(labels or []), size["spread"] or 0.0)
+            fitted = estimator.setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(prepared)
     finally:
         prepared.unpersist()
     return Trained(model_name, spec.task, features, target, PipelineModel([assembler, fitted]), labels)
@@ -391,12 +387,14 @@ def fit_adaboost(
     replays one round, not all of them.
     """
     rows = prepared.count()
-    data = prepared.select("features", "label").withColumn("weight", F.lit(1.0 / rows))
+    data = prepared.select(FEATURES, LABEL).withColumn("weight", F.lit(1.0 / rows))
     models, weights = [], []
     for round_number in range(n_estimators):
-        tree = C.DecisionTreeClassifier(maxDepth=1, weightCol="weight", seed=random_state + round_number).fit(data)
-        missed = F.col("prediction") != F.col("label")
-        judged = tree.transform(data).select("features", "label", "weight", "prediction")
+        tree = C.DecisionTreeClassifier(
+            maxDepth=1, weightCol="weight", seed=random_state + round_number, featuresCol=FEATURES, labelCol=LABEL
+        ).fit(data)
+        missed = F.col("prediction") != F.col(LABEL)
+        judged = tree.transform(data).select(FEATURES, LABEL, "weight", "prediction")
         sums = judged.agg(
             F.sum("weight").alias("all"), F.coalesce(F.sum(F.when(missed, F.col("weight"))), F.lit(0.0)).alias("wrong")
         ).first()
@@ -410,7 +408,7 @@ def fit_adaboost(
             break
         raised = F.when(missed, F.col("weight") * math.exp(strength)).otherwise(F.col("weight"))
         norm = sums["all"] + sums["wrong"] * (math.exp(strength) - 1.0)
-        data = cut(judged.select("features", "label", (raised / norm).alias("weight")))
+        data = cut(judged.select(FEATURES, LABEL, (raised / norm).alias("weight")))
     if not models:
         raise ValueError("no tree does better than chance")
     return AdaBoostModel(models, weights, classes)

@@ -9,12 +9,9 @@ from pyspark.sql import types as T
 from tidemill.functions.columns import (
     long_rows,
     numeric_columns,
-    one_row,
     require_columns,
     string_columns,
-    total,
     value_of,
-    when_true,
 )
 from tidemill.functions.ranking import exact_quantiles
 
@@ -119,7 +116,7 @@ def infer_target(df: DataFrame, approximate: bool = False) -> DataFrame:
             ]
         )
     )
-    few = (fewest["d"] < 10) & (fewest["d"] / F.col("n") < 0.05)
+    few = (fewest["d"] < 10) & (F.try_divide(fewest["d"], F.col("n")) < 0.05)
     return counted.select(F.when(few, fewest["name"]).alias("target_column"))
 
 
@@ -130,7 +127,7 @@ def suggest_features(df: DataFrame, target: str, approximate: bool = False) -> D
     rows = {
         c: {
             "position": F.lit(df.columns.index(c)),
-            "keep": (F.col(f"m{i}") < 0.5) & (F.col(f"d{i}") / F.col("n") < 0.95),
+            "keep": (F.col(f"m{i}") < 0.5) & (F.try_divide(F.col(f"d{i}"), F.col("n")) < 0.95),
         }
         for i, c in enumerate(features.columns)
     }
@@ -155,7 +152,7 @@ def detect_task(df: DataFrame, target: str, approximate: bool = False) -> DataFr
         distinct_count(df, target, approximate).alias("d"),
         integer_like.alias("integer_like"),
     )
-    classes = (F.col("d") < 10) | (F.col("d") / F.col("n") < 0.05) | (F.col("integer_like") & (F.col("d") < 20))
+    classes = (F.col("d") < 10) | (F.try_divide("d", "n") < 0.05) | (F.col("integer_like") & (F.col("d") < 20))
     return counted.select(F.when(classes, "classification").otherwise("regression").alias("task"))
 
 
@@ -249,29 +246,5 @@ def unique_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(value_of(df, column).alias("value")).where(F.col("value").isNotNull()).distinct()
 
 
-def filled_rows(df: DataFrame) -> Column:
-    """How many rows hold no missing value at all."""
-    complete = F.lit(True)
-    for c in df.columns:
-        complete = complete & value_of(df, c).isNotNull()
-    return total(when_true(complete))
-
-
-def statistics_row(df: DataFrame, columns: list[str]) -> dict:
-    """Driver-side values of mean, sd, min, max and counts per column: bounded by the schema."""
-    wanted = {("rows", ""): F.count(F.lit(1))}
-    for c in columns:
-        v = value_of(df, c)
-        wanted |= {
-            ("count", c): F.count(v),
-            ("mean", c): F.avg(v),
-            ("sd", c): F.stddev_samp(v),
-            ("sd_pop", c): F.stddev_pop(v),
-            ("min", c): F.min(v.cast("double")),
-            ("max", c): F.max(v.cast("double")),
-        }
-    return one_row(df, wanted)
-
-
 def _names(names: list[str]) -> Column:
     return F.array(*[F.lit(n) for n in names]).cast("array<string>")

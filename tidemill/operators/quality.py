@@ -227,7 +227,7 @@ def validate(df: DataFrame, suite: Suite) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"))
             .dropna()
             .join(allowed, "value", "left")
-            .agg((total(F.col("n") * F.coalesce("known", F.lit(0))) / total(F.col("n"))).alias("o"))
+            .agg(F.try_divide(total(F.col("n") * F.coalesce("known", F.lit(0))), total(F.col("n"))).alias("o"))
         )
         parts.append(share.select(F.inline(F.array(_verdict(df, i, e, F.col("o"))))))
     return reduce(DataFrame.unionByName, parts)

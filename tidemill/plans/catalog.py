@@ -10,8 +10,10 @@ from tidemill.plans import (  # noqa: F401  (each registers its queries)
     abtest,
     charts,
     drift,
+    evaluate,
     features,
     logs,
+    models,
     monitor,
     profile,
     quality,
