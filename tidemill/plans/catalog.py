@@ -19,6 +19,7 @@ from tidemill.plans import (  # noqa: F401  (each registers its queries)
     quality,
     registry,
     sources,
+    streams,
 )
 from tidemill.plans.base import ORACLES, QUERIES
 
