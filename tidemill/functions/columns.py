@@ -100,6 +100,12 @@ def local_rows(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructTy
     return spark.createDataFrame(table, kind)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Before work that costs far more than a shuffle: use all cores when the input has fewer partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     """Broadcast a side whose size was checked; leave the join to the planner otherwise."""
     return F.broadcast(df) if small else df

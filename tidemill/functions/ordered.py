@@ -1,7 +1,8 @@
 """Previous value and running sum along time, for keys that may hold a large share of all rows.
 
 A plain window sorts one key in one task. These helpers cut every key into chunks of time, work inside a chunk,
-and carry the end of each chunk to the next one through a table with one row per key and chunk.
+and carry the end of each chunk to the next one through a table with one row per key and chunk. The chunk is a
+column of the table that must not fall along the order; calls that share it share one shuffle.
 """
 
 from __future__ import annotations
@@ -14,46 +15,45 @@ from pyspark.sql import functions as F
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], chunk: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], chunk: str
 ) -> DataFrame:
-    """Add ``prev_<column>``: the value on the previous row of the key. ``chunk`` must not fall along ``order``."""
+    """Add ``prev_<column>``: the value on the previous row of the key."""
     keys = list(keys)
-    cut = df.withColumn("_chunk", chunk)
-    inside = W.partitionBy(*keys, "_chunk").orderBy(*order)
-    own = cut.withColumns({f"_in_{c}": F.lag(c).over(inside) for c in columns}).withColumn(
+    inside = W.partitionBy(*keys, chunk).orderBy(*order)
+    own = df.withColumns({f"_in_{c}": F.lag(c).over(inside) for c in columns}).withColumn(
         "_first", F.row_number().over(inside) == 1
     )
     row = F.struct(*[F.col(c) for c in columns])
     last = (
-        cut.groupBy(*keys, "_chunk")
+        df.groupBy(*keys, chunk)
         .agg(F.max_by(row, F.struct(*order)).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy("_chunk")))
-        .select(*keys, "_chunk", "_carry")
+        .withColumn("_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy(chunk)))
+        .select(*keys, chunk, "_carry")
     )
-    joined = own.join(last, keys + ["_chunk"], "left")
+    joined = own.join(last, keys + [chunk], "left")
     previous = {
         f"prev_{c}": F.when(F.col("_first"), F.col(f"_carry.{c}")).otherwise(F.col(f"_in_{c}")) for c in columns
     }
-    return joined.withColumns(previous).drop("_chunk", "_carry", "_first", *[f"_in_{c}" for c in columns])
+    return joined.withColumns(previous).drop("_carry", "_first", *[f"_in_{c}" for c in columns])
 
 
 def with_running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, chunk: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, chunk: str
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the key's rows up to and including this one."""
     keys = list(keys)
-    cut = df.withColumn("_chunk", chunk).withColumn("_v", value)
-    inside = W.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    valued = df.withColumn("_v", value)
+    inside = W.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = W.partitionBy(*keys).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
     carried = (
-        cut.groupBy(*keys, "_chunk")
+        valued.groupBy(*keys, chunk)
         .agg(F.sum("_v").alias("_total"))
         .withColumn("_before", F.coalesce(F.sum("_total").over(before), F.lit(0)))
-        .select(*keys, "_chunk", "_before")
+        .select(*keys, chunk, "_before")
     )
-    own = cut.withColumn("_own", F.sum("_v").over(inside))
+    own = valued.withColumn("_own", F.sum("_v").over(inside))
     return (
-        own.join(carried, keys + ["_chunk"])
+        own.join(carried, keys + [chunk])
         .withColumn(name, F.col("_own") + F.col("_before"))
-        .drop("_chunk", "_v", "_own", "_before")
+        .drop("_v", "_own", "_before")
     )

@@ -84,11 +84,10 @@ def with_sessions(requests: DataFrame, user: str, ts: str, order: str, ttl: int
 
     A user may hold a large share of the log, so every user is worked day by day (see ``functions.ordered``).
     """
-    day = F.date_trunc("day", F.col(ts))
-    timed = requests.withColumn("_t", epoch_seconds(F.col(ts)))
-    before = with_previous(timed, [user], ["_t", order], ["_t"], day)
+    timed = requests.withColumns({"_t": epoch_seconds(F.col(ts)), "_day": F.date_trunc("day", F.col(ts))})
+    before = with_previous(timed, [user], ["_t", order], ["_t"], "_day")
     opens = F.when(F.col("prev__t").isNull() | (F.col("_t") - F.col("prev__t") > ttl), 1).otherwise(0)
-    return with_running_sum(before, [user], ["_t", order], opens, "session", day).drop("_t", "prev__t")
+    return with_running_sum(before, [user], ["_t", order], opens, "session", "_day").drop("_t", "_day", "prev__t")
 
 
 def sticky_assignments(requests: DataFrame, test: ABTest, user: str, ts: str, order: str) -> DataFrame:

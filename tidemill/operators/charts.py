@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -12,14 +14,16 @@ from pyspark.sql import functions as F
 from tidemill.functions.columns import (
     AGG_WIDTH,
     broadcast_if,
+    local_rows,
     long_rows,
     numeric_columns,
     one_row,
     require_columns,
+    small_or_none,
     unpivot_values,
     value_of,
 )
-from tidemill.functions.ranking import exact_quantiles
+from tidemill.functions.ranking import SMALL_GROUPS, exact_quantiles
 from tidemill.operators.features import fit_numeric, scaled
 
 # Limits and defaults of the charts.
@@ -31,6 +35,8 @@ COUNT_DISTINCT = 30
 PIE_SLICES, PIE_KEPT, PIE_REST = 8, 7, "Others"
 PAIR_COLUMNS = 5
 KDE_GRID, KDE_CUT = 200, 3.0
+# Grid points per aggregate: more of them outgrow what is compiled well.
+KDE_WIDTH = 25
 
 
 def default_columns(df: DataFrame) -> list[str]:
@@ -75,11 +81,12 @@ def boxplot(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     """
     keys = [*by, "column"]
     q = F.col("q")
-    boxes = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by).select(
-        *keys, "n", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")
+    boxes, small = _held(
+        exact_quantiles(df, columns, [0.25, 0.5, 0.75], by).select(
+            *keys, "n", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")
+        )
     )
-    # without groups there is one box per column; grouped boxes are joined as the planner sees fit
-    values = unpivot_values(df, columns, by).join(broadcast_if(boxes, not by), keys)
+    values = unpivot_values(df, columns, by).join(broadcast_if(boxes, small), keys)
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     inside = (F.col("x") >= F.col("q1") - reach) & (F.col("x") <= F.col("q3") + reach)
     return values.groupBy(*keys, "n", "q1", "median", "q3").agg(
@@ -89,13 +96,21 @@ def boxplot(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     )
 
 
+def _held(boxes: DataFrame) -> tuple[DataFrame, bool]:
+    """The boxes as a local table if there are few of them, which is checked; else as they are."""
+    rows = small_or_none(boxes, SMALL_GROUPS)
+    return (boxes, False) if rows is None else (local_rows(boxes.sparkSession, rows, boxes.schema), True)
+
+
 def outliers(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """The values beyond the whiskers: ``(by..., column, x)``."""
     keys = [*by, "column"]
     q = F.col("q")
-    boxes = exact_quantiles(df, [column], [0.25, 0.75], by).select(*keys, q[0].alias("q1"), q[1].alias("q3"))
+    boxes, small = _held(
+        exact_quantiles(df, [column], [0.25, 0.75], by).select(*keys, q[0].alias("q1"), q[1].alias("q3"))
+    )
     reach = (F.col("q3") - F.col("q1")) * WHISKER
-    values = unpivot_values(df, [column], by).join(broadcast_if(boxes, not by), keys)
+    values = unpivot_values(df, [column], by).join(broadcast_if(boxes, small), keys)
     return values.where((F.col("x") < F.col("q1") - reach) | (F.col("x") > F.col("q3") + reach)).select(*keys, "x")
 
 
@@ -115,10 +130,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
             ]
         )
         parts.append(wide.select(F.inline(rows)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def counts_of(df: DataFrame, column: str) -> DataFrame:
@@ -191,7 +203,8 @@ def pca_2d(df: DataFrame, key: str, columns: Sequence[str], hue: str | None = No
 def kde(df: DataFrame, column: str, grid: int = KDE_GRID, cut: float = KDE_CUT) -> DataFrame:
     """``(x, density)``: Gaussian density on a grid over the range widened by ``cut`` bandwidths (Scott's rule).
 
-    Every grid point is one aggregate, so the rows are read once per block of points and never copied.
+    Equal values are counted first, which also spreads the work evenly: every distinct value meets every grid
+    point, as one aggregate per point and never as a row.
     """
     value = value_of(df, column).cast("double")
     stats = one_row(
@@ -202,24 +215,22 @@ def kde(df: DataFrame, column: str, grid: int = KDE_GRID, cut: float = KDE_CUT)
     h = stats["sd"] * stats["n"] ** -0.2
     low, high = stats["lo"] - cut * h, stats["hi"] + cut * h
     points = [low + (high - low) * i / (grid - 1) for i in range(grid)]
-    norm = 1.0 / (h * (2 * 3.141592653589793) ** 0.5)
+    norm = 1.0 / (stats["n"] * h * math.sqrt(2 * math.pi))
+    counted = df.select(value.alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
     parts = []
-    for start in range(0, grid, AGG_WIDTH):
-        some = points[start : start + AGG_WIDTH]
-        wide = df.agg(*[_kernel_mean(value, p, h).alias(f"k{i}") for i, p in enumerate(some)])
+    for start in range(0, grid, KDE_WIDTH):
+        some = points[start : start + KDE_WIDTH]
+        wide = counted.agg(*[_kernel_sum(p, h).alias(f"k{i}") for i, p in enumerate(some)])
         rows = F.array(
             *[F.struct(F.lit(p).alias("x"), (F.col(f"k{i}") * norm).alias("density")) for i, p in enumerate(some)]
         )
         parts.append(wide.select(F.inline(rows)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _kernel_mean(value: Column, point: float, h: float) -> Column:
-    z = (value - F.lit(point)) / F.lit(h)
-    return F.avg(F.exp(z * z * F.lit(-0.5)))
+def _kernel_sum(point: float, h: float) -> Column:
+    z = (F.col("v") - F.lit(point)) / F.lit(h)
+    return F.sum(F.exp(z * z * F.lit(-0.5)) * F.col("n"))
 
 
 def sorted_series(df: DataFrame, x: str, columns: Sequence[str]) -> DataFrame:

@@ -68,7 +68,9 @@ def sampled_shap(
         raise ValueError("the background is empty")
     base_points = F.array(*[F.array(*[F.lit(v) for v in p]) for p in points])
     own = F.array(*[F.coalesce(value_of(df, c).cast("double"), F.lit(0.0)) for c in features])
-    rows = df.select(F.col(key).alias("_key"), own.alias("_x"), F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("_s"))
+    # spread by key once: every later grouping is by the key and more, so none of them shuffles again
+    keyed = df.select(F.col(key).alias("_key"), own.alias("_x")).repartition("_key")
+    rows = keyed.select("_key", "_x", F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("_s"))
     start = md5_key(F.lit(seed), F.col("_key"), F.col("_s"))
     order = F.array_sort(
         F.transform(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import local_rows, require_columns, value_of
+from tidemill.functions.columns import local_rows, require_columns, spread, value_of
 from tidemill.functions.lineage import cut
 from tidemill.operators.profile import detect_task
 from tidemill.operators.splits import random_split, should_stratify
@@ -32,6 +32,8 @@ DEEPEST_TREE = 30
 # Query rows of one nearest-neighbour pass: they travel to every task.
 KNN_QUERY_ROWS = 20_000
 KNN_QUERY_BYTES = 256 * 1024 * 1024
+# Boosting rounds between two checkpoints.
+ROUNDS_PER_CUT = 10
 # Fixed value: share of the largest variance added to every class variance.
 VAR_SMOOTHING = 1e-9
 
@@ -383,8 +385,8 @@ def fit_adaboost(
 ) -> AdaBoostModel:
     """SAMME boosting (Hastie et al. 2009) of depth-one trees over ``features`` and ``label``.
 
-    Each round is one weighted tree and one aggregate; the new weights are checkpointed so that a lost executor
-    replays one round, not all of them.
+    Each round is one weighted tree and one aggregate. The weights follow from the trees so far, so they are
+    recomputed rather than stored; a checkpoint every few rounds bounds how far back that goes.
     """
     rows = prepared.count()
     data = prepared.select(FEATURES, LABEL).withColumn("weight", F.lit(1.0 / rows))
@@ -406,9 +408,11 @@ def fit_adaboost(
         weights.append(strength)
         if error <= 0.0:
             break
-        raised = F.when(missed, F.col("weight") * math.exp(strength)).otherwise(F.col("weight"))
+        raised = F.col("weight") * F.when(missed, math.exp(strength)).otherwise(1.0)
         norm = sums["all"] + sums["wrong"] * (math.exp(strength) - 1.0)
-        data = cut(judged.select(FEATURES, LABEL, (raised / norm).alias("weight")))
+        data = judged.select(FEATURES, LABEL, (raised / norm).alias("weight"))
+        if round_number % ROUNDS_PER_CUT == ROUNDS_PER_CUT - 1:
+            data = cut(data)
     if not models:
         raise ValueError("no tree does better than chance")
     return AdaBoostModel(models, weights, classes)
@@ -526,7 +530,7 @@ def _nearest_small(train_df: DataFrame, query: DataFrame, key: str, vector: str,
             if len(batch):
                 yield from _partial_best(batch, keys, q, key, vector, target, k)
 
-    return train_df.mapInPandas(partial, _neighbor_schema(train_df, key, target))
+    return spread(train_df).mapInPandas(partial, _neighbor_schema(train_df, key, target))
 
 
 def _nearest_blocks(

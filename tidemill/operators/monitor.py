@@ -96,9 +96,10 @@ def counter_increases(samples: DataFrame, labels: Sequence[str], ts: str = "ts",
 
     A long series is worked day by day (see ``functions.ordered``).
     """
-    before = with_previous(samples, labels, [ts], [value], F.date_trunc("day", F.col(ts)))
+    daily = samples.withColumn("_day", F.date_trunc("day", F.col(ts)))
+    before = with_previous(daily, labels, [ts], [value], "_day")
     now, last = F.col(value), F.col(f"prev_{value}")
-    return before.withColumn("increase", F.when(now < last, now).otherwise(now - last)).drop(f"prev_{value}")
+    return before.withColumn("increase", F.when(now < last, now).otherwise(now - last)).drop("_day", f"prev_{value}")
 
 
 def counter_rate(

@@ -27,6 +27,8 @@ MISSING_WARNING = "Columns with >50% missing values: "
 NO_NUMERIC_WARNING = "Dataset has no numeric columns, which might limit model choices"
 
 PREVIEW_ROWS = 5
+# Estimated distinct values from which on a column has certainly more than ten.
+MANY_VALUES = 100
 
 
 def missing_share(df: DataFrame, name: str) -> Column:
@@ -98,21 +100,26 @@ def column_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def infer_target(df: DataFrame, approximate: bool = False) -> DataFrame:
+def infer_target(df: DataFrame) -> DataFrame:
     """One row ``(target_column)``; null when no column looks like a target."""
     known = next((name for name in TARGET_NAMES if name in df.columns), None)
     if known is not None or len(df.columns) < 2:
         return df.sparkSession.range(1).select(F.lit(known).cast("string").alias("target_column"))
+    # A sketch that estimates more than MANY_VALUES has that many registers in use, so the column has at least ten
+    # values for certain: only the others are counted, and their few values leave little to shuffle.
+    estimates = df.agg(*[distinct_count(df, c, True).alias(f"d{i}") for i, c in enumerate(df.columns)]).first()
+    few_valued = [(i, c) for i, c in enumerate(df.columns) if estimates[i] <= MANY_VALUES]
+    if not few_valued:
+        return df.sparkSession.range(1).select(F.lit(None).cast("string").alias("target_column"))
     counted = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[distinct_count(df, c, approximate).alias(f"d{i}") for i, c in enumerate(df.columns)],
+        F.count(F.lit(1)).alias("n"), *[distinct_count(df, c).alias(f"d{i}") for i, c in few_valued]
     )
     # position before name: the first of equal counts wins
     fewest = F.array_min(
         F.array(
             *[
                 F.struct(F.col(f"d{i}").alias("d"), F.lit(i).alias("position"), F.lit(c).alias("name"))
-                for i, c in enumerate(df.columns)
+                for i, c in few_valued
             ]
         )
     )

@@ -85,7 +85,6 @@ def alerts(t):
     failed = F.col("event_type") == "error"
     series = streams.error_ratio_stream(requests, "ts", failed, ["pod"], 7200, 900, DELAY)
     rule = monitor.AlertRule("HighErrorRate", ">", 0.2, 900, "critical")
-    recorded = scratch_path(t.spark, "series")
-    streams.run_available(series, recorded, scratch_path(t.spark, "series-state"))
-    evaluations = streams.read_stream(t.spark, recorded, series.schema)
+    recorded = streams.run_to_scratch(series, "series")
+    evaluations = streams.read_stream(t.spark, recorded.inputFiles()[0].rsplit("/", 1)[0], series.schema)
     return streams.run_to_scratch(streams.alert_stream(evaluations, rule, 900, "pod", value="ratio"), "alerts")

@@ -149,20 +149,31 @@ def alert_stream(
     )
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Process what is there now, append the result as parquet, and read all of it back."""
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
+def run_available(stream: DataFrame, path: str, checkpoint: str, partitions: int | None = None) -> DataFrame:
+    """Process what is there now, append the result as parquet, and read all of it back.
+
+    A checkpoint keeps its number of state partitions for life: ``partitions`` sets it on the first run.
+    """
+    conf = stream.sparkSession.conf
+    usual = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(partitions or usual))
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(path)
+        )
+        query.awaitTermination()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", usual)
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
 def run_to_scratch(stream: DataFrame, name: str) -> DataFrame:
-    """One run into fresh folders of the shared scratch space."""
+    """One run into fresh folders of the shared scratch space, with state for at most two waves of tasks."""
     spark = stream.sparkSession
-    return run_available(stream, scratch_path(spark, name), scratch_path(spark, f"{name}-state"))
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(usual, 2 * spark.sparkContext.defaultParallelism)
+    return run_available(stream, scratch_path(spark, name), scratch_path(spark, f"{name}-state"), partitions)
