@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 
 import pyarrow as pa
@@ -28,12 +29,24 @@ def require_columns(df: DataFrame, columns: Iterable[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
-def value_of(df: DataFrame, name: str) -> Column:
+def value_sql(df: DataFrame, name: str) -> str:
     """The column with NaN read as NULL, so both kinds of missing value count the same."""
-    col = F.col(quoted(name))
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(col), col)
-    return col
+        return f"if(isnan({quoted(name)}), null, {quoted(name)})"
+    return quoted(name)
+
+
+def value_of(df: DataFrame, name: str) -> Column:
+    return F.expr(value_sql(df, name))
+
+
+def number(value: float | None) -> str:
+    """A double as an SQL literal."""
+    if value is None:
+        return "cast(null as double)"
+    if math.isinf(value) or math.isnan(value):
+        return f"double('{value}')"
+    return f"{float(value)!r}D"
 
 
 def quoted(name: str) -> str:
@@ -80,9 +93,7 @@ def one_row(df: DataFrame, aggregates: Mapping[str, Column]) -> dict:
     out: dict = {}
     for start in range(0, len(names), AGG_WIDTH):
         part = names[start : start + AGG_WIDTH]
-        # positional aliases: a statistics key may hold dots or spaces
-        row = df.agg(*[aggregates[n].alias(f"a{i}") for i, n in enumerate(part)]).first()
-        out.update(zip(part, row))
+        out.update(zip(part, df.agg(*[aggregates[n] for n in part]).first()))
     return out
 
 
@@ -111,14 +122,16 @@ def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def bucket_of(x: Column, edges: Sequence[float], base: int = 0) -> Column:
-    """Number of ``edges`` (ascending) below ``x``, found by halving."""
-    if not edges:
-        return F.lit(base)
-    mid = len(edges) // 2
-    return F.when(x <= F.lit(edges[mid]), bucket_of(x, edges[:mid], base)).otherwise(
-        bucket_of(x, edges[mid + 1 :], base + mid + 1)
-    )
+def bucket_of(x: str, edges: Sequence[float]) -> Column:
+    """Number of ``edges`` (ascending) below the SQL expression ``x``, found by halving."""
+
+    def search(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        mid = (low + high) // 2
+        return f"if({x} <= {number(edges[mid])}, {search(low, mid)}, {search(mid + 1, high)})"
+
+    return F.expr(search(0, len(edges)))
 
 
 def md5_key(*parts: Column) -> Column:

@@ -8,27 +8,28 @@ how much is sorted, never what the answer is.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import (
     broadcast_if,
-    bucket_of,
     local_rows,
-    long_rows,
     md5_key,
+    number,
     one_row,
     small_or_none,
     value_of,
+    value_sql,
 )
 
 SKETCH_ACCURACY = 10_000
 # Sketch rows held on the driver at most; each is a group key and a few doubles.
 SMALL_GROUPS = 10_000
-KS_EDGES = 64
 
 
 def column_quantiles(
@@ -44,14 +45,14 @@ def column_quantiles(
     cuts = _edge_probs(probs, accuracy)
     sketch = one_row(
         base,
-        {("n", j): F.count(f"x{j}") for j in range(len(columns))}
+        {("n", j): F.expr(f"count(x{j})") for j in range(len(columns))}
         | {("e", j): F.percentile_approx(f"x{j}", cuts, accuracy) for j in range(len(columns))},
     )
     edges = {j: sorted(set(sketch[("e", j)])) for j in range(len(columns)) if sketch[("n", j)]}
     counts = one_row(
         base,
-        {("lt", j, e): F.count(F.when(F.col(f"x{j}") < e, 1)) for j in edges for e in edges[j]}
-        | {("le", j, e): F.count(F.when(F.col(f"x{j}") <= e, 1)) for j in edges for e in edges[j]},
+        {("lt", j, e): F.expr(f"count_if(x{j} < {number(e)})") for j in edges for e in edges[j]}
+        | {("le", j, e): F.expr(f"count_if(x{j} <= {number(e)})") for j in edges for e in edges[j]},
     )
 
     value: dict[tuple[int, int], float] = {}
@@ -91,31 +92,30 @@ def _values_in_gaps(
     base: DataFrame, edges: dict[int, list[float]], gaps: dict[tuple[int, int], dict[int, int]]
 ) -> dict[tuple[int, int], float]:
     """Values at ranks (counted within the gap) of the open intervals between edges."""
-    inside, entries = F.lit(False), []
+    hits, entries = [], []
     for j, bucket in gaps:
-        x = F.col(f"x{j}")
-        hit = x.isNotNull()
+        hit = f"(x{j} IS NOT NULL"
         if bucket > 0:
-            hit = hit & (x > edges[j][bucket - 1])
+            hit += f" AND x{j} > {number(edges[j][bucket - 1])}"
         if bucket < len(edges[j]):
-            hit = hit & (x < edges[j][bucket])
-        inside = inside | hit
-        entries.append(F.when(hit, F.struct(F.lit(j).alias("j"), F.lit(bucket).alias("bucket"), x.alias("x"))))
+            hit += f" AND x{j} < {number(edges[j][bucket])}"
+        hits.append(hit + ")")
+        entries.append(f"if({hits[-1]}, named_struct('j', {j}, 'bucket', {bucket}, 'x', x{j}), null)")
     in_order = W.partitionBy("j", "bucket").orderBy("x")
     ranked = (
-        base.where(inside)
-        .select(F.inline(F.array_compact(F.array(*entries))))
+        base.where(" OR ".join(hits))
+        .select(F.expr(f"inline(array_compact(array({', '.join(entries)})))"))
         .groupBy("j", "bucket", "x")
         .agg(F.count(F.lit(1)).alias("c"))
         .withColumn("upto", F.sum("c").over(in_order))
     )
-    asked = F.lit(False)
-    for (j, bucket), ranks in gaps.items():
-        for r in ranks.values():
-            hit = (F.col("j") == j) & (F.col("bucket") == bucket) & (F.col("upto") > r) & (F.col("upto") - F.col("c") <= r)
-            asked = asked | hit
+    asked = [
+        f"(j = {j} AND bucket = {bucket} AND upto > {r} AND upto - c <= {r})"
+        for (j, bucket), ranks in gaps.items()
+        for r in ranks.values()
+    ]
     out = {}
-    for row in ranked.where(asked).collect():
+    for row in ranked.where(" OR ".join(asked)).collect():
         for k, r in gaps[(row["j"], row["bucket"])].items():
             if row["upto"] - row["c"] <= r < row["upto"]:
                 out[(row["j"], k)] = row["x"]
@@ -156,12 +156,12 @@ def exact_quantiles(
 
     # rows below, and at or below, every edge: one row per group
     counts = edged.groupBy(*by).agg(
-        *[F.count(F.when(F.col(f"x{j}") < F.col(f"e{j}")[i], 1)).alias(f"lt{j}_{i}") for j, i in spots],
-        *[F.count(F.when(F.col(f"x{j}") <= F.col(f"e{j}")[i], 1)).alias(f"le{j}_{i}") for j, i in spots],
+        *[F.expr(f"count_if(x{j} < get(e{j}, {i})) AS lt{j}_{i}") for j, i in spots],
+        *[F.expr(f"count_if(x{j} <= get(e{j}, {i})) AS le{j}_{i}") for j, i in spots],
     )
 
     def listed(kind: str, j: int) -> Column:
-        return F.array(*[F.col(f"{kind}{j}_{i}") for i in range(len(cuts))]).alias(kind)
+        return F.expr(f"array({', '.join(f'{kind}{j}_{i}' for i in range(len(cuts)))}) AS {kind}")
 
     per_column = [
         F.struct(
@@ -228,14 +228,17 @@ def exact_quantiles(
     answered = targets.where(F.col("known").isNotNull()).withColumnRenamed("known", "x")
     found = [*keys, "n", "i", "side", "x"]
 
-    def at(i: int, side: int) -> Column:
-        return F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("x")))
-
     ends = (
         answered.select(found)
         .unionByName(picked.select(found))
         .groupBy(*keys, "n")
-        .agg(*[at(i, side).alias(f"e{i}_{side}") for i in range(len(probs)) for side in (0, 1)])
+        .agg(
+            *[
+                F.expr(f"max(if(i = {i} AND side = {side}, x, null)) AS e{i}_{side}")
+                for i in range(len(probs))
+                for side in (0, 1)
+            ]
+        )
     )
     quantiles = [
         F.col(f"e{i}_0") + (F.col(f"e{i}_1") - F.col(f"e{i}_0")) * (pos - F.floor(pos))
@@ -247,61 +250,61 @@ def exact_quantiles(
 def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per column: ``(column, n_reference, n_current, statistic)``.
 
-    Buckets between sketch quantiles are counted first. The gap inside a bucket is bounded by its end points, so
-    only buckets that could beat the best gap at a bucket end are sorted.
+    Equal values are counted first, so that a hot value is one row. The counts are then range-partitioned by column
+    and value, and each partition walks its own piece of both distributions. How far the two have drifted apart
+    before a piece only shifts all its gaps, so the extremes of the piece and its totals are all that leaves the
+    task. Columns without values on a side are left out.
     """
-    tagged = reference.select(*[value_of(reference, c).cast("double").alias(c) for c in columns], F.lit(1).alias("r")).unionByName(
-        current.select(*[value_of(current, c).cast("double").alias(c) for c in columns], F.lit(0).alias("r"))
-    )
-    probs = [i / KS_EDGES for i in range(1, KS_EDGES)]
-    sketch = tagged.agg(*[F.percentile_approx(c, probs, SKETCH_ACCURACY).alias(f"e{i}") for i, c in enumerate(columns)]).first()
-    entries = {
-        c: {"x": F.col(c), "bucket": bucket_of(F.col(c), sorted(set(sketch[i] or [])))} for i, c in enumerate(columns)
-    }
-    values = tagged.select("r", long_rows(entries)).where(F.col("x").isNotNull())
-
-    # columns x (KS_EDGES) rows from here on, until the surviving buckets are opened
-    in_order = W.partitionBy("column").orderBy("bucket")
-    whole = W.partitionBy("column")
-    counts = values.groupBy("column", "bucket").agg(F.sum("r").alias("r"), F.sum(1 - F.col("r")).alias("c"))
-    ends = counts.select(
-        "column",
-        "bucket",
-        F.sum("r").over(whole).alias("n"),
-        F.sum("c").over(whole).alias("m"),
-        F.sum("r").over(in_order).alias("r1"),
-        F.sum("c").over(in_order).alias("c1"),
-        (F.sum("r").over(in_order) - F.col("r")).alias("r0"),
-        (F.sum("c").over(in_order) - F.col("c")).alias("c0"),
-    )
-
-    def gap(r: str, c: str) -> Column:
-        return F.abs(F.col(r) / F.col("n") - F.col(c) / F.col("m"))
+    sizes = {}
+    for side, df in (("n", reference), ("m", current)):
+        found = one_row(df, {c: F.expr(f"count({value_sql(df, c)})") for c in columns})
+        sizes |= {(side, c): n for c, n in found.items()}
+    kept = [c for c in columns if sizes[("n", c)] and sizes[("m", c)]]
+    known = {c: (sizes[("n", c)], sizes[("m", c)]) for c in kept}
+
+    def tagged(df: DataFrame, r: int) -> DataFrame:
+        rows = [f"named_struct('column', {j}, 'x', CAST({value_sql(df, c)} AS DOUBLE))" for j, c in enumerate(kept)]
+        return df.selectExpr(f"inline(array({', '.join(rows)}))", f"{r} AS r").where("x IS NOT NULL")
+
+    def extremes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces: dict[int, list] = {}
+        for batch in batches:
+            for j, part in batch.groupby("column", sort=False):
+                n, m = known[kept[j]]
+                piece = pieces.setdefault(j, [part["x"].iloc[0], 0, 0, np.inf, -np.inf])
+                r, c = piece[1] + part["r"].to_numpy().cumsum(), piece[2] + part["c"].to_numpy().cumsum()
+                apart = r / n - c / m
+                piece[1:] = [int(r[-1]), int(c[-1]), min(piece[3], apart.min()), max(piece[4], apart.max())]
+        yield pd.DataFrame(
+            [(kept[j], *piece) for j, piece in pieces.items()], columns=["column", "first", "r", "c", "low", "high"]
+        )
 
-    bounded = ends.withColumn("best", F.max(gap("r1", "c1")).over(whole)).withColumn(
-        "bound", F.greatest(gap("r1", "c0"), gap("r0", "c1"))
-    )
-    survivors = bounded.where(F.col("bound") > F.col("best")).select("column", "bucket", "n", "m", "r0", "c0")
-    in_value_order = W.partitionBy("column", "bucket").orderBy("x")
-    inside = (
-        values.join(F.broadcast(survivors), ["column", "bucket"])
-        .groupBy("column", "bucket", "n", "m", "r0", "c0", "x")
+    counted = (
+        tagged(reference, 1)
+        .unionByName(tagged(current, 0))
+        .groupBy("column", "x")
         .agg(F.sum("r").alias("r"), F.sum(1 - F.col("r")).alias("c"))
-        .select(
-            "column",
-            F.abs(
-                (F.col("r0") + F.sum("r").over(in_value_order)) / F.col("n")
-                - (F.col("c0") + F.sum("c").over(in_value_order)) / F.col("m")
-            ).alias("gap"),
-        )
-        .groupBy("column")
-        .agg(F.max("gap").alias("inner_gap"))
     )
-    outer = bounded.groupBy("column").agg(
-        F.max("n").alias("n_reference"), F.max("m").alias("n_current"), F.max("best").alias("best")
+    pieces = (
+        counted.repartitionByRange("column", "x")
+        .sortWithinPartitions("column", "x")
+        .mapInPandas(extremes, "column string, first double, r bigint, c bigint, low double, high double")
+    )
+    # one row per column and partition
+    before = W.partitionBy("column").orderBy("first").rowsBetween(W.unboundedPreceding, -1)
+    totals = local_rows(
+        reference.sparkSession,
+        [(c, *known[c]) for c in kept],
+        "column string, n_reference bigint, n_current bigint",
     )
-    return outer.join(F.broadcast(inside), "column", "left").select(
-        "column", "n_reference", "n_current", F.greatest("best", "inner_gap").alias("statistic")
+    start = F.coalesce(F.sum("r").over(before), F.lit(0)) / F.col("n_reference") - F.coalesce(
+        F.sum("c").over(before), F.lit(0)
+    ) / F.col("n_current")
+    return (
+        pieces.join(F.broadcast(totals), "column")
+        .withColumn("start", start)
+        .groupBy("column", "n_reference", "n_current")
+        .agg(F.max(F.expr("greatest(abs(start + low), abs(start + high))")).alias("statistic"))
     )
 
 

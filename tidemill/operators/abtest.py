@@ -9,7 +9,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import epoch_seconds, local_rows, md5_key, total, when_true
+from tidemill.functions.columns import epoch_seconds, local_rows, md5_key, number, quoted
 from tidemill.functions.ordered import with_previous, with_running_sum
 from tidemill.functions.ranking import exact_quantiles
 
@@ -176,11 +176,14 @@ def ab_custom_metrics(log: DataFrame, test: ABTest, metrics: str = "metrics") ->
 
 def histogram_buckets(df: DataFrame, value: str, by: Sequence[str], bounds: Sequence[float]) -> DataFrame:
     """``(by..., le, count)``: cumulative counts per upper bound, as a metrics histogram keeps them."""
-    counted = df.groupBy(*by).agg(*[total(when_true(F.col(value) <= b)).alias(f"b{i}") for i, b in enumerate(bounds)])
-    rows = F.array(
-        *[F.struct(F.lit(float(b)).alias("le"), F.col(f"b{i}").alias("count")) for i, b in enumerate(bounds)]
-    )
-    return counted.select(*by, F.inline(rows))
+    counts = [F.expr(f"count_if({quoted(value)} <= {number(b)}) AS b{i}") for i, b in enumerate(bounds)]
+    return df.groupBy(*by).agg(*counts).select(*by, bucket_rows(bounds))
+
+
+def bucket_rows(bounds: Sequence[float], count: str = "count") -> Column:
+    """Rows ``(le, count)`` from the columns ``b0, b1, ...``, one per bound."""
+    rows = [f"named_struct('le', {number(b)}, '{count}', b{i})" for i, b in enumerate(bounds)]
+    return F.expr(f"inline(array({', '.join(rows)}))")
 
 
 def latency_histogram(

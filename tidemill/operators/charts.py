@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import (
@@ -16,6 +16,7 @@ from tidemill.functions.columns import (
     broadcast_if,
     local_rows,
     long_rows,
+    number,
     numeric_columns,
     one_row,
     require_columns,
@@ -220,17 +221,15 @@ def kde(df: DataFrame, column: str, grid: int = KDE_GRID, cut: float = KDE_CUT)
     parts = []
     for start in range(0, grid, KDE_WIDTH):
         some = points[start : start + KDE_WIDTH]
-        wide = counted.agg(*[_kernel_sum(p, h).alias(f"k{i}") for i, p in enumerate(some)])
-        rows = F.array(
-            *[F.struct(F.lit(p).alias("x"), (F.col(f"k{i}") * norm).alias("density")) for i, p in enumerate(some)]
-        )
-        parts.append(wide.select(F.inline(rows)))
+        wide = counted.agg(*[F.expr(f"{_kernel_sum(p, h)} AS k{i}") for i, p in enumerate(some)])
+        rows = [f"named_struct('x', {number(p)}, 'density', k{i} * {number(norm)})" for i, p in enumerate(some)]
+        parts.append(wide.select(F.expr(f"inline(array({', '.join(rows)}))")))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _kernel_sum(point: float, h: float) -> Column:
-    z = (F.col("v") - F.lit(point)) / F.lit(h)
-    return F.sum(F.exp(z * z * F.lit(-0.5)) * F.col("n"))
+def _kernel_sum(point: float, h: float) -> str:
+    z = f"((v - {number(point)}) / {number(h)})"
+    return f"sum(exp({z} * {z} * -0.5D) * n)"
 
 
 def sorted_series(df: DataFrame, x: str, columns: Sequence[str]) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import (
@@ -16,7 +15,7 @@ from tidemill.functions.columns import (
     numeric_columns,
     string_columns,
     total,
-    unpivot_values,
+    value_sql,
 )
 from tidemill.functions.ranking import exact_quantiles, ks_statistic
 from tidemill.operators.profile import describe, missing_rate, value_frequencies
@@ -37,17 +36,18 @@ KS_TERMS = 100
 def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     """Asymptotic Kolmogorov distribution of the two-sample distance."""
     squared = statistic * statistic * (n * m / (n + m))
-    tail = F.lit(0.0)
-    for j in range(1, KS_TERMS + 1):
-        term = F.exp(F.lit(-2.0 * j * j) * squared)
-        tail = tail + term if j % 2 else tail - term
+    terms = F.transform(
+        F.sequence(F.lit(1), F.lit(KS_TERMS)),
+        lambda j: F.exp(F.lit(-2.0) * j * j * squared) * F.when(j % 2 == 1, 1.0).otherwise(-1.0),
+    )
+    tail = F.aggregate(terms, F.lit(0.0), lambda total_, term: total_ + term)
     # the alternating series does not converge near 0, where the p-value is 1
     return F.when(squared < 0.04, F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * tail, F.lit(0.0)), F.lit(1.0)))
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str], alpha: float = ALPHA) -> DataFrame:
     """``(column, n_reference, n_current, statistic, p_value, drift_detected)`` by the Kolmogorov-Smirnov test."""
-    distance = ks_statistic(reference, current, columns).where((F.col("n_reference") > 0) & (F.col("n_current") > 0))
+    distance = ks_statistic(reference, current, columns)
     p = ks_p_value(F.col("statistic"), F.col("n_reference").cast("double"), F.col("n_current").cast("double"))
     return distance.withColumn("p_value", p).withColumn("drift_detected", F.col("p_value") < alpha)
 
@@ -172,8 +172,9 @@ def psi_numeric(reference: DataFrame, current: DataFrame, columns: list[str], bi
     edges = {r["column"]: sorted(set(r["q"])) for r in exact_quantiles(reference, columns, probs).collect()}
 
     def shares(df: DataFrame, name: str) -> DataFrame:
-        rows = {c: {"x": F.col(c).cast("double"), "bin": bucket_of(F.col(c).cast("double"), edges[c])} for c in edges}
-        binned = df.select(long_rows(rows)).where(F.col("x").isNotNull() & ~F.isnan("x"))
+        values = {c: f"CAST({value_sql(df, c)} AS DOUBLE)" for c in edges}
+        rows = {c: {"x": F.expr(x), "bin": bucket_of(x, edges[c])} for c, x in values.items()}
+        binned = df.select(long_rows(rows)).where(F.col("x").isNotNull())
         return binned.groupBy("column", "bin").agg(F.count(F.lit(1)).alias(name))
 
     return _psi(shares(reference, "r").join(shares(current, "c"), ["column", "bin"], "full_outer").fillna(0, ["r", "c"]))
@@ -224,26 +225,3 @@ def time_since_drift(detections: DataFrame, ts: str, now: Column) -> DataFrame:
         "last_detection", gap.cast("decimal(20,6)").cast("double").alias("seconds_since")
     )
 
-
-def binned_ks(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 1000) -> DataFrame:
-    """``(column, statistic)``: a lower bound of the distance from equal-width bins of the joint range, no sorting.
-
-    For very wide tables, where the exact form would open too many buckets.
-    """
-    both = unpivot_values(reference, columns).withColumn("r", F.lit(1)).unionByName(
-        unpivot_values(current, columns).withColumn("r", F.lit(0))
-    )
-    limits = {
-        r["column"]: (r["lo"], r["hi"])
-        for r in both.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
-    }
-    bin_of = F.lit(0)
-    for c, (low, high) in limits.items():
-        width = (high - low) / bins or 1.0
-        bin_of = F.when(F.col("column") == c, F.floor((F.col("x") - F.lit(low)) / F.lit(width))).otherwise(bin_of)
-    counts = both.groupBy("column", bin_of.alias("bin")).agg(F.sum("r").alias("r"), F.sum(1 - F.col("r")).alias("c"))
-    upto, whole = W.partitionBy("column").orderBy("bin"), W.partitionBy("column")
-    gap = F.abs(
-        F.sum("r").over(upto) / F.sum("r").over(whole) - F.sum("c").over(upto) / F.sum("c").over(whole)
-    )
-    return counts.select("column", gap.alias("gap")).groupBy("column").agg(F.max("gap").alias("statistic"))

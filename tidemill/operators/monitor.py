@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import epoch_seconds, long_rows, total, value_of, when_true
+from tidemill.functions.columns import epoch_seconds, long_rows, number, quoted, value_of, when_true
 from tidemill.functions.ordered import with_previous
+from tidemill.operators.abtest import bucket_rows
 
 # Evaluation step in seconds, and the windows of the dashboards.
 SCRAPE_SECONDS = 15
@@ -185,10 +186,8 @@ def windowed_buckets(
     step: int = SCRAPE_SECONDS,
 ) -> DataFrame:
     """``(by..., window_end, le, count)``: cumulative buckets of the events of each window."""
-    sums = {f"b{i}": when_true(F.col(value) <= b) for i, b in enumerate(bounds)}
-    counted = sliding_sums(events, ts, by, sums, window, step)
-    rows = F.array(*[F.struct(F.lit(float(b)).alias("le"), F.col(f"b{i}").alias("count")) for i, b in enumerate(bounds)])
-    return counted.select(*by, "window_end", F.inline(rows))
+    sums = {f"b{i}": F.expr(f"if({quoted(value)} <= {number(b)}, 1, 0)") for i, b in enumerate(bounds)}
+    return sliding_sums(events, ts, by, sums, window, step).select(*by, "window_end", bucket_rows(bounds))
 
 
 def usage_ratio(used: DataFrame, limits: DataFrame, by: str = "pod", value: str = "value") -> DataFrame:
@@ -299,9 +298,6 @@ def prediction_metrics(
     counted = log.groupBy(*by).agg(
         F.count(F.lit(1)).alias("predictions"),
         F.sum(latency).alias("latency_sum"),
-        *[total(when_true(F.col(latency) <= b)).alias(f"b{i}") for i, b in enumerate(bounds)],
+        *[F.expr(f"count_if({quoted(latency)} <= {number(b)}) AS b{i}") for i, b in enumerate(bounds)],
     )
-    rows = F.array(
-        *[F.struct(F.lit(float(b)).alias("le"), F.col(f"b{i}").alias("bucket_count")) for i, b in enumerate(bounds)]
-    )
-    return counted.select(*by, "predictions", "latency_sum", F.inline(rows))
+    return counted.select(*by, "predictions", "latency_sum", bucket_rows(bounds, "bucket_count"))

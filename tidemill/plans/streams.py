@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.functions.lineage import scratch_path
 from tidemill.operators import monitor
 from tidemill.plans import abtest as abtest_plans
 from tidemill.plans import logs as log_plans
