@@ -261,6 +261,10 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str
         sizes |= {(side, c): n for c, n in found.items()}
     kept = [c for c in columns if sizes[("n", c)] and sizes[("m", c)]]
     known = {c: (sizes[("n", c)], sizes[("m", c)]) for c in kept}
+    if not kept:
+        return local_rows(
+            reference.sparkSession, [], "column string, n_reference bigint, n_current bigint, statistic double"
+        )
 
     def tagged(df: DataFrame, r: int) -> DataFrame:
         rows = [f"named_struct('column', {j}, 'x', CAST({value_sql(df, c)} AS DOUBLE))" for j, c in enumerate(kept)]

@@ -56,8 +56,9 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = H
     for c in filled:
         lo, step = limits[("lo", c)], (limits[("hi", c)] - limits[("lo", c)]) / bins
         value = value_of(df, c).cast("double")
-        place = F.floor((value - F.lit(lo)) / F.lit(step)) if step else F.when(value.isNotNull(), 0)
-        rows[c] = {"bin": F.least(place, F.lit(bins - 1)).cast("int")}
+        place = F.floor((value - F.lit(lo)) / F.lit(step)) if step else F.lit(0)
+        # least() would take the last bin for a missing value
+        rows[c] = {"bin": F.when(value.isNotNull(), F.least(place, F.lit(bins - 1))).cast("int")}
         low = F.when(F.col("column") == c, lo).otherwise(low)
         width = F.when(F.col("column") == c, step).otherwise(width)
     counted = (

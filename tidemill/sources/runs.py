@@ -38,7 +38,7 @@ def run_metrics(spark: SparkSession, root: str) -> DataFrame:
 
 def run_params(spark: SparkSession, root: str) -> DataFrame:
     """``(experiment_id, run_id, key, value)``."""
-    return spark.read.option("wholetext", True).text(f"{root}/*/*/params/*").select(*_path_parts("params"), "value")
+    return spark.read.text(f"{root}/*/*/params/*", wholetext=True).select(*_path_parts("params"), "value")
 
 
 def runs(spark: SparkSession, root: str) -> DataFrame:
@@ -49,7 +49,7 @@ def runs(spark: SparkSession, root: str) -> DataFrame:
         return F.regexp_extract(text, rf"(?m)^{key}:\s*'?([^'\n]*)'?\s*$", 1)
 
     start, end = entry("start_time").try_cast("bigint"), entry("end_time").try_cast("bigint")
-    return spark.read.option("wholetext", True).text(f"{root}/*/*/meta.yaml").select(
+    return spark.read.text(f"{root}/*/*/meta.yaml", wholetext=True).select(
         entry("experiment_id").alias("experiment_id"),
         entry("run_id").alias("run_id"),
         entry("run_name").alias("run_name"),
@@ -67,7 +67,7 @@ def model_versions(spark: SparkSession, root: str) -> DataFrame:
     def entry(key: str) -> Column:
         return F.regexp_extract(text, rf"(?m)^{key}:\s*'?([^'\n]*)'?\s*$", 1)
 
-    return spark.read.option("wholetext", True).text(f"{root}/models/*/version-*/meta.yaml").select(
+    return spark.read.text(f"{root}/models/*/version-*/meta.yaml", wholetext=True).select(
         entry("name").alias("model"),
         entry("version").cast("int").alias("version"),
         entry("current_stage").alias("stage"),

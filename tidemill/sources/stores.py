@@ -6,6 +6,8 @@ once and never changed, so a reader sees a whole version or none.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,7 @@ class _Documents:
 
     def table(self) -> DataFrame | None:
         """``(value, name, version)``; partition columns come from the path."""
-        reader = self.spark.read.option("wholetext", True)
-        docs = read_if_exists(reader.text, self.root)
+        docs = read_if_exists(partial(self.spark.read.text, wholetext=True), self.root)
         return None if docs is None else docs.select("value", F.col("name").cast("string"), F.col("version").cast("int"))
 
     def latest(self, name: str) -> int:
