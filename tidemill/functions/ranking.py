@@ -12,9 +12,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.columns import (
     broadcast_if,
@@ -22,6 +23,7 @@ from tidemill.functions.columns import (
     md5_key,
     number,
     one_row,
+    quoted,
     small_or_none,
     value_of,
     value_sql,
@@ -57,24 +59,43 @@ def column_quantiles(
 
     value: dict[tuple[int, int], float] = {}
     gaps: dict[tuple[int, int], dict[int, int]] = {}
-    for j in edges:
-        for k in {k for p in probs for k in _around(p, sketch[("n", j)])}:
-            bucket = sum(counts[("le", j, e)] <= k for e in edges[j])
-            if bucket < len(edges[j]) and counts[("lt", j, edges[j][bucket])] <= k:
-                value[(j, k)] = edges[j][bucket]
-            else:
-                below = counts[("le", j, edges[j][bucket - 1])] if bucket else 0
-                gaps.setdefault((j, bucket), {})[k] = k - below
+    for j, ends in edges.items():
+        below, upto = ([counts[(kind, j, e)] for e in ends] for kind in ("lt", "le"))
+        found, missing = _place_ranks(ends, below, upto, sketch[("n", j)], probs)
+        value |= {(j, k): x for k, x in found.items()}
+        gaps |= {(j, bucket): ranks for bucket, ranks in missing.items()}
     if gaps:
         value |= _values_in_gaps(base, edges, gaps)
+    return {
+        columns[j]: (sketch[("n", j)], _interpolate(sketch[("n", j)], probs, {k: x for (i, k), x in value.items() if i == j}))
+        for j in edges
+    }
 
-    out = {}
-    for j in edges:
-        n, q = sketch[("n", j)], []
-        for p in probs:
-            low, high = _around(p, n)
-            q.append(value[(j, low)] + (value[(j, high)] - value[(j, low)]) * (p * (n - 1) - low))
-        out[columns[j]] = (n, q)
+
+def _place_ranks(
+    edges: Sequence[float], below: Sequence[int], upto: Sequence[int], n: int, probs: Sequence[float]
+) -> tuple[dict[int, float], dict[int, dict[int, int]]]:
+    """Values of the ranks that fall on an edge, and for the others ``{bucket: {rank: rank within the bucket}}``.
+
+    ``below`` and ``upto`` count the rows under, and at or under, each edge; bucket b lies between the edges b - 1
+    and b.
+    """
+    value: dict[int, float] = {}
+    gaps: dict[int, dict[int, int]] = {}
+    for k in {k for p in probs for k in _around(p, n)}:
+        bucket = sum(c <= k for c in upto)
+        if bucket < len(edges) and below[bucket] <= k:
+            value[k] = edges[bucket]
+        else:
+            gaps.setdefault(bucket, {})[k] = k - (upto[bucket - 1] if bucket else 0)
+    return value, gaps
+
+
+def _interpolate(n: int, probs: Sequence[float], value: dict[int, float]) -> list[float]:
+    out = []
+    for p in probs:
+        low, high = _around(p, n)
+        out.append(value[low] + (value[high] - value[low]) * (p * (n - 1) - low))
     return out
 
 
@@ -131,8 +152,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles per group and column: ``(by..., column, n, q array<double>)``.
 
-    Works as :func:`column_quantiles`, with one sketch per group. Groups with a null key are left out, as are
-    columns without any value.
+    Works as :func:`column_quantiles`, with one sketch per group. Up to SMALL_GROUPS groups their sketches and
+    counts are held by the driver; more of them stay in tables throughout. Groups with a null key are left out,
+    as are columns without any value.
     """
     by, columns = list(by), list(columns)
     spark = df.sparkSession
@@ -149,10 +171,9 @@ def exact_quantiles(
         *[F.percentile_approx(f"x{j}", cuts, accuracy).alias(f"e{j}") for j in range(len(columns))],
     )
     held = small_or_none(sketch, SMALL_GROUPS)
-    small = held is not None
-    if small:
-        sketch = local_rows(spark, held, sketch.schema)
-    edged = base.join(broadcast_if(sketch.drop(*[f"n{j}" for j in range(len(columns))]), small), by)
+    if held is not None:
+        return _held_quantiles(base, by, columns, probs, len(cuts), sketch, held)
+    edged = base.join(sketch.drop(*[f"n{j}" for j in range(len(columns))]), by)
 
     # rows below, and at or below, every edge: one row per group
     counts = edged.groupBy(*by).agg(
@@ -173,7 +194,7 @@ def exact_quantiles(
         )
         for j, c in enumerate(columns)
     ]
-    info = sketch.join(broadcast_if(counts, small), by).select(*by, F.inline(F.array(*per_column)))
+    info = sketch.join(counts, by).select(*by, F.inline(F.array(*per_column)))
 
     # Bucket b holds what lies above edge b - 1 and not above edge b.
     keys = [*by, "column"]
@@ -216,13 +237,13 @@ def exact_quantiles(
         entries.append(F.when(x.isNotNull() & bucket.isNotNull(), entry))
     in_value_order = W.partitionBy(*keys, "bucket").orderBy("x")
     candidates = (
-        base.join(broadcast_if(gaps, small), by)
+        base.join(gaps, by)
         .select(*by, F.inline(F.array_compact(F.array(*entries))))
         .groupBy(*keys, "bucket", "x")
         .agg(F.count(F.lit(1)).alias("c"))
         .withColumn("upto", F.sum("c").over(in_value_order))
     )
-    picked = candidates.join(broadcast_if(open_targets, small), [*keys, "bucket"]).where(
+    picked = candidates.join(open_targets, [*keys, "bucket"]).where(
         (F.col("rank") >= F.col("upto") - F.col("c")) & (F.col("rank") < F.col("upto"))
     )
     answered = targets.where(F.col("known").isNotNull()).withColumnRenamed("known", "x")
@@ -247,6 +268,70 @@ def exact_quantiles(
     return ends.select(*keys, "n", F.array(*quantiles).alias("q"))
 
 
+def _held_quantiles(
+    base: DataFrame,
+    by: list[str],
+    columns: list[str],
+    probs: Sequence[float],
+    cuts: int,
+    sketch: DataFrame,
+    held: list[Row],
+) -> DataFrame:
+    """Quantiles of a bounded number of groups: two or three plain passes, the ranks placed by the driver."""
+    spark, width = base.sparkSession, len(by)
+    spots = [(j, i) for j in range(len(columns)) for i in range(cuts)]
+    local = local_rows(spark, held, sketch.schema).drop(*[f"n{j}" for j in range(len(columns))])
+    counted = (
+        base.join(F.broadcast(local), by)
+        .groupBy(*by)
+        .agg(
+            *[F.expr(f"count_if(x{j} < get(e{j}, {i}))") for j, i in spots],
+            *[F.expr(f"count_if(x{j} <= get(e{j}, {i}))") for j, i in spots],
+        )
+        .collect()
+    )
+    counts = {tuple(r[:width]): r[width:] for r in counted}
+    value: dict[tuple, dict[int, float]] = {}
+    gap_rows, asked_rows, sizes = [], [], {}
+    for row in held:
+        group = tuple(row[:width])
+        for j, c in enumerate(columns):
+            n, edges = row[f"n{j}"], row[f"e{j}"]
+            if not n:
+                continue
+            sizes[(group, j)] = n
+            below = counts[group][j * cuts : (j + 1) * cuts]
+            upto = counts[group][len(spots) + j * cuts : len(spots) + (j + 1) * cuts]
+            value[(group, j)], gaps = _place_ranks(edges, below, upto, n, probs)
+            for bucket, ranks in gaps.items():
+                low = edges[bucket - 1] if bucket else None
+                high = edges[bucket] if bucket < len(edges) else None
+                gap_rows.append((*group, j, bucket, low, high))
+                asked_rows += [(*group, j, bucket, k, r) for k, r in ranks.items()]
+    keys = T.StructType([base.schema[c] for c in by])
+    if gap_rows:
+        gap = T.StructType.fromDDL("j int, bucket int, low double, high double")
+        asked = T.StructType.fromDDL("j int, bucket int, k bigint, rank bigint")
+        x = "CASE j " + " ".join(f"WHEN {j} THEN x{j}" for j in range(len(columns))) + " END"
+        in_value_order = W.partitionBy(*by, "j", "bucket").orderBy("x")
+        answers = (
+            base.join(F.broadcast(local_rows(spark, gap_rows, T.StructType(keys.fields + gap.fields))), by)
+            .selectExpr(*map(quoted, by), "j", "bucket", "low", "high", f"{x} AS x")
+            .where("x IS NOT NULL AND (low IS NULL OR x > low) AND (high IS NULL OR x < high)")
+            .groupBy(*by, "j", "bucket", "x")
+            .agg(F.count(F.lit(1)).alias("c"))
+            .withColumn("upto", F.sum("c").over(in_value_order))
+            .join(F.broadcast(local_rows(spark, asked_rows, T.StructType(keys.fields + asked.fields))), [*by, "j", "bucket"])
+            .where("rank < upto AND rank >= upto - c")
+            .select(*by, "j", "k", "x")
+        )
+        for r in answers.collect():
+            value[(tuple(r[:width]), r["j"])][r["k"]] = r["x"]
+    rows = [(*g, columns[j], n, _interpolate(n, probs, value[(g, j)])) for (g, j), n in sizes.items()]
+    found = T.StructType.fromDDL("column string, n bigint, q array<double>")
+    return local_rows(spark, rows, T.StructType(keys.fields + found.fields))
+
+
 def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per column: ``(column, n_reference, n_current, statistic)``.
 

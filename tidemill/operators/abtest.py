@@ -54,9 +54,8 @@ class ABTest:
         return [v["name"] for v in self.variants]
 
 
-def variant_of(test: ABTest, *key: Column) -> Column:
-    """The variant of a draw that is a hash of test name and key: repeatable, and free of any state."""
-    draw = md5_key(F.lit(test.name), *key) / F.lit(KEY_SPACE)
+def variant_of(test: ABTest, draw: Column) -> Column:
+    """The variant whose share of traffic holds a draw between 0 and 1."""
     # the last variant takes whatever lies above the last but one threshold
     chosen = F.lit(test.names[-1])
     for name, threshold in reversed(list(zip(test.names[:-1], accumulate(test.traffic_split)))):
@@ -65,9 +64,12 @@ def variant_of(test: ABTest, *key: Column) -> Column:
 
 
 def assign_variants(requests: DataFrame, test: ABTest, key: Sequence[str]) -> DataFrame:
-    """Add ``variant``, ``model_name`` and ``model_version``; a projection without shuffle."""
-    assigned = requests.withColumn("variant", variant_of(test, *[F.col(c) for c in key]))
-    return with_model(assigned, test)
+    """Add ``variant``, ``model_name`` and ``model_version``; a projection without shuffle.
+
+    The draw is a hash of test name and key: repeatable, and free of any state.
+    """
+    drawn = requests.withColumn("_draw", md5_key(F.lit(test.name), *[F.col(c) for c in key]) / F.lit(KEY_SPACE))
+    return with_model(drawn.withColumn("variant", variant_of(test, F.col("_draw"))).drop("_draw"), test)
 
 
 def with_model(assigned: DataFrame, test: ABTest) -> DataFrame:

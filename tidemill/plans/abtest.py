@@ -47,14 +47,14 @@ def assign_variant(t):
     return log_of(t).select("event_id", "variant", "model_name", "model_version")
 
 
-_SESSIONS_SQL = """SELECT event_id, ts, user_id, CAST(sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS session
+SESSIONS_SQL = """SELECT event_id, ts, user_id, CAST(sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS session
 FROM (SELECT event_id, ts, user_id, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)
   <= 3600000000 THEN 0 ELSE 1 END AS opens FROM events)"""
 
 
 @query(
     "a2_sticky_sessions",
-    f"SELECT event_id, user_id, session, {_variant_sql('user_id', 'session')} AS variant FROM ({_SESSIONS_SQL})",
+    f"SELECT event_id, user_id, session, {_variant_sql('user_id', 'session')} AS variant FROM ({SESSIONS_SQL})",
 )
 def sticky_sessions(t):
     assigned = abtest.sticky_assignments(t.events, TEST, "user_id", "ts", "event_id")
@@ -64,7 +64,7 @@ def sticky_sessions(t):
 @query(
     "a2_session_table",
     f"""SELECT user_id, session, min(ts) AS session_start, max(ts) AS last_hit, count(*) AS hits
-FROM ({_SESSIONS_SQL}) GROUP BY user_id, session""",
+FROM ({SESSIONS_SQL}) GROUP BY user_id, session""",
 )
 def session_table(t):
     return abtest.session_table(t.events, "user_id", "ts", "event_id")

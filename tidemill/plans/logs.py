@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import logs
 from tidemill.plans.base import query, rounded
 
-_LOGS_SQL = """SELECT event_id, ts, 'prod' AS namespace, 'pod-' || (user_id % 5) AS pod, event_type AS container,
+LOGS_SQL = """SELECT event_id, ts, 'prod' AS namespace, 'pod-' || (user_id % 5) AS pod, event_type AS container,
   CASE WHEN user_id % 2 = 0 THEN 'model-api' ELSE 'training' END AS app, event_type || ' ' || props AS line FROM events"""
 
 
@@ -25,7 +25,7 @@ def logs_of(t):
 
 @query(
     "t12_log_filter",
-    f"""SELECT event_id, pod, line FROM ({_LOGS_SQL}) WHERE namespace = 'prod' AND app = 'model-api'
+    f"""SELECT event_id, pod, line FROM ({LOGS_SQL}) WHERE namespace = 'prod' AND app = 'model-api'
   AND regexp_matches(line, 'error|exception|fail', 'i')""",
 )
 def log_filter(t):
@@ -35,19 +35,19 @@ def log_filter(t):
 
 @query(
     "t12_log_selector_set",
-    f"SELECT event_id, container FROM ({_LOGS_SQL}) WHERE container IN ('view', 'click', 'signup')",
+    f"SELECT event_id, container FROM ({LOGS_SQL}) WHERE container IN ('view', 'click', 'signup')",
 )
 def log_selector_set(t):
     return logs.select_logs(logs_of(t), {"container": ["view", "click", "signup"]}).select("event_id", "container")
 
 
-def _window_sql(seconds: int) -> str:
+def window_sql(seconds: int) -> str:
     return f"CAST(floor(epoch_us(ts) / {seconds * 1000000}.0) AS BIGINT) * {seconds} + {seconds}"
 
 
 @query(
     "t13_log_count_over_time",
-    f"""SELECT pod, {_window_sql(300)} AS window_end, count(*) AS lines FROM ({_LOGS_SQL})
+    f"""SELECT pod, {window_sql(300)} AS window_end, count(*) AS lines FROM ({LOGS_SQL})
 WHERE app = 'model-api' AND regexp_matches(line, 'error|exception|fail', 'i') GROUP BY ALL""",
 )
 def log_count_over_time(t):
@@ -57,7 +57,7 @@ def log_count_over_time(t):
 
 @query(
     "t13_log_count_by_container",
-    f"SELECT container, {_window_sql(60)} AS window_end, count(*) AS lines FROM ({_LOGS_SQL}) GROUP BY ALL",
+    f"SELECT container, {window_sql(60)} AS window_end, count(*) AS lines FROM ({LOGS_SQL}) GROUP BY ALL",
 )
 def log_count_by_container(t):
     return logs.count_over_time(logs_of(t), ["container"], 60)

@@ -10,7 +10,7 @@ from tidemill.plans.abtest import bucket_rows_sql
 from tidemill.plans.base import LINEITEM_NUMBERS, query, rounded, union_sql
 
 
-def _sliding_sql(source: str, by: str, sums: str, window: int, step: int) -> str:
+def sliding_sql(source: str, by: str, sums: str, window: int, step: int) -> str:
     """Every row is copied to each window that holds it; the ends are multiples of the step."""
     group = f"{by}, window_end" if by else "window_end"
     return f"""SELECT {group}, {sums} FROM (SELECT s.*,
@@ -19,7 +19,7 @@ def _sliding_sql(source: str, by: str, sums: str, window: int, step: int) -> str
 
 
 def _rate(name: str, by: list[str], window: int, step: int, source: str, prepare) -> None:
-    sql = f"SELECT {', '.join([*by, 'window_end'])}, round(n / {window}.0, 6) AS rate FROM ({_sliding_sql(source, ', '.join(by), 'count(*) AS n', window, step)})"
+    sql = f"SELECT {', '.join([*by, 'window_end'])}, round(n / {window}.0, 6) AS rate FROM ({sliding_sql(source, ', '.join(by), 'count(*) AS n', window, step)})"
     query(name, sql)(lambda t: rounded(monitor.event_rate(prepare(t), "ts", by, window, step)))
 
 
@@ -55,7 +55,7 @@ _GROWN_SQL = f"""SELECT event_type, pod, ts, CASE WHEN value < last THEN value E
 
 @query(
     "t1_counter_rate_1h",
-    f"SELECT event_type, pod, window_end, round(grown / 3600.0, 6) AS rate FROM ({_sliding_sql(_GROWN_SQL, 'event_type, pod', 'sum(grown) AS grown', 3600, 300)})",
+    f"SELECT event_type, pod, window_end, round(grown / 3600.0, 6) AS rate FROM ({sliding_sql(_GROWN_SQL, 'event_type, pod', 'sum(grown) AS grown', 3600, 300)})",
 )
 def counter_rate(t):
     return rounded(monitor.counter_rate(counters_of(t), ["event_type", "pod"], 3600, 300))
@@ -63,7 +63,7 @@ def counter_rate(t):
 
 @query(
     "t1_counter_rate_by_pod",
-    f"SELECT pod, window_end, round(grown / 3600.0, 6) AS rate FROM ({_sliding_sql(_GROWN_SQL, 'pod', 'sum(grown) AS grown', 3600, 900)})",
+    f"SELECT pod, window_end, round(grown / 3600.0, 6) AS rate FROM ({sliding_sql(_GROWN_SQL, 'pod', 'sum(grown) AS grown', 3600, 900)})",
 )
 def counter_rate_by_pod(t):
     return rounded(monitor.counter_rate(counters_of(t), ["event_type", "pod"], 3600, 900, by=["pod"]))
@@ -80,7 +80,7 @@ def irate(t):
     return rounded(monitor.instant_rate(counters_of(t), ["event_type", "pod"]))
 
 
-_RATIO_SQL = f"""SELECT window_end, errors / n AS ratio FROM ({_sliding_sql(
+RATIO_SQL = f"""SELECT window_end, errors / n AS ratio FROM ({sliding_sql(
     "SELECT ts, event_type FROM events", "", "count(*) FILTER (WHERE event_type = 'error') AS errors, count(*) AS n", 3600, 300)})"""
 
 
@@ -88,7 +88,7 @@ def ratio_of(t):
     return monitor.error_ratio(t.events, "ts", F.col("event_type") == "error", window=3600, step=300)
 
 
-@query("t3_error_ratio", f"SELECT window_end, round(ratio, 6) AS ratio FROM ({_RATIO_SQL})")
+@query("t3_error_ratio", f"SELECT window_end, round(ratio, 6) AS ratio FROM ({RATIO_SQL})")
 def error_ratio(t):
     return rounded(ratio_of(t))
 
@@ -121,14 +121,14 @@ for _q in (0.5, 0.95, 0.99):
     _register_quantile(_q)
 
 
-@query(
-    "t4_windowed_quantile",
-    f"""WITH w AS ({_sliding_sql("SELECT ts, event_type, value / 100 AS seconds FROM events", "event_type",
+WINDOWED_QUANTILE_SQL = f"""WITH w AS ({sliding_sql("SELECT ts, event_type, value / 100 AS seconds FROM events", "event_type",
         ", ".join(f"count(*) FILTER (WHERE seconds <= '{b}'::DOUBLE) AS b{i}" for i, b in enumerate(LATENCY_BUCKETS)), 3600, 900)}),
 b AS ({union_sql([f"SELECT event_type || window_end AS k, event_type, window_end, '{b}'::DOUBLE AS le, b{i} AS count FROM w" for i, b in enumerate(LATENCY_BUCKETS)])}),
 q AS ({_quantile_sql("SELECT k, le, count FROM b", "k", 0.95)})
-SELECT DISTINCT b.event_type, b.window_end, round(q.quantile, 6) AS quantile FROM q JOIN b USING (k)""",
-)
+SELECT DISTINCT b.event_type, b.window_end, round(q.quantile, 6) AS quantile FROM q JOIN b USING (k)"""
+
+
+@query("t4_windowed_quantile", WINDOWED_QUANTILE_SQL)
 def windowed_quantile(t):
     table = t.events.withColumn("seconds", F.col("value") / 100)
     buckets = monitor.windowed_buckets(table, "ts", "seconds", LATENCY_BUCKETS, ["event_type"], 3600, 900)
@@ -158,11 +158,11 @@ def gauge_sum_by(t):
     return monitor.gauge_sum_by(counters_of(t), ["event_type", "pod"], ["pod"])
 
 
-@query(
-    "t7_gauge_series",
-    f"""SELECT event_type, pod, CAST(floor(epoch_us(ts) / 900000000.0) AS BIGINT) * 900 + 900 AS step_end,
-  max_by(value, ts) AS value FROM ({_COUNTER_SQL}) GROUP BY ALL""",
-)
+GAUGE_SERIES_SQL = f"""SELECT event_type, pod, CAST(floor(epoch_us(ts) / 900000000.0) AS BIGINT) * 900 + 900 AS step_end,
+  max_by(value, ts) AS value FROM ({_COUNTER_SQL}) GROUP BY ALL"""
+
+
+@query("t7_gauge_series", GAUGE_SERIES_SQL)
 def gauge_series(t):
     return monitor.gauge_series(counters_of(t), ["event_type", "pod"], 900)
 
@@ -207,7 +207,7 @@ RULE = monitor.AlertRule("HighErrorRate", ">", 0.2, 900, "critical")
 @query(
     "t10_alert_threshold_for",
     f"""WITH s AS (SELECT window_end AS w, window_end - 300 * row_number() OVER (ORDER BY window_end) AS island
-  FROM ({_RATIO_SQL}) WHERE ratio > 0.2::DOUBLE)
+  FROM ({RATIO_SQL}) WHERE ratio > 0.2::DOUBLE)
 SELECT 'HighErrorRate' AS alert, 'critical' AS severity, min(w) AS active_at, min(w) + 900 AS fired_at, max(w) AS last_at
 FROM s GROUP BY island HAVING max(w) >= min(w) + 900""",
 )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.operators import monitor
+from tidemill.operators.abtest import LATENCY_BUCKETS
 from tidemill.plans import abtest as abtest_plans
 from tidemill.plans import logs as log_plans
 from tidemill.plans import monitor as monitor_plans
@@ -27,7 +28,7 @@ def _closed(sql: str) -> str:
 @query(
     "t1_event_rate_stream",
     _closed(
-        f"SELECT event_type, window_end, round(n / 3600.0, 6) AS rate FROM ({monitor_plans._sliding_sql('SELECT ts, event_type FROM events', 'event_type', 'count(*) AS n', 3600, 900)})"
+        f"SELECT event_type, window_end, round(n / 3600.0, 6) AS rate FROM ({monitor_plans.sliding_sql('SELECT ts, event_type FROM events', 'event_type', 'count(*) AS n', 3600, 900)})"
     ),
 )
 def event_rate(t):
@@ -35,17 +36,44 @@ def event_rate(t):
     return rounded(streams.run_to_scratch(stream, "rate"))
 
 
-@query("t3_error_ratio_stream", _closed(f"SELECT window_end, round(ratio, 6) AS ratio FROM ({monitor_plans._RATIO_SQL})"))
+@query("t3_error_ratio_stream", _closed(f"SELECT window_end, round(ratio, 6) AS ratio FROM ({monitor_plans.RATIO_SQL})"))
 def error_ratio(t):
     failed = F.col("event_type") == "error"
     stream = streams.error_ratio_stream(stream_of(t), "ts", failed, window=3600, step=300, delay=DELAY)
     return rounded(streams.run_to_scratch(stream, "ratio"))
 
 
+@query(
+    "t4_bucket_stream",
+    f"SELECT * FROM ({monitor_plans.WINDOWED_QUANTILE_SQL}) WHERE window_end <= {_CLOSED_SQL}",
+)
+def bucket_quantiles(t):
+    """The stream keeps the buckets; their quantiles are read from the table it writes."""
+    timed = stream_of(t).withColumn("seconds", F.col("value") / 100)
+    stream = streams.windowed_buckets_stream(timed, "ts", "seconds", LATENCY_BUCKETS, ["event_type"], 3600, 900, DELAY)
+    buckets = streams.run_to_scratch(stream, "buckets")
+    return rounded(monitor.histogram_quantile(buckets, 0.95, ["event_type", "window_end"]))
+
+
+@query(
+    "t7_gauge_series_stream",
+    f"""SELECT event_type, pod, step_end, value FROM ({monitor_plans.GAUGE_SERIES_SQL}) WHERE step_end <= {_CLOSED_SQL}""",
+)
+def gauge_series(t):
+    samples = stream_of(t).select(
+        "event_type",
+        (F.col("user_id") % 5).cast("int").alias("pod"),
+        "ts",
+        F.get_json_object("props", "$.k").cast("double").alias("value"),
+    )
+    stream = streams.gauge_series_stream(samples, ["event_type", "pod"], 900, delay=DELAY)
+    return streams.run_to_scratch(stream, "gauges")
+
+
 @query(
     "t13_log_count_stream",
     _closed(
-        f"SELECT container, {log_plans._window_sql(300)} AS window_end, count(*) AS lines FROM ({log_plans._LOGS_SQL}) GROUP BY ALL"
+        f"SELECT container, {log_plans.window_sql(300)} AS window_end, count(*) AS lines FROM ({log_plans.LOGS_SQL}) GROUP BY ALL"
     ),
 )
 def log_count(t):
@@ -59,7 +87,7 @@ def log_count(t):
 @query(
     "a2_session_stream",
     f"""SELECT user_id, session_start, last_hit, hits FROM (SELECT user_id, session, min(ts) AS session_start, max(ts) AS last_hit,
-  count(*) AS hits FROM ({abtest_plans._SESSIONS_SQL}) GROUP BY user_id, session)
+  count(*) AS hits FROM ({abtest_plans.SESSIONS_SQL}) GROUP BY user_id, session)
 WHERE epoch_us(last_hit) + 3600000000 <= (SELECT epoch_us(max(ts)) - 3600000000 FROM events)""",
 )
 def sessions(t):
@@ -67,7 +95,7 @@ def sessions(t):
     return streams.run_to_scratch(stream, "sessions")
 
 
-_RATIO_BY_TYPE_SQL = f"""SELECT pod, window_end, big / n AS ratio FROM ({monitor_plans._sliding_sql(
+_RATIO_BY_TYPE_SQL = f"""SELECT pod, window_end, big / n AS ratio FROM ({monitor_plans.sliding_sql(
     "SELECT ts, CAST(user_id % 2 AS INTEGER) AS pod, event_type FROM events", "pod",
     "count(*) FILTER (WHERE event_type = 'error') AS big, count(*) AS n", 7200, 900)})"""
 

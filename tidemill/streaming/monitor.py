@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from tidemill.functions.columns import epoch_seconds, when_true
+from tidemill.functions.columns import epoch_seconds, number, quoted, when_true
 from tidemill.functions.lineage import scratch_path
-from tidemill.operators.abtest import STICKY_TTL
+from tidemill.operators.abtest import STICKY_TTL, bucket_rows
 from tidemill.operators.logs import select_logs
 from tidemill.operators.monitor import SCRAPE_SECONDS, WINDOW_5M, AlertRule
 
@@ -87,6 +87,33 @@ def error_ratio_stream(
     return counted.select(*by, "window_end", (F.col("errors") / F.col("n")).alias("ratio"))
 
 
+def windowed_buckets_stream(
+    stream: DataFrame,
+    ts: str,
+    value: str,
+    bounds: Sequence[float],
+    by: Sequence[str] = (),
+    window: int = WINDOW_5M,
+    step: int = SCRAPE_SECONDS,
+    delay: str = LATEST_ARRIVAL,
+) -> DataFrame:
+    """``(by..., window_end, le, count)``: cumulative buckets, from whose table quantiles are read."""
+    sums = {f"b{i}": F.expr(f"if({quoted(value)} <= {number(b)}, 1, 0)") for i, b in enumerate(bounds)}
+    return sliding_sums_stream(stream, ts, by, sums, window, step, delay).select(*by, "window_end", bucket_rows(bounds))
+
+
+def gauge_series_stream(
+    samples: DataFrame, labels: Sequence[str], step: int, ts: str = "ts", value: str = "value", delay: str = LATEST_ARRIVAL
+) -> DataFrame:
+    """``(labels..., step_end, value)``: the newest sample of every series in each step."""
+    newest = (
+        with_event_time(samples, ts, delay)
+        .groupBy(*labels, F.window("_t", f"{step} seconds").alias("_window"))
+        .agg(F.max_by(value, ts).alias("value"))
+    )
+    return newest.select(*labels, F.unix_seconds("_window.end").alias("step_end"), "value")
+
+
 def log_count_stream(
     logs: DataFrame, by: Sequence[str], window: int, pattern: str | None = None, ts: str = "ts", delay: str = LATEST_ARRIVAL
 ) -> DataFrame:
