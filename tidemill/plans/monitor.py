@@ -99,7 +99,7 @@ _ENDPOINTS_SQL = "SELECT event_type AS endpoint, value / 100 AS seconds FROM eve
 def _quantile_sql(buckets: str, by: str, q: float) -> str:
     """Buckets ``(by, le, count)``; the rank lies in the first bucket that reaches it."""
     return f"""SELECT {by}, CASE WHEN le = 'inf'::DOUBLE THEN low ELSE coalesce(low, 0) + (le - coalesce(low, 0)) * (rank - below) / (count - below) END AS quantile
-FROM (SELECT *, {q} * max(count) OVER (PARTITION BY {by}) AS rank, lag(le) OVER (PARTITION BY {by} ORDER BY le) AS low,
+FROM (SELECT *, {q}::DOUBLE * max(count) OVER (PARTITION BY {by}) AS rank, lag(le) OVER (PARTITION BY {by} ORDER BY le) AS low,
   coalesce(lag(count) OVER (PARTITION BY {by} ORDER BY le), 0) AS below FROM ({buckets})) WHERE count >= rank AND rank > 0
 QUALIFY row_number() OVER (PARTITION BY {by} ORDER BY le) = 1"""
 
