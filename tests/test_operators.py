@@ -133,6 +133,8 @@ def test_row_rules(spark):
     assert quality.schema_verdict(quality.row_errors(df.limit(0), quality.schema_ranges("iris"))).first()["is_valid"]
     with pytest.raises(ValueError):
         quality.schema_ranges("unknown")
+    assert quality.model_ranges("iris-classifier") == quality.schema_ranges("iris")
+    assert quality.row_errors(df, quality.model_ranges("other")).where("is_valid").count() == 2
 
 
 # --- features ---
@@ -388,3 +390,13 @@ def test_unknown_chart(spark):
 def test_default_columns_are_the_first_five_numbers(spark):
     df = spark.range(1).select("id", F.lit("s").alias("s"), *[F.lit(i).alias(f"c{i}") for i in range(6)])
     assert charts.default_columns(df) == ["id", "c0", "c1", "c2", "c3"]
+
+
+def test_column_names_and_values_with_quotes(spark):
+    df = spark.createDataFrame([("it's", 1.0), ("a\\b", 2.0)] * 20, "`it's \\\\ odd` string, `x.y` double")
+    suite = quality.generate_suite(df, "d")
+    results = quality.validate(df, suite).collect()
+    assert all(r["success"] for r in results) and len(results) == 8
+    assert {r["column"] for r in results} == {None, *df.columns}
+    gone = quality.validate(df.drop(df.columns[0]), suite).collect()
+    assert sum(r["error"] is not None for r in gone) == 2

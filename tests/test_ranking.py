@@ -113,6 +113,13 @@ def test_stratified_split_keeps_skewed_classes(spark):
     assert counts == {"big": 180, "mid": 19, "tiny": 1}
 
 
+def test_unlabelled_rows_stay(spark):
+    df = spark.range(50).withColumn("label", F.when(F.col("id") < 40, "a"))
+    split = random_split(df, "id", 0.5, stratify="label")
+    assert (split.count(), split.where("is_test").count()) == (50, 20)
+    assert split.where("is_test and label is null").count() == 0
+
+
 def test_split_size_is_checked(spark):
     with pytest.raises(ValueError):
         random_split(spark.range(10), "id", 0.95)

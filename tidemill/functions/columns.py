@@ -122,6 +122,14 @@ def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def text(value: str | None) -> str:
+    """A string as an SQL literal."""
+    if value is None:
+        return "cast(null as string)"
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def bucket_of(x: str, edges: Sequence[float]) -> Column:
     """Number of ``edges`` (ascending) below the SQL expression ``x``, found by halving."""
 

@@ -15,12 +15,15 @@ from pyspark.sql import types as T
 from tidemill.functions.columns import (
     AGG_WIDTH,
     local_rows,
+    number,
     numeric_columns,
     one_row,
     quoted,
     string_columns,
+    text,
     total,
     value_of,
+    value_sql,
     when_true,
 )
 
@@ -213,13 +216,12 @@ def validate(df: DataFrame, suite: Suite) -> DataFrame:
     for start in range(0, len(in_one_pass), AGG_WIDTH):
         group = in_one_pass[start : start + AGG_WIDTH]
         observed = df.agg(*[_observed(df, e).alias(f"o{i}") for i, e in group])
-        parts.append(
-            observed.select(F.inline(F.array(*[_verdict(df, i, e, F.col(f"o{i}")) for i, e in group])))
-        )
+        verdicts = ", ".join(_verdict(df, i, e, f"o{i}") for i, e in group)
+        parts.append(observed.selectExpr(f"inline(array({verdicts}))"))
     for i, e in by_table:
         column = e["kwargs"]["column"]
         if column not in df.columns:
-            parts.append(df.sparkSession.range(1).select(F.inline(F.array(_verdict(df, i, e, F.lit(None).cast("double"))))))
+            parts.append(df.sparkSession.range(1).selectExpr(f"inline(array({_verdict(df, i, e, 'null')}))"))
             continue
         allowed = suite.large_sets[column].select("value", F.lit(1).alias("known"))
         share = (
@@ -229,7 +231,7 @@ def validate(df: DataFrame, suite: Suite) -> DataFrame:
             .join(allowed, "value", "left")
             .agg(F.try_divide(total(F.col("n") * F.coalesce("known", F.lit(0))), total(F.col("n"))).alias("o"))
         )
-        parts.append(share.select(F.inline(F.array(_verdict(df, i, e, F.col("o"))))))
+        parts.append(share.selectExpr(f"inline(array({_verdict(df, i, e, 'o')}))"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -252,7 +254,7 @@ def summarize(results: DataFrame) -> DataFrame:
 
 def row_errors(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Add ``errors array<string>`` and ``is_valid``: every ranged column present, filled and within bounds."""
-    checks = []
+    checks = [F.lit(None).cast("string")]
     for name, (low, high) in ranges.items():
         if name not in df.columns:
             checks.append(F.lit(f"{name}: field required"))
@@ -272,6 +274,12 @@ def schema_ranges(schema_type: str) -> dict[str, tuple[float, float]]:
     return ROW_SCHEMAS[schema_type]
 
 
+def model_ranges(model_name: str) -> dict[str, tuple[float, float]]:
+    """The ranges of a model's requests; a model without a schema accepts everything."""
+    schema = MODEL_SCHEMAS.get(model_name)
+    return schema_ranges(schema) if schema else {}
+
+
 def schema_verdict(checked: DataFrame) -> DataFrame:
     """One row ``(is_valid, invalid_rows)`` over the output of :func:`row_errors`; no rows are valid."""
     return checked.agg(
@@ -315,57 +323,50 @@ def _problem(df: DataFrame, expectation: dict) -> str | None:
 
 
 def _observed(df: DataFrame, expectation: dict) -> Column:
+    """The aggregate an expectation is judged by."""
     kind, kwargs = expectation["expectation_type"], expectation["kwargs"]
     if _problem(df, expectation):
-        return F.lit(None).cast("double")
+        return F.expr("cast(null as double)")
     if kind == ROW_COUNT:
-        return F.count(F.lit(1)).cast("double")
+        return F.expr("cast(count(1) as double)")
     if kind in (COLUMN_COUNT, COLUMN_LIST):
-        return F.max(F.lit(float(len(df.columns))))
-    value = value_of(df, kwargs["column"])
+        return F.expr(f"max({number(len(df.columns))})")
+    value = value_sql(df, kwargs["column"])
     if kind == NOT_NULL:
-        return F.avg(value.isNotNull().cast("double"))
+        return F.expr(f"avg(if(({value}) IS NOT NULL, 1D, 0D))")
     if kind == MEAN_BETWEEN:
-        return F.avg(value.cast("double"))
+        return F.expr(f"avg(cast({value} AS double))")
     if kind == VALUES_BETWEEN:
-        holds = _within(value, kwargs.get("min_value"), kwargs.get("max_value"))
-    else:
-        holds = value.cast("string").isin(kwargs["value_set"])
-    return F.avg(F.when(value.isNotNull(), holds.cast("double")))
+        inside = _within(f"({value})", kwargs.get("min_value"), kwargs.get("max_value"))
+        return F.expr(f"avg(if(({value}) IS NULL, null, if({inside}, 1D, 0D)))")
+    listed = F.expr(value).cast("string").isin(kwargs["value_set"])
+    return F.avg(listed.cast("double"))
 
 
-def _verdict(df: DataFrame, position: int, expectation: dict, observed: Column) -> Column:
+def _verdict(df: DataFrame, position: int, expectation: dict, observed: str) -> str:
+    """SQL of the result row of an expectation, given the SQL of its aggregate."""
     kind, kwargs = expectation["expectation_type"], expectation["kwargs"]
     problem = _problem(df, expectation)
     if problem:
-        success = F.lit(False)
+        success = "false"
     elif kind == COLUMN_COUNT:
-        success = F.lit(len(df.columns) == kwargs["value"])
-        observed = F.lit(float(len(df.columns)))
+        success, observed = str(len(df.columns) == kwargs["value"]).lower(), number(len(df.columns))
     elif kind == COLUMN_LIST:
-        success = F.lit(df.columns == list(kwargs["column_list"]))
-        observed = F.lit(float(len(df.columns)))
-    elif kind == ROW_COUNT:
-        success = _within(observed, kwargs["min_value"], kwargs["max_value"])
-    elif kind == MEAN_BETWEEN:
-        success = F.coalesce(_within(observed, kwargs["min_value"], kwargs["max_value"]), F.lit(True))
+        success, observed = str(df.columns == list(kwargs["column_list"])).lower(), number(len(df.columns))
+    elif kind in (ROW_COUNT, MEAN_BETWEEN):
+        success = f"coalesce({_within(observed, kwargs['min_value'], kwargs['max_value'])}, true)"
     else:
-        success = F.coalesce(observed >= kwargs.get("mostly", 1.0), F.lit(True))
-    return F.struct(
-        F.lit(position).alias("position"),
-        F.lit(kind).alias("expectation_type"),
-        F.lit(kwargs.get("column")).cast("string").alias("column"),
-        success.alias("success"),
-        observed.cast("double").alias("observed"),
-        F.lit(problem).cast("string").alias("error"),
+        success = f"coalesce({observed} >= {number(kwargs.get('mostly', 1.0))}, true)"
+    return (
+        f"named_struct('position', {position}, 'expectation_type', {text(kind)}, 'column', {text(kwargs.get('column'))}, "
+        f"'success', {success}, 'observed', cast({observed} AS double), 'error', {text(problem)})"
     )
 
 
-def _within(value: Column, low: float | None, high: float | None) -> Column:
-    holds = F.lit(True)
+def _within(value: str, low: float | None, high: float | None) -> str:
+    bounds = []
     if low is not None:
-        holds = holds & (value >= F.lit(low))
+        bounds.append(f"{value} >= {number(low)}")
     if high is not None:
-        holds = holds & (value <= F.lit(high))
-    return holds
-
+        bounds.append(f"{value} <= {number(high)}")
+    return "(" + " AND ".join(bounds or ["true"]) + ")"

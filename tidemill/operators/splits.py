@@ -22,7 +22,7 @@ def random_split(
     """Add ``is_test``: exactly ``ceil(test_size * rows)`` rows, chosen by the hash of a unique ``key``.
 
     With ``stratify`` every class gives its share, and the rows left over by rounding down go to the classes with
-    the largest remainders (ties to the smaller label).
+    the largest remainders (ties to the smaller label). Rows without a label are never test rows.
     """
     check_test_size(test_size)
     if stratify is None:
@@ -31,8 +31,9 @@ def random_split(
         flagged = smallest_by_hash(df, key, seed, quota)
     else:
         # one row per class, and a class column is one with few values
-        labelled = df.where(F.col(stratify).isNotNull())
+        labelled, unlabelled = df.where(F.col(stratify).isNotNull()), df.where(F.col(stratify).isNull())
         flagged = smallest_by_hash(labelled, key, seed, class_quota(labelled, stratify, test_size), [stratify])
+        flagged = flagged.unionByName(unlabelled.withColumn("selected", F.lit(False)))
     return flagged.withColumnRenamed("selected", "is_test")
 
 

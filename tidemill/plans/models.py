@@ -81,7 +81,7 @@ UNION ALL SELECT '(intercept)', round(my - w * mx, {digits}) FROM w"""
 
 _line("m7_linear_regression", "linear_regression", "sxy / sxx")
 _line("m7_ridge_regression", "ridge_regression", "sxy / (sxx + 100000)", 100000.0)
-_line("m7_lasso_regression", "lasso_regression", "greatest(sxy / n - 500, 0) / (sxx / n)", 500.0, 2)
+_line("m7_lasso_regression", "lasso_regression", "sign(sxy) * greatest(abs(sxy / n) - 500, 0) / (sxx / n)", 500.0, 2)
 
 
 _NEIGHBORS_SQL = """SELECT q.vec_id, x.vec_id AS neighbor, x.label, row_number() OVER (PARTITION BY q.vec_id
