@@ -11,7 +11,7 @@ NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey"]
 _SIDES = f"r AS ({BEFORE_SQL}), c AS ({SINCE_SQL})"
 
 
-def _ks_sql(columns: list[str]) -> str:
+def ks_sql(columns: list[str]) -> str:
     """The textbook form: both cumulative distributions over every distinct value."""
     parts = [
         f"""SELECT '{x}' AS "column", max(n) AS n, max(m) AS m, max(abs(fr - fc)) AS d FROM (
@@ -30,7 +30,7 @@ SELECT "column", 'numeric' AS kind, CAST(n AS BIGINT) AS n_reference, CAST(m AS
 @query(
     "d1_column_drift_numeric",
     f"""SELECT "column", n_reference, n_current, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value,
-  p_value < 0.05 AS drift_detected FROM ({_ks_sql(NUMBERS)})""",
+  p_value < 0.05 AS drift_detected FROM ({ks_sql(NUMBERS)})""",
 )
 def column_drift_numeric(t):
     return rounded(drift.numeric_drift(before(t.lineitem), since(t.lineitem), NUMBERS))
@@ -100,7 +100,7 @@ def psi_categorical(t):
 @query(
     "d4_target_drift",
     f"""SELECT 'target' AS "column", kind, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value,
-  p_value < 0.05 AS drift_detected FROM ({_ks_sql(["l_extendedprice"])})""",
+  p_value < 0.05 AS drift_detected FROM ({ks_sql(["l_extendedprice"])})""",
 )
 def target_drift(t):
     table = t.lineitem.withColumnRenamed("l_extendedprice", "target")
@@ -111,7 +111,7 @@ def target_drift(t):
     "d5_drift_summary",
     f"""SELECT count(*) AS number_of_columns, count(*) FILTER (WHERE p_value < 0.05) AS number_of_drifted_columns,
   round(count(*) FILTER (WHERE p_value < 0.05) / count(*), 6) AS drift_share,
-  count(*) FILTER (WHERE p_value < 0.05) / count(*) >= 0.5 AS dataset_drift FROM ({_ks_sql(NUMBERS)})""",
+  count(*) FILTER (WHERE p_value < 0.05) / count(*) >= 0.5 AS dataset_drift FROM ({ks_sql(NUMBERS)})""",
 )
 def drift_summary(t):
     found = drift.column_drift(before(t.lineitem), since(t.lineitem), NUMBERS)

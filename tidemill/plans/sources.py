@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.lineage import scratch_path
 from tidemill.operators import drift
 from tidemill.plans.base import before, query, rounded, since
+from tidemill.plans.drift import ks_sql
 from tidemill.sources.runs import run_metrics
 from tidemill.sources.tables import append_drift_summary, drop_empty_rows, read_table
 
@@ -78,11 +79,15 @@ def run_tracking_scan(t):
 
 @query(
     "s6_drift_summary_sink",
-    """SELECT CAST(2 AS BIGINT) AS number_of_columns, CAST(count(*) - count(*) + 2 AS BIGINT) AS features FROM lineitem""",
+    f"""WITH k AS (SELECT "column", statistic, p_value < 0.05 AS drifted FROM ({ks_sql(["l_quantity", "l_discount"])})),
+s AS (SELECT count(*) AS number_of_columns, count(*) FILTER (WHERE drifted) AS number_of_drifted_columns FROM k)
+SELECT number_of_columns, number_of_drifted_columns, round(number_of_drifted_columns / number_of_columns, 6) AS drift_share,
+  "column", round(statistic, 6) AS statistic, drifted AS drift_detected FROM s, k""",
 )
 def drift_summary_sink(t):
     path = scratch_path(t.spark, "drift")
     found = drift.column_drift(before(t.lineitem), since(t.lineitem), ["l_quantity", "l_discount"])
     append_drift_summary(drift.drift_summary(found), found, path)
     written = t.spark.read.json(path)
-    return written.select("number_of_columns", F.size("drift_by_feature").cast("bigint").alias("features"))
+    counts = ["number_of_columns", "number_of_drifted_columns", "drift_share"]
+    return rounded(written.select(*counts, F.inline("drift_by_feature")).select(*counts, "column", "statistic", "drift_detected"))
