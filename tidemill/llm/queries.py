@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, sharding, simhash
+from tidemill.llm import bpe, langid, mixing, parsing, sharding, simhash, suffixes, tokencount, topk, windows
 
 SHARDS = 24
 
@@ -41,6 +42,52 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(_documents(spark, folder), ["doc_id"])
 
 
+@_query("op4_parsed_fingerprints")
+def parsed_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return parsing.fingerprint_documents(_documents(spark, folder))
+
+
+@_query("op5_temperature_mixing")
+def temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix_sources(_documents(spark, folder), repeats=2.0)
+    return mixed.select("row.doc_id", "row.source", "n_tokens", "epoch", "block", "place")
+
+
+@_query("op6_exact_top_k")
+def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet"))
+
+
+ORACLES["op6_exact_top_k"] = topk.oracle_sql()
+
+
+@_query("op7_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return _digests(suffixes.remove_repeated_passages(_documents(spark, folder)))
+
+
+@_query("op8_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.predict(_documents(spark, folder))
+
+
+@_query("op9_token_counts")
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.count_tokens(_documents(spark, folder))
+
+
+@_query("op10_super_kmer_dedup")
+def super_kmer_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return _digests(windows.remove_repeats(_documents(spark, folder))).drop("removed")
+
+
+def _digests(kept: DataFrame) -> DataFrame:
+    """What is left, as digests; ``removed`` stays as the word ranges."""
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])
+    digest = F.sha2(F.col("kept").cast("binary"), 256)
+    return kept.select("doc_id", "n_words", gone.alias("n_removed"), digest.alias("kept_sha256"), "removed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
