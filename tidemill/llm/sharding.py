@@ -43,35 +43,45 @@ def load_map(spark: SparkSession, folder: str, version: int | None = None) -> Sl
     return SlotMap(version, rows[0].shards, np.array([r.shard for r in rows]))
 
 
+def _best_move(loads: np.ndarray, mine: np.ndarray, theirs: np.ndarray, gap: int) -> tuple[int, int | None] | None:
+    """The slot to give (and the one to take for it, if any) that brings two shards closest, ``gap`` apart by now."""
+    best, move = 0, None
+    fits = mine[(loads[mine] > 0) & (loads[mine] < gap)]
+    if len(fits):
+        at = fits[np.abs(2 * loads[fits] - gap).argmin()]
+        best, move = min(loads[at], gap - loads[at]), (at, None)
+    if len(theirs) and len(mine):
+        partners = theirs[np.argsort(loads[theirs], kind="stable")]
+        near = np.searchsorted(loads[partners], loads[mine] - gap // 2)
+        for shift in (-1, 0):
+            pick = partners[np.clip(near + shift, 0, len(partners) - 1)]
+            moved = loads[mine] - loads[pick]
+            gain = np.minimum(moved, gap - moved)
+            at = int(gain.argmax())
+            if gain[at] > best:
+                best, move = gain[at], (mine[at], pick[at])
+    return move
+
+
 def rebalance(current: SlotMap, loads: np.ndarray, shards: int) -> SlotMap:
-    """The next version: slots move (or two change places) from the fullest to the emptiest shard as long as that helps.
+    """The next version: slots move, or two change places, from a fuller to an emptier shard as long as that helps.
 
-    ``loads`` are the bytes of each slot. Slots that need not move stay; a map that is balanced already keeps all. A
-    larger number of shards than before starts the new ones empty, a smaller one first spreads the slots of those that go.
+    ``loads`` are the bytes of each slot. The fullest and the emptiest shard go first; if nothing helps these two, the
+    fullest with any other, and any other with the emptiest. Slots that need not move stay; a map that is balanced
+    already keeps all. A larger number of shards than before starts the new ones empty, a smaller one first spreads
+    the slots of those that go.
     """
     shard = np.where(current.shard < shards, current.shard, current.shard % shards)
     total = np.bincount(shard, loads, shards).astype(np.int64)
     for _ in range(8 * len(shard)):
-        high, low = int(total.argmax()), int(total.argmin())
-        gap = int(total[high] - total[low])
-        mine, theirs = np.flatnonzero(shard == high), np.flatnonzero(shard == low)
-        # What moves: the load of one slot, or the difference of two that change places.
-        sizes, partners = np.sort(loads[theirs]), theirs[np.argsort(loads[theirs], kind="stable")]
-        best, move = 0, None
-        fits = mine[(loads[mine] > 0) & (loads[mine] < gap)]
-        if len(fits):
-            at = fits[np.abs(2 * loads[fits] - gap).argmin()]
-            best, move = min(loads[at], gap - loads[at]), (at, None)
-        if len(sizes) and len(mine):
-            near = np.searchsorted(sizes, loads[mine] - gap // 2)
-            for shift in (-1, 0):
-                pick = np.clip(near + shift, 0, len(sizes) - 1)
-                moved = loads[mine] - sizes[pick]
-                gain = np.minimum(moved, gap - moved)
-                at = int(gain.argmax())
-                if gain[at] > best:
-                    best, move = gain[at], (mine[at], partners[pick[at]])
-        if move is None or best <= 0:
+        order = np.argsort(total, kind="stable")
+        pairs = [(order[-1], low) for low in order[:-1]] + [(high, order[0]) for high in order[-2:0:-1]]
+        for high, low in pairs:
+            gap = int(total[high] - total[low])
+            move = gap > 1 and _best_move(loads, np.flatnonzero(shard == high), np.flatnonzero(shard == low), gap)
+            if move:
+                break
+        else:
             break
         shard[move[0]] = low
         if move[1] is not None:

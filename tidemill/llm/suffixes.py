@@ -160,7 +160,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     names = stored(
         docs.mapInArrow(_names, "suffix long, doc_id long, text_key long, at int"), "suffixes"
     )
-    hot, _ = hot_values(names.select("suffix", F.lit(1).cast("long").alias("n")), "suffix")
+    hot = hot_values(names.select("suffix", F.lit(1).cast("long").alias("n")), "suffix", names.count)
     shared = spark.sparkContext.broadcast(hot)
     # A suffix whose neighbours in sorted order are of the same document, or begin with other words, matches nothing.
     groups = names.groupBy("suffix").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))

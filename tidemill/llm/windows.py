@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import gram_hashes, partitions, rows, spans, stored, window_minima, word_hashes
@@ -47,21 +47,23 @@ def super_kmers(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> t
     return starts, np.diff(np.append(starts, count)), grams[at[starts]]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(total, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [super_kmers(text.split())[2] for (text,) in rows(iter([batch]), "text", step=64)]
         values, counts = np.unique(np.concatenate([*found, np.empty(0, np.uint64)]), return_counts=True)
+        total.add(int(counts.sum()))
         yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["minimiser", "n"])
 
 
-def hot_values(counted: DataFrame, value: str) -> tuple[np.ndarray, int]:
-    """Values of more than HOT rows and more than a HOT_MOST-th of all (so there are fewer than that), and all rows."""
-    seen = Observation()
-    heavy = counted.observe(seen, F.sum("n").alias("total")).groupBy(value).agg(F.sum("n").alias("n"))
-    heavy = stored(heavy.where(F.col("n") > HOT), "heavy")
-    total = seen.get["total"] or 0
-    hot = heavy.where(F.col("n") > total // HOT_MOST).select(value).collect()
-    return np.sort(np.array([r[0] for r in hot], np.int64)).view(np.uint64), total
+def hot_values(counted: DataFrame, value: str, total: Callable[[], int]) -> np.ndarray:
+    """Values of more than HOT rows and more than a HOT_MOST-th of all, so that there are fewer than HOT_MOST of them.
+
+    ``total`` is asked after the rows have been counted.
+    """
+    heavy = counted.groupBy(value).agg(F.sum("n").alias("n")).where(F.col("n") > HOT)
+    heavy = stored(heavy, "heavy")
+    hot = heavy.where(F.col("n") > total() // HOT_MOST).select(value).collect()
+    return np.sort(np.array([r[0] for r in hot], np.int64)).view(np.uint64)
 
 
 def isin(values: np.ndarray, few: np.ndarray) -> np.ndarray:
@@ -304,9 +306,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = df.sparkSession
     docs = keyed(df, id_col, text_col)
-    hot, total = hot_values(docs.select("text").mapInArrow(_count, "minimiser long, n long"), "minimiser")
+    # Tasks that are run again count twice; the sum only decides on the number of buckets and what is hot.
+    total = spark.sparkContext.accumulator(0)
+    counted = docs.select("text").mapInArrow(partial(_count, total), "minimiser long, n long")
+    hot = hot_values(counted, "minimiser", lambda: total.value)
     shared = spark.sparkContext.broadcast(hot)
-    buckets = max(4 * partitions(spark), total // BUCKET)
+    buckets = max(4 * partitions(spark), total.value // BUCKET)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _packs(buckets, shared, batches)
