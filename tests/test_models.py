@@ -34,6 +34,8 @@ def accuracy(scored):
         ("mlp_classifier", {"hidden_layer_sizes": (8,), "max_iter": 30}),
         ("naive_bayes", {}),
         ("adaboost", {"n_estimators": 11}),
+        ("knn_classifier", {}),
+        ("knn_classifier", {"weights": "distance", "n_neighbors": 3}),
     ],
 )
 def test_classifiers_beat_the_largest_class(table, name, parameters):
@@ -41,14 +43,17 @@ def test_classifiers_beat_the_largest_class(table, name, parameters):
     assert scored.count() == 80
     largest = table.groupBy("y").count().agg(F.max("count")).first()[0] / 400
     assert accuracy(scored) > largest + 0.1
-    if "probability" in scored.columns:
-        for r in scored.limit(20).collect():
-            assert sum(r["probability"].values()) == pytest.approx(1.0)
-            assert r["confidence"] == max(r["probability"].values())
+    for r in scored.limit(20).collect():
+        assert sum(r["probability"].values()) == pytest.approx(1.0)
+        assert r["confidence"] == max(r["probability"].values()) == r["probability"][r["prediction"]]
 
 
 def test_save_and_load(spark, table):
-    for name, parameters in (("decision_tree", {"max_depth": 3}), ("adaboost", {"n_estimators": 3})):
+    for name, parameters in (
+        ("decision_tree", {"max_depth": 3}),
+        ("adaboost", {"n_estimators": 3}),
+        ("knn_classifier", {}),
+    ):
         trained = models.train(table, name, FEATURES, "y", parameters)
         path = scratch_path(spark, "model-test")
         models.save_model(trained, path)
@@ -73,13 +78,46 @@ def test_regression_recovers_the_line(table):
 
 
 def test_wrong_requests(table):
-    with pytest.raises(ValueError, match="not found in registry"):
+    with pytest.raises(ValueError, match="catalog has no model"):
         models.model_spec("oracle")
     with pytest.raises(ValueError, match="listed as a feature"):
         models.train(table, "linear_regression", ["a", "price"], "price")
     with pytest.raises(ValueError, match="tasks"):
         models.require_task(table, "y", "linear_regression")
     assert models.known_parameters("svm", {"C": 2.0, "trees": 3}) == {"C": 2.0, "kernel": "linear", "random_state": 42}
+    assert models.known_parameters("random_forest", {"max_features": 1})["max_features"] == 1
+    with pytest.raises(ValueError, match="kernel rbf"):
+        models.train(table, "svm", FEATURES, "y", {"kernel": "rbf"})
+    with pytest.raises(ValueError, match="weighted"):
+        models.train(table, "knn_classifier", FEATURES, "y", {"weights": "odd"})
+
+
+def test_labels_keep_type_and_order(table):
+    numbered = table.withColumn("y", (F.col("id") % 12).cast("int"))
+    trained = models.train(numbered, "decision_tree", FEATURES, "y", {"max_depth": 3, "criterion": "entropy"})
+    assert trained.labels == list(range(12))
+    scored = trained.predict(numbered)
+    assert dict(scored.dtypes)["prediction"] == "int" and dict(scored.dtypes)["probability"] == "map<int,double>"
+
+
+def test_neighbour_regression(table):
+    _, scored = models.train_and_test(table, "id", "knn_regressor", FEATURES, "price", {"weights": "distance"})
+    assert evaluate.regression_metrics(scored, "price", "prediction").first()["r2"] > 0.9
+
+
+def test_partial_neighbours_do_not_grow_with_batches(spark, monkeypatch):
+    """What a task writes is bounded by query rows times k, whatever the batch size."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist(), float(i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, y double").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    written = []
+    monkeypatch.setattr(models, "scratch_path", lambda s, n: written.append(scratch_path(s, n)) or written[-1])
+    try:
+        assert models.knn_neighbors(df, df.where("id < 20"), "id", "v", "y", 3).count() == 60
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert spark.read.parquet(written[-1]).count() <= 8 * 20 * 3
 
 
 def _brute_neighbors(points, k):

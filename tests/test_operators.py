@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators import abtest, charts, drift, evaluate, explain, logs, monitor, profile, quality, registry
+from tidemill.operators import abtest, charts, drift, evaluate, explain, logs, monitor, profile, quality, registry, splits
 from tidemill.operators import features as fs
 from tidemill.sources.tables import drop_empty_rows, read_table
 
@@ -383,13 +383,22 @@ def test_constant_histogram_has_one_bin(spark):
 
 
 def test_unknown_chart(spark):
-    with pytest.raises(ValueError, match="Unsupported visualization type: radar"):
+    with pytest.raises(ValueError, match="no chart is named radar"):
         charts.chart_data(spark.range(1), "radar")
 
 
-def test_default_columns_are_the_first_five_numbers(spark):
+def test_charts_take_all_columns(spark):
     df = spark.range(1).select("id", F.lit("s").alias("s"), *[F.lit(i).alias(f"c{i}") for i in range(6)])
-    assert charts.default_columns(df) == ["id", "c0", "c1", "c2", "c3"]
+    numbers = ["id", *[f"c{i}" for i in range(6)]]
+    assert charts.pair_columns(df, None, "s").columns == [*numbers, "s"]
+    assert {r["column"] for r in charts.histogram(df).collect()} == set(numbers)
+    many = spark.range(200).select((F.col("id") % 150).alias("v"))
+    assert charts.count_plot(many, "v").count() == 150 and charts.value_counts(many, "v", 3).count() == 3
+
+
+def test_split_size_is_exact_when_the_key_repeats(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    assert splits.random_split(df, "k", 0.25).where("is_test").count() == 250
 
 
 def test_column_names_and_values_with_quotes(spark):

@@ -402,14 +402,19 @@ def hash_order(key: Column, seed: int) -> Column:
 
 
 def smallest_by_hash(df: DataFrame, key: str, seed: int, quota: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Flag exactly ``quota`` rows per group, in hash order of a unique key: adds ``selected boolean``.
+    """Flag exactly ``quota`` rows per group, in hash order of a key: adds ``selected boolean``.
+
+    Rows that share a key are ordered by a hash of the whole row, so only equal rows stay together.
 
     ``quota`` holds ``(by..., quota)``, one row per group. Hashes are uniform, so their top 16 bits split every
     group evenly; counts per prefix find the prefix that holds the last wanted row and only that one is sorted.
     """
     by = list(by)
     spark = df.sparkSession
-    hashed = df.withColumn("_h", hash_order(F.col(key), seed)).withColumn("_p", F.shiftright("_h", 44))
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    hashed = df.withColumn("_h", hash_order(F.col(key), seed)).withColumns(
+        {"_p": F.shiftright("_h", 44), "_r": F.xxhash64(F.lit(seed), *plain)}
+    )
     in_order = W.partitionBy(*by).orderBy("_p")
     prefixes = hashed.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("m"))
     upto = prefixes.withColumn("upto", F.sum("m").over(in_order))
@@ -420,22 +425,23 @@ def smallest_by_hash(df: DataFrame, key: str, seed: int, quota: DataFrame, by: S
     border = upto.where((F.col("quota") <= F.col("upto")) & (F.col("quota") > F.col("upto") - F.col("m"))).select(
         *by, "_p", (F.col("quota") - (F.col("upto") - F.col("m"))).alias("_left")
     )
-    ranked = W.partitionBy(*by).orderBy("_h", key)
+    ranked = W.partitionBy(*by).orderBy("_h", key, "_r")
     last = (
-        hashed.select(*by, key, "_h", "_p")
+        hashed.select(*dict.fromkeys([*by, key]), "_h", "_p", "_r")
         .join(border, by + ["_p"])
         .withColumn("_rank", F.row_number().over(ranked))
         .where(F.col("_rank") == F.col("_left"))
-        .select(*by, F.col("_h").alias("_last_h"), F.col(key).alias("_last_key"))
+        .select(*by, F.col("_h").alias("_last_h"), F.col(key).alias("_last_key"), F.col("_r").alias("_last_r"))
     )
     rows = small_or_none(last, SMALL_GROUPS)
     if not by:
         # one row, or none for a quota of 0
-        end = rows[0] if rows else (None, None)
-        joined = hashed.withColumns({"_last_h": F.lit(end[0]), "_last_key": F.lit(end[1])})
+        end = rows[0] if rows else (None, None, None)
+        joined = hashed.withColumns({"_last_h": F.lit(end[0]), "_last_key": F.lit(end[1]), "_last_r": F.lit(end[2])})
     else:
         if rows is not None:
             last = local_rows(spark, rows, last.schema)
         joined = hashed.join(broadcast_if(last, rows is not None), by, "left")
-    within = (F.col("_h") < F.col("_last_h")) | ((F.col("_h") == F.col("_last_h")) & (F.col(key) <= F.col("_last_key")))
+    tied = (F.col(key) < F.col("_last_key")) | ((F.col(key) == F.col("_last_key")) & (F.col("_r") <= F.col("_last_r")))
+    within = (F.col("_h") < F.col("_last_h")) | ((F.col("_h") == F.col("_last_h")) & tied)
     return joined.select(*df.columns, F.coalesce(within, F.lit(False)).alias("selected"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -16,7 +18,6 @@ from tidemill.functions.columns import (
     broadcast_if,
     local_rows,
     long_rows,
-    number,
     numeric_columns,
     one_row,
     require_columns,
@@ -28,25 +29,17 @@ from tidemill.functions.ranking import SMALL_GROUPS, exact_quantiles
 from tidemill.operators.features import fit_numeric, scaled
 
 # Limits and defaults of the charts.
-DEFAULT_COLUMNS = 5
-HISTOGRAM_BINS, HISTOGRAM_COLUMNS = 30, 4
+HISTOGRAM_BINS = 30
 WHISKER = 1.5
-BAR_DISTINCT, BAR_TOP = 20, 10
-COUNT_DISTINCT = 30
 PIE_SLICES, PIE_KEPT, PIE_REST = 8, 7, "Others"
-PAIR_COLUMNS = 5
 KDE_GRID, KDE_CUT = 200, 3.0
-# Grid points per aggregate: more of them outgrow what is compiled well.
-KDE_WIDTH = 25
-
-
-def default_columns(df: DataFrame) -> list[str]:
-    return numeric_columns(df)[:DEFAULT_COLUMNS]
+# Values and grid points that meet in one matrix of a density.
+KDE_CELLS = 1 << 20
 
 
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """``(column, bin, low, high, count)``: equal-width bins, the last one closed; empty bins are left out."""
-    columns = list(columns or default_columns(df))[:HISTOGRAM_COLUMNS]
+    columns = list(columns or numeric_columns(df))
     limits = one_row(
         df,
         {(end, c): f(value_of(df, c).cast("double")) for c in columns for end, f in (("lo", F.min), ("hi", F.max))},
@@ -118,7 +111,7 @@ def outliers(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(x, y, correlation)``: Pearson, the lower triangle, each pair over its common rows."""
-    columns = list(columns or default_columns(df))
+    columns = list(columns or numeric_columns(df))
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
     values = {c: value_of(df, c).cast("double") for c in columns}
     parts = []
@@ -139,16 +132,14 @@ def counts_of(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def value_counts(df: DataFrame, column: str, max_distinct: int = BAR_DISTINCT, top: int | None = BAR_TOP) -> DataFrame:
-    """``(value, count)``, most frequent first; empty if there are more than ``max_distinct`` values."""
-    counts = counts_of(df, column)
-    few = counts.limit(max_distinct + 1).agg(F.count(F.lit(1)) <= max_distinct).scalar()
-    ordered = counts.where(few).orderBy(F.col("count").desc(), "value")
+def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
+    """``(value, count)``, most frequent first: all values, or the ``top`` ones."""
+    ordered = counts_of(df, column).orderBy(F.col("count").desc(), "value")
     return ordered if top is None else ordered.limit(top)
 
 
 def count_plot(df: DataFrame, column: str) -> DataFrame:
-    return value_counts(df, column, COUNT_DISTINCT, None)
+    return value_counts(df, column)
 
 
 def top_and_others(df: DataFrame, column: str, slices: int = PIE_SLICES, kept: int = PIE_KEPT) -> DataFrame:
@@ -188,7 +179,7 @@ def pca_2d(df: DataFrame, key: str, columns: Sequence[str], hue: str | None = No
     """
     columns = [c for c in columns if c in numeric_columns(df)]
     if len(columns) < 2:
-        raise ValueError("PCA plot requires at least 2 numeric columns")
+        raise ValueError("a projection to two components takes two numeric columns or more")
     complete = df.dropna(subset=columns)
     fitted = fit_numeric(complete, columns)
     extra = [hue] if hue else []
@@ -202,35 +193,54 @@ def pca_2d(df: DataFrame, key: str, columns: Sequence[str], hue: str | None = No
     return out, [float(v) for v in model.explainedVariance]
 
 
-def kde(df: DataFrame, column: str, grid: int = KDE_GRID, cut: float = KDE_CUT) -> DataFrame:
-    """``(x, density)``: Gaussian density on a grid over the range widened by ``cut`` bandwidths (Scott's rule).
+def kde(df: DataFrame, columns: str | Sequence[str], grid: int = KDE_GRID, cut: float = KDE_CUT) -> DataFrame:
+    """``([column,] x, density)``: Gaussian densities on grids over the ranges widened by ``cut`` bandwidths (Scott's rule).
 
-    Equal values are counted first, which also spreads the work evenly: every distinct value meets every grid
-    point, as one aggregate per point and never as a row.
+    One pass: each task adds up its kernels at every grid point of every column, and only these sums, as many for each
+    task as there are points, are shuffled. ``column`` is there if a list of columns is given.
     """
-    value = value_of(df, column).cast("double")
+    names = [columns] if isinstance(columns, str) else list(columns)
+    values = {c: value_of(df, c).cast("double") for c in names}
     stats = one_row(
-        df, {"n": F.count(value), "sd": F.stddev_samp(value), "lo": F.min(value), "hi": F.max(value)}
+        df,
+        {
+            (name, c): f(v)
+            for c, v in values.items()
+            for name, f in (("n", F.count), ("sd", F.stddev_samp), ("lo", F.min), ("hi", F.max))
+        },
     )
-    if not stats["n"] or not stats["sd"]:
-        raise ValueError(f"{column} has no spread to estimate a density from")
-    h = stats["sd"] * stats["n"] ** -0.2
-    low, high = stats["lo"] - cut * h, stats["hi"] + cut * h
-    points = [low + (high - low) * i / (grid - 1) for i in range(grid)]
-    norm = 1.0 / (stats["n"] * h * math.sqrt(2 * math.pi))
-    counted = df.select(value.alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    parts = []
-    for start in range(0, grid, KDE_WIDTH):
-        some = points[start : start + KDE_WIDTH]
-        wide = counted.agg(*[F.expr(f"{_kernel_sum(p, h)} AS k{i}") for i, p in enumerate(some)])
-        rows = [f"named_struct('x', {number(p)}, 'density', k{i} * {number(norm)})" for i, p in enumerate(some)]
-        parts.append(wide.select(F.expr(f"inline(array({', '.join(rows)}))")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _kernel_sum(point: float, h: float) -> str:
-    z = f"((v - {number(point)}) / {number(h)})"
-    return f"sum(exp({z} * {z} * -0.5D) * n)"
+    grids = []
+    for c in names:
+        n, sd, lo, hi = (stats[name, c] for name in ("n", "sd", "lo", "hi"))
+        if not n or not sd:
+            raise ValueError(f"{c} has no spread to estimate a density from")
+        h = sd * n**-0.2
+        low, high = lo - cut * h, hi + cut * h
+        points = np.array([low + (high - low) * i / (grid - 1) for i in range(grid)])
+        grids.append((points, h, 1.0 / (n * h * math.sqrt(2 * math.pi))))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(grids), grid))
+        for batch in batches:
+            for i, (points, h, _) in enumerate(grids):
+                found, counts = np.unique(batch.column(i).drop_null().to_numpy(), return_counts=True)
+                step = max(1, KDE_CELLS // grid)
+                for start in range(0, len(found), step):
+                    z = (found[start : start + step, None] - points) / h
+                    sums[i] += counts[start : start + step] @ np.exp(-0.5 * z * z)
+        place = np.indices(sums.shape).reshape(2, -1).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(place[0]), pa.array(place[1]), pa.array(sums.ravel())], ["c", "i", "k"])
+
+    summed = (
+        df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())])
+        .mapInArrow(partial, "c int, i int, k double")
+        .groupBy("c", "i")
+        .agg(F.sum("k").alias("k"))
+    )
+    rows = [(i, j, c, float(x), norm) for i, (c, (points, _, norm)) in enumerate(zip(names, grids)) for j, x in enumerate(points)]
+    table = local_rows(df.sparkSession, rows, "c int, i int, column string, x double, norm double")
+    found = table.join(summed, ["c", "i"]).withColumn("density", F.col("k") * F.col("norm"))
+    return found.select(*([] if isinstance(columns, str) else ["column"]), "x", "density")
 
 
 def sorted_series(df: DataFrame, x: str, columns: Sequence[str]) -> DataFrame:
@@ -248,8 +258,8 @@ def scatter(df: DataFrame, x: str, y: str, hue: str | None = None, fraction: flo
 
 
 def pair_columns(df: DataFrame, columns: Sequence[str] | None = None, hue: str | None = None) -> DataFrame:
-    """The first five columns and the hue, the table under a pair plot."""
-    kept = list(columns or default_columns(df))[:PAIR_COLUMNS]
+    """The columns (default: all numeric ones) and the hue, the table under a pair plot."""
+    kept = list(columns or numeric_columns(df))
     return df.select(*kept, *([hue] if hue and hue in df.columns and hue not in kept else []))
 
 
@@ -272,6 +282,6 @@ CHARTS = {
 def chart_data(df: DataFrame, chart: str, *args, **kwargs):
     """The data of a chart type by name."""
     if chart not in CHARTS:
-        raise ValueError(f"Unsupported visualization type: {chart}")
+        raise ValueError(f"no chart is named {chart}")
     return CHARTS[chart](df, *args, **kwargs)
 

@@ -12,14 +12,14 @@ import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import local_rows, require_columns, spread, value_of
-from tidemill.functions.lineage import cut
+from tidemill.functions.columns import local_rows, quoted, require_columns, spread, value_of
+from tidemill.functions.lineage import cut, scratch_path
 from tidemill.operators.profile import detect_task
 from tidemill.operators.splits import random_split, should_stratify
 
@@ -50,9 +50,11 @@ class ModelSpec:
 
 def _tree(params: dict) -> dict:
     depth = params.get("max_depth")
+    if params.get("min_samples_split", 2) > 2:
+        log.warning("min_samples_split is left out: Spark's trees bound the rows of a leaf, not those of a split")
     return {
         "maxDepth": DEEPEST_TREE if depth is None else min(int(depth), DEEPEST_TREE),
-        "minInstancesPerNode": max(int(params.get("min_samples_leaf", 1)), math.ceil(params.get("min_samples_split", 2) / 2)),
+        "minInstancesPerNode": int(params.get("min_samples_leaf", 1)),
         "seed": params.get("random_state", 42),
     }
 
@@ -69,6 +71,8 @@ def _boosted(params: dict, rows: int, classes: int, spread: float):
 
 
 def _linear_svm(params: dict, rows: int, classes: int, spread: float):
+    if params["kernel"] != "linear":
+        raise ValueError(f"there is no distributed form of the kernel {params['kernel']}")
     svc = C.LinearSVC(regParam=1.0 / (params["C"] * max(rows, 1)), standardization=False)
     return svc if classes <= 2 else C.OneVsRest(classifier=svc)
 
@@ -177,7 +181,7 @@ CATALOG: dict[str, ModelSpec] = {
 
 def model_spec(name: str) -> ModelSpec:
     if name not in CATALOG:
-        raise ValueError(f"Model '{name}' not found in registry")
+        raise ValueError(f"the catalog has no model {name}")
     return CATALOG[name]
 
 
@@ -191,18 +195,49 @@ def model_catalog(spark: SparkSession, task: str | None = None) -> DataFrame:
     return local_rows(spark, rows, "name string, description string, task string, parameters map<string,string>")
 
 
+def _features_per_split(value) -> str:
+    return "all" if value is None else str(value)
+
+
+# Parameters beyond the defaults: the Spark parameter that each one sets, and how its value is written there.
+_FOREST_EXTRA = {"max_features": ("featureSubsetStrategy", _features_per_split), "max_samples": ("subsamplingRate", float)}
+_TREE_EXTRA = {"criterion": ("impurity", str), "max_bins": ("maxBins", int)}
+_LINEAR_EXTRA = {"fit_intercept": ("fitIntercept", bool), "tol": ("tol", float)}
+EXTRA_PARAMETERS = {
+    "random_forest": _FOREST_EXTRA | _TREE_EXTRA,
+    "random_forest_regressor": _FOREST_EXTRA,
+    "decision_tree": _TREE_EXTRA,
+    "logistic_regression": _LINEAR_EXTRA | {"l1_ratio": ("elasticNetParam", float)},
+    "svm": _LINEAR_EXTRA | {"max_iter": ("maxIter", int)},
+    "gradient_boosting": {"subsample": ("subsamplingRate", float), "max_features": ("featureSubsetStrategy", _features_per_split)},
+    "mlp_classifier": {"tol": ("tol", float), "learning_rate_init": ("stepSize", float)},
+    "linear_regression": {"tol": ("tol", float)},
+    "ridge_regression": {"tol": ("tol", float)},
+    "lasso_regression": {"tol": ("tol", float), "max_iter": ("maxIter", int)},
+}
+
+
 def known_parameters(name: str, parameters: dict | None) -> dict:
-    """Defaults overlaid with the parameters the model knows; others are dropped with a warning."""
+    """Defaults overlaid with the parameters the estimator knows; others are dropped with a warning."""
     spec = model_spec(name)
     merged = dict(spec.defaults)
     for key, value in (parameters or {}).items():
-        if key in merged:
+        if key in merged or key in EXTRA_PARAMETERS.get(name, {}):
             merged[key] = value
         else:
-            log.warning("Parameter '%s' is not valid for model %s and will be ignored.", key, name)
+            log.warning("%s has no parameter %s: left out", name, key)
     return merged
 
 
+def _with_extras(estimator, name: str, params: dict):
+    """The estimator (or the one inside one-versus-rest) with the parameters that are no defaults."""
+    inner = estimator.getClassifier() if isinstance(estimator, C.OneVsRest) else estimator
+    for key, (spark_name, written) in EXTRA_PARAMETERS.get(name, {}).items():
+        if key in params and key not in CATALOG[name].defaults:
+            inner.set(inner.getParam(spark_name), written(params[key]))
+    return estimator
+
+
 def require_task(df: DataFrame, target: str, model_name: str) -> str:
     """The model's task, provided that the target suits it."""
     found, wanted = detect_task(df, target).first()["task"], model_spec(model_name).task
@@ -213,18 +248,22 @@ def require_task(df: DataFrame, target: str, model_name: str) -> str:
 
 @dataclass
 class Trained:
-    """A fitted pipeline from feature columns to ``prediction``; ``labels`` are the class names in index order."""
+    """A fitted pipeline from feature columns to ``prediction``.
+
+    ``labels`` are the classes in index order, which is their own order, and ``label_type`` is their Spark type.
+    """
 
     name: str
     task: str
     features: list[str]
     target: str
     pipeline: PipelineModel
-    labels: list[str] | None
+    labels: list | None
+    label_type: str = "string"
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Add ``prediction`` and, if the model has them, ``probability map<class,double>`` and ``confidence``."""
-        return score(self.pipeline, df, self.labels)
+        """Add ``prediction`` and for classes ``probability map<class,double>`` and ``confidence``."""
+        return score(self.pipeline, df, self.labels, self.label_type)
 
 
 def train(df: DataFrame, model_name: str, features: list[str], target: str, parameters: dict | None = None) -> Trained:
@@ -235,13 +274,24 @@ def train(df: DataFrame, model_name: str, features: list[str], target: str, para
     spec, params = model_spec(model_name), known_parameters(model_name, parameters)
     assembler = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="error")
     data = df.select(*features, target).dropna(subset=[target])
+    label_type = "string"
     if spec.task == "classification":
-        indexer = StringIndexer(inputCol=target, outputCol=LABEL, stringOrderType="alphabetAsc").fit(data)
-        labels = list(indexer.labels)
+        label_type = df.schema[target].dataType.simpleString()
+        labels = [r[0] for r in data.select(target).distinct().orderBy(target).collect()]
+        written = [r[0] for r in data.select(F.col(target).cast("string"), F.col(target)).distinct().orderBy(target).collect()]
+        indexer = StringIndexerModel.from_labels(written, inputCol=target, outputCol=LABEL)
         prepared = assembler.transform(indexer.transform(data)).select(FEATURES, LABEL)
     else:
         labels = None
         prepared = assembler.transform(data).select(FEATURES, F.col(target).cast("double").alias(LABEL))
+    if model_name.startswith("knn_"):
+        if params["weights"] not in KNN_WEIGHTS:
+            raise ValueError(f"neighbours are weighted {' or '.join(KNN_WEIGHTS)}, not {params['weights']}")
+        vectors = prepared.select(vector_to_array(FEATURES).alias(FEATURES), LABEL)
+        path = scratch_path(df.sparkSession, "neighbours")
+        vectors.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+        fitted = NeighborModel(path, params["n_neighbors"], params["weights"], len(labels or []))
+        return Trained(model_name, spec.task, features, target, PipelineModel([assembler, fitted]), labels, label_type)
     prepared = prepared.persist()
     try:
         size = prepared.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("spread")).first()
@@ -252,31 +302,57 @@ def train(df: DataFrame, model_name: str, features: list[str], target: str, para
             network = C.MultilayerPerceptronClassifier(
                 layers=layers, maxIter=params["max_iter"], seed=params["random_state"]
             )
+            network = _with_extras(network, model_name, params)
             fitted = network.setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(prepared)
-        elif spec.build is None:
-            raise ValueError(f"{model_name} has no fitted form: use knn_classify or knn_regress")
         else:
             estimator = spec.build(params, size["n"], len(labels or []), size["spread"] or 0.0)
+            estimator = _with_extras(estimator, model_name, params)
             fitted = estimator.setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(prepared)
     finally:
         prepared.unpersist()
-    return Trained(model_name, spec.task, features, target, PipelineModel([assembler, fitted]), labels)
+    return Trained(model_name, spec.task, features, target, PipelineModel([assembler, fitted]), labels, label_type)
 
 
-def score(pipeline: Transformer, df: DataFrame, labels: list[str] | None = None) -> DataFrame:
+def score(pipeline: PipelineModel, df: DataFrame, labels: list | None = None, label_type: str = "string") -> DataFrame:
     """Apply a fitted pipeline; class indexes become labels and probabilities a map."""
     scored = pipeline.transform(df)
-    out = [F.col(c) for c in df.columns]
+    out = [F.col(quoted(c)) for c in df.columns]
     if labels is None:
         return scored.select(*out, "prediction")
-    names = F.array(*[F.lit(v) for v in labels])
+    names = F.array(*[F.lit(v) for v in labels]).cast(f"array<{label_type}>")
     out.append(F.get(names, F.col("prediction").cast("int")).alias("prediction"))
-    if "probability" in scored.columns:
-        probabilities = F.slice(vector_to_array("probability"), 1, len(labels))
-        out += [F.map_from_arrays(names, probabilities).alias("probability"), F.array_max(probabilities).alias("confidence")]
+    probabilities = class_probabilities(pipeline.stages[-1], len(labels))
+    out += [F.map_from_arrays(names, probabilities).alias("probability"), F.array_max(probabilities).alias("confidence")]
     return scored.select(*out)
 
 
+def class_probabilities(model, classes: int) -> Column:
+    """An array of class probabilities over the output of a fitted classifier.
+
+    Margins go through the logistic link; those of one-versus-rest are scaled to add up to one. Weighted votes go
+    through the exponential link of multi-class boosting.
+    """
+    if isinstance(model, (AdaBoostModel, NeighborModel)):
+        shares = F.col("rawPrediction")
+        if isinstance(model, NeighborModel) or classes < 2:
+            return shares
+        edge = F.transform(shares, lambda v: F.exp((v - (1.0 - v) / (classes - 1)) / (classes - 1)))
+        return _scaled_to_one(edge)
+    if isinstance(model, C.OneVsRestModel):
+        steep = 2.0 if isinstance(model.models[0], C.GBTClassificationModel) else 1.0
+        margins = vector_to_array("rawPrediction")
+        return _scaled_to_one(F.transform(margins, lambda m: 1.0 / (1.0 + F.exp(m * -steep))))
+    if isinstance(model, C.LinearSVCModel):
+        upper = 1.0 / (1.0 + F.exp(-vector_to_array("rawPrediction")[1]))
+        return F.slice(F.array(1.0 - upper, upper), 1, classes)
+    return F.slice(vector_to_array("probability"), 1, classes)
+
+
+def _scaled_to_one(values: Column) -> Column:
+    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    return F.transform(values, lambda v: v / total)
+
+
 def confidence(df: DataFrame, probability: str = "probability") -> DataFrame:
     """Add ``confidence``: the largest class probability of a map or array column."""
     values = F.col(probability)
@@ -286,32 +362,42 @@ def confidence(df: DataFrame, probability: str = "probability") -> DataFrame:
 
 
 _DESCRIPTION = (
-    "name string, task string, features array<string>, target string, labels array<string>, weights array<double>"
+    "name string, task string, features array<string>, target string, labels array<string>, label_type string, "
+    "weights array<double>, neighbours struct<k:int,weights:string>"
 )
 
 
 def save_model(trained: Trained, path: str) -> None:
     """The pipeline and, beside it, a one-row description; both are written through Spark."""
-    last = trained.pipeline.stages[-1]
-    weights = None
+    spark, last = SparkSession.active(), trained.pipeline.stages[-1]
+    weights = neighbours = None
     stages = trained.pipeline
     if isinstance(last, AdaBoostModel):
         weights = [float(w) for w in last.weights]
         stages = PipelineModel([*trained.pipeline.stages[:-1], *last.models])
+    elif isinstance(last, NeighborModel):
+        neighbours = {"k": last.k, "weights": last.weights}
+        stages = PipelineModel(trained.pipeline.stages[:-1])
+        spark.read.parquet(last.path).write.mode("overwrite").parquet(f"{path}/neighbours")
     stages.write().overwrite().save(f"{path}/pipeline")
-    row = (trained.name, trained.task, trained.features, trained.target, trained.labels, weights)
-    local_rows(SparkSession.active(), [row], _DESCRIPTION).coalesce(1).write.mode("overwrite").json(f"{path}/description")
+    labels = None if trained.labels is None else [str(v) for v in trained.labels]
+    row = (trained.name, trained.task, trained.features, trained.target, labels, trained.label_type, weights, neighbours)
+    local_rows(spark, [row], _DESCRIPTION).coalesce(1).write.mode("overwrite").json(f"{path}/description")
 
 
 def load_model(spark: SparkSession, path: str) -> Trained:
-    row = spark.read.schema(_DESCRIPTION).json(f"{path}/description").first()
+    found = spark.read.schema(_DESCRIPTION).json(f"{path}/description")
+    row = found.withColumn("labels", F.col("labels").cast(f"array<{found.first()['label_type']}>")).first()
     pipeline = PipelineModel.load(f"{path}/pipeline")
     labels = list(row["labels"]) if row["labels"] is not None else None
     if row["weights"] is not None:
         trees = pipeline.stages[-len(row["weights"]) :]
         boosted = AdaBoostModel(list(trees), list(row["weights"]), len(labels))
         pipeline = PipelineModel([*pipeline.stages[: -len(trees)], boosted])
-    return Trained(row["name"], row["task"], list(row["features"]), row["target"], pipeline, labels)
+    elif row["neighbours"] is not None:
+        near = NeighborModel(f"{path}/neighbours", *row["neighbours"], len(labels or []))
+        pipeline = PipelineModel([*pipeline.stages, near])
+    return Trained(row["name"], row["task"], list(row["features"]), row["target"], pipeline, labels, row["label_type"])
 
 
 def train_and_test(
@@ -324,9 +410,8 @@ def train_and_test(
     test_size: float = 0.2,
     seed: int = 42,
 ) -> tuple[Trained, DataFrame]:
-    """Split, fit on the training rows, and score the test rows."""
-    classification = model_spec(model_name).task == "classification"
-    stratify = target if classification and should_stratify(df, target) else None
+    """Split, fit on the training rows, and score the test rows. Classes are split one by one."""
+    stratify = target if model_spec(model_name).task == "classification" or should_stratify(df, target) else None
     split = random_split(df, key, test_size, seed, stratify)
     trained = train(split.where("not is_test"), model_name, features, target, parameters)
     return trained, trained.predict(split.where("is_test").drop("is_test"))
@@ -464,53 +549,101 @@ def predict_gaussian_nb(df: DataFrame, fitted: list[dict], features: list[str])
 # --- nearest neighbours ---------------------------------------------------------------------------------------
 
 
+KNN_WEIGHTS = ("uniform", "distance")
+
+
 def knn_neighbors(train_df: DataFrame, query: DataFrame, key: str, vector: str, target: str, k: int = 5) -> DataFrame:
     """``(key, rank, neighbor, target, distance2)``: the exact k nearest training rows of every query row.
 
     A training row with the key of the query row is not its own neighbour; ties go to the smaller key. Query rows
-    of a checked size travel to the training partitions. More of them are cut into blocks, as is the training
-    table, and every pair of blocks meets in one task. Either way a task keeps only its k best per query row, so
-    pairs are never written out, and the partial results meet in one grouped top-k.
+    travel to the training partitions in blocks of a checked size, one pass over the training rows for each block. A
+    task keeps the k best of every query row over all it reads and writes them once at its end, so at most k rows for
+    each query row and task meet in a grouped top-k. Neither side is copied.
     """
+    spark = train_df.sparkSession
     size = query.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("d")).first()
     limit = min(KNN_QUERY_ROWS, max(KNN_QUERY_BYTES // (8 * (size["d"] or 1)), 1))
-    sides = (train_df.select(key, vector, target), query.select(key, vector), key, vector, target, k)
-    best = _nearest_small(*sides) if size["n"] <= limit else _nearest_blocks(*sides, math.ceil(size["n"] / limit), limit)
+    blocks = max(1, math.ceil(size["n"] / limit))
+    schema = _neighbor_schema(train_df, key, target)
+    own = spread(train_df.select(key, vector, target))
+    path = scratch_path(spark, "nearest")
+    for block in range(blocks):
+        some = query.select(key, vector)
+        if blocks > 1:
+            some = some.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == block)
+        part = some.toPandas()
+        points = np.array(part[vector].tolist(), dtype=np.float64).reshape(len(part), -1)
+        shared = spark.sparkContext.broadcast((part[key].to_numpy(), points))
+
+        def partial(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            keys, points = shared.value
+            best = _Nearest(keys, points, k)
+            for batch in batches:
+                if len(batch) and len(keys):
+                    best.offer(batch[key].to_numpy(), np.array(batch[vector].tolist(), dtype=np.float64), batch[target].to_numpy())
+            yield best.rows()
+
+        own.mapInPandas(partial, schema).write.mode("append").parquet(path)
     ranked = W.partitionBy("query").orderBy("distance2", "neighbor")
     return (
-        best.withColumn("rank", F.row_number().over(ranked))
+        spark.read.schema(schema).parquet(path)
+        .withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= k)
         .select(F.col("query").alias(key), "rank", "neighbor", F.col("target").alias(target), "distance2")
     )
 
 
-def _partial_best(
-    batch: pd.DataFrame, keys: np.ndarray, q: np.ndarray, key: str, vector: str, target: str, k: int
-) -> Iterator[pd.DataFrame]:
-    """The k nearest rows of one batch per query row, without the query row itself."""
-    batch = batch.sort_values(key, kind="stable")
-    x = np.array(batch[vector].tolist(), dtype=np.float64)
-    own, classes = batch[key].to_numpy(), batch[target].to_numpy()
-    take = min(k + 1, len(batch))
-    # a slice of query rows at a time keeps the distance matrix small
-    step = max(1, 4_000_000 // len(batch))
-    for at in range(0, len(keys), step):
-        part = q[at : at + step]
-        distance = np.zeros((len(part), len(x)))
-        for j in range(x.shape[1]):
-            gap = part[:, j : j + 1] - x[:, j]
-            distance += gap * gap
-        cols = np.argsort(distance, axis=1, kind="stable")[:, :take].ravel()
-        rows = np.repeat(np.arange(len(part)), take)
-        out = pd.DataFrame(
-            {
-                "query": keys[at + rows],
-                "neighbor": own[cols],
-                "target": classes[cols],
-                "distance2": distance[rows, cols],
-            }
+class _Nearest:
+    """The k nearest rows of every query row so far, kept in arrays of one row for each query row."""
+
+    def __init__(self, keys: np.ndarray, points: np.ndarray, k: int):
+        self.keys, self.points, self.k = keys, points, k
+        self.distance = np.full((len(keys), 0), np.inf)
+        self.neighbor = np.empty((len(keys), 0), object)
+        self.target = np.empty((len(keys), 0), object)
+
+    def offer(self, own: np.ndarray, x: np.ndarray, targets: np.ndarray) -> None:
+        order = np.argsort(own, kind="stable")
+        own, x, targets = own[order], x[order], targets[order]
+        parts = []
+        # a slice of query rows at a time keeps the distance matrix small
+        step = max(1, 4_000_000 // len(own))
+        for at in range(0, len(self.keys), step):
+            part = self.points[at : at + step]
+            distance = np.zeros((len(part), len(x)))
+            for j in range(x.shape[1]):
+                gap = part[:, j : j + 1] - x[:, j]
+                distance += gap * gap
+            distance[self.keys[at : at + step, None] == own] = np.inf
+            parts.append(self._merged(slice(at, at + step), distance, own, targets))
+        self.distance, self.neighbor, self.target = (np.concatenate(p) for p in zip(*parts))
+
+    def _merged(self, rows: slice, distance: np.ndarray, own: np.ndarray, targets: np.ndarray) -> tuple:
+        """Old and new candidates by distance and key; only as near ones as the k-th are sorted."""
+        take = min(self.k, distance.shape[1])
+        reach = np.partition(distance, take - 1, axis=1)[:, take - 1]
+        found = []
+        for i, (row, far) in enumerate(zip(distance, reach), rows.start):
+            near = np.flatnonzero((row <= far) & np.isfinite(row))
+            far_so_far = self.distance[i, -1] if self.distance.shape[1] == self.k else np.inf
+            near = near[row[near] <= far_so_far]
+            d = np.concatenate((self.distance[i], row[near]))
+            keys = np.concatenate((self.neighbor[i], own[near].astype(object)))
+            kinds = np.concatenate((self.target[i], targets[near].astype(object)))
+            order = sorted(range(len(d)), key=lambda e: (d[e], d[e] != np.inf and keys[e]))[: self.k]
+            found.append((d[order], keys[order], kinds[order]))
+        width = max(len(f[0]) for f in found)
+        out = np.full((len(found), width), np.inf), np.empty((len(found), width), object), np.empty((len(found), width), object)
+        for i, f in enumerate(found):
+            for whole, part in zip(out, f):
+                whole[i, : len(part)] = part
+        return tuple(np.pad(o, ((0, 0), (0, self.k - width)), constant_values=np.inf if o.dtype != object else None) for o in out)
+
+    def rows(self) -> pd.DataFrame:
+        i, j = np.nonzero(np.isfinite(self.distance))
+        return pd.DataFrame(
+            {"query": self.keys[i], "neighbor": self.neighbor[i, j], "target": self.target[i, j], "distance2": self.distance[i, j]}
         )
-        yield out[out["query"] != out["neighbor"]]
 
 
 def _neighbor_schema(train_df: DataFrame, key: str, target: str) -> str:
@@ -519,65 +652,61 @@ def _neighbor_schema(train_df: DataFrame, key: str, target: str) -> str:
     return f"query {key_type}, neighbor {key_type}, target {target_type}, distance2 double"
 
 
-def _nearest_small(train_df: DataFrame, query: DataFrame, key: str, vector: str, target: str, k: int) -> DataFrame:
-    block = query.toPandas()
-    points = np.array(block[vector].tolist(), dtype=np.float64)
-    shared = train_df.sparkSession.sparkContext.broadcast((block[key].to_numpy(), points))
+def _weighted(neighbors: DataFrame, key: str, weights: str) -> DataFrame:
+    """``_w``: 1, or the inverse distance; if some neighbours are at no distance, only these count."""
+    if weights not in KNN_WEIGHTS:
+        raise ValueError(f"neighbours are weighted {' or '.join(KNN_WEIGHTS)}, not {weights}")
+    if weights == "uniform":
+        return neighbors.withColumn("_w", F.lit(1.0))
+    exact = F.max(F.col("distance2") == 0).over(W.partitionBy(key))
+    inverse = F.when(exact, (F.col("distance2") == 0).cast("double")).otherwise(1.0 / F.sqrt("distance2"))
+    return neighbors.withColumn("_w", inverse)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, q = shared.value
-        for batch in batches:
-            if len(batch):
-                yield from _partial_best(batch, keys, q, key, vector, target, k)
 
-    return spread(train_df).mapInPandas(partial, _neighbor_schema(train_df, key, target))
-
-
-def _nearest_blocks(
-    train_df: DataFrame, query: DataFrame, key: str, vector: str, target: str, k: int, query_blocks: int, block_rows: int
+def knn_classify(
+    train_df: DataFrame, query: DataFrame, key: str, vector: str, label: str, k: int = 5, weights: str = "uniform"
 ) -> DataFrame:
-    train_blocks = max(math.ceil(train_df.count() / block_rows), 1)
-    hashed = F.xxhash64(key)
-    left = train_df.withColumns(
-        {
-            "_train": F.pmod(hashed, F.lit(train_blocks)).cast("int"),
-            "_query": F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))),
-        }
-    )
-    right = query.withColumns(
-        {
-            "_query": F.pmod(hashed, F.lit(query_blocks)).cast("int"),
-            "_train": F.explode(F.sequence(F.lit(0), F.lit(train_blocks - 1))),
-        }
+    """``(key, prediction, votes)``: the label with the most votes, by number or by inverse distance; ties go to the smaller."""
+    neighbors = _weighted(knn_neighbors(train_df, query, key, vector, label, k), key, weights)
+    votes = neighbors.groupBy(key, label).agg(F.sum("_w").alias("w"), F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.col("w")).alias("rank"), F.col(label).alias("label"), F.col("n").alias("n")))
+    return votes.groupBy(key).agg(best.alias("best")).select(
+        key, F.col("best.label").alias("prediction"), F.col("best.n").alias("votes")
     )
 
-    def meet(batch: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if batch.empty or block.empty:
-            return pd.DataFrame({"query": [], "neighbor": [], "target": [], "distance2": []})
-        points = np.array(block[vector].tolist(), dtype=np.float64)
-        return pd.concat(_partial_best(batch, block[key].to_numpy(), points, key, vector, target, k))
 
-    return (
-        left.groupBy("_train", "_query")
-        .cogroup(right.groupBy("_train", "_query"))
-        .applyInPandas(meet, _neighbor_schema(train_df, key, target))
-    )
+def knn_regress(
+    train_df: DataFrame, query: DataFrame, key: str, vector: str, target: str, k: int = 5, weights: str = "uniform"
+) -> DataFrame:
+    """``(key, prediction)``: mean of the neighbours' target, weighted alike or by inverse distance."""
+    neighbors = _weighted(knn_neighbors(train_df, query, key, vector, target, k), key, weights)
+    return neighbors.groupBy(key).agg((F.sum(F.col(target) * F.col("_w")) / F.sum("_w")).alias("prediction"))
 
 
-def knn_classify(train_df: DataFrame, query: DataFrame, key: str, vector: str, label: str, k: int = 5) -> DataFrame:
-    """``(key, prediction, votes)``: uniform vote, the smaller label among equals."""
-    neighbors = knn_neighbors(train_df, query, key, vector, label, k)
-    votes = neighbors.groupBy(key, label).agg(F.count(F.lit(1)).alias("n"))
-    best = F.min(F.struct((-F.col("n")).alias("rank"), F.col(label).alias("label")))
-    return votes.groupBy(key).agg(best.alias("best")).select(
-        key, F.col("best.label").alias("prediction"), (-F.col("best.rank")).alias("votes")
-    )
+class NeighborModel(Transformer):
+    """Nearest neighbours as a fitted model: the training rows in a table, ``rawPrediction`` their vote shares."""
 
+    def __init__(self, path: str = "", k: int = 5, weights: str = "uniform", classes: int = 0):
+        super().__init__()
+        self.path, self.k, self.weights, self.classes = path, k, weights, classes
 
-def knn_regress(train_df: DataFrame, query: DataFrame, key: str, vector: str, target: str, k: int = 5) -> DataFrame:
-    """``(key, prediction)``: mean of the neighbours' target."""
-    neighbors = knn_neighbors(train_df, query, key, vector, target, k)
-    return neighbors.groupBy(key).agg(F.avg(target).alias("prediction"))
+    def _transform(self, df: DataFrame) -> DataFrame:
+        spark = df.sparkSession
+        path = scratch_path(spark, "neighbour-queries")
+        # written once, so that a row keeps its number
+        df.withColumn("_row", -1 - F.monotonically_increasing_id()).write.parquet(path)
+        rows = spark.read.parquet(path)
+        points = rows.select("_row", vector_to_array(FEATURES).alias(FEATURES))
+        found = knn_neighbors(spark.read.parquet(self.path).select("_row", FEATURES, LABEL), points, "_row", FEATURES, LABEL, self.k)
+        found = _weighted(found, "_row", self.weights)
+        if not self.classes:
+            out = found.groupBy("_row").agg((F.sum(F.col(LABEL) * F.col("_w")) / F.sum("_w")).alias("prediction"))
+        else:
+            share = [F.sum(F.when(F.col(LABEL) == c, F.col("_w")).otherwise(0.0)) / F.sum("_w") for c in range(self.classes)]
+            out = found.groupBy("_row").agg(F.array(*share).alias("rawPrediction"))
+            first = F.array_position("rawPrediction", F.array_max("rawPrediction")) - 1
+            out = out.withColumn("prediction", first.cast("double"))
+        return rows.join(out, "_row").drop("_row")
 
 
 def linear_coefficients(trained: Trained) -> DataFrame:

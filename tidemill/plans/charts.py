@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.operators import charts
-from tidemill.plans.base import LINEITEM_STRINGS, query, rounded, union_sql
+from tidemill.plans.base import LINEITEM_NUMBERS, LINEITEM_STRINGS, query, rounded, union_sql
 
 COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -21,6 +21,14 @@ def histogram(t):
     return rounded(charts.histogram(t.lineitem, COLUMNS), 4)
 
 
+FIVE = [*COLUMNS, "l_partkey"]
+
+
+@query("v1_histogram_five_columns", union_sql([_bins_sql(x) for x in FIVE]))
+def histogram_five_columns(t):
+    return rounded(charts.histogram(t.lineitem, FIVE), 4)
+
+
 def _box_sql(x: str, by: str = "") -> str:
     keys = f"{by}, " if by else ""
     group = f"GROUP BY {by}" if by else ""
@@ -83,21 +91,21 @@ def correlation_matrix(t):
     "SELECT c_mktsegment AS value, count(*) AS count FROM customer GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
 )
 def value_counts(t):
-    return charts.value_counts(t.customer, "c_mktsegment")
+    return charts.value_counts(t.customer, "c_mktsegment", top=10)
 
 
 @query(
     "v4_value_counts_too_many",
-    """SELECT l_partkey AS value, count(*) AS count FROM lineitem WHERE (SELECT count(DISTINCT l_partkey) FROM lineitem) <= 20
-GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+    "SELECT l_partkey AS value, count(*) AS count FROM lineitem GROUP BY 1",
 )
 def value_counts_too_many(t):
+    """Far more values than a chart has room for: all of them."""
     return charts.value_counts(t.lineitem, "l_partkey")
 
 
 @query(
     "v4_count_plot",
-    "SELECT p_brand AS value, count(*) AS count FROM part WHERE (SELECT count(DISTINCT p_brand) FROM part) <= 30 GROUP BY 1",
+    "SELECT p_brand AS value, count(*) AS count FROM part GROUP BY 1",
 )
 def count_plot(t):
     return charts.count_plot(t.part, "p_brand")
@@ -139,18 +147,27 @@ def pca_2d(t):
     return points.withColumns({"share1": F.lit(shares[0]), "share2": F.lit(shares[1])})
 
 
-@query(
-    "v9_kde",
-    """WITH s AS (SELECT stddev_samp(l_extendedprice) * pow(count(*), -0.2) AS h, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
-g AS (SELECT (lo - 3 * h) + ((hi + 3 * h) - (lo - 3 * h)) * i / 199 AS x, h FROM s, range(200) r(i))
-SELECT round(x, 4) AS x, round(avg(exp(-0.5 * ((l_extendedprice - x) / h) * ((l_extendedprice - x) / h))) / max(h * sqrt(2 * pi())) * 1e6, 4) AS density
-FROM g, lineitem GROUP BY x""",
-)
+def _density_sql(x: str) -> str:
+    return f"""SELECT '{x}' AS "column", round(x, 4) AS x, round(avg(exp(-0.5 * (({x} - x) / h) * (({x} - x) / h))) / max(h * sqrt(2 * pi())) * 1e6, 4) AS density
+FROM (SELECT (lo - 3 * h) + ((hi + 3 * h) - (lo - 3 * h)) * i / 199 AS x, h FROM (
+  SELECT stddev_samp({x}) * pow(count(*), -0.2) AS h, min({x}) AS lo, max({x}) AS hi FROM lineitem), range(200) r(i)), lineitem GROUP BY x"""
+
+
+@query("v9_kde", f"SELECT x, density FROM ({_density_sql('l_extendedprice')})")
 def kde(t):
     found = charts.kde(t.lineitem, "l_extendedprice")
     return rounded(found.withColumn("density", F.col("density") * 1e6), 4)
 
 
+_DENSE = ["l_extendedprice", "l_quantity"]
+
+
+@query("v9_kde_columns", union_sql([_density_sql(x) for x in _DENSE]))
+def kde_columns(t):
+    found = charts.kde(t.lineitem, _DENSE)
+    return rounded(found.withColumn("density", F.col("density") * 1e6), 4)
+
+
 @query(
     "v10_sorted_series",
     """SELECT o_orderkey, 'o_totalprice' AS variable, o_totalprice AS value FROM orders
@@ -165,6 +182,14 @@ def scatter(t):
     return charts.scatter(t.lineitem, "l_quantity", "l_extendedprice", "l_returnflag")
 
 
-@query("v11_pair_columns", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
+_PAIRED = [*LINEITEM_NUMBERS[:5], "l_tax"]
+
+
+@query("v11_pair_columns", f"SELECT {', '.join(_PAIRED)}, l_returnflag FROM lineitem")
 def pair_columns(t):
+    return charts.pair_columns(t.lineitem, _PAIRED, LINEITEM_STRINGS[0])
+
+
+@query("v11_pair_all_columns", f"SELECT {', '.join(LINEITEM_NUMBERS)}, l_returnflag FROM lineitem")
+def pair_all_columns(t):
     return charts.pair_columns(t.lineitem, None, LINEITEM_STRINGS[0])
