@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.common import gram_hashes, partitions, rows, spans, stored, window_minima, word_hashes
-from tidemill.llm.windows import NO_ID, cut_out, first_documents, hot_values, isin, keyed, merge, without_ranges
+from tidemill.llm.windows import (
+    HOT_ROWS,
+    NO_ID,
+    cut_out,
+    digest_halves,
+    hot_batch,
+    hot_ranges,
+    hot_values,
+    isin,
+    keyed,
+    merge,
+    without_ranges,
+)
 
 #: Words a passage must have, words that neighbouring suffixes must share, words of the runs among which minimisers are.
 PASSAGE, SHARED, GRAM = 50, 25, 5
@@ -133,25 +146,25 @@ def _repeated(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["doc_id", "text_key", "begin", "end"])
 
 
-def _hot_passages(hot, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each passage of a hot suffix by itself."""
+def _hot_suffixes(hot, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hot suffixes with the signatures of their passages, as rows of HOT_ROWS."""
     for batch in batches:
         out = []
         for doc, key, text in rows(iter([batch]), "doc_id", "text_key", "text", step=64):
             own = Suffixes(text)
             for i in np.flatnonzero(isin(own.name, hot.value)).tolist():
-                first, name = int(own.first[i]), int(own.name[i].view(np.int64))
-                signatures = own.passages[first : first + int(own.count[i])].view(np.int64).tolist()
-                out += [
-                    (name, int(own.at[i]) - first - j, signature, doc, key, first + j)
-                    for j, signature in enumerate(signatures)
-                ]
-        columns = list(zip(*out, strict=True)) or [[]] * 6
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-            ["suffix", "ahead", "signature", "doc_id", "text_key", "begin"],
-        )
+                first, count = int(own.first[i]), int(own.count[i])
+                head = struct.pack("<Qi", int(own.name[i]), int(own.at[i]) - first)
+                payload = head + own.passages[first : first + count].tobytes()
+                out.append((*digest_halves(payload), doc, key, first, payload))
+        yield hot_batch(out)
+
+
+def _single_passages(payload: bytes) -> list[tuple[int, int]]:
+    """Suffix, words ahead of it and signature name a passage."""
+    name, offset = struct.unpack_from("<Qi", payload)
+    signatures = np.frombuffer(payload, "<u8", offset=12).tolist()
+    return [digest_halves(struct.pack("<QiQ", name, offset - j, s)) for j, s in enumerate(signatures)]
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -183,12 +196,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     )
     if len(hot):
 
-        def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _hot_passages(shared, batches)
+        def hot_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _hot_suffixes(shared, batches)
 
-        schema = "suffix long, ahead int, signature long, doc_id long, text_key long, begin int"
-        again = first_documents(docs.mapInArrow(single, schema), ["suffix", "ahead", "signature"])
-        ranges = ranges.union(again.select("doc_id", "text_key", "begin", (F.col("begin") + PASSAGE).alias("end")))
+        ranges = ranges.union(hot_ranges(docs.mapInArrow(hot_ones, HOT_ROWS), _single_passages, PASSAGE))
     return ranges
 
 
@@ -204,8 +215,8 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
     thirteen, and chosen by content alone. Suffixes are ordered by the hash of their first SHARED words; where
     neighbours of different documents agree, the match is extended to both sides: a passage of PASSAGE words is a
     repeat if the words to the left of the suffix and those to the right agree as well (64-bit hashes of the passage,
-    within one suffix and one offset). Only matched suffixes go on. The few suffixes that very many rows share are met
-    passage by passage in an aggregate instead, which combines before the shuffle.
+    within one suffix and one offset). Only matched suffixes go on. Suffixes that very many rows share, of which there are
+    a bounded number, are met by digests of their passages instead (see ``windows.hot_ranges``).
     """
     docs = keyed(df, id_col, text_col)
     docs = docs.repartition(partitions(df.sparkSession), "doc_id", "text_key")

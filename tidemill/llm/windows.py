@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import partial
@@ -203,30 +204,90 @@ def _group(texts: list[bytes], docs: np.ndarray, windows: int) -> Iterator[tuple
                 yield row, repeated
 
 
-def _hot_windows(hot, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window of a hot minimiser by itself, as a 128-bit digest."""
-    names = ["high", "low", "doc_id", "text_key", "begin"]
+def digest_halves(data: bytes) -> tuple[int, int]:
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(data))
+
+
+def _hot_super_kmers(hot, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Super-k-mers of hot minimisers, each with a digest of its words."""
     for batch in batches:
-        digests, docs, keys, begins = [], [], [], []
+        out = []
         for doc, key, text in rows(iter([batch]), "doc_id", "text_key", "text", step=64):
             words = text.split()
             starts, counts, minimisers = super_kmers(words)
             for at in np.flatnonzero(isin(minimisers, hot.value)).tolist():
-                for begin in range(int(starts[at]), int(starts[at] + counts[at])):
-                    digests.append(xxhash.xxh3_128_digest(b" ".join(words[begin : begin + WINDOW])))
-                    begins.append(begin)
-                docs += [doc] * int(counts[at])
-                keys += [key] * int(counts[at])
-        halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        arrays = [halves[:, 0], halves[:, 1], np.array(docs, np.int64), np.array(keys, np.int64), np.array(begins, np.int32)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a)) for a in arrays], names)
-
-
-def first_documents(found: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of ``found`` whose ``keys`` a smaller document has too; both sides written, so that a join can split."""
+                start = int(starts[at])
+                own = b" ".join(words[start : start + int(counts[at]) + WINDOW - 1])
+                out.append((*digest_halves(own), doc, key, start, own))
+        yield hot_batch(out)
+
+
+def _single_windows(text: bytes) -> list[tuple[int, int]]:
+    words = text.split()
+    return [digest_halves(b" ".join(words[j : j + WINDOW])) for j in range(len(words) - WINDOW + 1)]
+
+
+HOT_ROWS = "high long, low long, doc_id long, text_key long, start int, payload binary"
+
+
+def hot_batch(out: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*out, strict=True)) or [[]] * 6
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["high", "low", "doc_id", "text_key", "start", "payload"]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
+def _expand(expand: Callable[[bytes], list[tuple[int, int]]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["window_high", "window_low", "high", "low", "place", "most", "least"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    for batch in batches:
+        out = [
+            (*window, high, low, place, most, least)
+            for high, low, most, least, payload in rows(iter([batch]), "high", "low", "most", "least", "payload", step=64)
+            for place, window in enumerate(expand(payload))
+        ]
+        columns = list(zip(*out, strict=True)) or [[]] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
+def _runs(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for doc, key, start, repeated in rows(iter([batch]), "doc_id", "text_key", "start", "repeated", step=64):
+            flags = np.zeros(max(r["place"] for r in repeated) + 1, bool)
+            flags[[r["place"] for r in repeated if r["first"] < doc]] = True
+            out += [(doc, key, start + begin, start + end + window - 1) for begin, end in spans(flags).tolist()]
+        columns = list(zip(*out, strict=True)) or [[]] * 4
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "text_key", "begin", "end"]
+        )
+
+
+def hot_ranges(found: DataFrame, expand: Callable[[bytes], list[tuple[int, int]]], window: int) -> DataFrame:
+    """Word ranges that repeat, of rows of HOT_ROWS: runs of windows whose content a 128-bit digest names.
+
+    Equal runs are looked at once, whatever the number of documents that have them; ``expand`` gives the digests of
+    the windows of one. The first document of every window comes from an aggregate that combines before the shuffle,
+    and goes back to the runs and then to the rows that have them. All sides are written before they are joined, so
+    that a join can split what very many rows share.
+    """
     found = stored(found, "hot")
-    first = stored(found.groupBy(*keys).agg(F.min("doc_id").alias("first")), "hot-first")
-    return found.join(first, keys).where(F.col("doc_id") > F.col("first"))
+    kinds = found.groupBy("high", "low").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.first("payload").alias("payload")
+    )
+    schema = "window_high long, window_low long, high long, low long, place int, most long, least long"
+    each = stored(kinds.mapInArrow(partial(_expand, expand), schema), "hot-windows")
+    names = ["window_high", "window_low"]
+    first = stored(each.groupBy(*names).agg(F.min("least").alias("first")), "hot-first")
+    repeated = (
+        each.join(first, names)
+        .where("first < most")
+        .groupBy("high", "low")
+        .agg(F.collect_list(F.struct("place", "first")).alias("repeated"))
+    )
+    back = found.drop("payload").join(stored(repeated, "hot-repeated"), ["high", "low"])
+    return back.select("doc_id", "text_key", "start", "repeated").mapInArrow(partial(_runs, window), _RANGES)
 
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]*")
@@ -301,8 +362,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Consecutive windows with one minimiser position are one string, which goes to the minimiser's bucket; there the
     windows of a minimiser that several documents have are sorted and compared as they are. The number of buckets goes
-    with the data. Windows of hot minimisers, of which there are a bounded number, are met one by one instead: by a
-    digest, with the smallest document of each found by a map-side aggregate.
+    with the data. Super-k-mers of hot minimisers, of which there are a bounded number, are met by digests
+    instead (see ``hot_ranges``).
     """
     spark = df.sparkSession
     docs = keyed(df, id_col, text_col)
@@ -324,10 +385,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     if len(hot):
 
-        def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _hot_windows(shared, batches)
+        def hot_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _hot_super_kmers(shared, batches)
 
-        found = docs.mapInArrow(single, "high long, low long, doc_id long, text_key long, begin int")
-        again = first_documents(found, ["high", "low"])
-        ranges = ranges.union(again.select("doc_id", "text_key", "begin", (F.col("begin") + WINDOW).alias("end")))
+        ranges = ranges.union(hot_ranges(docs.mapInArrow(hot_ones, HOT_ROWS), _single_windows, WINDOW))
     return without_ranges(docs, ranges, joined=True)
