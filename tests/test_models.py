@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions.lineage import scratch_path
-from tidemill.operators import charts, evaluate, explain, models
+from tidemill.operators import charts, evaluate, explain, models, training
 
 FEATURES = ["a", "b"]
 
@@ -143,8 +143,8 @@ def test_neighbors_in_one_pass_and_in_blocks(spark, monkeypatch, limit):
 
 def test_sampled_impacts_add_up(table):
     trained = models.train(table, "random_forest", FEATURES, "y", {"n_estimators": 5, "max_depth": 4})
-    background = explain.background_sample(table, "id", FEATURES, 10)
-    found = explain.sampled_shap(trained.pipeline, table, "id", FEATURES, background, samples=6)
+    background = explain.background_sample(table, "id", FEATURES, 6)
+    found = explain.sampled_shap(trained, table, "id", FEATURES, background, samples=6)
     last = trained.labels[-1]
     probability = {r["id"]: r["probability"][last] for r in trained.predict(table).collect()}
     rows = found.collect()
@@ -152,6 +152,22 @@ def test_sampled_impacts_add_up(table):
     for r in rows:
         assert {i["feature"] for i in r["impacts"]} == set(FEATURES)
         assert r["base_value"] + sum(i["impact"] for i in r["impacts"]) == pytest.approx(probability[r["id"]])
+    # one base value: the mean output over the background
+    outputs = [r["probability"][last] for r in trained.predict(table.where("id < 6")).collect()]
+    assert rows[0]["base_value"] == pytest.approx(sum(outputs) / 6)
+    assert max(r["base_value"] for r in rows) - min(r["base_value"] for r in rows) < 1e-9
+
+
+def test_impacts_per_class_have_the_class_and_its_base_value(table):
+    trained = models.train(table, "adaboost", FEATURES, "y", {"n_estimators": 3})
+    background = explain.background_sample(table, "id", FEATURES, 4)
+    gaps = table.withColumn("a", F.when(F.col("id") % 5 > 0, F.col("a")))
+    found = explain.sampled_shap(trained, gaps, "id", FEATURES, background, per_class=True)
+    bases = {}
+    for r in found.collect():
+        bases.setdefault(r["class"], set()).add(round(r["base_value"], 9))
+    assert set(bases) == set(trained.labels) and all(len(b) == 1 for b in bases.values())
+    assert sum(b.pop() for b in bases.values()) == pytest.approx(1.0)
 
 
 def test_sampled_impacts_of_a_linear_model_are_exact_on_one_background_row(table):
@@ -170,3 +186,28 @@ def test_pca_shares_fall(table):
     assert shares[0] >= shares[1] and sum(shares) == pytest.approx(1.0)
     with pytest.raises(ValueError):
         charts.pca_2d(table, "id", ["a", "y"])
+
+
+def test_training_on_a_raw_table(spark):
+    """Strings, missing values, a category that training rows never show, and scoring after a reload."""
+    i = F.col("id")
+    raw = spark.range(0, 600, 1, 3).select(
+        "id",
+        F.when(i % 7 > 0, (i % 20).cast("double")).alias("size"),
+        F.when(i % 11 > 0, F.when(i % 3 == 0, "red").when(i % 3 == 1, "blue").otherwise("green")).alias("colour"),
+        F.when(i % 50 == 3, None).otherwise(F.when((i % 3 == 0) | (i % 20 > 14), "yes").otherwise("no")).alias("y"),
+    )
+    fitted, scored = training.train_table(raw, "y", "random_forest", ["size", "colour"], {"n_estimators": 10}, "id")
+    assert scored.columns == [*raw.columns, "prediction", "probability", "confidence"]
+    assert scored.count() == 118 and accuracy(scored) > 0.75
+    assert fitted.encoding.encoded_columns == ["size", "colour_green", "colour_red"]
+    path = scratch_path(spark, "table-model")
+    fitted.save(path)
+    again = training.TableModel.load(spark, path)
+    new = raw.withColumn("colour", F.when(i % 5 == 0, "purple").otherwise(F.col("colour")))
+    ours, theirs = fitted.predict(new).orderBy("id").collect(), again.predict(new).orderBy("id").collect()
+    assert [r["prediction"] for r in ours] == [r["prediction"] for r in theirs] and len(ours) == 600
+    with pytest.raises(ValueError, match="size"):
+        again.predict(new.drop("size"))
+    with pytest.raises(ValueError, match="listed as a feature"):
+        training.train_table(raw, "y", "random_forest", ["size", "y"])

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import md5_key, one_row, require_columns, value_of
+from tidemill.functions.columns import one_row, require_columns, small_or_none, value_of
+from tidemill.operators.models import class_probabilities
 
-# Impacts shown per row and background rows used.
+# Impacts shown per row, and rows of a background sample.
 MAX_DISPLAY = 10
 BACKGROUND_ROWS = 100
+# Larger backgrounds are refused: they travel in the plan.
+BACKGROUND_LIMIT = 1000
 
 
 def linear_shap(
@@ -46,97 +51,106 @@ def sampled_shap(
     key: str,
     features: list[str],
     background: DataFrame,
-    samples: int = 8,
+    samples: int | None = None,
     seed: int = 42,
     per_class: bool = False,
 ) -> DataFrame:
-    """``(key, base_value, impacts)`` of any fitted classifier or regressor, by permutation sampling.
-
-    Explains the prediction of a regressor and the probability of the last class of a classifier; ``per_class``
-    gives one row per class instead, numbered in column ``class_index``.
-
-    Every sample pairs a row with one background row and one order of the features, both taken from a hash of
-    the key, and walks from the background row to the row one feature at a time. The change of the model output at each
-    step is credited to the feature that moved, so the impacts add up to prediction minus base value exactly.
-    The background holds at most 100 rows and travels as a literal array.
+    """``(key, base_value, impacts)`` of a fitted model, by permutation sampling.
+
+    ``model`` is a :class:`~tidemill.operators.models.Trained` or a fitted pipeline. Explains the prediction of a
+    regressor and the probability of the last class of a classifier; ``per_class`` gives one row for each class
+    instead, with the class itself in column ``class`` (its index if only a pipeline is given).
+
+    Every sample pairs a row with one background row and one order of the features, and walks from the background row
+    to the row one feature at a time. The change of the model output at each step is credited to the feature that
+    moved, so impacts and base value add up to the prediction exactly. All rows meet the same background rows, each of
+    them once (``samples`` that are more go round again), so there is one base value for a model and class. Orders are
+    hashes of key and sample. A missing feature counts as its background mean. The background, a table of at most
+    BACKGROUND_LIMIT rows, travels as a literal array.
     """
     size = len(features)
     if size == 0:
         raise ValueError("no features to explain")
-    points = [[float(r[c]) for c in features] for r in background.limit(BACKGROUND_ROWS).select(*features).collect()]
-    if not points:
+    held = background.select(*[value_of(background, c).cast("double").alias(c) for c in features])
+    held = small_or_none(held, BACKGROUND_LIMIT)
+    if held is None:
+        raise ValueError(f"the background has more than {BACKGROUND_LIMIT} rows: sample it")
+    if not held:
         raise ValueError("the background is empty")
+    known = [[r[c] for r in held if r[c] is not None] for c in features]
+    means = [math.fsum(v) / len(v) if v else 0.0 for v in known]
+    points = [[m if r[c] is None else r[c] for c, m in zip(features, means)] for r in held]
+    walks = max(samples or 0, len(points))
     base_points = F.array(*[F.array(*[F.lit(v) for v in p]) for p in points])
-    own = F.array(*[F.coalesce(value_of(df, c).cast("double"), F.lit(0.0)) for c in features])
+    own = F.array(*[F.coalesce(value_of(df, c).cast("double"), F.lit(m)) for c, m in zip(features, means)])
     # spread by key once: every later grouping is by the key and more, so none of them shuffles again
     keyed = df.select(F.col(key).alias("_key"), own.alias("_x")).repartition("_key")
-    rows = keyed.select("_key", "_x", F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("_s"))
-    start = md5_key(F.lit(seed), F.col("_key"), F.col("_s"))
+    rows = keyed.select("_key", "_x", F.explode(F.sequence(F.lit(0), F.lit(walks - 1))).alias("_s"))
     order = F.array_sort(
         F.transform(
             F.sequence(F.lit(0), F.lit(size - 1)),
             lambda j: F.struct(F.xxhash64(F.lit(seed), F.col("_key"), F.col("_s"), j).alias("h"), j.alias("j")),
         )
     )
-    walks = rows.select(
+    started = rows.select(
         "_key",
         "_s",
         "_x",
-        F.get(base_points, F.pmod(start, F.lit(len(points))).cast("int")).alias("_b"),
+        F.get(base_points, F.pmod("_s", F.lit(len(points))).cast("int")).alias("_b"),
         F.transform(order, lambda o: o["j"]).alias("_order"),
     )
-    rank = F.array_position(F.col("_order"), F.col("_j")) - 1
-    steps = walks.select("_key", "_s", "_x", "_b", "_order", F.explode(F.sequence(F.lit(0), F.lit(size))).alias("_step"))
+    steps = started.select("*", F.explode(F.sequence(F.lit(0), F.lit(size))).alias("_step"))
     at_step = F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda j: F.when(
-            F.array_position(F.col("_order"), j) <= F.col("_step"), F.get(F.col("_x"), j)
-        ).otherwise(F.get(F.col("_b"), j)),
-    )
-    evaluated = model.transform(
-        steps.select("_key", "_s", "_x", "_order", "_step", at_step.alias("_at")).select(
-            "_key", "_s", "_x", "_order", "_step", *[F.get("_at", F.lit(i)).alias(c) for i, c in enumerate(features)]
-        )
+        lambda j: F.when(F.array_position(F.col("_order"), j) <= F.col("_step"), F.get(F.col("_x"), j)).otherwise(
+            F.get(F.col("_b"), j)
+        ),
     )
-    own_keys = ["_key", "class_index"] if per_class else ["_key"]
-    carried = ["_key", "_s", "_x", "_order", "_step"]
+    moved = F.get("_order", F.col("_step") - 1)
+    carried = ["_key", "_s", "_step", "_j", "_value"]
+    placed = steps.select(
+        "_key", "_s", "_step", moved.alias("_j"), F.get("_x", moved.cast("int")).alias("_value"), at_step.alias("_at")
+    ).select(*carried, *[F.get("_at", F.lit(i)).alias(c) for i, c in enumerate(features)])
+    labels = getattr(model, "labels", None)
+    evaluated = getattr(model, "pipeline", model).transform(placed)
     if per_class:
-        outputs = evaluated.select(*carried, F.posexplode(vector_to_array("probability")).alias("class_index", "_f"))
+        shares = _probabilities(model, evaluated)
+        outputs = evaluated.select(*carried, F.posexplode(shares).alias("_class", "_f"))
     else:
-        outputs = evaluated.select(*carried, _model_output(evaluated).alias("_f"))
-    # one group per row, sample and class: size + 1 outputs
-    walked = outputs.groupBy(*own_keys, "_s").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_step", "_f"))), lambda e: e["_f"]).alias("_outputs"),
-        F.first("_order").alias("_order"),
-        F.first("_x").alias("_x"),
-    )
-    credited = walked.select(
-        *own_keys,
-        F.get("_outputs", F.lit(0)).alias("_base"),
-        "_outputs",
-        "_order",
-        "_x",
-        F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("_j"),
-    ).select(
-        *own_keys,
-        "_base",
-        "_j",
-        F.get("_x", F.col("_j")).alias("_value"),
-        (F.get("_outputs", (rank + 1).cast("int")) - F.get("_outputs", rank.cast("int"))).alias("_change"),
-    )
-    names = F.array(*[F.lit(c) for c in features])
+        outputs = evaluated.select(*carried, _model_output(model, evaluated).alias("_f"))
+    own_keys = ["_key", "_class"] if per_class else ["_key"]
+    # a walk is size + 1 rows; the row before a step is the one it changed
+    walk = W.partitionBy(*own_keys, "_s").orderBy("_step")
+    credited = outputs.withColumn("_change", F.col("_f") - F.lag("_f").over(walk))
     mean = credited.groupBy(*own_keys, "_j").agg(
-        F.avg("_base").alias("_base"), F.avg("_change").alias("impact"), F.first("_value").alias("value")
+        F.avg("_f").alias("_base"), F.avg("_change").alias("impact"), F.first("_value").alias("value")
     )
+    names = F.array(*[F.lit(c) for c in features])
     impact = F.struct(F.get(names, F.col("_j")).alias("feature"), "impact", "value")
-    explained = mean.groupBy(*own_keys).agg(F.avg("_base").alias("base_value"), F.collect_list(impact).alias("impacts"))
-    return explained.withColumnRenamed("_key", key)
+    explained = mean.groupBy(*own_keys).agg(
+        F.max(F.when(F.col("_j").isNull(), F.col("_base"))).alias("base_value"),
+        F.collect_list(F.when(F.col("_j").isNotNull(), impact)).alias("impacts"),
+    )
+    out = [F.col("_key").alias(key)]
+    if per_class:
+        index = F.col("_class")
+        if labels is not None:
+            index = F.get(F.array(*[F.lit(v) for v in labels]).cast(f"array<{model.label_type}>"), index)
+        out.append(index.alias("class"))
+    return explained.select(*out, "base_value", "impacts")
+
+
+def _probabilities(model, df: DataFrame) -> Column:
+    labels = getattr(model, "labels", None)
+    if labels is not None:
+        return class_probabilities(model.pipeline.stages[-1], len(labels))
+    return vector_to_array("probability")
 
 
-def _model_output(df: DataFrame) -> Column:
+def _model_output(model, df: DataFrame) -> Column:
     """Probability of the last class for a classifier, the prediction of a regressor."""
-    if "probability" in df.columns:
-        return F.element_at(vector_to_array("probability"), -1)
+    if getattr(model, "labels", None) is not None or "probability" in df.columns:
+        return F.element_at(_probabilities(model, df), -1)
     return F.col("prediction").cast("double")
 
 

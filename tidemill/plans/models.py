@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemill.functions.columns import local_rows
 from tidemill.functions.lineage import scratch_path
-from tidemill.operators import evaluate, explain, models
+from tidemill.operators import evaluate, explain, models, training
+from tidemill.operators.splits import random_split
 from tidemill.plans.base import query, rounded, union_sql
 
 DIMENSIONS = 64
@@ -28,38 +30,159 @@ def prices(t):
     ).dropDuplicates(["id"])
 
 
-def _classify(name: str, table, model: str, parameters: dict | None = None) -> None:
-    """Accuracy and the like on the held-out fifth, with the share of the largest class to compare."""
+# What must hold for any classifier on the held-out fifth, classes split one by one.
+_CLAIMS_SQL = """SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS rows, 10::BIGINT AS classes, true AS probabilities_add_up,
+  true AS prediction_is_likeliest, true AS beats_largest_class FROM embeddings"""
+
+
+def claims(scored, whole, label: str):
+    """One row: how many rows were scored, whether probabilities and predictions are what they must be, and whether the
+    model does better over the whole table than its largest class."""
+    total = F.aggregate(F.map_values("probability"), F.lit(0.0), lambda a, v: a + v)
+    chosen = F.element_at("probability", F.col("prediction"))
+    hits = whole.agg(F.count(F.when(F.col("prediction") == F.col(label), 1))).first()[0]
+    largest = whole.groupBy(label).count().agg(F.max("count")).first()[0]
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max(F.size("probability")).cast("bigint").alias("classes"),
+        F.bool_and(F.abs(total - 1) < 1e-6).alias("probabilities_add_up"),
+        F.bool_and(F.abs(chosen - F.col("confidence")) < 1e-9).alias("prediction_is_likeliest"),
+        F.lit(hits > largest).alias("beats_largest_class"),
+    )
+
 
+def _classify(name: str, model: str, parameters: dict | None = None, table=vectors, classes: int = 10) -> None:
     def run(t):
-        _, scored = models.train_and_test(table(t), "vec_id", model, VECTOR, "label", parameters)
-        scored = scored.withColumn("label", F.col("label").cast("string"))
-        return rounded(evaluate.classification_metrics(scored, "label", "prediction"))
+        trained, scored = models.train_and_test(table(t), "vec_id", model, VECTOR, "label", parameters)
+        return claims(scored, trained.predict(table(t)), "label")
+
+    query(name, _CLAIMS_SQL.replace("10::BIGINT", f"{classes}::BIGINT"))(run)
 
-    query(name)(run)
 
+_classify("m3_random_forest_classifier", "random_forest")
+_classify("m4_decision_tree_classifier", "decision_tree")
+_classify("m5_gradient_boosting", "gradient_boosting", None, two_classes, 2)
+_classify("m5_gradient_boosting_ten_classes", "gradient_boosting", {"n_estimators": 3})
+_classify("m6_logistic_regression", "logistic_regression")
+_classify("m8_linear_svm", "svm", None, two_classes, 2)
+_classify("m8_linear_svm_ten_classes", "svm", {"max_iter": 5})
+_classify("m9_knn_fitted", "knn_classifier", {"weights": "distance"})
+_classify("m10_mlp_classifier", "mlp_classifier")
+_classify("m11_naive_bayes_estimator", "naive_bayes")
+_classify("m12_adaboost", "adaboost", None, two_classes, 2)
+_classify("m12_adaboost_ten_classes", "adaboost", {"n_estimators": 10})
 
-_classify("m3_random_forest_classifier", vectors, "random_forest", {"n_estimators": 20, "max_depth": 10})
-_classify("m4_decision_tree_classifier", vectors, "decision_tree", {"max_depth": 10})
-_classify("m5_gradient_boosting", two_classes, "gradient_boosting", {"n_estimators": 10})
-_classify("m6_logistic_regression", vectors, "logistic_regression")
-_classify("m8_linear_svm", two_classes, "svm")
-_classify("m10_mlp_classifier", vectors, "mlp_classifier", {"max_iter": 50})
-_classify("m11_naive_bayes_estimator", vectors, "naive_bayes")
-_classify("m12_adaboost", two_classes, "adaboost", {"n_estimators": 5})
 
+def _regress(name: str, model: str) -> None:
+    """A feature of two values: every tree that is grown on all rows predicts the mean of each."""
+    sql = """SELECT large, count(*) AS n, round(max(m), 4) AS prediction FROM (
+  SELECT l_quantity > 25 AS large, avg(l_extendedprice) OVER (PARTITION BY l_quantity > 25) AS m FROM lineitem) GROUP BY large"""
 
-def _regress(name: str, model: str, parameters: dict | None = None) -> None:
     def run(t):
-        features = ["l_quantity", "l_discount", "l_tax"]
-        _, scored = models.train_and_test(prices(t), "id", model, features, "l_extendedprice", parameters)
-        return rounded(evaluate.regression_metrics(scored, "l_extendedprice", "prediction"), 4)
+        rows = t.lineitem.select(
+            (F.col("l_quantity") > 25).cast("double").alias("x"), (F.col("l_quantity") > 25).alias("large"), "l_extendedprice"
+        )
+        trained = models.train(rows, model, ["x"], "l_extendedprice")
+        found = trained.predict(rows).groupBy("large")
+        return rounded(found.agg(F.count(F.lit(1)).alias("n"), F.max("prediction").alias("prediction")), 4)
+
+    query(name, sql)(run)
+
+
+_regress("m4_decision_tree_regressor", "decision_tree_regressor")
+
+
+@query(
+    "m3_random_forest_regressor",
+    "SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS rows, true AS beats_mean FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)",
+)
+def random_forest_regressor(t):
+    """Default parameters: better than the mean on the held-out rows."""
+    features = ["l_quantity", "l_discount", "l_tax"]
+    _, scored = models.train_and_test(prices(t), "id", "random_forest_regressor", features, "l_extendedprice", {"max_depth": 8})
+    found = evaluate.regression_metrics(scored, "l_extendedprice", "prediction")
+    return scored.agg(F.count(F.lit(1)).alias("rows")).crossJoin(found.select((F.col("r2") > 0).alias("beats_mean")))
+
+
+@query(
+    "m12_adaboost_one_round",
+    """SELECT l_linestatus, l_returnflag AS prediction FROM lineitem GROUP BY 1, 2
+QUALIFY row_number() OVER (PARTITION BY l_linestatus ORDER BY count(*) DESC, l_returnflag) = 1""",
+)
+def adaboost_one_round(t):
+    """One round on a feature of two values is the most frequent class of each."""
+    rows = t.lineitem.select((F.col("l_linestatus") == "F").cast("double").alias("x"), "l_linestatus", "l_returnflag")
+    trained = models.train(rows, "adaboost", ["x"], "l_returnflag", {"n_estimators": 1})
+    return trained.predict(rows.drop("l_returnflag").distinct()).select("l_linestatus", "prediction")
+
+
+@query("m6_logistic_optimum", "SELECT 10::BIGINT AS classes, true AS optimal FROM (SELECT count(*) FROM embeddings)")
+def logistic_optimum(t):
+    """At the optimum the predicted probabilities of a class add up to its rows, as the intercepts are not penalized."""
+    trained = models.train(vectors(t), "logistic_regression", VECTOR, "label", {"max_iter": 500, "tol": 1e-10})
+    each = trained.predict(vectors(t)).select("label", F.explode("probability").alias("class", "p"))
+    off = each.groupBy("class").agg((F.sum("p") - F.count(F.when(F.col("label") == F.col("class"), 1))).alias("off"))
+    return off.agg(F.count(F.lit(1)).alias("classes"), F.bool_and(F.abs("off") < 0.05).alias("optimal"))
+
+
+@query("m11_estimator_against_expressions", "SELECT count(*) AS rows, 0::BIGINT AS differences FROM embeddings")
+def naive_bayes_forms(t):
+    """The fitted estimator and the densities as expressions agree on every row."""
+    trained = models.train(vectors(t), "naive_bayes", VECTOR, "label")
+    ours = trained.predict(vectors(t)).select("vec_id", F.col("prediction").alias("first"))
+    fitted = models.fit_gaussian_nb(vectors(t), VECTOR, "label")
+    theirs = models.predict_gaussian_nb(vectors(t), fitted, VECTOR).select("vec_id", F.col("prediction").alias("second"))
+    return ours.join(theirs, "vec_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("first") != F.col("second"), 1)).alias("differences")
+    )
 
-    query(name)(run)
 
+@query("m2_train_stratified", "SELECT label, CAST(count(*) AS BIGINT) AS n, true AS share_kept FROM embeddings GROUP BY label")
+def train_stratified(t):
+    """Ten classes: each gives its share of the test rows, rounded up or down."""
+    split = random_split(vectors(t), "vec_id", 0.2, stratify="label")
+    found = split.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("is_test"), 1)).alias("k"))
+    return found.select("label", "n", (F.abs(F.col("k") - F.col("n") * 0.2) < 1).alias("share_kept"))
+
+
+# A raw table: missing numbers and strings made of what is there.
+_RAW_SQL = """SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice,
+  CASE WHEN l_linenumber <> 3 THEN l_quantity END AS l_quantity FROM lineitem"""
+
+
+def raw_lines(t):
+    return t.lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_returnflag",
+        "l_extendedprice",
+        F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("l_quantity"),
+    )
+
+
+@query(
+    "m16_train_raw_table",
+    """SELECT count(*) AS rows, CAST(ceil(0.2 * count(*)) AS BIGINT) AS test_rows, 0::BIGINT AS differences,
+  'l_quantity,l_returnflag_N,l_returnflag_R' AS columns FROM lineitem""",
+)
+def train_raw_table(t):
+    """Imputed, encoded, split, fitted, saved and loaded: the reloaded model scores every raw row alike."""
+    fitted, scored = training.train_table(raw_lines(t), "l_extendedprice", "linear_regression", ["l_quantity", "l_returnflag"])
+    path = scratch_path(t.spark, "table-model")
+    fitted.save(path)
+    again = training.TableModel.load(t.spark, path)
+    test_rows = scored.count()
+    keyed = raw_lines(t).withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    ours = fitted.predict(keyed).groupBy("id").agg(F.sum("prediction").alias("first"), F.count(F.lit(1)).alias("n"))
+    theirs = again.predict(keyed).groupBy("id").agg(F.sum("prediction").alias("second"))
+    differ = F.abs(F.col("first") - F.col("second")) > 1e-9
+    return ours.join(theirs, "id").agg(
+        F.sum("n").alias("rows"),
+        F.count(F.when(differ, 1)).alias("differences"),
+        F.lit(test_rows).cast("bigint").alias("test_rows"),
+        F.lit(",".join(fitted.encoding.encoded_columns)).alias("columns"),
+    )
 
-_regress("m3_random_forest_regressor", "random_forest_regressor", {"n_estimators": 10, "max_depth": 6})
-_regress("m4_decision_tree_regressor", "decision_tree_regressor", {"max_depth": 6})
 
 _CENTERED_SQL = """SELECT regr_sxy(l_extendedprice, l_quantity) AS sxy, regr_sxx(l_extendedprice, l_quantity) AS sxx,
   avg(l_quantity) AS mx, avg(l_extendedprice) AS my, count(*) AS n FROM lineitem"""
@@ -138,16 +261,17 @@ def gaussian_nb(t):
     "m13_model_catalog",
     union_sql(
         [
-            f"SELECT '{name}' AS name, '{spec.task}' AS task FROM (SELECT count(DISTINCT l_returnflag) AS d FROM lineitem) WHERE d < 10"
+            f"""SELECT '{name}' AS name, '{spec.task}' AS task, n FROM (SELECT count(DISTINCT l_quantity) AS d, count(*) AS n FROM lineitem)
+WHERE {"" if spec.task == "classification" else "NOT"} (d < 10 OR d / n < 0.05)"""
             for name, spec in models.CATALOG.items()
-            if spec.task == "classification"
         ]
     ),
 )
 def model_catalog(t):
-    """The models that suit the target of the table."""
-    task = models.detect_task(t.lineitem, "l_returnflag").first()["task"]
-    return models.model_catalog(t.spark, task).select("name", "task")
+    """The models that suit the number of different values in a column, each with the rows it would see."""
+    task = models.detect_task(t.lineitem, "l_quantity").first()["task"]
+    rows = t.lineitem.agg(F.count(F.lit(1)).alias("n"))
+    return models.model_catalog(t.spark, task).select("name", "task").crossJoin(rows)
 
 
 @query(
@@ -163,12 +287,20 @@ def param_filter(t):
     return rounded(models.linear_coefficients(trained), 4)
 
 
-@query("m16_batch_predict")
+@query(
+    "m16_batch_predict",
+    "SELECT vec_id, 10::BIGINT AS classes, true AS adds_up, true AS prediction_is_likeliest FROM embeddings",
+)
 def batch_predict(t):
     """Prediction, class probabilities and confidence of every vector."""
-    trained = models.train(vectors(t), "logistic_regression", VECTOR, "label", {"max_iter": 20})
-    scored = trained.predict(vectors(t)).select("vec_id", "prediction", F.explode("probability").alias("class", "probability"))
-    return rounded(scored, 4)
+    trained = models.train(vectors(t), "logistic_regression", VECTOR, "label")
+    total = F.aggregate(F.map_values("probability"), F.lit(0.0), lambda a, v: a + v)
+    return trained.predict(vectors(t)).select(
+        "vec_id",
+        F.size("probability").cast("bigint").alias("classes"),
+        (F.abs(total - 1) < 1e-6).alias("adds_up"),
+        (F.element_at("probability", F.col("prediction")) == F.col("confidence")).alias("prediction_is_likeliest"),
+    )
 
 
 @query("s8_model_save_load", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differences FROM embeddings")
@@ -185,32 +317,50 @@ def model_save_load(t):
     )
 
 
-@query("e5_feature_importance")
+@query("e5_feature_importance", "SELECT 64::BIGINT AS features, 1.0::DOUBLE AS total, true AS sorted FROM (SELECT count(*) FROM embeddings)")
 def feature_importance(t):
-    trained = models.train(vectors(t), "random_forest", VECTOR, "label", {"n_estimators": 10, "max_depth": 8})
-    return models.feature_importance(trained)
+    """Importances of a forest add up to one and come largest first."""
+    trained = models.train(vectors(t), "random_forest", VECTOR, "label")
+    found = [r["importance"] for r in models.feature_importance(trained).collect()]
+    rows = [(len(found), round(sum(found), 9), found == sorted(found, reverse=True))]
+    return local_rows(t.spark, rows, "features bigint, total double, sorted boolean")
 
 
-@query("x2_sampled_shap")
+@query(
+    "x2_sampled_shap",
+    """WITH p AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS a, CAST(length(p_name) AS DOUBLE) AS b, p_retailprice AS y FROM part),
+s AS (SELECT var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS cy, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM p),
+w AS (SELECT (bb * ay - ab * cy) / (aa * bb - ab * ab) AS u, (aa * cy - ab * ay) / (aa * bb - ab * ab) AS v, ma, mb, my FROM s),
+z AS (SELECT a AS a0, b AS b0 FROM p ORDER BY p_partkey LIMIT 1)
+SELECT p_partkey, round(my + u * (a0 - ma) + v * (b0 - mb), 4) AS base_value, feature, round(CASE feature WHEN 'p_size' THEN u * (a - a0) ELSE v * (b - b0) END, 4) + 0.0 AS impact,
+  CASE feature WHEN 'p_size' THEN a ELSE b END AS value FROM p, w, z, (VALUES ('p_size'), ('name_length')) f(feature)""",
+)
 def sampled_shap(t):
-    """Impacts on the price of every part under a fitted tree; they add up to prediction minus base value."""
+    """Under a linear model and one background row every walk gives the exact impacts."""
     parts = t.part.select(
         "p_partkey", F.col("p_size").cast("double"), F.length("p_name").cast("double").alias("name_length"), "p_retailprice"
     )
     features = ["p_size", "name_length"]
-    trained = models.train(parts, "decision_tree_regressor", features, "p_retailprice", {"max_depth": 5})
-    background = explain.background_sample(parts, "p_partkey", features)
-    found = explain.sampled_shap(trained.pipeline, parts, "p_partkey", features, background, samples=4)
-    return explain.top_impacts(found).select("p_partkey", "base_value", F.inline("impacts"))
+    trained = models.train(parts, "linear_regression", features, "p_retailprice")
+    background = explain.background_sample(parts, "p_partkey", features, 1)
+    found = explain.sampled_shap(trained, parts, "p_partkey", features, background, samples=4)
+    return rounded(explain.top_impacts(found).select("p_partkey", "base_value", F.inline("impacts")), 4)
 
 
-@query("x2_sampled_shap_per_class")
+@query(
+    "x2_sampled_shap_per_class",
+    "SELECT label AS class, (SELECT count(*) FROM embeddings) AS rows, true AS adds_up, true AS one_base FROM embeddings GROUP BY label",
+)
 def sampled_shap_per_class(t):
-    """Mean absolute impact per class and feature under a fitted forest."""
-    trained = models.train(vectors(t), "decision_tree", VECTOR[:8], "label", {"max_depth": 4})
-    background = explain.background_sample(vectors(t), "vec_id", VECTOR[:8])
-    found = explain.sampled_shap(
-        trained.pipeline, vectors(t), "vec_id", VECTOR[:8], background, samples=2, per_class=True
+    """All features of a tree at its default parameters: impacts and base value add up to the probability of every class."""
+    trained = models.train(vectors(t), "decision_tree", VECTOR, "label")
+    background = explain.background_sample(vectors(t), "vec_id", VECTOR, 2)
+    found = explain.sampled_shap(trained, vectors(t), "vec_id", VECTOR, background, per_class=True)
+    total = F.col("base_value") + F.aggregate("impacts", F.lit(0.0), lambda a, e: a + e["impact"])
+    own = trained.predict(vectors(t)).select("vec_id", F.explode("probability").alias("class", "p"))
+    joined = found.select("vec_id", "class", "base_value", total.alias("total")).join(own, ["vec_id", "class"])
+    return joined.groupBy("class").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.bool_and(F.abs(F.col("total") - F.col("p")) < 1e-9).alias("adds_up"),
+        (F.max("base_value") - F.min("base_value") < 1e-9).alias("one_base"),
     )
-    impacts = found.select("class_index", F.inline("impacts"))
-    return impacts.groupBy("class_index", "feature").agg(F.avg(F.abs("impact")).alias("importance"))
