@@ -19,10 +19,10 @@ from tidemill.llm.common import gram_hashes, partitions, rows, spans, stored, wi
 
 #: Words of a window, and of the runs among which its minimiser is chosen.
 WINDOW, GRAM = 50, 5
-#: A minimiser with more super-k-mers than this (and more than a millionth of all) is hot.
-HOT, HOT_MOST = 2000, 1 << 20
 #: Bytes that a task packs together; super-k-mers for each bucket; windows that are sorted at once.
 PACK, BUCKET, SORTED = 1 << 26, 1 << 17, 1 << 18
+#: A minimiser is hot if its super-k-mers would be more than a quarter of a bucket (and more than a millionth of all).
+HOT, HOT_MOST = BUCKET // 4, 1 << 20
 #: Stands for a null id: larger than any other.
 NO_ID = 2**63 - 1
 
