@@ -37,23 +37,30 @@ def with_previous(
     return joined.withColumns(previous).drop("_carry", "_first", *[f"_in_{c}" for c in columns])
 
 
-def with_running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, chunk: str
+def with_running_sums(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], chunk: str
 ) -> DataFrame:
-    """Add ``name``: the sum of ``value`` over the key's rows up to and including this one."""
+    """Add for each name the sum of its value over the key's rows up to and including this one."""
     keys = list(keys)
-    valued = df.withColumn("_v", value)
+    valued = df.withColumns({f"_v_{n}": v for n, v in values.items()})
     inside = W.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     before = W.partitionBy(*keys).orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
     carried = (
         valued.groupBy(*keys, chunk)
-        .agg(F.sum("_v").alias("_total"))
-        .withColumn("_before", F.coalesce(F.sum("_total").over(before), F.lit(0)))
-        .select(*keys, chunk, "_before")
+        .agg(*[F.sum(f"_v_{n}").alias(f"_total_{n}") for n in values])
+        .withColumns({f"_before_{n}": F.coalesce(F.sum(f"_total_{n}").over(before), F.lit(0)) for n in values})
+        .select(*keys, chunk, *[f"_before_{n}" for n in values])
     )
-    own = valued.withColumn("_own", F.sum("_v").over(inside))
+    own = valued.withColumns({f"_own_{n}": F.sum(f"_v_{n}").over(inside) for n in values})
     return (
         own.join(carried, keys + [chunk])
-        .withColumn(name, F.col("_own") + F.col("_before"))
-        .drop("_v", "_own", "_before")
+        .withColumns({n: F.col(f"_own_{n}") + F.col(f"_before_{n}") for n in values})
+        .drop(*[f"{p}{n}" for p in ("_v_", "_own_", "_before_") for n in values])
     )
+
+
+def with_running_sum(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, chunk: str
+) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the key's rows up to and including this one."""
+    return with_running_sums(df, keys, order, {name: value}, chunk)

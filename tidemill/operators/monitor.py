@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import epoch_seconds, long_rows, number, quoted, value_of, when_true
-from tidemill.functions.ordered import with_previous
+from tidemill.functions.ordered import with_previous, with_running_sums
 from tidemill.operators.abtest import bucket_rows
 
 # Evaluation step in seconds, and the windows of the dashboards.
@@ -60,47 +60,82 @@ def to_timestamp(epoch: Column) -> Column:
 
 
 def sliding_sums(
-    df: DataFrame, ts: str, by: Sequence[str], sums: dict[str, Column], window: int, step: int = SCRAPE_SECONDS
+    df: DataFrame,
+    ts: str,
+    by: Sequence[str],
+    sums: dict[str, Column],
+    window: int,
+    step: int = SCRAPE_SECONDS,
+    filled: bool = False,
+    since: str | None = None,
 ) -> DataFrame:
     """``(by..., window_end bigint, sums...)`` over every window that holds a row, ``step`` seconds apart.
 
-    Rows are first summed per step; only those sums, one per label set and step, are copied to the windows they
-    belong to.
+    With ``filled`` also over the empty windows between the first and the last one of a label set, with sums 0. A row
+    with a ``since`` time counts only in windows that hold this moment too.
+
+    Rows are first summed per step. A step's sums enter the running sum of its label set when the first window ends
+    that holds it, and leave it again after the last one, so nothing is copied to windows but the sums that hold from
+    one change to the next. Sums of whole numbers are exact; fractions carry the rounding of a running sum. Long label
+    sets are worked day by day (see ``functions.ordered``).
     """
     if window % step:
         raise ValueError(f"window {window} is not a multiple of step {step}")
-    steps = df.groupBy(*by, step_start(F.col(ts), step).alias("_start")).agg(
-        *[F.sum(e).alias(name) for name, e in sums.items()]
+    start, names = step_start(F.col(ts), step), list(sums)
+    leaves = (start if since is None else step_start(F.col(since), step)) + step + window
+    steps = df.groupBy(*by, (start + step).alias("_enter"), leaves.alias("_leave")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(e).alias(n) for n, e in sums.items()]
     )
-    ends = F.sequence(F.col("_start") + step, F.col("_start") + window, F.lit(step).cast("bigint"))
-    return (
-        steps.select(*by, F.explode(ends).alias("window_end"), *sums)
-        .groupBy(*by, "window_end")
-        .agg(*[F.sum(name).alias(name) for name in sums])
+    steps = steps.where(F.col("_enter") < F.col("_leave"))
+    held = ["_n", *names]
+    change = F.array(
+        F.struct(F.col("_enter").alias("_at"), *[F.col(n) for n in held]),
+        F.struct(F.col("_leave").alias("_at"), *[(-F.col(n)).alias(n) for n in held]),
     )
+    changes = (
+        steps.select(*by, F.inline(change))
+        .groupBy(*by, "_at")
+        .agg(*[F.sum(n).alias(n) for n in held])
+        .withColumn("_day", F.floor(F.col("_at") / 86400))
+    )
+    summed = with_running_sums(changes, by, ["_at"], {f"_sum_{n}": F.col(n) for n in held}, "_day")
+    # before a change holds what had been added up until then
+    before = with_previous(summed, by, ["_at"], ["_at", *[f"_sum_{n}" for n in held]], "_day")
+    spans = before.where(F.col("prev__at").isNotNull() if filled else F.col("prev__sum__n") > 0)
+    ends = F.sequence(F.col("prev__at"), F.col("_at") - step, F.lit(step).cast("bigint"))
+    return spans.select(*by, F.explode(ends).alias("window_end"), *[F.col(f"prev__sum_{n}").alias(n) for n in names])
 
 
 def event_rate(
-    events: DataFrame, ts: str, by: Sequence[str] = (), window: int = WINDOW_5M, step: int = SCRAPE_SECONDS
+    events: DataFrame,
+    ts: str,
+    by: Sequence[str] = (),
+    window: int = WINDOW_5M,
+    step: int = SCRAPE_SECONDS,
+    filled: bool = False,
 ) -> DataFrame:
-    """``(by..., window_end, rate)``: events per second."""
-    counted = sliding_sums(events, ts, by, {"n": F.lit(1)}, window, step)
+    """``(by..., window_end, rate)``: events per second; ``filled`` gives empty windows a rate of 0."""
+    counted = sliding_sums(events, ts, by, {"n": F.lit(1)}, window, step, filled)
     return counted.select(*by, "window_end", (F.col("n") / window).alias("rate"))
 
 
-def throughput(events: DataFrame, ts: str, by: Sequence[str], window: int = WINDOW_5M) -> DataFrame:
-    return event_rate(events, ts, by, window)
+def throughput(
+    events: DataFrame, ts: str, by: Sequence[str], window: int = WINDOW_5M, step: int = SCRAPE_SECONDS
+) -> DataFrame:
+    """Events per second from the first to the last window of a label set; zero traffic is a rate of 0."""
+    return event_rate(events, ts, by, window, step, filled=True)
 
 
 def counter_increases(samples: DataFrame, labels: Sequence[str], ts: str = "ts", value: str = "value") -> DataFrame:
-    """Samples with ``increase`` since the previous one of the series; after a reset the value itself.
+    """Samples with ``increase`` since the previous one of the series, at ``since``; after a reset the value itself.
 
     A long series is worked day by day (see ``functions.ordered``).
     """
     daily = samples.withColumn("_day", F.date_trunc("day", F.col(ts)))
-    before = with_previous(daily, labels, [ts], [value], "_day")
+    before = with_previous(daily, labels, [ts], [value, ts], "_day")
     now, last = F.col(value), F.col(f"prev_{value}")
-    return before.withColumn("increase", F.when(now < last, now).otherwise(now - last)).drop("_day", f"prev_{value}")
+    grown = before.withColumn("increase", F.when(now < last, now).otherwise(now - last))
+    return grown.withColumnRenamed(f"prev_{ts}", "since").drop("_day", f"prev_{value}")
 
 
 def counter_rate(
@@ -114,11 +149,12 @@ def counter_rate(
 ) -> DataFrame:
     """``(by..., window_end, rate)``: per-second increase of counters, summed over ``by`` (default: per series).
 
-    The increase of a sample counts in the windows that hold it; nothing is extrapolated to the window edges.
+    An increase counts in the windows that hold both of its samples, so what a counter grew by during a gap in its
+    samples is no spike afterwards; nothing is extrapolated to the window edges.
     """
     grown = counter_increases(samples, labels, ts, value).where(F.col("increase").isNotNull())
     by = list(labels) if by is None else list(by)
-    summed = sliding_sums(grown, ts, by, {"grown": F.col("increase")}, window, step)
+    summed = sliding_sums(grown, ts, by, {"grown": F.col("increase")}, window, step, since="since")
     return summed.select(*by, "window_end", (F.col("grown") / window).alias("rate"))
 
 

@@ -26,14 +26,22 @@ def _rate(name: str, by: list[str], window: int, step: int, source: str, prepare
 _rate("t1_event_rate_5m", ["event_type"], 300, 15, "SELECT ts, event_type FROM events", lambda t: t.events)
 _rate("t1_event_rate_1m", [], 60, 15, "SELECT ts FROM events", lambda t: t.events)
 _rate("t1_event_rate_1h", ["event_type"], 3600, 300, "SELECT ts, event_type FROM events", lambda t: t.events)
-_rate(
+_STATUS_SQL = "SELECT ts, event_type, CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS status FROM events"
+
+
+@query(
     "t5_throughput",
-    ["status", "event_type"],
-    300,
-    15,
-    "SELECT ts, event_type, CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS status FROM events",
-    lambda t: t.events.withColumn("status", F.when(F.col("event_type") == "error", "500").otherwise("200")),
+    f"""WITH s AS ({_STATUS_SQL}), r AS ({sliding_sql(_STATUS_SQL, 'status, event_type', 'count(*) AS n', 3600, 300)}),
+g AS (SELECT status, event_type, unnest(ends) AS window_end FROM (
+  SELECT status, event_type, range(min(window_end), max(window_end) + 1, 300) AS ends FROM r GROUP BY status, event_type))
+SELECT status, event_type, window_end, round(coalesce(n, 0) / 3600.0, 6) AS rate FROM g LEFT JOIN r USING (status, event_type, window_end)""",
 )
+def throughput(t):
+    """Every window from the first to the last of a label set, those without traffic too."""
+    table = t.events.withColumn("status", F.when(F.col("event_type") == "error", "500").otherwise("200"))
+    return rounded(monitor.throughput(table, "ts", ["status", "event_type"], 3600, 300))
+
+
 
 # Counter samples: k of the properties falls often, so resets are common.
 _COUNTER_SQL = """SELECT event_type, CAST(user_id % 5 AS INTEGER) AS pod, ts,
@@ -49,13 +57,21 @@ def counters_of(t):
     )
 
 
-_GROWN_SQL = f"""SELECT event_type, pod, ts, CASE WHEN value < last THEN value ELSE value - last END AS grown FROM (
-  SELECT *, lag(value) OVER (PARTITION BY event_type, pod ORDER BY ts) AS last FROM ({_COUNTER_SQL})) WHERE last IS NOT NULL"""
+_GROWN_SQL = f"""SELECT event_type, pod, ts, since, CASE WHEN value < last THEN value ELSE value - last END AS grown FROM (
+  SELECT *, lag(value) OVER s AS last, lag(ts) OVER s AS since FROM ({_COUNTER_SQL}) WINDOW s AS (PARTITION BY event_type, pod ORDER BY ts))
+WHERE last IS NOT NULL"""
+
+
+def grown_sql(by: str, window: int, step: int) -> str:
+    """Every increase is copied to each window that holds both of its samples."""
+    first = f"CAST(floor(epoch_us(%s) / {step * 1000000}.0) AS BIGINT) * {step}"
+    return f"""SELECT {by}, window_end, sum(grown) AS grown FROM (SELECT s.*,
+  unnest(range({first % "ts"} + {step}, {first % "since"} + {window} + 1, {step})) AS window_end FROM ({_GROWN_SQL}) s) GROUP BY {by}, window_end"""
 
 
 @query(
     "t1_counter_rate_1h",
-    f"SELECT event_type, pod, window_end, round(grown / 3600.0, 6) AS rate FROM ({sliding_sql(_GROWN_SQL, 'event_type, pod', 'sum(grown) AS grown', 3600, 300)})",
+    f"SELECT event_type, pod, window_end, round(grown / 3600.0, 6) AS rate FROM ({grown_sql('event_type, pod', 3600, 300)})",
 )
 def counter_rate(t):
     return rounded(monitor.counter_rate(counters_of(t), ["event_type", "pod"], 3600, 300))
@@ -63,7 +79,7 @@ def counter_rate(t):
 
 @query(
     "t1_counter_rate_by_pod",
-    f"SELECT pod, window_end, round(grown / 3600.0, 6) AS rate FROM ({sliding_sql(_GROWN_SQL, 'pod', 'sum(grown) AS grown', 3600, 900)})",
+    f"SELECT pod, window_end, round(grown / 3600.0, 6) AS rate FROM ({grown_sql('pod', 3600, 900)})",
 )
 def counter_rate_by_pod(t):
     return rounded(monitor.counter_rate(counters_of(t), ["event_type", "pod"], 3600, 900, by=["pod"]))
@@ -215,6 +231,76 @@ def alert_threshold_for(t):
     return monitor.alert_episodes(ratio_of(t), RULE, 300, value="ratio")
 
 
+def episodes_sql(rule: monitor.AlertRule, series: str, step: int) -> str:
+    """Runs of evaluations in a row for which the rule holds, if they outlast its hold time. ``series``: (w, v)."""
+    wait = -(-rule.hold // step) * step
+    return f"""SELECT '{rule.name}' AS alert, '{rule.severity}' AS severity, min(w) AS active_at, min(w) + {wait} AS fired_at, max(w) AS last_at
+FROM (SELECT w, w - {step} * row_number() OVER (ORDER BY w) AS island FROM ({series}) WHERE v {rule.comparison} {rule.threshold}::DOUBLE)
+GROUP BY island HAVING max(w) >= min(w) + {wait}"""
+
+
+def _quantile_series_sql(divisor: int) -> str:
+    """The 95th percentile of each window, from cumulative bucket counts."""
+    counts = ", ".join(f"count(*) FILTER (WHERE seconds <= '{b}'::DOUBLE) AS b{i}" for i, b in enumerate(LATENCY_BUCKETS))
+    buckets = union_sql([f"SELECT window_end, '{b}'::DOUBLE AS le, b{i} AS count FROM c" for i, b in enumerate(LATENCY_BUCKETS)])
+    return f"""SELECT window_end AS w, quantile AS v FROM (WITH c AS ({sliding_sql(f"SELECT ts, value / {divisor} AS seconds FROM events", "", counts, 3600, 900)})
+  {_quantile_sql(buckets, "window_end", 0.95)})"""
+
+
+_STEP = 900
+_SPAN_SQL = f"CAST(floor(epoch_us(ts) / {_STEP * 1000000}.0) AS BIGINT) * {_STEP}"
+_RATES_SQL = f"""SELECT w, coalesce(n, 0) / 3600.0 AS v FROM (
+  SELECT unnest(range(min({_SPAN_SQL}) + {_STEP}, max({_SPAN_SQL}) + 3600 + 1, {_STEP})) AS w FROM events)
+  LEFT JOIN (SELECT window_end AS w, n FROM ({sliding_sql("SELECT ts FROM events", "", "count(*) AS n", 3600, _STEP)})) USING (w)"""
+_K_SQL = "CAST(json_extract_string(props, '$.k') AS DOUBLE)"
+
+
+def _seconds(t, divisor: int):
+    table = t.events.withColumn("seconds", F.col("value") / divisor)
+    buckets = monitor.windowed_buckets(table, "ts", "seconds", LATENCY_BUCKETS, [], 3600, _STEP)
+    return monitor.histogram_quantile(buckets, 0.95, ["window_end"]).withColumnRenamed("quantile", "value")
+
+
+def _usage(t, divisor: float):
+    """Usage over a fixed limit in each step, by the newest sample."""
+    used = monitor.gauge_series(counters_of(t).withColumn("one", F.lit(1)), ["one"], _STEP)
+    return used.select(F.col("step_end").alias("window_end"), (F.col("value") / divisor).alias("value"))
+
+
+def _usage_sql(divisor: float) -> str:
+    return f"SELECT {_SPAN_SQL} + {_STEP} AS w, max_by({_K_SQL}, ts) / {divisor}::DOUBLE AS v FROM events GROUP BY 1"
+
+
+# Every rule over the series that feeds it: samples, windows, values, episodes.
+_RULE_SERIES = {
+    "HighErrorRate": (
+        f"SELECT window_end AS w, ratio AS v FROM ({RATIO_SQL})",
+        300,
+        lambda t: ratio_of(t).withColumnRenamed("ratio", "value"),
+    ),
+    "HighLatency": (_quantile_series_sql(100), _STEP, lambda t: _seconds(t, 100)),
+    "LowThroughput": (
+        _RATES_SQL,
+        _STEP,
+        lambda t: monitor.throughput(t.events, "ts", [], 3600, _STEP).withColumnRenamed("rate", "value"),
+    ),
+    "DriftDetected": (_usage_sql(200.0), _STEP, lambda t: _usage(t, 200.0)),
+    "HighPredictionLatency": (_quantile_series_sql(1000), _STEP, lambda t: _seconds(t, 1000)),
+    "HighCpuUsage": (_usage_sql(60.0), _STEP, lambda t: _usage(t, 60.0)),
+    "HighMemoryUsage": (_usage_sql(40.0), _STEP, lambda t: _usage(t, 40.0)),
+}
+
+
+def _register_rule(rule: monitor.AlertRule) -> None:
+    series, step, run = _RULE_SERIES[rule.name]
+    name = "t10_rule_" + "".join("_" + c.lower() if c.isupper() else c for c in rule.name).strip("_")
+    query(name, episodes_sql(rule, series, step))(lambda t: monitor.alert_episodes(run(t), rule, step))
+
+
+for _rule in monitor.ALERT_RULES:
+    _register_rule(_rule)
+
+
 _ALERTS_SQL = """SELECT event_type AS alert, CAST(user_id AS INTEGER) AS service, CAST(user_id % 2 AS INTEGER) AS job,
   CASE WHEN value > 200 THEN 'critical' WHEN value > 50 THEN 'warning' ELSE 'info' END AS severity FROM events"""
 

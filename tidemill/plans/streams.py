@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemill.functions.lineage import scratch_path
 from tidemill.operators import monitor
 from tidemill.operators.abtest import LATENCY_BUCKETS
 from tidemill.plans import abtest as abtest_plans
@@ -112,6 +113,7 @@ def alerts(t):
     failed = F.col("event_type") == "error"
     series = streams.error_ratio_stream(requests, "ts", failed, ["pod"], 7200, 900, DELAY)
     rule = monitor.AlertRule("HighErrorRate", ">", 0.2, 900, "critical")
-    recorded = streams.run_to_scratch(series, "series")
-    evaluations = streams.read_stream(t.spark, recorded.inputFiles()[0].rsplit("/", 1)[0], series.schema)
+    folder = scratch_path(t.spark, "series")
+    streams.run_to_folder(series, folder)
+    evaluations = streams.read_stream(t.spark, folder, series.schema)
     return streams.run_to_scratch(streams.alert_stream(evaluations, rule, 900, "pod", value="ratio"), "alerts")

@@ -20,17 +20,28 @@ from tidemill.operators.abtest import STICKY_TTL, bucket_rows
 from tidemill.operators.logs import select_logs
 from tidemill.operators.monitor import SCRAPE_SECONDS, WINDOW_5M, AlertRule
 
-# Fixed value: samples older than this are rejected.
+# Fixed value: log lines older than this are rejected.
 LATEST_ARRIVAL = "168 hours"
+# How long a metric window waits for late samples; an alert is that much late at most.
+METRIC_DELAY = "1 minute"
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files of a folder (or one file), in batches of at most ``files_per_batch``."""
+    """Parquet files of a folder (or one file), in batches of at most ``files_per_batch``.
+
+    A folder is read as it is, so that of another stream's sink only committed files count.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    # as a pattern, a single file is accepted like a folder
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    # a single file is no folder: as a pattern it is accepted like one
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]" if _is_file(spark, path) else path)
+
+
+def _is_file(spark: SparkSession, path: str) -> bool:
+    """Whether a path names one file: the scan of a folder lists files below it."""
+    files = spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+    return bool(files) and files[0]["path"].rstrip("/").endswith(path.rstrip("/").rsplit("/", 1)[-1])
 
 
 def with_event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -48,7 +59,7 @@ def sliding_sums_stream(
     sums: dict[str, Column],
     window: int,
     step: int = SCRAPE_SECONDS,
-    delay: str = LATEST_ARRIVAL,
+    delay: str = METRIC_DELAY,
 ) -> DataFrame:
     """``(by..., window_end bigint, sums...)``: rows are summed per step, and the steps per sliding window."""
     if window % step:
@@ -65,7 +76,7 @@ def sliding_sums_stream(
 
 
 def event_rate_stream(
-    stream: DataFrame, ts: str, by: Sequence[str] = (), window: int = WINDOW_5M, step: int = SCRAPE_SECONDS, delay: str = LATEST_ARRIVAL
+    stream: DataFrame, ts: str, by: Sequence[str] = (), window: int = WINDOW_5M, step: int = SCRAPE_SECONDS, delay: str = METRIC_DELAY
 ) -> DataFrame:
     """``(by..., window_end, rate)``."""
     counted = sliding_sums_stream(stream, ts, by, {"n": F.lit(1)}, window, step, delay)
@@ -79,7 +90,7 @@ def error_ratio_stream(
     by: Sequence[str] = (),
     window: int = WINDOW_5M,
     step: int = SCRAPE_SECONDS,
-    delay: str = LATEST_ARRIVAL,
+    delay: str = METRIC_DELAY,
 ) -> DataFrame:
     """``(by..., window_end, ratio)``."""
     sums = {"errors": when_true(is_error), "n": F.lit(1)}
@@ -95,7 +106,7 @@ def windowed_buckets_stream(
     by: Sequence[str] = (),
     window: int = WINDOW_5M,
     step: int = SCRAPE_SECONDS,
-    delay: str = LATEST_ARRIVAL,
+    delay: str = METRIC_DELAY,
 ) -> DataFrame:
     """``(by..., window_end, le, count)``: cumulative buckets, from whose table quantiles are read."""
     sums = {f"b{i}": F.expr(f"if({quoted(value)} <= {number(b)}, 1, 0)") for i, b in enumerate(bounds)}
@@ -103,7 +114,7 @@ def windowed_buckets_stream(
 
 
 def gauge_series_stream(
-    samples: DataFrame, labels: Sequence[str], step: int, ts: str = "ts", value: str = "value", delay: str = LATEST_ARRIVAL
+    samples: DataFrame, labels: Sequence[str], step: int, ts: str = "ts", value: str = "value", delay: str = METRIC_DELAY
 ) -> DataFrame:
     """``(labels..., step_end, value)``: the newest sample of every series in each step."""
     newest = (
@@ -127,7 +138,7 @@ def log_count_stream(
 
 
 def session_stream(
-    requests: DataFrame, user: str, ts: str, ttl: int = STICKY_TTL, delay: str = LATEST_ARRIVAL
+    requests: DataFrame, user: str, ts: str, ttl: int = STICKY_TTL, delay: str = METRIC_DELAY
 ) -> DataFrame:
     """``(user, session_start, last_hit, hits)`` of sessions that no further hit can renew."""
     return (
@@ -139,12 +150,18 @@ def session_stream(
 
 
 def alert_stream(
-    series: DataFrame, rule: AlertRule, step: int, label: str, at: str = "window_end", value: str = "value"
+    series: DataFrame,
+    rule: AlertRule,
+    step: int,
+    label: str,
+    at: str = "window_end",
+    value: str = "value",
 ) -> DataFrame:
     """``(alert, severity, label, active_at, fired_at)``, written when an alert fires.
 
     ``series`` streams from the table that a window stream appends to, so its values come in order of time. The
-    state of a label value is when the condition became and was last true, and whether that has fired.
+    state of a label value is when the condition became and was last true, and whether that has fired: a few
+    numbers for each label value ever seen.
     """
     waited = -(-rule.hold // step) * step
     name, severity = rule.name, rule.severity
@@ -200,7 +217,12 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, partitions: int
 
 def run_to_scratch(stream: DataFrame, name: str) -> DataFrame:
     """One run into fresh folders of the shared scratch space, with state for at most two waves of tasks."""
+    return run_to_folder(stream, scratch_path(stream.sparkSession, name))
+
+
+def run_to_folder(stream: DataFrame, path: str) -> DataFrame:
+    """One run into a folder; state is cut for the cores of this one run, as its checkpoint is not used again."""
     spark = stream.sparkSession
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
     partitions = min(usual, 2 * spark.sparkContext.defaultParallelism)
-    return run_available(stream, scratch_path(spark, name), scratch_path(spark, f"{name}-state"), partitions)
+    return run_available(stream, path, scratch_path(spark, "stream-state"), partitions)
