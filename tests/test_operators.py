@@ -317,6 +317,36 @@ def test_counter_reset_and_rate(spark):
     assert last == pytest.approx(6 / 15)
 
 
+def test_no_spike_after_a_gap_in_the_samples(spark):
+    samples = [("s", at(t), v) for t, v in [(0, 0.0), (15, 3.0), (3000, 900.0), (3015, 906.0)]]
+    df = spark.createDataFrame(samples, "s string, ts timestamp_ntz, value double")
+    rates = {r["window_end"] - 1704067200: r["rate"] for r in monitor.counter_rate(df, ["s"], 60, 15).collect()}
+    assert rates == {t: 3 / 60 for t in (30, 45, 60)} | {t: 6 / 60 for t in (3030, 3045, 3060)}
+
+
+def test_zero_traffic_has_a_rate_and_fires(spark):
+    events = spark.createDataFrame([(at(t),) for t in (0, 5, 1200)], "ts timestamp_ntz")
+    rates = monitor.throughput(events, "ts", [], 60, 15)
+    got = {r["window_end"] - 1704067200: r["rate"] for r in rates.collect()}
+    assert sorted(got) == list(range(15, 1261, 15)) and got[60] == 2 / 60 and got[600] == 0
+    rule = monitor.AlertRule("LowThroughput", "<", 0.01, 900, "warning")
+    fired = monitor.alert_episodes(rates, rule, 15, value="rate").collect()
+    assert [(r["active_at"] - 1704067200, r["fired_at"] - 1704067200) for r in fired] == [(75, 975)]
+
+
+def test_sliding_sums_of_days_and_labels(spark):
+    """Running sums against every row copied to every window."""
+    rows = [(at(t * 4001 % 400_000), f"k{t % 3}", t % 7) for t in range(300)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, k string, v int")
+    got = {(r["k"], r["window_end"]): r["s"] for r in monitor.sliding_sums(df, "ts", ["k"], {"s": F.col("v")}, 3600, 300).collect()}
+    expected = {}
+    for ts, k, v in rows:
+        start = int((ts - dt.datetime(1970, 1, 1)).total_seconds()) // 300 * 300
+        for end in range(start + 300, start + 3601, 300):
+            expected[k, end] = expected.get((k, end), 0) + v
+    assert got == expected
+
+
 def test_window_must_be_whole_steps(spark):
     with pytest.raises(ValueError):
         monitor.event_rate(spark.createDataFrame([(at(0),)], "ts timestamp_ntz"), "ts", [], 100, 15)
