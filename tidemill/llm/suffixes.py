@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -95,31 +95,46 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _RANGES = "doc_id long, text_key long, begin int, end int"
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbours compared: rows come sorted by suffix; passages are looked at for whole suffixes, some together."""
+def _whole_runs(batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch], int]) -> Iterator[pa.Table]:
+    """Rows that come sorted by their first column, some together, but never a part of the rows of one value."""
     waiting: list[pa.RecordBatch] = []
-    size = 0
+    held = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        suffix = batch.column(0).to_numpy()
-        if size > SORTED:
-            # What belongs to the last suffix so far may go on in this batch.
-            end = int(np.searchsorted(suffix, waiting[-1].column(0)[-1].as_py(), "right"))
+        if held > SORTED:
+            # What belongs to the last value so far may go on in this batch.
+            last = waiting[-1].column(0)[-1].as_py()
+            end = int(np.searchsorted(batch.column(0).to_numpy(), last, "right"))
             waiting.append(batch.slice(0, end))
             batch = batch.slice(end)
             if not batch.num_rows:
                 continue
-            yield _repeated(waiting)
-            waiting, size = [], 0
+            yield pa.Table.from_batches(waiting)
+            waiting, held = [], 0
         waiting.append(batch)
-        size += int(batch.column(5).nbytes) // 8
+        held += size(batch)
     if waiting:
-        yield _repeated(waiting)
+        yield pa.Table.from_batches(waiting)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Suffixes, sorted by name and document, that have a neighbour of another document with the same name."""
+    for table in _whole_runs(batches, lambda b: b.num_rows):
+        suffix, doc = (table.column(n).to_numpy() for n in ("suffix", "doc_id"))
+        starts = np.flatnonzero(np.concatenate(([True], suffix[1:] != suffix[:-1])))
+        ends = np.append(starts[1:], len(suffix))
+        matched = np.repeat(doc[starts] != doc[ends - 1], ends - starts)
+        yield from table.filter(pa.array(matched)).select(["doc_id", "text_key", "at"]).to_batches()
 
 
-def _repeated(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    table = pa.Table.from_batches(batches)
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Extended matches, sorted by suffix, compared for whole suffixes."""
+    for table in _whole_runs(batches, lambda b: int(b.column(5).nbytes) // 8):
+        yield _repeated(table)
+
+
+def _repeated(table: pa.Table) -> pa.RecordBatch:
     suffix, doc, key, first, offset = (table.column(i).to_numpy() for i in range(5))
     signatures = [np.frombuffer(x, np.uint64) for x in table.column(5).to_pylist()]
     counts = np.array([len(s) for s in signatures])
@@ -167,28 +182,28 @@ def _single_passages(payload: bytes) -> list[tuple[int, int]]:
     return [digest_halves(struct.pack("<QiQ", name, offset - j, s)) for j, s in enumerate(signatures)]
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """Word ranges of the rows of ``keyed`` in which every passage is also in a document with a smaller id."""
+def repeated_passages(docs: DataFrame, dealt: DataFrame) -> DataFrame:
+    """Word ranges in which every passage is also in a document with a smaller id.
+
+    ``docs`` are rows of ``keyed``, and ``dealt`` the same ones (with other columns perhaps) dealt out by their keys:
+    what the caller joins the ranges with, so that the texts are shuffled once.
+    """
     spark = docs.sparkSession
-    names = stored(
-        docs.mapInArrow(_names, "suffix long, doc_id long, text_key long, at int"), "suffixes"
-    )
+    names = stored(docs.mapInArrow(_names, "suffix long, doc_id long, text_key long, at int"), "suffixes")
     hot = hot_values(names.select("suffix", F.lit(1).cast("long").alias("n")), "suffix", names.count)
     shared = spark.sparkContext.broadcast(hot)
-    # A suffix whose neighbours in sorted order are of the same document, or begin with other words, matches nothing.
-    groups = names.groupBy("suffix").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
-    matched = groups.where(F.col("low") < F.col("high"))
     if len(hot):
         few = spark.createDataFrame([(x,) for x in hot.view(np.int64).tolist()], "suffix long")
-        matched = matched.join(F.broadcast(few), "suffix", "left_anti")
-    matched = stored(matched.select("suffix"), "matched")
+        names = names.join(F.broadcast(few), "suffix", "left_anti")
     wanted = (
-        names.join(matched, "suffix")
+        names.repartition(partitions(spark), "suffix")
+        .sortWithinPartitions("suffix", "doc_id")
+        .mapInArrow(_neighbours, "doc_id long, text_key long, at int")
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("at").alias("wanted"))
     )
     ranges = (
-        docs.join(wanted, ["doc_id", "text_key"])
+        dealt.join(wanted, ["doc_id", "text_key"])
         .mapInArrow(_extend, _EXTENDED)
         .repartition(partitions(spark), "suffix")
         .sortWithinPartitions("suffix")
@@ -219,8 +234,8 @@ def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: st
     a bounded number, are met by digests of their passages instead (see ``windows.hot_ranges``).
     """
     docs = keyed(df, id_col, text_col)
-    docs = docs.repartition(partitions(df.sparkSession), "doc_id", "text_key")
-    return without_ranges(docs, repeated_passages(docs), joined=False)
+    dealt = docs.repartition(partitions(df.sparkSession), "doc_id", "text_key")
+    return without_ranges(dealt, repeated_passages(docs, dealt), joined=False)
 
 
 def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
@@ -230,24 +245,30 @@ def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_co
     repeat stay as they are, also empty ones.
     """
     docs = keyed(df, id_col, text_col)
-    ranges = stored(repeated_passages(docs), "repeats")
-    by_row = ranges.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    keys = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), F.xxhash64(F.col(f"`{text_col}`"))]
-    whole = df.select(keys[0].alias("doc_id"), keys[1].alias("text_key"), row.alias("row"))
-    joined = whole.join(by_row, ["doc_id", "text_key"], "left")
-    text = F.col("row").getField(text_col)
-    new = F.when(F.col("ranges").isNull(), text).otherwise(_cut(text.cast("binary"), F.col("ranges")))
-    joined = joined.select("row", new.alias("text"), F.col("ranges").isNotNull().alias("changed"))
+    text = F.col(f"`{text_col}`")
+    rest = F.struct(F.lit(True), text.isNull().alias("no_text"), *[F.col(f"`{c}`").alias(f"_{c}") for c in df.columns if c != text_col])
+    dealt = df.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc_id"),
+        F.xxhash64(text).alias("text_key"),
+        F.coalesce(text.cast("binary"), F.lit("").cast("binary")).alias("text"),
+        rest.alias("rest"),
+    ).repartition(partitions(df.sparkSession), "doc_id", "text_key")
+    by_row = repeated_passages(docs, dealt).groupBy("doc_id", "text_key")
+    joined = dealt.join(by_row.agg(F.collect_list(F.struct("begin", "end")).alias("ranges")), ["doc_id", "text_key"], "left")
+    changed = F.col("ranges").isNotNull()
+    cut = _cut(F.when(changed, F.col("text")), F.col("ranges"))
+    new = F.when(changed, cut).when(~F.col("rest.no_text"), F.col("text").cast("string"))
+    joined = joined.select("rest", new.alias("text"), changed.alias("changed"))
     joined = joined.where(~F.col("changed") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     columns = []
     for field in df.schema.fields:
-        old = F.col("row").getField(field.name)
         if field.name == text_col:
-            old = F.col("text")
-        elif field.name == size_col:
-            old = F.when(F.col("changed"), F.length("text").cast(field.dataType)).otherwise(old)
-        columns.append(old.alias(field.name))
+            value = F.col("text").cast(field.dataType)
+        else:
+            value = F.col("rest").getField(f"_{field.name}")
+            if field.name == size_col:
+                value = F.when(F.col("changed"), F.length("text").cast(field.dataType)).otherwise(value)
+        columns.append(value.alias(field.name))
     return joined.select(*columns)
 
 
