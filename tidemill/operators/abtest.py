@@ -37,17 +37,17 @@ class ABTest:
 
     def __post_init__(self):
         if not self.variants or len(self.variants) < 2:
-            raise ValueError("At least two variants are required for an A/B test")
+            raise ValueError("a test compares two variants or more")
         for v in self.variants:
             if "name" not in v or "model_name" not in v:
-                raise ValueError("Each variant must have a 'name' and 'model_name'")
+                raise ValueError("a variant lacks its name or model_name")
         self.variants = [{"model_version": LATEST, **v} for v in self.variants]
         if self.traffic_split is None:
             self.traffic_split = [1.0 / len(self.variants)] * len(self.variants)
         if len(self.traffic_split) != len(self.variants):
-            raise ValueError("Traffic split must have the same length as variants")
+            raise ValueError("there must be one traffic share for each variant")
         if abs(sum(self.traffic_split) - 1.0) > SPLIT_TOLERANCE:
-            raise ValueError("Traffic split must sum to 1.0")
+            raise ValueError("traffic shares do not add up to 1")
 
     @property
     def names(self) -> list[str]:

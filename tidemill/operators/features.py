@@ -218,5 +218,5 @@ def missing_features(df: DataFrame, required: list[str]) -> list[str]:
 def require_features(df: DataFrame, required: list[str]) -> DataFrame:
     absent = missing_features(df, required)
     if absent:
-        raise ValueError(f"Input data is missing required features: {', '.join(absent)}")
+        raise ValueError(f"features that are not in the table: {', '.join(absent)}")
     return df.select(*[quoted(c) for c in required])

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.columns import (
+    local_rows,
     long_rows,
     numeric_columns,
+    one_row,
     require_columns,
     string_columns,
     value_of,
@@ -27,6 +29,8 @@ MISSING_WARNING = "Columns with >50% missing values: "
 NO_NUMERIC_WARNING = "Dataset has no numeric columns, which might limit model choices"
 
 PREVIEW_ROWS = 5
+# Relative standard error of a distinct-count sketch.
+SKETCH_ERROR = 0.02
 # Estimated distinct values from which on a column has certainly more than ten.
 MANY_VALUES = 100
 
@@ -91,15 +95,6 @@ def missing_rate(df: DataFrame) -> DataFrame:
     return wide.select(long_rows({c: {"missing_rate": F.col(f"m{i}")} for i, c in enumerate(df.columns)}))
 
 
-def column_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """One row: ``n`` and per column position the distinct count ``d<i>`` and missing share ``m<i>``."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[distinct_count(df, c, approximate).alias(f"d{i}") for i, c in enumerate(df.columns)],
-        *[missing_share(df, c).alias(f"m{i}") for i, c in enumerate(df.columns)],
-    )
-
-
 def infer_target(df: DataFrame) -> DataFrame:
     """One row ``(target_column)``; null when no column looks like a target."""
     known = next((name for name in TARGET_NAMES if name in df.columns), None)
@@ -127,20 +122,34 @@ def infer_target(df: DataFrame) -> DataFrame:
     return counted.select(F.when(few, fewest["name"]).alias("target_column"))
 
 
+def sketched_distinct(df: DataFrame, columns: list[str], limits: list[float]) -> dict[str, float]:
+    """Distinct values of each column, exact where an estimate could fall on the wrong side of one of ``limits``.
+
+    One pass sketches all columns; no row is copied for it. Only a column whose estimate is within five standard errors
+    of a limit is counted, in an aggregate of its own.
+    """
+    if not columns:
+        return {}
+    found = one_row(df, {c: F.approx_count_distinct(value_of(df, c), SKETCH_ERROR) for c in columns})
+    for c, estimate in found.items():
+        if any(abs(estimate - limit) <= 5 * SKETCH_ERROR * max(estimate, limit) for limit in limits):
+            found[c] = df.agg(F.countDistinct(value_of(df, c))).first()[0]
+    return found
+
+
 def suggest_features(df: DataFrame, target: str, approximate: bool = False) -> DataFrame:
-    """``(position, feature)``: columns that are filled enough and not nearly unique."""
+    """``(position, feature)``: columns that are filled enough and not nearly unique.
+
+    With ``approximate`` the sketches alone decide.
+    """
     require_columns(df, [target])
-    features = df.drop(target)
-    rows = {
-        c: {
-            "position": F.lit(df.columns.index(c)),
-            "keep": (F.col(f"m{i}") < 0.5) & (F.try_divide(F.col(f"d{i}"), F.col("n")) < 0.95),
-        }
-        for i, c in enumerate(features.columns)
-    }
-    return (
-        column_counts(features, approximate).select(long_rows(rows, "feature")).where("keep").select("position", "feature")
-    )
+    features = [c for c in df.columns if c != target]
+    stats = one_row(df, {None: F.count(F.lit(1))} | {c: missing_share(df, c) for c in features})
+    rows = stats[None]
+    filled = [c for c in features if rows and stats[c] < 0.5]
+    distinct = sketched_distinct(df, filled, [] if approximate else [0.95 * rows])
+    kept = [(df.columns.index(c), c) for c in filled if distinct[c] / rows < 0.95]
+    return local_rows(df.sparkSession, kept, "position int, feature string")
 
 
 def detect_task(df: DataFrame, target: str, approximate: bool = False) -> DataFrame:

@@ -26,6 +26,7 @@ from tidemill.functions.columns import (
     value_sql,
     when_true,
 )
+from tidemill.operators.profile import sketched_distinct
 
 # The expectation types of a suite file.
 ROW_COUNT = "expect_table_row_count_to_be_between"
@@ -71,7 +72,7 @@ IRIS_ALIASES = {
     "petal width (cm)": "petal_width",
 }
 
-# A value set up to this size lives in the suite itself, a larger one as a table beside it.
+# Default size up to which a value set lives in the suite itself.
 INLINE_SET = 10_000
 
 SUITE_ROW = T.StructType(
@@ -139,8 +140,13 @@ def generate_suite(
     version: str = "v1",
     existing: Suite | None = None,
     overwrite: bool = False,
+    inline_set: int | None = None,
 ) -> Suite:
-    """Derive the expectations of a table; an existing suite is kept unless ``overwrite``."""
+    """Derive the expectations of a table; an existing suite is kept unless ``overwrite``.
+
+    Value sets of up to ``inline_set`` values are part of the suite's text; larger ones are tables beside it, which a
+    suite store keeps with it.
+    """
     if existing is not None and not overwrite:
         return existing
     strings, numbers = string_columns(df), numeric_columns(df)
@@ -156,11 +162,11 @@ def generate_suite(
             ("sd", c): F.stddev_samp(v),
         }
     stats = one_row(df, wanted)
-    # in a job of its own: a distinct count would copy every row of the wide aggregate
-    distinct = one_row(df, {c: F.countDistinct(c) for c in map(quoted, strings)}) if strings else {}
     rows = stats[("rows", "")]
-    sets = [c for c in strings if rows and distinct[quoted(c)] / rows < SET_SHARE]
-    inline = [c for c in sets if distinct[quoted(c)] <= INLINE_SET]
+    inline_set = INLINE_SET if inline_set is None else inline_set
+    distinct = sketched_distinct(df, strings, [SET_SHARE * rows, inline_set])
+    sets = [c for c in strings if rows and distinct[c] / rows < SET_SHARE]
+    inline = [c for c in sets if distinct[c] <= inline_set]
     values = one_row(df, {c: F.sort_array(F.collect_set(quoted(c))) for c in inline}) if inline else {}
 
     def filled(c: str) -> dict:
@@ -270,7 +276,7 @@ def row_errors(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> Data
 
 def schema_ranges(schema_type: str) -> dict[str, tuple[float, float]]:
     if schema_type not in ROW_SCHEMAS:
-        raise ValueError(f"Unknown schema type: {schema_type}")
+        raise ValueError(f"no row schema is named {schema_type}")
     return ROW_SCHEMAS[schema_type]
 
 

@@ -21,7 +21,7 @@ ERROR_PREFIXES = ["mse", "rmse", "mae"]
 
 def check_stage(stage: str) -> None:
     if stage not in VALID_STAGES:
-        raise ValueError(f"Invalid stage: {stage}. Must be one of {VALID_STAGES}")
+        raise ValueError(f"{stage} is no stage: {VALID_STAGES} are")
 
 
 def current_stages(stage_events: DataFrame) -> DataFrame:

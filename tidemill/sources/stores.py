@@ -93,13 +93,13 @@ class FeatureStore:
         if version is None:
             every = read_if_exists(self.spark.read.option("basePath", base).option("mergeSchema", False).parquet, base)
             if every is None:
-                raise FileNotFoundError(f"Cached features not found at {base}")
+                raise FileNotFoundError(f"no feature table below {base}")
             number = every.select(F.max(F.col("version").cast("int"))).first()[0]
         else:
             number = version_number(version)
         found = read_if_exists(self.spark.read.parquet, f"{base}/version={number}")
         if found is None:
-            raise FileNotFoundError(f"Cached features not found at {base}/version={number}")
+            raise FileNotFoundError(f"no feature table in {base}/version={number}")
         return found
 
     def catalog(self) -> DataFrame:

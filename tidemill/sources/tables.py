@@ -31,7 +31,7 @@ def read_table(
     elif extension == ".parquet":
         df = reader.parquet(path)
     else:
-        raise ValueError(f"Unsupported file format: {extension}")
+        raise ValueError(f"no reader for files ending in {extension}")
     return drop_empty_rows(df)
 
 
