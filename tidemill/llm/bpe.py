@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import Splitter, rows
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Pieces and token pairs remembered by a worker; beyond that it forgets all and starts anew.
-REMEMBERED = 800_000
+#: Pieces and token pairs remembered by a worker, some 50 MB; beyond that it forgets all and starts anew.
+REMEMBERED = 150_000
 #: Longer pieces are encoded each time.
 SHORT = 64
 
