@@ -16,8 +16,8 @@ from tidemill.llm.common import stored
 LEVELS = (1, 4, 16)
 #: Queries that are sent to the tasks together; more come in several passes over the vectors.
 BLOCK = 8192
-#: Query-candidate pairs that are bounded at once.
-_PAIRS = 1 << 21
+#: Query-candidate pairs that are bounded at once, and survivors whose rows are laid side by side at once.
+_PAIRS, _SIDE_BY_SIDE = 1 << 20, 1 << 15
 
 
 def summary(vectors: np.ndarray, segments: int) -> np.ndarray:
@@ -37,6 +37,15 @@ def summary(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(means + deviations, axis=1) if parts else np.zeros((len(vectors), 1))
 
 
+def products(mine: np.ndarray, theirs: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner product of each pair of rows."""
+    out = np.empty(len(q), mine.dtype)
+    for start in range(0, len(q), _SIDE_BY_SIDE):
+        some = slice(start, start + _SIDE_BY_SIDE)
+        out[some] = np.einsum("ij,ij->i", mine[q[some]], theirs[c[some]])
+    return out
+
+
 class Block:
     """Queries of one length, with their best candidates so far."""
 
@@ -65,9 +74,9 @@ class Block:
         bound = self.summaries[0] @ summaries[0].T
         q, c = np.nonzero((bound >= least[:, None]) & (self.ids[:, None] != ids))
         for mine, theirs in zip(self.summaries[1:], summaries[1:], strict=True):
-            keep = np.einsum("ij,ij->i", mine[q], theirs[c]) >= least[q]
+            keep = products(mine, theirs, q, c) >= least[q]
             q, c = q[keep], c[keep]
-        score = np.einsum("ij,ij->i", self.vectors[q], vectors[c])
+        score = products(self.vectors, vectors, q, c)
         keep = score >= self.least[q]
         q, found, score = q[keep], ids[c[keep]], score[keep]
         if not len(q):
