@@ -1,3 +1,4 @@
+import base64
 import random
 import zlib
 
@@ -74,3 +75,33 @@ def test_keep_known(spark):
     )
     docs = documents(spark, SMALL)
     assert langid.keep_known(docs).count() == docs.count()
+
+
+def test_keep_known_goes_by_evidence(spark):
+    """Unlearned scripts and languages, random letters and base64 go; long and short texts of learned languages stay."""
+    docs = documents(spark, MEDIUM)
+    draw = random.Random(5)
+    letters = [" ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 10))) for _ in range(n)) for n in (30, 3000)]
+    unlearned = [
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。人間は、理性と良心とを授けられている。",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+        "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokaisella on oikeus elämään ja vapauteen.",
+        *letters,
+        base64.b64encode(draw.randbytes(3000)).decode(),
+    ]
+    held = docs.where(langid.held_out()).orderBy("doc_id").collect()
+    passages = {lang: " ".join(r.text for r in held if r.lang == lang and r.text) for lang in ("de", "en", "es", "fr")}
+    learned = [" ".join(passages.values()), " ".join(p[:4000] for p in passages.values()), "One", "same " * 300]
+    texts = unlearned + learned
+    extra = spark.createDataFrame([(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(texts)], docs.schema)
+    kept = [r.doc_id for r in langid.keep_known(docs.unionByName(extra)).collect()]
+    assert sorted(i - 10**9 for i in kept if i >= 10**9) == list(range(len(unlearned), len(texts)))
+    assert sum(i < 10**9 for i in kept) == docs.where(langid.has_letter()).count()
+
+
+def test_stretches_are_the_whole_text(monkeypatch):
+    monkeypatch.setattr(langid, "STRETCH", 7)
+    assert b"".join(langid.stretches("Für 12 Äpfel, 3.50€!".encode())) == "Für Äpfel €".encode() + b" "
+    assert langid.stretches(b"") == [b""]

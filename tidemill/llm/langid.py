@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +20,12 @@ GRAMS, BITS = 4, 16
 #: Bound on the labelled documents a model is fitted on, on its landmarks and on its languages.
 SAMPLE, LANDMARKS, LANGUAGES = 2048, 256, 256
 RIDGE = 1e-4
+#: Evidence of a feature that no language has, as a part of its chance; allowance for texts with few features, in errors
+#: of a mean over places (the n-grams of a place are not independent).
+FLOOR, ERRORS = 1 / 8, 2.0
+STRETCH = 1 << 12
 _STEP = 1 << 20
+_NO_LETTERS = re.compile(rb"[^A-Za-z\x80-\xff]+")
 
 
 def presence(text: bytes, flags: np.ndarray | None = None) -> np.ndarray:
@@ -37,6 +43,15 @@ def presence(text: bytes, flags: np.ndarray | None = None) -> np.ndarray:
     return flags
 
 
+def stretches(text: bytes) -> list[bytes]:
+    """The whole text in parts of STRETCH bytes, so that a long text is judged like a short one.
+
+    What is between its letters becomes a space: figures, marks and symbols are of no language.
+    """
+    letters = _NO_LETTERS.sub(b" ", text)
+    return [letters[i : i + STRETCH] for i in range(0, max(1, len(letters)), STRETCH)]
+
+
 @dataclass(frozen=True)
 class Model:
     """``weights``: a row for each feature, a column for each language.
@@ -44,10 +59,16 @@ class Model:
     The decision for a text is the sum over landmarks of coefficient times normalised kernel. The kernel counts shared
     features, so the sum over landmarks is folded into one weight for each feature and language: the same number,
     from one matrix product with the presence rows.
+
+    ``evidence``: for each feature of ``stretches`` how typical it is of the language that has it most, 0 to 1 (see ``_evidence``);
+    ``spread`` is its deviation within the labelled texts, and ``least`` what nearly all of these reach.
     """
 
     languages: list[str]
     weights: np.ndarray
+    evidence: np.ndarray
+    spread: float = 0.0
+    least: float = 0.0
 
     def decide(self, texts: list[bytes | None]) -> np.ndarray:
         """Decision of each one-versus-rest machine; 1 is certain, -1 certainly not."""
@@ -60,12 +81,74 @@ class Model:
                 out[i] = self.weights[found].sum(axis=0) / np.sqrt(len(found))
         return out
 
+    def weigh(self, texts: list[bytes | None]) -> np.ndarray:
+        """Evidence that a text is of learned languages at all, whichever and however many."""
+        out = np.zeros(len(texts))
+        flags = np.zeros(1 << BITS, bool)
+        for i, text in enumerate(texts):
+            if text:
+                total, size = 0.0, 0
+                for part in stretches(text):
+                    flags[:] = False
+                    found = np.flatnonzero(presence(part, flags))
+                    total, size = total + self.evidence[found].sum(), size + len(found)
+                out[i] = total / size + ERRORS * self.spread * np.sqrt(GRAMS / size)
+        return out
 
-def fit(languages: list[str], labels: np.ndarray, packed: np.ndarray, landmarks: int = LANDMARKS) -> Model:
-    """From packed presence rows, ordered so that the first ones of each language are its landmarks."""
+
+def _evidence(labels: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Evidence of each feature, its deviation within a text, and the least evidence of a text of a learned language.
+
+    A language's share of a feature is the mean over its texts of one part in as many as the text has features. The
+    evidence is the logarithm of the largest share, from FLOOR of what chance gives to all of a text, as 0 to 1. Each
+    text is judged by the shares without its own part, so that unlearned texts of the same language do as well. What a
+    text must reach lies below the hundredth of them that does worst, by one and a half times its distance from the median.
+    """
+
+    def scale(share: np.ndarray) -> np.ndarray:
+        lowest = FLOOR / (1 << BITS)
+        return np.log(np.maximum(share, lowest) / lowest) / np.log(1 / lowest)
+
+    def parts(of: int) -> Iterator[tuple[np.ndarray, int]]:
+        for row in packed[labels == of]:
+            found = np.flatnonzero(np.unpackbits(row))
+            yield found, max(1, len(found))
+
+    count = int(labels.max()) + 1
+    first, second, owner = np.zeros(1 << BITS), np.zeros(1 << BITS), np.full(1 << BITS, -1)
+    sums = np.zeros((count, 1 << BITS), np.float32)
+    many = np.bincount(labels, minlength=count)
+    for c in range(count):
+        for found, size in parts(c):
+            sums[c, found] += 1 / size
+        share = sums[c] / many[c]
+        ahead = share > first
+        second = np.where(ahead, first, np.maximum(second, share))
+        first, owner = np.where(ahead, share, first), np.where(ahead, c, owner)
+    means, sizes, variances = [], [], []
+    for c in range(count):
+        others = np.where(owner == c, second, first)
+        for found, size in parts(c):
+            own = np.maximum(sums[c, found] - 1 / size, 0) / max(1, many[c] - 1)
+            values = scale(np.maximum(others[found], own))
+            means.append(values.mean() if len(found) else 0.0)
+            variances.append(values.var() if len(found) else 0.0)
+            sizes.append(size)
+    spread = float(np.sqrt(np.mean(variances)))
+    low, middle = np.percentile(np.array(means) + ERRORS * spread * np.sqrt(GRAMS / np.array(sizes)), [1, 50])
+    return scale(first), spread, float(low - 1.5 * (middle - low))
+
+
+def fit(
+    languages: list[str], labels: np.ndarray, packed: np.ndarray, landmarks: int = LANDMARKS, letters: np.ndarray | None = None
+) -> Model:
+    """From packed presence rows, ordered so that the first ones of each language are its landmarks.
+
+    ``letters`` are those of one of the ``stretches`` of each text (None: the same rows).
+    """
     count = len(languages)
     if not count:
-        return Model([], np.zeros((1 << BITS, 0)))
+        return Model([], np.zeros((1 << BITS, 0)), np.zeros(1 << BITS))
     chosen = np.concatenate([np.flatnonzero(labels == c)[: max(1, landmarks // count)] for c in range(count)])
 
     def unpacked(some: np.ndarray) -> np.ndarray:
@@ -81,7 +164,7 @@ def fit(languages: list[str], labels: np.ndarray, packed: np.ndarray, landmarks:
     weight = (1 / np.bincount(labels, minlength=count))[labels][:, None]
     left = kernel.T @ (kernel * weight) + RIDGE * count * among + 1e-9 * np.eye(len(chosen))
     factors = np.linalg.solve(left, kernel.T @ (target * weight))
-    return Model(languages, marks.T.astype(np.float64) @ factors)
+    return Model(languages, marks.T.astype(np.float64) @ factors, *_evidence(labels, packed if letters is None else letters))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -95,8 +178,13 @@ def has_letter(text_col: str = "text") -> Column:
 
 def _presence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        bits = [np.packbits(presence(t)).tobytes() for (t,) in rows(iter([batch]), "text", step=64)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], ["lang", "rank", "bits"])
+        bits, letters = [], []
+        for rank, text in rows(iter([batch]), "rank", "text", step=64):
+            parts = stretches(text)
+            bits.append(np.packbits(presence(text)).tobytes())
+            letters.append(np.packbits(presence(parts[rank % len(parts)])).tobytes())
+        columns = [batch.column(0), batch.column(1), pa.array(bits, pa.binary()), pa.array(letters, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "rank", "bits", "letters"])
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
@@ -104,7 +192,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     At most LANGUAGES languages, the most frequent ones, each with an equal share of the sample, chosen by a hash of
     the id. Texts without a letter and rows without a language are not learned from. What reaches the driver is one
-    count for each language (of those) and 8 KB for each document of the sample.
+    count for each language (of those) and 16 KB for each document of the sample.
     """
     usable = df.where(~held_out(id_col) & F.col(f"`{lang_col}`").isNotNull() & has_letter(text_col)).select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
@@ -120,12 +208,13 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     marks = df.sparkSession.createDataFrame(marks, "lang string, mark long")
     below = F.col("rank").bitwiseAND(2**63 - 1) <= F.col("mark")
     few = usable.join(F.broadcast(marks), "lang").where(below).select("lang", "rank", "text")
-    drawn = few.mapInArrow(_presence_rows, "lang string, rank long, bits binary")
+    drawn = few.mapInArrow(_presence_rows, "lang string, rank long, bits binary, letters binary")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("rank").bitwiseAND(2**63 - 1), "rank", "bits"))
     found = drawn.withColumn("place", place).where(F.col("place") <= share).orderBy("lang", "place").collect()
     languages = sorted({r.lang for r in found})
     labels = np.array([languages.index(r.lang) for r in found])
-    return fit(languages, labels, np.array([np.frombuffer(r.bits, np.uint8) for r in found]))
+    bits, letters = (np.array([np.frombuffer(r[c], np.uint8) for r in found]) for c in ("bits", "letters"))
+    return fit(languages, labels, bits, letters=letters)
 
 
 def classify(model: Model, df: DataFrame, text_col: str = "text") -> Column:
@@ -163,14 +252,22 @@ def predict(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def keep_known(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", minimum: float = 0.25
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", minimum: float | None = None
 ) -> DataFrame:
-    """The rows of ``df`` with a letter, unless every machine says no by half its range; all columns stay.
+    """The rows of ``df`` with a letter whose features are those of learned languages; all columns stay.
 
-    ``minimum`` is the score a text must exceed. Short, mixed and repetitive texts score about one half and stay.
+    ``minimum`` is the evidence a text must exceed; None is what the labelled sample says. A text in several learned
+    languages has the evidence of each. A text of a few letters has little for or against it, and mostly stays.
     """
     model = train(df, id_col, text_col, lang_col)
     if not model.languages:
         return df.where(has_letter(text_col))
-    found = classify(model, df, text_col)
-    return df.where(F.when(has_letter(text_col), found.getField("score") > minimum).otherwise(False))
+    shared, least = df.sparkSession.sparkContext.broadcast(model), model.least if minimum is None else minimum
+
+    @F.pandas_udf("double")
+    def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(shared.value.weigh(list(texts)))
+
+    found = evidence(F.col(f"`{text_col}`").cast("binary"))
+    return df.where(F.when(has_letter(text_col), found > least).otherwise(False))
