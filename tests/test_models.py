@@ -211,3 +211,43 @@ def test_training_on_a_raw_table(spark):
         again.predict(new.drop("size"))
     with pytest.raises(ValueError, match="listed as a feature"):
         training.train_table(raw, "y", "random_forest", ["size", "y"])
+
+
+def test_registered_background_is_whole(tables, monkeypatch):
+    """The registered explanation of every class meets the background sample at its own size."""
+    from tidemill.plans import models as plans
+
+    sizes = []
+
+    def stop(model, df, key, features, background, *args, **kwargs):
+        sizes.append((len(features), background.count()))
+        raise InterruptedError
+
+    monkeypatch.setattr(explain, "sampled_shap", stop)
+    with pytest.raises(InterruptedError):
+        plans.sampled_shap_per_class(tables)
+    assert sizes == [(len(plans.VECTOR), explain.BACKGROUND_ROWS)]
+
+
+def test_registered_tree_impacts(spark, tables):
+    """Of two features each walk goes one of two ways: impacts lie between the sums over the background of either."""
+    from tidemill.plans import models as plans
+    from tidemill.plans.base import QUERIES
+
+    parts, features = plans._sized_parts(tables)
+    trained = models.train(parts, "decision_tree_regressor", features, "p_retailprice", {"max_depth": 5})
+    rows = sorted((r.p_partkey, r.p_size, r.name_length) for r in parts.collect())
+    sizes, lengths = sorted({r[1] for r in rows}), sorted({r[2] for r in rows})
+    grid = spark.createDataFrame([(a, b) for a in sizes for b in lengths], "p_size double, name_length double")
+    price = {(r.p_size, r.name_length): r.prediction for r in trained.predict(grid).collect()}
+    background = rows[:100]
+    base = np.mean([price[a, b] for _, a, b in background])
+    found = {}
+    for r in QUERIES["x2_sampled_shap_tree"](spark, tables.folder).collect():
+        found.setdefault(r.p_partkey, {})[r.feature] = r.impact
+        assert abs(r.base_value - base) < 1e-6
+    assert sorted(found) == [r[0] for r in rows]
+    for key, a, b in rows:
+        ways = np.array([(price[a, b0] - price[a0, b0], price[a, b] - price[a0, b]) for _, a0, b0 in background])
+        assert ways.min(axis=1).mean() - 1e-6 <= found[key]["p_size"] <= ways.max(axis=1).mean() + 1e-6
+        assert abs(base + sum(found[key].values()) - price[a, b]) < 1e-6

@@ -99,10 +99,13 @@ def sampled_shap(
         F.get(base_points, F.pmod("_s", F.lit(len(points))).cast("int")).alias("_b"),
         F.transform(order, lambda o: o["j"]).alias("_order"),
     )
+    # the place of each feature in the order, once for a walk and not for each of its steps
+    ranks = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda j: F.array_position(F.col("_order"), j))
+    started = started.withColumn("_ranks", ranks)
     steps = started.select("*", F.explode(F.sequence(F.lit(0), F.lit(size))).alias("_step"))
     at_step = F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda j: F.when(F.array_position(F.col("_order"), j) <= F.col("_step"), F.get(F.col("_x"), j)).otherwise(
+        lambda j: F.when(F.get(F.col("_ranks"), j) <= F.col("_step"), F.get(F.col("_x"), j)).otherwise(
             F.get(F.col("_b"), j)
         ),
     )

@@ -326,6 +326,13 @@ def feature_importance(t):
     return local_rows(t.spark, rows, "features bigint, total double, sorted boolean")
 
 
+def _sized_parts(t):
+    parts = t.part.select(
+        "p_partkey", F.col("p_size").cast("double"), F.length("p_name").cast("double").alias("name_length"), "p_retailprice"
+    )
+    return parts, ["p_size", "name_length"]
+
+
 @query(
     "x2_sampled_shap",
     """WITH p AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS a, CAST(length(p_name) AS DOUBLE) AS b, p_retailprice AS y FROM part),
@@ -347,6 +354,34 @@ def sampled_shap(t):
     return rounded(explain.top_impacts(found).select("p_partkey", "base_value", F.inline("impacts")), 4)
 
 
+@query(
+    "x2_sampled_shap_background",
+    """WITH p AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS a, CAST(length(p_name) AS DOUBLE) AS b, p_retailprice AS y FROM part),
+s AS (SELECT var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS cy, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM p),
+w AS (SELECT (bb * ay - ab * cy) / (aa * bb - ab * ab) AS u, (aa * cy - ab * ay) / (aa * bb - ab * ab) AS v, ma, mb, my FROM s),
+z AS (SELECT avg(a) AS a0, avg(b) AS b0 FROM (SELECT a, b FROM p ORDER BY p_partkey LIMIT 100))
+SELECT p_partkey, round(my + u * (a0 - ma) + v * (b0 - mb), 4) AS base_value, feature, round(CASE feature WHEN 'p_size' THEN u * (a - a0) ELSE v * (b - b0) END, 4) + 0.0 AS impact,
+  CASE feature WHEN 'p_size' THEN a ELSE b END AS value FROM p, w, z, (VALUES ('p_size'), ('name_length')) f(feature)""",
+)
+def sampled_shap_background(t):
+    """Under a linear model the walks from the whole background sample give the impacts against its means."""
+    parts, features = _sized_parts(t)
+    trained = models.train(parts, "linear_regression", features, "p_retailprice")
+    background = explain.background_sample(parts, "p_partkey", features)
+    found = explain.sampled_shap(trained, parts, "p_partkey", features, background)
+    return rounded(explain.top_impacts(found).select("p_partkey", "base_value", F.inline("impacts")), 4)
+
+
+@query("x2_sampled_shap_tree")
+def sampled_shap_tree(t):
+    """Impacts on the price of every part under a fitted tree, with the whole background sample."""
+    parts, features = _sized_parts(t)
+    trained = models.train(parts, "decision_tree_regressor", features, "p_retailprice", {"max_depth": 5})
+    background = explain.background_sample(parts, "p_partkey", features)
+    found = explain.sampled_shap(trained, parts, "p_partkey", features, background)
+    return explain.top_impacts(found).select("p_partkey", "base_value", F.inline("impacts"))
+
+
 @query(
     "x2_sampled_shap_per_class",
     "SELECT label AS class, (SELECT count(*) FROM embeddings) AS rows, true AS adds_up, true AS one_base FROM embeddings GROUP BY label",
@@ -354,7 +389,7 @@ def sampled_shap(t):
 def sampled_shap_per_class(t):
     """All features of a tree at its default parameters: impacts and base value add up to the probability of every class."""
     trained = models.train(vectors(t), "decision_tree", VECTOR, "label")
-    background = explain.background_sample(vectors(t), "vec_id", VECTOR, 2)
+    background = explain.background_sample(vectors(t), "vec_id", VECTOR)
     found = explain.sampled_shap(trained, vectors(t), "vec_id", VECTOR, background, per_class=True)
     total = F.col("base_value") + F.aggregate("impacts", F.lit(0.0), lambda a, e: a + e["impact"])
     own = trained.predict(vectors(t)).select("vec_id", F.explode("probability").alias("class", "p"))
