@@ -251,3 +251,24 @@ def test_registered_tree_impacts(spark, tables):
         ways = np.array([(price[a, b0] - price[a0, b0], price[a, b] - price[a0, b]) for _, a0, b0 in background])
         assert ways.min(axis=1).mean() - 1e-6 <= found[key]["p_size"] <= ways.max(axis=1).mean() + 1e-6
         assert abs(base + sum(found[key].values()) - price[a, b]) < 1e-6
+
+
+def test_registered_projection_of_four_columns(spark, tables):
+    """The projection against the eigenvectors of the correlations of all four columns."""
+    from tidemill.plans import charts as plans
+    from tidemill.plans.base import QUERIES
+
+    rows = tables.lineitem.select("l_orderkey", "l_returnflag", *plans.COLUMNS).collect()
+    points = np.array([r[2:] for r in rows], float)
+    standard = (points - points.mean(axis=0)) / points.std(axis=0)
+    values, vectors = np.linalg.eigh(np.cov(standard.T))
+    expected = np.abs(standard @ vectors[:, ::-1][:, :2])
+    shares = values[::-1][:2] / values.sum()
+    found = QUERIES["v8_pca_2d_four_columns"](spark, tables.folder).collect()
+    assert len(found) == len(rows) and shares[0] < 0.99
+    for i, c in enumerate(("pc1", "pc2")):
+        ours = sorted((r.l_orderkey, r.l_returnflag, r[c]) for r in found)
+        theirs = sorted((r.l_orderkey, r.l_returnflag, v) for r, v in zip(rows, expected[:, i], strict=True))
+        assert [r[:2] for r in ours] == [r[:2] for r in theirs]
+        assert np.allclose([r[2] for r in ours], [r[2] for r in theirs], atol=1e-3)
+        assert {round(r[f"share{i + 1}"], 5) for r in found} == {round(shares[i], 5)}

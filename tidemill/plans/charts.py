@@ -156,6 +156,14 @@ def pca_2d(t):
     return rounded(found.withColumns({"share1": F.lit(shares[0]), "share2": F.lit(shares[1])}))
 
 
+@query("v8_pca_2d_four_columns")
+def pca_2d_four_columns(t):
+    """Four columns onto two components. Their signs are arbitrary."""
+    points, shares = charts.pca_2d(t.lineitem, "l_orderkey", COLUMNS, "l_returnflag")
+    found = points.withColumns({c: F.round(F.abs(c), 4) for c in ("pc1", "pc2")})
+    return rounded(found.withColumns({"share1": F.lit(shares[0]), "share2": F.lit(shares[1])}))
+
+
 def _density_sql(x: str) -> str:
     return f"""SELECT '{x}' AS "column", round(x, 4) AS x, round(avg(exp(-0.5 * (({x} - x) / h) * (({x} - x) / h))) / max(h * sqrt(2 * pi())) * 1e6, 4) AS density
 FROM (SELECT (lo - 3 * h) + ((hi + 3 * h) - (lo - 3 * h)) * i / 199 AS x, h FROM (
