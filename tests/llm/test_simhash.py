@@ -44,6 +44,48 @@ def test_nasty_rows(spark):
     assert simhash.near_duplicates(table(spark, [])).count() == 0
 
 
+def chain():
+    """Three texts of which the middle one is close to both others, and these are not close to each other."""
+    draw = random.Random(11)
+    words = [f"w{draw.randrange(400)}" for _ in range(400)]
+    found = [" ".join(words)]
+    for _ in range(20_000):
+        changed = found[-1].split()
+        changed[draw.randrange(400)] = f"v{draw.randrange(10**6)}"
+        text = " ".join(changed)
+        prints = [simhash.fingerprint(t.encode()) for t in [*found, text]]
+        if (prints[-1] ^ prints[-2]).bit_count() in (1, 2) and (len(found) == 1 or (prints[-1] ^ prints[0]).bit_count() > 2):
+            found.append(text)
+            if len(found) == 3:
+                return found
+    raise AssertionError("no chain")
+
+
+def test_a_text_without_id_links_others(spark):
+    a, b, c = chain()
+    rows = [(1, a), (None, b), (None, b), (3, c), (4, "another text")]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, found), key=str) == expected(rows)
+    assert {r.component_id for r in found} == {1, 4}
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 4]
+
+
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    x, y, p, q = (" ".join(f"{t}{i}" for i in range(60)) for t in "xypq")
+    rows = [(1, x), (2, x), (2, y), (3, y), (5, p), (5, q), (5, q), (7, p + "!"), (7, p + "!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = expected(rows)
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_first(docs).collect())
+    near = simhash.near_duplicates(docs).collect()
+    assert sorted(map(tuple, near), key=str) == groups
+    assert {(1, x), (2, y), (5, p), (5, q)} <= set(kept) and len(kept) == len(set(kept))
+    assert not {(2, x), (3, y)} & set(kept)
+    # both texts that an id has in one component: the one of the smaller hash stays
+    same = spark.createDataFrame([(1, "A b c"), (1, "a B c"), (2, "a b c")], "doc_id long, text string")
+    assert [r.doc_id for r in simhash.keep_first(same).collect()] == [1]
+
+
 def test_one_of_each_group_stays(spark):
     kept = simhash.keep_first(table(spark))
     assert kept.columns == table(spark).columns

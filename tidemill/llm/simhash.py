@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import rows, slim, stored
@@ -44,12 +44,25 @@ def _fingerprints(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
     for batch in batches:
         values = [fingerprint(t, size) for (t,) in rows(iter([batch]), "text")]
         signed = np.array(values, np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], ["doc_id", "fp"])
+        names = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(signed)], [*names, "fp"])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """``doc_id`` and the fingerprint as a signed long ``fp``; a null text is a text without words."""
-    return slim(df, id_col, text_col).mapInArrow(partial(_fingerprints, size), "doc_id long, fp long")
+def fingerprints(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, key: bool = False
+) -> DataFrame:
+    """``doc_id`` and the fingerprint as a signed long ``fp``; a null text is a text without words.
+
+    ``key`` adds ``text_key``, a hash that tells the texts of an id apart.
+    """
+    texts, schema = slim(df, id_col, text_col), "doc_id long, fp long"
+    if key:
+        texts, schema = texts.withColumn("text_key", _text_key("text")), "doc_id long, text_key long, fp long"
+    return texts.mapInArrow(partial(_fingerprints, size), schema)
+
+
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.col(f"`{text_col}`").cast("binary"))
 
 
 def _signed(x: int) -> int:
@@ -150,25 +163,42 @@ def near_duplicates(
     space have fingerprint 0 and are linked like any other. Repeated rows give repeated rows; a null id takes part
     through its fingerprint, but is never the smallest one unless it is the only one. No rows give no rows.
     """
-    marked = stored(fingerprints(df, id_col, text_col, size), "fingerprints")
-    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    whole = components(links(nodes.where("node IS NOT NULL"), distance))
-    named = nodes.join(whole, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(stored(named, "components"), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    marked = _grouped(stored(fingerprints(df, id_col, text_col, size), "fingerprints"), distance)
+    return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _grouped(marked: DataFrame, distance: int) -> DataFrame:
+    """With ``component``, its smallest fingerprint, and ``component_id``, its smallest id.
+
+    The nodes are fingerprints, so that those without an id link others as well, and an id with several texts links none.
+    """
+    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
+    whole = components(links(nodes.select("fp", F.col("fp").alias("node")), distance))
+    members = nodes.join(whole.withColumnRenamed("node", "fp"), "fp", "left")
+    members = stored(members.select("fp", "low", F.coalesce("component", "fp").alias("component")), "members")
+    smallest = stored(members.groupBy("component").agg(F.min("low").alias("component_id")), "smallest")
+    named = members.join(smallest, "component").select("fp", "component", "component_id")
+    return marked.join(stored(named, "components"), "fp")
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, distance: int = 2) -> DataFrame:
-    """The rows of ``df`` whose id is not a larger one of its component; all columns stay.
+    """The rows of ``df`` that are the first of their component, by id and then by a hash of the text; all columns stay.
 
-    Of rows that repeat an id, one stays. A row without an id stays, as nothing can name it.
+    Of rows that repeat an id and its text, one stays. Different texts of one id are documents of their own. A row
+    without an id stays, as nothing can name it.
     """
-    marked = near_duplicates(df, id_col, text_col, size, distance)
-    later = stored(marked.where("doc_id <> component_id").select(F.col("doc_id").alias("_later_id")).distinct(), "later")
-    kept = df.join(later, F.col(f"`{id_col}`").cast("long") == F.col("_later_id"), "left_anti")
+    marked = _grouped(stored(fingerprints(df, id_col, text_col, size, key=True), "fingerprints"), distance)
+    marked = stored(marked.where("doc_id IS NOT NULL").select("doc_id", "text_key", "component", "component_id"), "grouped")
+    heads = marked.where("doc_id = component_id")
+    first = heads.groupBy("component").agg(F.min("text_key").alias("first"), F.max("text_key").alias("last")).where("first <> last")
+    others = heads.join(stored(first, "firsts"), "component").where("text_key <> first")
+    gone = marked.where("doc_id <> component_id").select("doc_id", "text_key").union(others.select("doc_id", "text_key"))
+    gone = stored(gone.distinct().toDF("_later_id", "_later_key"), "later")
+    own = (F.col(f"`{id_col}`").cast("long") == F.col("_later_id")) & (_text_key(text_col) == F.col("_later_key"))
+    kept = df.join(gone, own, "left_anti")
     repeated = df.groupBy(id_col).count().where(f"`{id_col}` IS NOT NULL AND count > 1")
     if not repeated.take(1):
         return kept
     missing = kept.where(F.col(f"`{id_col}`").isNull())
-    return kept.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col]).union(missing)
+    once = kept.where(F.col(f"`{id_col}`").isNotNull()).withColumn("_text_key", _text_key(text_col))
+    return once.dropDuplicates([id_col, "_text_key"]).drop("_text_key").union(missing)
