@@ -4,12 +4,14 @@ import base64
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from cases import nasty, plain_repeats, sha, table
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
+from tidemill.llm import mixing
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -66,6 +68,15 @@ def test_mixing_uses_every_document(stages):
     assert set(uses) == {str(r) for r in stages[3]} and set(uses.values()) <= {1, 2, 3}
 
 
+def test_mix_is_written_in_its_order(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    corpus_pipeline.mixed(spark, docs, SMALL).write.parquet(str(tmp_path / "mix"))
+    files = sorted((tmp_path / "mix").glob("part-*.parquet"))
+    written = [i for f in files for i in pq.read_table(f, columns=["doc_id"])["doc_id"].to_pylist()]
+    mix = mixing.mix_sources(docs, repeats=2.0).select("block", "place", "row.doc_id").collect()
+    assert written == [r.doc_id for r in sorted(mix, key=lambda r: (r.block, r.place, r.doc_id))]
+
+
 def test_tokens(stages):
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
