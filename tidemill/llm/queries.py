@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, langid, mixing, parsing, sharding, simhash, suffixes, tokencount, topk, windows
+from tidemill.llm import bpe, decontam, langid, mixing, parsing, sharding, simhash, suffixes, tokencount, topk, windows
 
 SHARDS = 24
 
@@ -81,6 +81,15 @@ def super_kmer_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _digests(windows.remove_repeats(_documents(spark, folder))).drop("removed")
 
 
+@_query("op11_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder.rstrip('/')}/benchmark.parquet")
+    return decontam.report(_documents(spark, folder), benchmark)
+
+
+ORACLES["op11_decontamination"] = decontam.oracle_sql()
+
+
 def _digests(kept: DataFrame) -> DataFrame:
     """What is left, as digests; ``removed`` stays as the word ranges."""
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])
