@@ -56,7 +56,7 @@ def test_special_strings_and_long_texts(spark, library, monkeypatch):
     assert sorted(map(tuple, found), key=str) == expected([r[:2] for r in rows], library)
     monkeypatch.setattr(tokencount, "_CALL", 64)
     count, cut = tokencount._counter(public_tokenizers.path(tokencount.TOKENIZER))
-    for text in [*texts, "x" * 500, "é ½²" * 200, " " * 300 + "a"]:
+    for text in [*texts, "x" * 500, "é ½²" * 200, " " * 300 + "a", "  \n…" * 100, "a \n\n b" * 60]:
         assert tokencount._long(text, count, cut) == len(library.encode(text, add_special_tokens=False).ids)
 
 

@@ -75,6 +75,21 @@ class Splitter:
                 part = []
         yield part
 
+    def parts(self, text: str, step: int) -> Iterator[str]:
+        """The text in parts of about ``step`` matches, each of which has the same matches by itself.
+
+        A part ends with a match that is not white space: of spaces at its end the pattern would make one match.
+        """
+        part: list[str] = []
+        for some in self.lists(text, step):
+            for match in some:
+                part.append(match)
+                if len(part) >= step and not match.isspace():
+                    yield "".join(part)
+                    part = []
+        if part:
+            yield "".join(part)
+
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))

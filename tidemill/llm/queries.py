@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, decontam, langid, mixing, parsing, sharding, simhash, suffixes, tokencount, topk, windows
+from tidemill.llm import (
+    alignment,
+    bpe,
+    decontam,
+    langid,
+    mixing,
+    parsing,
+    sharding,
+    simhash,
+    suffixes,
+    tokencount,
+    topk,
+    windows,
+)
 
 SHARDS = 24
 
@@ -90,6 +103,11 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op11_decontamination"] = decontam.oracle_sql()
 
 
+@_query("op13_token_alignment")
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokenizers(_documents(spark, folder))
+
+
 def _digests(kept: DataFrame) -> DataFrame:
     """What is left, as digests; ``removed`` stays as the word ranges."""
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])

@@ -76,7 +76,7 @@ def _long(text: str, count, cut) -> int:
             )
     if len(text) <= _CALL:
         return count([text])[0]
-    return sum(count(["".join(part)])[0] for part in splitter.lists(text, _CALL // 8) if part)
+    return sum(count([part])[0] for part in splitter.parts(text, _CALL // 8))
 
 
 def _counts(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
