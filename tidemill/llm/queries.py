@@ -11,6 +11,7 @@ from tidemill.llm import (
     alignment,
     bpe,
     decontam,
+    divergence,
     langid,
     mixing,
     parsing,
@@ -103,6 +104,14 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op11_decontamination"] = decontam.oracle_sql()
 
 
+@_query("op12_source_divergence")
+def source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_documents(spark, folder))
+
+
+ORACLES["op12_source_divergence"] = divergence.oracle_sql()
+
+
 @_query("op13_token_alignment")
 def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_tokenizers(_documents(spark, folder))
