@@ -8,6 +8,7 @@ from tidemill.functions.columns import local_rows
 from tidemill.functions.lineage import scratch_path
 from tidemill.operators import evaluate, explain, models, training
 from tidemill.operators.splits import random_split
+from tidemill.operators.tree_shap import tree_shap
 from tidemill.plans.base import query, rounded, union_sql
 
 DIMENSIONS = 64
@@ -399,3 +400,48 @@ def sampled_shap_per_class(t):
         F.bool_and(F.abs(F.col("total") - F.col("p")) < 1e-9).alias("adds_up"),
         (F.max("base_value") - F.min("base_value") < 1e-9).alias("one_base"),
     )
+
+
+@query(
+    "x2_tree_shap",
+    """WITH r AS (SELECT p_partkey, (p_size > 25)::DOUBLE AS a, (p_retailprice > 950)::DOUBLE AS b, p_retailprice AS y FROM part),
+f AS (SELECT a, b, avg(y) AS m, count(*) AS n FROM r GROUP BY a, b),
+z AS (SELECT a, b, count(*) / sum(count(*)) OVER () AS w FROM (SELECT a, b FROM r ORDER BY p_partkey LIMIT 100) GROUP BY a, b)
+SELECT x.a, x.b, x.n, round(sum(w * zz.m), 4) AS base_value,
+  round(sum(w * ((xz.m - zz.m) + (x.m - zx.m)) / 2), 4) + 0.0 AS impact_a, round(sum(w * ((zx.m - zz.m) + (x.m - xz.m)) / 2), 4) + 0.0 AS impact_b
+FROM f x CROSS JOIN z JOIN f zz ON zz.a = z.a AND zz.b = z.b JOIN f xz ON xz.a = x.a AND xz.b = z.b JOIN f zx ON zx.a = z.a AND zx.b = x.b
+GROUP BY x.a, x.b, x.n""",
+)
+def exact_tree_shap(t):
+    """Two features of two values: the tree is the mean of each of four cells, and both orders are written out in SQL."""
+    parts = t.part.select(
+        "p_partkey", (F.col("p_size") > 25).cast("double").alias("a"), (F.col("p_retailprice") > 950).cast("double").alias("b"), "p_retailprice"
+    )
+    trained = models.train(parts, "decision_tree_regressor", ["a", "b"], "p_retailprice")
+    found = tree_shap(trained, parts, "p_partkey", explain.background_sample(parts, "p_partkey", ["a", "b"]))
+    a, b = (F.get("impacts", F.lit(i)) for i in (0, 1))
+    each = found.select("base_value", a["value"].alias("a"), a["impact"].alias("ia"), b["value"].alias("b"), b["impact"].alias("ib"))
+    return rounded(
+        each.groupBy("a", "b").agg(
+            F.count(F.lit(1)).alias("n"), F.max("base_value").alias("base_value"), F.max("ia").alias("impact_a"), F.max("ib").alias("impact_b")
+        ),
+        4,
+    )
+
+
+@query(
+    "x2_tree_shap_per_class",
+    "SELECT label AS class, (SELECT count(*) FROM embeddings) AS rows, true AS adds_up, true AS one_base FROM embeddings GROUP BY label",
+)
+def exact_tree_shap_per_class(t):
+    """64 features, ten classes, the tree at its default parameters and the whole background: impacts add up for every row."""
+    trained = models.train(vectors(t), "decision_tree", VECTOR, "label")
+    found = tree_shap(trained, vectors(t), "vec_id", explain.background_sample(vectors(t), "vec_id", VECTOR), per_class=True)
+    total = F.col("base_value") + F.aggregate("impacts", F.lit(0.0), lambda a, e: a + e["impact"])
+    own = trained.predict(vectors(t)).select("vec_id", F.explode("probability").alias("class", "p"))
+    joined = found.select("vec_id", "class", "base_value", total.alias("total")).join(own, ["vec_id", "class"])
+    return joined.groupBy("class").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.bool_and(F.abs(F.col("total") - F.col("p")) < 1e-9).alias("adds_up"),
+        (F.max("base_value") - F.min("base_value") < 1e-9).alias("one_base"),
+    )
