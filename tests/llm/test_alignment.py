@@ -112,7 +112,23 @@ def test_long_text_is_encoded_in_parts(spark, plain, monkeypatch):
     monkeypatch.setattr(alignment, "LONG", 2000)
     monkeypatch.setattr(alignment, "STEP", 1000)
     parts = [t.encode([text]) for t in map(alignment.load, map(public_tokenizers.path, (alignment.TOKENIZER_A, alignment.TOKENIZER_B)))]
-    assert parts == whole
+    assert [[i.tolist() for i in side] for side in parts] == [[i.tolist() for i in side] for side in whole]
+
+
+def test_plain_text_is_encoded_alike():
+    """Every plain character in every kind of neighbourhood, and words that merge in many orders."""
+    tokens = alignment.load(public_tokenizers.path(alignment.TOKENIZER_A))
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path(alignment.TOKENIZER_A))
+    library.encode_special_tokens = True
+    plain = [c for c in map(chr, range(0x250)) if alignment.is_plain(c)]
+    assert len(plain) > 500
+    texts = ["".join(f"{p}{c}{q}" for p in ("a", " ", "1", "!", "\n", "'") for q in ("b", " ", "2", "?", "\t", "'s")) for c in plain]
+    draw = random.Random(9)
+    texts += ["".join(draw.choice("aeinorst lhdcumpfgybwvkxjqz'  \nABC019.,-é") for _ in range(400)) for _ in range(300)]
+    texts += ["<|endoftext|>", "x" * 3000, " " * 50, "\n \n  a"]
+    want = [e.ids for e in library.encode_batch([f" {t}" for t in texts], add_special_tokens=False)]
+    assert all(map(alignment.is_plain, texts))
+    assert [i.tolist() for i in tokens.encode(texts)] == want
 
 
 def test_gallop_is_a_search():

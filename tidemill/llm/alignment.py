@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -15,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import Splitter, rows, stored
+from tidemill.llm.bpe import decode
+from tidemill.llm.common import Splitter, is_plain, rows, stored
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Id pairs whose counts are sent to the executors; those of the others are joined.
@@ -32,7 +34,8 @@ class Tokens:
 
     bytes: list[bytes]
     size: np.ndarray
-    encode: Callable[[list[str]], list[list[int]]]
+    encode: Callable[[list[str]], list[np.ndarray]]
+    spelled: pa.Array
 
 
 def _byte_letters() -> dict[str, int]:
@@ -54,18 +57,48 @@ def _byte_level(path: str) -> Tokens:
     found = [b""] * (max(entries.values()) + 1)
     for entry, i in entries.items():
         found[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
-    split = Splitter(public_tokenizers.PATTERN)
+    split, ranked = Splitter(public_tokenizers.PATTERN), _ranked(path, found)
 
-    def ids(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+    def ids(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int64) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        if len(texts) > 1 or len(texts[0]) <= LONG:
-            return ids([f" {t}" for t in texts])
-        # A part ends where the tokenizer itself cuts before its merges.
-        return [[i for part in split.parts(f" {texts[0]}", LONG // 8) for i in ids([part])[0]]]
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        spaced = [f" {t}" for t in texts]
+        plain = [ranked is not None and is_plain(t) for t in spaced]
+        rest = [t for t, p in zip(spaced, plain, strict=True) if not p]
+        if len(rest) == 1 and len(rest[0]) > LONG:
+            # A part ends where the tokenizer itself cuts before its merges.
+            others = [np.concatenate([i for part in split.parts(rest[0], LONG // 8) for i in ids([part])])]
+        else:
+            others = ids(rest) if rest else []
+        left = iter(others)
+        quick = lambda t: ranked.encode_to_numpy(t, disallowed_special=()).astype(np.int64)
+        return [quick(t) if p else next(left) for t, p in zip(spaced, plain, strict=True)]
 
-    return Tokens(found, np.array([len(b) for b in found]), encode)
+    return Tokens(found, np.array([len(b) for b in found]), encode, pa.array(found, pa.binary()))
+
+
+def _ranked(path: str, found: list[bytes]):
+    """A faster encoder with the same result on plain text, or None.
+
+    It merges the neighbours whose joined bytes have the lowest id. If the ids of what the file's merges make ascend,
+    these are the file's next merge: what is left of a token's bytes when all lower merges are done are the two parts
+    it is made of.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    first, vocabulary = spec.get("pre_tokenizer") or {}, spec["model"]["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    made = [vocabulary["".join(p)] for p in pairs]
+    added = {t["content"] for t in spec.get("added_tokens") or []}
+    entries = {found[i]: i for e, i in vocabulary.items() if e not in added}
+    known = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
+    singles = all(bytes([b]) in entries for b in range(256))
+    if not known or not singles or made != sorted(set(made)) or len(made) + 256 != len(entries) or spec.get("normalizer"):
+        return None
+    return tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=entries, special_tokens={})
 
 
 def _pieces(path: str) -> Tokens:
@@ -80,17 +113,17 @@ def _pieces(path: str) -> Tokens:
     # If no piece has a space after something else, no token crosses the place before such a space.
     cuts = not any(re.search("[^▁]▁", p) for p in pieces) and model.encode("a  b c") == model.encode("a") + model.encode(" b") + model.encode("c")
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    def encode(texts: list[str]) -> list[np.ndarray]:
         if len(texts) > 1 or len(texts[0]) <= LONG or not cuts:
-            return model.encode(texts, num_threads=1)
+            return [np.array(i, np.int64) for i in model.encode(texts, num_threads=1)]
         text, start, ids = texts[0], 0, []
         for place in re.finditer("(?<=[^ ▁]) (?=.)", text, re.DOTALL):
             if place.start() - start >= LONG:
                 ids += model.encode(text[start : place.start()], num_threads=1)
                 start = place.end()
-        return [ids + model.encode(text[start:], num_threads=1)]
+        return [np.array(ids + model.encode(text[start:], num_threads=1), np.int64)]
 
-    return Tokens(found, np.array([len(b) for b in found]), encode)
+    return Tokens(found, np.array([len(b) for b in found]), encode, pa.array(found, pa.binary()))
 
 
 @lru_cache(maxsize=4)
@@ -226,19 +259,14 @@ def groups_of(found: Alignment, texts: int, count_a: int, count_b: int) -> list[
     return [cells[p:q].tobytes().translate(None, b"\0")[:-1] for p, q in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def _spelled(tokens: Tokens, ids: list[int], whole: bytes) -> np.ndarray | None:
-    """The ids, if their bytes are those of the text."""
-    return np.array(ids, np.int64) if b"".join(map(tokens.bytes.__getitem__, ids)) == whole else None
-
-
 def _encoded(a: Tokens, b: Tokens, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Ids of both sides; none where they do not spell the text."""
     none = (np.empty(0, np.int64), np.empty(0, np.int64))
     out = []
     for text, ids_a, ids_b in zip(texts, a.encode(texts), b.encode(texts), strict=True):
         whole = b" " + text.encode()
-        pair = (_spelled(a, ids_a, whole), _spelled(b, ids_b, whole))
-        out.append(none if pair[0] is None or pair[1] is None else pair)
+        same = decode(a.spelled, ids_a) == whole and decode(b.spelled, ids_b) == whole
+        out.append((ids_a, ids_b) if same else none)
     return out
 
 

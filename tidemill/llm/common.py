@@ -48,6 +48,11 @@ def rows(batches: Iterator[pa.RecordBatch], *names: str, step: int = 512) -> Ite
             yield from zip(*[c.slice(start, step).to_pylist() for c in columns], strict=True)
 
 
+def is_plain(text: str) -> bool:
+    """Whether all characters are of those that libraries of regular expressions class alike."""
+    return _PLAIN_ONLY.search(text) is None
+
+
 class Splitter:
     """Cuts texts into the matches of a tokenizer's pattern.
 
@@ -63,7 +68,7 @@ class Splitter:
 
     def lists(self, text: str, step: int = 1 << 18) -> Iterator[list[str]]:
         """The matches; those of a long text come in several lists, so that they are never all in memory."""
-        pattern = self.full if self.plain is None or _PLAIN_ONLY.search(text) else self.plain
+        pattern = self.plain if self.plain is not None and is_plain(text) else self.full
         if len(text) <= step:
             yield pattern.findall(text)
             return
