@@ -57,7 +57,7 @@ def counters_of(t):
     )
 
 
-_GROWN_SQL = f"""SELECT event_type, pod, ts, since, CASE WHEN value < last THEN value ELSE value - last END AS grown FROM (
+GROWN_SQL = f"""SELECT event_type, pod, ts, since, CASE WHEN value < last THEN value ELSE value - last END AS grown FROM (
   SELECT *, lag(value) OVER s AS last, lag(ts) OVER s AS since FROM ({_COUNTER_SQL}) WINDOW s AS (PARTITION BY event_type, pod ORDER BY ts))
 WHERE last IS NOT NULL"""
 
@@ -66,7 +66,7 @@ def grown_sql(by: str, window: int, step: int) -> str:
     """Every increase is copied to each window that holds both of its samples."""
     first = f"CAST(floor(epoch_us(%s) / {step * 1000000}.0) AS BIGINT) * {step}"
     return f"""SELECT {by}, window_end, sum(grown) AS grown FROM (SELECT s.*,
-  unnest(range({first % "ts"} + {step}, {first % "since"} + {window} + 1, {step})) AS window_end FROM ({_GROWN_SQL}) s) GROUP BY {by}, window_end"""
+  unnest(range({first % "ts"} + {step}, {first % "since"} + {window} + 1, {step})) AS window_end FROM ({GROWN_SQL}) s) GROUP BY {by}, window_end"""
 
 
 @query(

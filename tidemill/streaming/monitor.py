@@ -1,24 +1,23 @@
-"""Rates, ratios, counts, sessions and alerts over a stream, in append mode.
+"""Rates, ratios, counts and sessions over a stream, in append mode; what remembers more is in ``stateful``.
 
 A window is written once, when the watermark has passed its end; rows later than the delay are dropped. State is
-one row per label set and open window, or per key for sessions and alerts.
+one row per label set and open window, or per key for sessions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tidemill.functions.columns import epoch_seconds, number, quoted, when_true
 from tidemill.functions.lineage import scratch_path
 from tidemill.operators.abtest import STICKY_TTL, bucket_rows
 from tidemill.operators.logs import select_logs
-from tidemill.operators.monitor import SCRAPE_SECONDS, WINDOW_5M, AlertRule
+from tidemill.operators.monitor import SCRAPE_SECONDS, WINDOW_5M
+from tidemill.streaming.stateful import alert_stream  # noqa: F401
 
 # Fixed value: log lines older than this are rejected.
 LATEST_ARRIVAL = "168 hours"
@@ -149,58 +148,23 @@ def session_stream(
     )
 
 
-def alert_stream(
-    series: DataFrame,
-    rule: AlertRule,
-    step: int,
-    label: str,
-    at: str = "window_end",
-    value: str = "value",
-) -> DataFrame:
-    """``(alert, severity, label, active_at, fired_at)``, written when an alert fires.
-
-    ``series`` streams from the table that a window stream appends to, so its values come in order of time. The
-    state of a label value is when the condition became and was last true, and whether that has fired: a few
-    numbers for each label value ever seen.
-    """
-    waited = -(-rule.hold // step) * step
-    name, severity = rule.name, rule.severity
-    key_type = series.schema[label].dataType.simpleString()
-
-    def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        active, last, fired = state.get if state.exists else (-1, -1, False)
-        out = []
-        for t, holds in sorted((int(t), bool(h)) for b in batches for t, h in zip(b["at"], b["holds"])):
-            if not holds:
-                active, fired = -1, False
-                continue
-            if active < 0 or t - last != step:
-                active, fired = t, False
-            last = t
-            if not fired and t - active >= waited:
-                fired = True
-                out.append((name, severity, key[0], active, active + waited))
-        state.update((active, last, fired))
-        yield pd.DataFrame(out, columns=["alert", "severity", label, "active_at", "fired_at"])
-
-    judged = series.select(label, F.col(at).alias("at"), rule.holds(F.col(value)).alias("holds"))
-    return judged.groupBy(label).applyInPandasWithState(
-        follow,
-        f"alert string, severity string, {label} {key_type}, active_at bigint, fired_at bigint",
-        "active bigint, last bigint, fired boolean",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+# State is kept in RocksDB, off the heap; ``transformWithState`` needs it.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, partitions: int | None = None) -> DataFrame:
     """Process what is there now, append the result as parquet, and read all of it back.
 
-    A checkpoint keeps its number of state partitions for life: ``partitions`` sets it on the first run.
+    A checkpoint keeps its number of state partitions for life: ``partitions`` sets it on the first run (None: the
+    session's number of shuffle partitions).
     """
     conf = stream.sparkSession.conf
-    usual = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(partitions or usual))
+    wanted = {"spark.sql.streaming.stateStore.providerClass": STATE_STORE}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    usual = {name: conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        conf.set(name, value)
     try:
         query = (
             stream.writeStream.format("parquet")
@@ -211,18 +175,60 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, partitions: int
         )
         query.awaitTermination()
     finally:
-        conf.set("spark.sql.shuffle.partitions", usual)
+        for name, value in usual.items():
+            conf.set(name, value) if value is not None else conf.unset(name)
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
 def run_to_scratch(stream: DataFrame, name: str) -> DataFrame:
-    """One run into fresh folders of the shared scratch space, with state for at most two waves of tasks."""
+    """One run into fresh folders of the shared scratch space."""
     return run_to_folder(stream, scratch_path(stream.sparkSession, name))
 
 
 def run_to_folder(stream: DataFrame, path: str) -> DataFrame:
-    """One run into a folder; state is cut for the cores of this one run, as its checkpoint is not used again."""
-    spark = stream.sparkSession
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(usual, 2 * spark.sparkContext.defaultParallelism)
-    return run_available(stream, path, scratch_path(spark, "stream-state"), partitions)
+    """One run into a folder, with a checkpoint that is not used again."""
+    return run_available(stream, path, scratch_path(stream.sparkSession, "stream-state"))
+
+
+def usage_ratio_stream(
+    used: DataFrame,
+    limits: DataFrame,
+    by: str = "pod",
+    window: int = WINDOW_5M,
+    ts: str = "ts",
+    value: str = "value",
+    delay: str = METRIC_DELAY,
+) -> DataFrame:
+    """``(by, window_end, ratio)``: summed usage over summed limit in each tumbling window that has both.
+
+    Two streams, each summed under its own watermark, are joined on label value and window; state of a window goes
+    when both have passed it. The slower one decides when a window is written. Rows that come after the common
+    watermark drop on either side.
+    """
+
+    def summed(side: DataFrame, name: str) -> DataFrame:
+        timed = with_event_time(side, ts, delay)
+        return timed.groupBy(by, F.window("_t", f"{window} seconds").alias("_window")).agg(F.sum(value).alias(name))
+
+    top, bottom = summed(used, "used"), summed(limits, "limit")
+    joined = top.join(bottom, [by, "_window"]).where(F.col("limit") != 0)
+    return joined.select(by, F.unix_seconds("_window.end").alias("window_end"), (F.col("used") / F.col("limit")).alias("ratio"))
+
+
+def suppress_warnings_stream(
+    alerts: DataFrame, equal: Sequence[str] = ("alert", "service"), at: str = "at", delay: str = METRIC_DELAY
+) -> DataFrame:
+    """The rows of ``alerts`` without the warnings whose ``equal`` labels have a critical alert at the same evaluation.
+
+    ``alerts`` streams a row for each alert and evaluation (epoch seconds) at which it is active. Warnings are joined with
+    the critical alerts of their labels and moment, and those that have met none when the watermark has passed them
+    are written. State is what the watermark has not passed yet. A null label is equal to none.
+    """
+    moment = F.timestamp_millis(F.col(at) * 1000 + 1)
+    timed = alerts.withColumn("_at", moment).withWatermark("_at", delay)
+    critical = timed.where(F.col("severity") == "critical").select(*[F.col(c).alias(f"_{c}") for c in equal], F.col("_at").alias("_when"))
+    warnings = timed.where(F.col("severity") == "warning")
+    same = [F.col("_at") == F.col("_when"), *[F.col(c) == F.col(f"_{c}") for c in equal]]
+    free = warnings.join(critical, same, "left_outer").where(F.col("_when").isNull())
+    others = timed.where((F.col("severity") != "warning") | F.col("severity").isNull())
+    return others.select(*alerts.columns).union(free.select(*alerts.columns))
