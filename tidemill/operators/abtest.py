@@ -7,10 +7,10 @@ from dataclasses import dataclass, field
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import epoch_seconds, local_rows, md5_key, number, quoted
-from tidemill.functions.ordered import with_previous, with_running_sum
 from tidemill.functions.ranking import exact_quantiles
 
 # Session lifetime in seconds, tolerance of the split, default model version.
@@ -81,15 +81,39 @@ def with_model(assigned: DataFrame, test: ABTest) -> DataFrame:
     return assigned.withColumns({"model_name": model, "model_version": version})
 
 
+def _session_parts(requests: DataFrame, user: str, ts: str, ttl: int) -> tuple[DataFrame, Column]:
+    """``(user, _part, ..., session)``: the hits of a user in each stretch of ``ttl``, and its column.
+
+    Hits in one stretch are never further apart than the lifetime, so only its first hit can open a session. Stretches
+    are counted up before they are shuffled: a user with a third of the log is a few rows in any task.
+    """
+    micros = (epoch_seconds(F.col(ts)) * 1_000_000).cast("bigint")
+    part = F.floor(micros / max(ttl * 1_000_000, 1)).cast("bigint")
+    parts = requests.groupBy(user, part.alias("_part")).agg(
+        F.min(micros).alias("_first"),
+        F.max(micros).alias("_last"),
+        F.min(ts).alias("_start"),
+        F.max(ts).alias("_end"),
+        F.count(F.lit(1)).alias("_hits"),
+    )
+    in_order = W.partitionBy(user).orderBy("_part")
+    idle = F.col("_first") - F.lag("_last").over(in_order)
+    opened = parts.withColumn("_opens", F.when(idle <= ttl * 1_000_000, 0).otherwise(1))
+    upto = in_order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    return opened.withColumn("session", F.sum("_opens").over(upto)).drop("_opens"), part
+
+
 def with_sessions(requests: DataFrame, user: str, ts: str, order: str, ttl: int = STICKY_TTL) -> DataFrame:
     """Add ``session``: 1, 2, ... per user. A hit within ``ttl`` seconds of the user's last one stays and renews.
 
-    A user may hold a large share of the log, so every user is worked day by day (see ``functions.ordered``).
+    A request finds its session by its user and stretch of time; hits of one moment (``order`` tells them apart) share
+    theirs. A hot user's requests stay where they are if the sessions fit a broadcast, else adaptive execution splits them.
     """
-    timed = requests.withColumns({"_t": epoch_seconds(F.col(ts)), "_day": F.date_trunc("day", F.col(ts))})
-    before = with_previous(timed, [user], ["_t", order], ["_t"], "_day")
-    opens = F.when(F.col("prev__t").isNull() | (F.col("_t") - F.col("prev__t") > ttl), 1).otherwise(0)
-    return with_running_sum(before, [user], ["_t", order], opens, "session", "_day").drop("_t", "_day", "prev__t")
+    parts, part = _session_parts(requests, user, ts, ttl)
+    sessions = parts.select(F.col(user).alias("_user"), "_part", "session")
+    timed = requests.withColumn("_own_part", part)
+    same = F.col(quoted(user)).eqNullSafe(F.col("_user")) & F.col("_own_part").eqNullSafe(F.col("_part"))
+    return timed.join(sessions, same).drop("_user", "_part", "_own_part")
 
 
 def sticky_assignments(requests: DataFrame, test: ABTest, user: str, ts: str, order: str) -> DataFrame:
@@ -99,11 +123,10 @@ def sticky_assignments(requests: DataFrame, test: ABTest, user: str, ts: str, or
 
 
 def session_table(requests: DataFrame, user: str, ts: str, order: str, ttl: int = STICKY_TTL) -> DataFrame:
-    """``(user, session, session_start, last_hit, hits)``."""
-    return (
-        with_sessions(requests, user, ts, order, ttl)
-        .groupBy(user, "session")
-        .agg(F.min(ts).alias("session_start"), F.max(ts).alias("last_hit"), F.count(F.lit(1)).alias("hits"))
+    """``(user, session, session_start, last_hit, hits)``, from stretches of time and not from requests."""
+    parts, _ = _session_parts(requests, user, ts, ttl)
+    return parts.groupBy(user, "session").agg(
+        F.min("_start").alias("session_start"), F.max("_end").alias("last_hit"), F.sum("_hits").alias("hits")
     )
 
 

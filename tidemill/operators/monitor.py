@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import epoch_seconds, long_rows, number, quoted, value_of, when_true
-from tidemill.functions.ordered import with_previous, with_running_sums
+from tidemill.functions.ordered import with_previous
 from tidemill.operators.abtest import bucket_rows
 
 # Evaluation step in seconds, and the windows of the dashboards.
@@ -74,36 +74,57 @@ def sliding_sums(
     With ``filled`` also over the empty windows between the first and the last one of a label set, with sums 0. A row
     with a ``since`` time counts only in windows that hold this moment too.
 
-    Rows are first summed per step. A step's sums enter the running sum of its label set when the first window ends
-    that holds it, and leave it again after the last one, so nothing is copied to windows but the sums that hold from
-    one change to the next. Sums of whole numbers are exact; fractions carry the rounding of a running sum. Long label
-    sets are worked day by day (see ``functions.ordered``).
+    Rows are first summed per step. A step's sums enter the sum of its label set when the first window ends that holds
+    them, and leave it again after the last one, so nothing is copied to windows but the sums that hold from one change
+    to the next. Time is cut into days that stand alone: a step that is still in the sum when a day begins enters
+    that day at its beginning. So a label set with a large share of all rows is as many tasks as it has days, and
+    nothing is carried over or joined. Sums of whole numbers are exact; fractions carry the rounding of a day's sum.
     """
     if window % step:
         raise ValueError(f"window {window} is not a multiple of step {step}")
-    start, names = step_start(F.col(ts), step), list(sums)
+    start, names, by = step_start(F.col(ts), step), list(sums), list(by)
     leaves = (start if since is None else step_start(F.col(since), step)) + step + window
     steps = df.groupBy(*by, (start + step).alias("_enter"), leaves.alias("_leave")).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(e).alias(n) for n, e in sums.items()]
     )
     steps = steps.where(F.col("_enter") < F.col("_leave"))
+    day = -(-86400 // step) * step
     held = ["_n", *names]
-    change = F.array(
-        F.struct(F.col("_enter").alias("_at"), *[F.col(n) for n in held]),
-        F.struct(F.col("_leave").alias("_at"), *[(-F.col(n)).alias(n) for n in held]),
-    )
-    changes = (
-        steps.select(*by, F.inline(change))
-        .groupBy(*by, "_at")
-        .agg(*[F.sum(n).alias(n) for n in held])
-        .withColumn("_day", F.floor(F.col("_at") / 86400))
+
+    def day_of(at: Column) -> Column:
+        return F.floor(at / day).cast("bigint")
+
+    def change(number: Column, at: Column, value, until: Column | None = None) -> Column:
+        end = (F.lit(None) if until is None else until).cast("bigint")
+        return F.struct(number.alias("_day"), at.alias("_at"), end.alias("_until"), *[value(F.col(n)).alias(n) for n in held])
+
+    def later_days(first: Column, last: Column, of) -> Column:
+        """One entry for each day after that of ``first`` up to that of ``last``."""
+        days = F.when(day_of(last) > day_of(first), F.sequence(day_of(first) + 1, day_of(last)))
+        return F.coalesce(F.transform(days, of), F.array())
+
+    enter, leave = F.col("_enter"), F.col("_leave")
+    both = F.array(change(day_of(enter), enter, lambda v: v), change(day_of(leave), leave, lambda v: -v))
+    again = later_days(enter, leave, lambda d: change(d, d * day, lambda v: v))
+    changes = steps.select(*by, F.inline(F.concat(both, again)))
+    if filled:
+        # an empty change at the beginning of every day, and where the last window of the label set ends
+        whole = steps.groupBy(*by).agg(F.min("_enter").alias("_enter"), F.max("_leave").alias("_leave"), *[F.sum(F.col(n) * 0).alias(n) for n in held])
+        first = change(day_of(enter), enter, lambda v: v, F.least((day_of(enter) + 1) * day, leave))
+        others = later_days(enter, leave, lambda d: change(d, d * day, lambda v: v, F.least((d + 1) * day, leave)))
+        changes = changes.unionByName(whole.select(*by, F.inline(F.concat(F.array(first), others))))
+    # the days of a label set stay where they are for the sums and for the order
+    dealt = changes.repartition(*by, "_day") if by else changes.repartition("_day")
+    summed = dealt.groupBy(*by, "_day", "_at").agg(F.max("_until").alias("_until"), *[F.sum(n).alias(n) for n in held])
+    order = W.partitionBy(*by, "_day").orderBy("_at")
+    running = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    end = F.max("_until").over(W.partitionBy(*by, "_day")) if filled else (F.col("_day") + 1) * day
+    spans = summed.select(
+        *by, "_at", F.coalesce(F.lead("_at").over(order), end).alias("_next"), *[F.sum(n).over(running).alias(n) for n in held]
     )
-    summed = with_running_sums(changes, by, ["_at"], {f"_sum_{n}": F.col(n) for n in held}, "_day")
-    # before a change holds what had been added up until then
-    before = with_previous(summed, by, ["_at"], ["_at", *[f"_sum_{n}" for n in held]], "_day")
-    spans = before.where(F.col("prev__at").isNotNull() if filled else F.col("prev__sum__n") > 0)
-    ends = F.sequence(F.col("prev__at"), F.col("_at") - step, F.lit(step).cast("bigint"))
-    return spans.select(*by, F.explode(ends).alias("window_end"), *[F.col(f"prev__sum_{n}").alias(n) for n in names])
+    spans = spans.where(F.col("_next") > F.col("_at") if filled else F.col("_n") > 0)
+    ends = F.sequence("_at", F.col("_next") - step, F.lit(step).cast("bigint"))
+    return spans.select(*by, F.explode(ends).alias("window_end"), *names)
 
 
 def event_rate(

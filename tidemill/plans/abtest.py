@@ -15,13 +15,13 @@ TEST = abtest.ABTest(
 )
 
 
-def _variant_sql(*key: str) -> str:
+def variant_sql(*key: str) -> str:
     draw = f"{md5_sql(repr(TEST.name), *key)} / 1152921504606846976.0"
     return f"CASE WHEN {draw} <= 0.5::DOUBLE THEN 'control' WHEN {draw} <= 0.8::DOUBLE THEN 'wide' ELSE 'deep' END"
 
 
 _LOG_SQL = f"""SELECT event_id, ts, user_id, value / 1000 AS latency, value AS prediction,
-  CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 AS confidence, {_variant_sql("user_id")} AS variant FROM events"""
+  CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 AS confidence, {variant_sql("user_id")} AS variant FROM events"""
 
 
 def log_of(t):
@@ -54,7 +54,7 @@ FROM (SELECT event_id, ts, user_id, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) O
 
 @query(
     "a2_sticky_sessions",
-    f"SELECT event_id, user_id, session, {_variant_sql('user_id', 'session')} AS variant FROM ({SESSIONS_SQL})",
+    f"SELECT event_id, user_id, session, {variant_sql('user_id', 'session')} AS variant FROM ({SESSIONS_SQL})",
 )
 def sticky_sessions(t):
     assigned = abtest.sticky_assignments(t.events, TEST, "user_id", "ts", "event_id")
@@ -89,12 +89,13 @@ def assignment_counts(t):
     return abtest.assignment_counts(log_of(t), TEST)
 
 
-@query(
-    "a5_ab_results",
-    f"""SELECT variant, count(*) AS count, round(avg(latency), 6) AS latency_mean, round(quantile_cont(latency, 0.5), 6) AS latency_median,
+def results_sql(log: str) -> str:
+    return f"""SELECT variant, count(*) AS count, round(avg(latency), 6) AS latency_mean, round(quantile_cont(latency, 0.5), 6) AS latency_median,
   round(quantile_cont(latency, 0.95), 6) AS latency_p95, round(min(latency), 6) AS latency_min, round(max(latency), 6) AS latency_max
-FROM ({_LOG_SQL}) GROUP BY variant""",
-)
+FROM ({log}) GROUP BY variant"""
+
+
+@query("a5_ab_results", results_sql(_LOG_SQL))
 def ab_results(t):
     return rounded(abtest.ab_results(log_of(t), TEST))
 
