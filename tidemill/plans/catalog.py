@@ -18,6 +18,7 @@ from tidemill.plans import (  # noqa: F401  (each registers its queries)
     profile,
     quality,
     registry,
+    scoring,
     sources,
     streams,
 )
