@@ -210,6 +210,9 @@ EXTRA_PARAMETERS = {
     "logistic_regression": _LINEAR_EXTRA | {"l1_ratio": ("elasticNetParam", float)},
     "svm": _LINEAR_EXTRA | {"max_iter": ("maxIter", int)},
     "gradient_boosting": {"subsample": ("subsamplingRate", float), "max_features": ("featureSubsetStrategy", _features_per_split)},
+    # of the neighbours: an exact search, or one by an index of hash buckets
+    "knn_classifier": {"algorithm": ("", str)},
+    "knn_regressor": {"algorithm": ("", str)},
     "mlp_classifier": {"tol": ("tol", float), "learning_rate_init": ("stepSize", float)},
     "linear_regression": {"tol": ("tol", float)},
     "ridge_regression": {"tol": ("tol", float)},
@@ -287,10 +290,18 @@ def train(df: DataFrame, model_name: str, features: list[str], target: str, para
     if model_name.startswith("knn_"):
         if params["weights"] not in KNN_WEIGHTS:
             raise ValueError(f"neighbours are weighted {' or '.join(KNN_WEIGHTS)}, not {params['weights']}")
+        if params.get("algorithm", KNN_ALGORITHMS[0]) not in KNN_ALGORITHMS:
+            raise ValueError(f"the algorithm of neighbours is {' or '.join(KNN_ALGORITHMS)}, not {params['algorithm']}")
         vectors = prepared.select(vector_to_array(FEATURES).alias(FEATURES), LABEL)
         path = scratch_path(df.sparkSession, "neighbours")
         vectors.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
-        fitted = NeighborModel(path, params["n_neighbors"], params["weights"], len(labels or []))
+        hashing = None
+        if params.get("algorithm") == "hash":
+            from tidemill.operators.neighbors import build_index
+
+            rows, path = df.sparkSession.read.parquet(path), scratch_path(df.sparkSession, "neighbour-index")
+            hashing = build_index(rows, "_row", FEATURES, LABEL, path, params["n_neighbors"]).hashing
+        fitted = NeighborModel(path, params["n_neighbors"], params["weights"], len(labels or []), hashing)
         return Trained(model_name, spec.task, features, target, PipelineModel([assembler, fitted]), labels, label_type)
     prepared = prepared.persist()
     try:
@@ -363,7 +374,7 @@ def confidence(df: DataFrame, probability: str = "probability") -> DataFrame:
 
 _DESCRIPTION = (
     "name string, task string, features array<string>, target string, labels array<string>, label_type string, "
-    "weights array<double>, neighbours struct<k:int,weights:string>"
+    "weights array<double>, neighbours struct<k:int,weights:string,hashing:string>"
 )
 
 
@@ -376,7 +387,7 @@ def save_model(trained: Trained, path: str) -> None:
         weights = [float(w) for w in last.weights]
         stages = PipelineModel([*trained.pipeline.stages[:-1], *last.models])
     elif isinstance(last, NeighborModel):
-        neighbours = {"k": last.k, "weights": last.weights}
+        neighbours = {"k": last.k, "weights": last.weights, "hashing": last.hashing and last.hashing.to_json()}
         stages = PipelineModel(trained.pipeline.stages[:-1])
         spark.read.parquet(last.path).write.mode("overwrite").parquet(f"{path}/neighbours")
     stages.write().overwrite().save(f"{path}/pipeline")
@@ -395,7 +406,13 @@ def load_model(spark: SparkSession, path: str) -> Trained:
         boosted = AdaBoostModel(list(trees), list(row["weights"]), len(labels))
         pipeline = PipelineModel([*pipeline.stages[: -len(trees)], boosted])
     elif row["neighbours"] is not None:
-        near = NeighborModel(f"{path}/neighbours", *row["neighbours"], len(labels or []))
+        k, weights, text = row["neighbours"]
+        hashing = None
+        if text:
+            from tidemill.operators.neighbors import Hashing
+
+            hashing = Hashing.from_json(text)
+        near = NeighborModel(f"{path}/neighbours", k, weights, len(labels or []), hashing)
         pipeline = PipelineModel([*pipeline.stages, near])
     return Trained(row["name"], row["task"], list(row["features"]), row["target"], pipeline, labels, row["label_type"])
 
@@ -550,6 +567,7 @@ def predict_gaussian_nb(df: DataFrame, fitted: list[dict], features: list[str])
 
 
 KNN_WEIGHTS = ("uniform", "distance")
+KNN_ALGORITHMS = ("exact", "hash")
 
 
 def knn_neighbors(train_df: DataFrame, query: DataFrame, key: str, vector: str, target: str, k: int = 5) -> DataFrame:
@@ -684,11 +702,23 @@ def knn_regress(
 
 
 class NeighborModel(Transformer):
-    """Nearest neighbours as a fitted model: the training rows in a table, ``rawPrediction`` their vote shares."""
+    """Nearest neighbours as a fitted model: the training rows in a table, ``rawPrediction`` their vote shares.
+
+    With ``hashing`` the table is the index of ``operators.neighbors``, and neighbours are those it finds.
+    """
 
-    def __init__(self, path: str = "", k: int = 5, weights: str = "uniform", classes: int = 0):
+    def __init__(self, path: str = "", k: int = 5, weights: str = "uniform", classes: int = 0, hashing=None):
         super().__init__()
-        self.path, self.k, self.weights, self.classes = path, k, weights, classes
+        self.path, self.k, self.weights, self.classes, self.hashing = path, k, weights, classes, hashing
+
+    def _nearest(self, points: DataFrame) -> DataFrame:
+        if self.hashing is None:
+            known = points.sparkSession.read.parquet(self.path).select("_row", FEATURES, LABEL)
+            return knn_neighbors(known, points, "_row", FEATURES, LABEL, self.k)
+        from tidemill.operators.neighbors import NeighborIndex, approximate_neighbors
+
+        index = NeighborIndex(self.path, self.hashing, "_row", LABEL)
+        return approximate_neighbors(index, points, "_row", FEATURES, self.k)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         spark = df.sparkSession
@@ -697,8 +727,7 @@ class NeighborModel(Transformer):
         df.withColumn("_row", -1 - F.monotonically_increasing_id()).write.parquet(path)
         rows = spark.read.parquet(path)
         points = rows.select("_row", vector_to_array(FEATURES).alias(FEATURES))
-        found = knn_neighbors(spark.read.parquet(self.path).select("_row", FEATURES, LABEL), points, "_row", FEATURES, LABEL, self.k)
-        found = _weighted(found, "_row", self.weights)
+        found = _weighted(self._nearest(points), "_row", self.weights)
         if not self.classes:
             out = found.groupBy("_row").agg((F.sum(F.col(LABEL) * F.col("_w")) / F.sum("_w")).alias("prediction"))
         else:
