@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.operators import drift
+from tidemill.functions.lineage import scratch_path
+from tidemill.operators import drift, drift_store
 from tidemill.plans.base import BEFORE_SQL, SINCE_SQL, SPLIT_DAY, before, query, rounded, since, union_sql
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey"]
@@ -36,6 +37,22 @@ def column_drift_numeric(t):
     return rounded(drift.numeric_drift(before(t.lineitem), since(t.lineitem), NUMBERS))
 
 
+@query(
+    "d1_drift_from_sketches",
+    f"""SELECT "column", n_reference, n_current, p_value < 0.05 AS drift_detected, true AS within_bound FROM ({ks_sql(["l_quantity", "l_extendedprice"])})""",
+)
+def drift_from_sketches(t):
+    """Two periods compared by the sketches of their days; the distance is as near to the exact one as is promised."""
+    store = drift_store.DriftStore(t.spark, scratch_path(t.spark, "drift-store"))
+    columns = ["l_quantity", "l_extendedprice"]
+    store.append(t.lineitem, "l_shipdate", columns, [], "all")
+    periods = ("1900-01-01", SPLIT_DAY), (SPLIT_DAY, "2100-01-01")
+    exact = drift.numeric_drift(before(t.lineitem), since(t.lineitem), columns).select("column", F.col("statistic").alias("exact"))
+    near = F.abs(F.col("statistic") - F.col("exact")) <= drift_store.error_bound()
+    found = store.numeric_drift(*periods).join(exact, "column")
+    return found.select("column", "n_reference", "n_current", "drift_detected", near.alias("within_bound"))
+
+
 _ORDER_SIDES = f"""r AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{SPLIT_DAY}'),
 c AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{SPLIT_DAY}')"""
 

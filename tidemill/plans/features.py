@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.columns import local_rows
 from tidemill.functions.lineage import scratch_path
+from tidemill.operators import dictionary
 from tidemill.operators import features as fs
 from tidemill.plans.base import before, query, rounded, since, union_sql
 from tidemill.sources.stores import FeatureStore
@@ -260,3 +261,41 @@ def preprocess_if_registered(t):
             unknown.select(F.lit("other-model").alias("model"), F.col("l_quantity").alias("feature"))
         )
     )
+
+
+@query(
+    "f2_dictionary",
+    """SELECT 'l_orderkey' AS "column", CAST(l_orderkey AS VARCHAR) AS value, count(*) AS n,
+  row_number() OVER (ORDER BY CAST(l_orderkey AS VARCHAR)) - 1 AS index FROM lineitem GROUP BY l_orderkey
+UNION ALL SELECT 'l_shipmode', l_linestatus || l_returnflag, count(*), row_number() OVER (ORDER BY l_linestatus || l_returnflag) - 1
+FROM lineitem GROUP BY l_linestatus || l_returnflag""",
+)
+def dictionary_table(t):
+    """Every category of two columns, one of them with as many as there are orders, numbered in order."""
+    return dictionary.fit_dictionary(_coded(t), ["l_orderkey", "l_shipmode"]).table(t.spark)
+
+
+def _coded(t):
+    return t.lineitem.select(
+        "l_linenumber", "l_quantity", F.col("l_orderkey").cast("string").alias("l_orderkey"), F.concat("l_linestatus", "l_returnflag").alias("l_shipmode")
+    )
+
+
+@query(
+    "f4_sparse_features",
+    """WITH d AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i FROM (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem)),
+m AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i FROM (SELECT DISTINCT l_linestatus || l_returnflag AS k FROM lineitem)),
+s AS (SELECT avg(l_quantity) AS mean, stddev_pop(l_quantity) AS sd FROM lineitem), w AS (SELECT count(*) AS n FROM d)
+SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, l_linenumber, 1 + w.n + (SELECT count(*) FROM m) AS size,
+  '0,' || (1 + d.i) || ',' || (1 + w.n + m.i) AS places, round((l_quantity - mean) / sd, 6) AS first, 2.0::DOUBLE AS others
+FROM lineitem JOIN d ON d.k = CAST(l_orderkey AS VARCHAR) JOIN m ON m.k = l_linestatus || l_returnflag, s, w""",
+)
+def sparse_rows(t):
+    """A scaled number and two categories of every line, as places and values of one sparse vector."""
+    coded = _coded(t)
+    fitted = dictionary.fit_dictionary(coded, ["l_orderkey", "l_shipmode"], numeric=["l_quantity"])
+    found = dictionary.sparse_features(coded, fitted, ["l_orderkey", "l_linenumber"])
+    rest = F.aggregate(F.slice("values", 2, 9), F.lit(0.0), lambda a, v: a + v)
+    return rounded(
+        found.select("l_orderkey", "l_linenumber", "size", F.array_join("indices", ",").alias("places"), F.get("values", F.lit(0)).alias("first"), rest.alias("others"))
+    )
