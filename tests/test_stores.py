@@ -1,10 +1,12 @@
 """Versions in the stores, the run tree, and the sinks."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from tidemill.functions.lineage import scratch_path
 from tidemill.operators import quality
-from tidemill.sources import runs
+from tidemill.sources import runs, stores
 from tidemill.sources.stores import FeatureStore, SuiteStore
 
 
@@ -73,3 +75,41 @@ def test_run_tables(spark):
     runs.write_run(spark, root, "e", "r2", {"accuracy": 0.8}, {"depth": "4"}, 1700000000000)
     assert spark.read.parquet(f"{root}/metrics").count() == 2
     assert spark.read.parquet(f"{root}/params").count() == 2
+
+
+def test_two_writers_at_once_get_two_versions(spark):
+    store = FeatureStore(spark, scratch_path(spark, "store"))
+    df = spark.createDataFrame([(1.0, "a"), (3.0, "b")], "x double, c string")
+    store.create(df, "f", ["x"])
+    with ThreadPoolExecutor(6) as pool:
+        found = list(pool.map(lambda _: store.create(df, "f", ["x"], ["c"]).version, range(6)))
+    assert sorted(found) == [f"v{n}" for n in range(2, 8)]
+    assert store.load("f").version == "v7" and store.catalog().count() == 7
+    with pytest.raises(FileExistsError):
+        store.create(df, "f", ["x"], version="v3")
+
+
+def test_a_cut_off_write_is_never_read(spark):
+    root = scratch_path(spark, "store")
+    store, df = FeatureStore(spark, root), spark.createDataFrame([(1.0,), (3.0,)], "x double")
+    store.create(df, "f", ["x"])
+    first = store.cache(df, "f")
+    # a table without a manifest, a manifest that was claimed but not written, and half a manifest
+    df.write.parquet(f"{root}/features/name=f/version=1/half")
+    for number, text in ((2, ""), (3, '{"name": "f", ')):
+        stores._claim(spark, f"{root}/schemas/name=f/version={number}/manifest", text)
+    stores._claim(spark, f"{root}/cached/name=f@1/version=2/manifest", "")
+    assert store.load("f").version == "v1" and store.catalog().count() == 1
+    assert store.cached("f").columns == ["x_scaled"] and store.cached("f").count() == 2
+    assert store.create(df, "f", ["x"]).version == "v4"
+    reading = store.cached("f", 1)
+    assert store.cache(df.limit(1), "f", 1) != first
+    assert reading.count() == 2 and store.cached("f", 1).count() == 1
+
+
+def test_suites_at_once(spark):
+    store = SuiteStore(spark, scratch_path(spark, "suites"))
+    df = spark.range(10).selectExpr("concat('v', id % 4) AS c")
+    with ThreadPoolExecutor(3) as pool:
+        found = list(pool.map(lambda _: store.generate(df, "d", overwrite=True).version, range(3)))
+    assert sorted(found) == ["v1", "v2", "v3"]

@@ -1,13 +1,20 @@
 """Versioned stores: feature sets with their cached features, and expectation suites.
 
-A version is a folder ``name=<name>/version=<n>``; the latest one is the largest integer. Documents are written
-once and never changed, so a reader sees a whole version or none.
+What a version holds is written under a name of its own; then a small manifest, ``name=<name>/version=<n>/manifest``,
+is created, which only one writer can do. Readers follow manifests alone: a write that was cut off is never read, and of two
+writers at once each gets a number. The latest version is the largest one.
 """
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
+from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,15 +29,19 @@ def version_number(version: str | int) -> int:
 
 
 class _Documents:
-    """JSON documents by name and version under one folder."""
+    """JSON documents by name and version under one folder, as the manifests of versions."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def table(self) -> DataFrame | None:
-        """``(value, name, version)``; partition columns come from the path."""
+        """``(value, name, version)`` of whole documents; partition columns come from the path."""
         docs = read_if_exists(partial(self.spark.read.text, wholetext=True), self.root)
-        return None if docs is None else docs.select("value", F.col("name").cast("string"), F.col("version").cast("int"))
+        if docs is None:
+            return None
+        # a writer that ended between claiming a number and writing leaves no JSON object behind
+        whole = F.try_parse_json("value").isNotNull()
+        return docs.where(whole).select("value", F.col("name").cast("string"), F.col("version").cast("int"))
 
     def latest(self, name: str) -> int:
         docs = self.table()
@@ -39,8 +50,16 @@ class _Documents:
         return docs.where(F.col("name") == name).agg(F.max("version")).first()[0] or 0
 
     def write(self, name: str, version: int, text: str) -> None:
-        path = f"{self.root}/name={name}/version={version}"
-        local_rows(self.spark, [(text,)], "value string").coalesce(1).write.mode("error").text(path)
+        """Fails if the version has been claimed."""
+        if not _claim(self.spark, f"{self.root}/name={name}/version={version}/manifest", text):
+            raise FileExistsError(f"{name} has a version {version}")
+
+    def append(self, name: str, text: Callable[[int], str]) -> int:
+        """Write the document of the next free version, which ``text`` makes from its number."""
+        version = self.latest(name) + 1
+        while not _claim(self.spark, f"{self.root}/name={name}/version={version}/manifest", text(version)):
+            version += 1
+        return version
 
     def read(self, name: str, version: str | int | None) -> str:
         number = self.latest(name) if version is None else version_number(version)
@@ -53,12 +72,44 @@ class _Documents:
         return found[0]
 
 
+def _claim(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with this content, unless it is there; one writer only can.
+
+    A file system of a cluster creates exclusively itself; Hadoop's local one looks first and then writes, so that there
+    the operating system is asked.
+    """
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        return False
+    if files.getUri().getScheme() == "file":
+        local = target.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "x", encoding="utf-8") as file:
+                file.write(text)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = files.create(target, False)
+    except Py4JJavaError as error:
+        if files.exists(target):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 class FeatureStore:
     """Feature sets fitted once per version, and their transformed tables."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.schemas = _Documents(spark, f"{self.root}/schemas")
+        self.cached_tables = _Documents(spark, f"{self.root}/cached")
 
     def create(
         self,
@@ -69,10 +120,13 @@ class FeatureStore:
         target: str | None = None,
         version: str | None = None,
     ) -> FeatureSet:
-        number = self.schemas.latest(name) + 1 if version is None else version_number(version)
-        fitted = fit_feature_set(df, name, numeric, categorical, target, f"v{number}")
-        self.schemas.write(name, number, fitted.to_json())
-        return fitted
+        fitted = fit_feature_set(df, name, numeric, categorical, target, "")
+        if version is not None:
+            numbered = replace(fitted, version=f"v{version_number(version)}")
+            self.schemas.write(name, version_number(version), numbered.to_json())
+            return numbered
+        number = self.schemas.append(name, lambda n: replace(fitted, version=f"v{n}").to_json())
+        return replace(fitted, version=f"v{number}")
 
     def load(self, name: str, version: str | int | None = None) -> FeatureSet:
         return FeatureSet.from_json(self.schemas.read(name, version))
@@ -81,26 +135,30 @@ class FeatureStore:
         return transform(df, self.load(name, version))
 
     def cache(self, df: DataFrame, name: str, version: str | int | None = None, keep: list[str] | None = None) -> str:
-        """Transform and write as parquet; returns the path."""
+        """Transform and write as parquet; returns the path. A version may be cached anew: the last one counts.
+
+        The table has a path of its own, and counts when its manifest is there; what readers have open stays as it is.
+        """
         fitted = self.load(name, version)
-        path = f"{self.root}/features/name={name}/version={version_number(fitted.version)}"
-        transform(df, fitted, keep).write.mode("overwrite").parquet(path)
+        number = version_number(fitted.version)
+        path = f"{self.root}/features/name={name}/version={number}/{uuid.uuid4().hex}"
+        transform(df, fitted, keep).write.mode("error").parquet(path)
+        self.cached_tables.append(f"{name}@{number}", lambda n: json.dumps({"path": path}))
         return path
 
     def cached(self, name: str, version: str | int | None = None) -> DataFrame:
         """Read a cached version, the latest cached one by default."""
-        base = f"{self.root}/features/name={name}"
-        if version is None:
-            every = read_if_exists(self.spark.read.option("basePath", base).option("mergeSchema", False).parquet, base)
-            if every is None:
-                raise FileNotFoundError(f"no feature table below {base}")
-            number = every.select(F.max(F.col("version").cast("int"))).first()[0]
-        else:
-            number = version_number(version)
-        found = read_if_exists(self.spark.read.parquet, f"{base}/version={number}")
-        if found is None:
-            raise FileNotFoundError(f"no feature table in {base}/version={number}")
-        return found
+        docs = self.cached_tables.table()
+        if docs is None:
+            raise FileNotFoundError(f"no feature table of {name} below {self.root}")
+        parts = F.split("name", "@")
+        found = docs.select("value", parts[0].alias("set"), parts[1].cast("int").alias("number"), "version").where(F.col("set") == name)
+        if version is not None:
+            found = found.where(F.col("number") == version_number(version))
+        last = found.agg(F.max_by("value", F.struct("number", "version"))).first()[0]
+        if last is None:
+            raise FileNotFoundError(f"no feature table of {name} {version or ''} below {self.root}")
+        return self.spark.read.parquet(json.loads(last)["path"])
 
     def catalog(self) -> DataFrame:
         """``(feature_set_name, version, created_at, numeric_features, categorical_features, target_column)``."""
@@ -139,18 +197,25 @@ class SuiteStore:
         return self.documents.latest(dataset) + 1
 
     def save(self, suite: Suite) -> None:
-        number = version_number(suite.version)
-        for column, values in suite.large_sets.items():
-            values.write.mode("overwrite").parquet(self._set_path(suite.dataset_name, number, column))
-        self.documents.write(suite.dataset_name, number, suite.to_json())
+        """Write a suite under its own version, which must be free."""
+        self.documents.write(suite.dataset_name, version_number(suite.version), json.dumps(self._held(suite)))
+
+    def _held(self, suite: Suite) -> dict:
+        """The suite's document, after its large value sets have been written to places of their own."""
+        held = json.loads(suite.to_json())
+        for e in held["expectations"]:
+            if e["kwargs"].get("value_table"):
+                path = f"{self.root}/value_sets/name={suite.dataset_name}/{uuid.uuid4().hex}"
+                suite.large_sets[e["kwargs"]["column"]].write.mode("error").parquet(path)
+                e["kwargs"]["value_table"] = path
+        return held
 
     def load(self, dataset: str, version: str | int | None = None) -> Suite:
         suite = Suite.from_json(self.documents.read(dataset, None if version == "latest" else version))
-        number = version_number(suite.version)
         for e in suite.expectations:
             if e["expectation_type"] == IN_SET and e["kwargs"].get("value_table"):
-                column = e["kwargs"]["column"]
-                suite.large_sets[column] = self.spark.read.parquet(self._set_path(dataset, number, column))
+                suite.large_sets[e["kwargs"]["column"]] = self.spark.read.parquet(e["kwargs"]["value_table"])
+                e["kwargs"]["value_table"] = True
         return suite
 
     def generate(self, df: DataFrame, dataset: str, overwrite: bool = False) -> Suite:
@@ -158,9 +223,6 @@ class SuiteStore:
         latest = self.documents.latest(dataset)
         if latest and not overwrite:
             return self.load(dataset, latest)
-        suite = generate_suite(df, dataset, f"v{latest + 1}")
-        self.save(suite)
-        return self.load(dataset, latest + 1)
-
-    def _set_path(self, dataset: str, number: int, column: str) -> str:
-        return f"{self.root}/value_sets/name={dataset}/version={number}/column={column}"
+        held = self._held(generate_suite(df, dataset, f"v{latest + 1}"))
+        number = self.documents.append(dataset, lambda n: json.dumps(held | {"version": f"v{n}"}))
+        return self.load(dataset, number)
