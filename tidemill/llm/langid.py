@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.functions.columns import local_rows
 from tidemill.llm.common import rows
 
 UNKNOWN = "und"
@@ -205,7 +207,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     share = max(1, sample // len(counts))
     # By the law of large numbers twice the share below this mark of the hash; then exactly the share.
     marks = [(r.lang, min(2**63 - 1, (2 * share + 64) * 2**63 // r.n)) for r in counts]
-    marks = df.sparkSession.createDataFrame(marks, "lang string, mark long")
+    marks = local_rows(df.sparkSession, marks, "lang string, mark long")
     below = F.col("rank").bitwiseAND(2**63 - 1) <= F.col("mark")
     few = usable.join(F.broadcast(marks), "lang").where(below).select("lang", "rank", "text")
     drawn = few.mapInArrow(_presence_rows, "lang string, rank long, bits binary, letters binary")
@@ -263,11 +265,20 @@ def keep_known(
     if not model.languages:
         return df.where(has_letter(text_col))
     shared, least = df.sparkSession.sparkContext.broadcast(model), model.least if minimum is None else minimum
+    letter = "_letter"
+    while letter in df.columns:
+        letter += "_"
+    marked = df.withColumn(letter, has_letter(text_col))
+    run = partial(_typical, shared, least, marked.columns.index(text_col))
+    return marked.mapInArrow(run, df.schema)
 
-    @F.pandas_udf("double")
-    def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(shared.value.weigh(list(texts)))
 
-    found = evidence(F.col(f"`{text_col}`").cast("binary"))
-    return df.where(F.when(has_letter(text_col), found > least).otherwise(False))
+def _typical(shared, least: float, text: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with a letter, which the last column tells, whose evidence is enough; a few at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            letters = part.column(part.num_columns - 1).to_pylist()
+            texts = part.column(text).cast(pa.binary()).to_pylist()
+            found = shared.value.weigh([t if ok else None for t, ok in zip(texts, letters, strict=True)])
+            yield part.filter(pa.array((found > least) & np.array(letters, bool))).drop_columns(part.schema.names[-1:])
