@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemill.llm.common import gram_hashes, partitions, rows, spans, stored, window_minima, word_hashes
 from tidemill.llm.windows import (
@@ -255,30 +255,26 @@ def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_co
     ).repartition(partitions(df.sparkSession), "doc_id", "text_key")
     by_row = repeated_passages(docs, dealt).groupBy("doc_id", "text_key")
     joined = dealt.join(by_row.agg(F.collect_list(F.struct("begin", "end")).alias("ranges")), ["doc_id", "text_key"], "left")
-    changed = F.col("ranges").isNotNull()
-    cut = _cut(F.when(changed, F.col("text")), F.col("ranges"))
-    new = F.when(changed, cut).when(~F.col("rest.no_text"), F.col("text").cast("string"))
-    joined = joined.select("rest", new.alias("text"), changed.alias("changed"))
-    joined = joined.where(~F.col("changed") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    columns = []
-    for field in df.schema.fields:
-        if field.name == text_col:
-            value = F.col("text").cast(field.dataType)
-        else:
-            value = F.col("rest").getField(f"_{field.name}")
-            if field.name == size_col:
-                value = F.when(F.col("changed"), F.length("text").cast(field.dataType)).otherwise(value)
-        columns.append(value.alias(field.name))
-    return joined.select(*columns)
-
-
-@F.pandas_udf(T.StringType())
-def _cut(texts: pd.Series, ranges: pd.Series) -> pd.Series:
-    out = []
-    for text, own in zip(texts, ranges, strict=True):
-        if text is None or own is None:
-            out.append(None)
-            continue
-        words = bytes(text).split()
-        out.append(cut_out(bytes(text), words, merge(len(words), list(own))).decode())
-    return pd.Series(out, dtype=object)
+    names = [f.name for f in df.schema.fields if f.name != text_col]
+    run = partial(_cleaned, df.columns.index(text_col), names.index(size_col) if size_col in names else None)
+    return joined.select("text", "rest", "ranges").mapInArrow(run, df.schema)
+
+
+def _cleaned(place: int, size_at: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``clean``, a few at a time: the text goes to its ``place``, the other columns stay as they are."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            texts, ranges = (part.column(i).to_pylist() for i in (0, 2))
+            _, empty, *others = part.column(1).flatten()
+            changed = [r is not None for r in ranges]
+            for i in np.flatnonzero(changed).tolist():
+                words = texts[i].split()
+                texts[i] = cut_out(texts[i], words, merge(len(words), ranges[i]))
+            kept = pa.array([not c or bool(t.split()) for c, t in zip(changed, texts, strict=True)], pa.bool_())
+            text = pa.array([None if e else t for e, t in zip(empty.to_pylist(), texts, strict=True)], pa.binary()).cast(pa.string())
+            if size_at is not None and any(changed):
+                sizes = pc.utf8_length(text).cast(others[size_at].type)
+                others[size_at] = pc.if_else(pa.array(changed), sizes, others[size_at])
+            columns = [*others[:place], text, *others[place:]]
+            yield pa.RecordBatch.from_arrays(columns, [str(i) for i in range(len(columns))]).filter(kept)
