@@ -8,12 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import stored
+from tidemill.llm.common import partitions, stored
 
 #: Exponents tried in one pass over the sources, and passes: 31 points are five bisections.
 POINTS, PASSES = 31, 6
 #: Parts of a source, by the hash that orders its documents.
 CHUNKS = 4096
+#: Blocks of a mix.
+BLOCKS = 64
 
 
 def tokens_of(text: Column) -> Column:
@@ -95,7 +97,7 @@ def mix_sources(
     entropy: float | None = None,
     repeats: float | None = 2.0,
     budget: int | None = None,
-    blocks: int = 64,
+    blocks: int = BLOCKS,
     seed: int = 0,
 ) -> DataFrame:
     """Every use of every row: its columns as the struct ``row``, and ``n_tokens, epoch, block, place``.
@@ -165,3 +167,14 @@ def mix_sources(
     block = F.least(F.floor(at / length * blocks), F.lit(blocks - 1))
     place = F.xxhash64(F.lit(seed), F.lit("place"), F.col("epoch"), F.col("source"), F.col("id"), F.col("content"))
     return each.select("row", "n_tokens", F.col("epoch").cast("int"), block.cast("int").alias("block"), place.alias("place"))
+
+
+def in_order(mix: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """The rows of a mix alone, in the order of blocks and places, over the session's number of partitions.
+
+    Places are uniform within a block, so that block and place say which partition a use belongs to.
+    """
+    parts = partitions(mix.sparkSession)
+    place = F.shiftrightunsigned(F.col("place").bitwiseXOR(F.lit(-(2**63))), 11) / F.lit(float(1 << 53))
+    part = F.least(F.floor((F.col("block") + place) / blocks * parts), F.lit(parts - 1)).cast("int")
+    return mix.repartitionById(parts, part).sortWithinPartitions("block", "place").select("row.*")
