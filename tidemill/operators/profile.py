@@ -159,17 +159,13 @@ def detect_task(df: DataFrame, target: str, approximate: bool = False) -> DataFr
     if not isinstance(kind, T.NumericType):
         return df.sparkSession.range(1).select(F.lit("classification").alias("task"))
     value = value_of(df, target)
-    if isinstance(kind, T.IntegralType):
-        integer_like = F.lit(True)
-    else:
-        integer_like = F.coalesce(F.max(F.abs(value - F.round(value))) <= 1e-5, F.lit(True))
-    counted = df.select(target).agg(
-        F.count(F.lit(1)).alias("n"),
-        distinct_count(df, target, approximate).alias("d"),
-        integer_like.alias("integer_like"),
-    )
-    classes = (F.col("d") < 10) | (F.try_divide("d", "n") < 0.05) | (F.col("integer_like") & (F.col("d") < 20))
-    return counted.select(F.when(classes, "classification").otherwise("regression").alias("task"))
+    rounded = F.lit(True) if isinstance(kind, T.IntegralType) else F.max(F.abs(value - F.round(value))) <= 1e-5
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(rounded, F.lit(True)).alias("integer_like")).first()
+    # only which side of these limits the number of values is on: a column of many values is sketched, not shuffled
+    limits = [10, 20, 0.05 * found["n"]]
+    values = sketched_distinct(df, [target], [] if approximate else limits)[target]
+    classes = values < 10 or found["n"] and values / found["n"] < 0.05 or found["integer_like"] and values < 20
+    return local_rows(df.sparkSession, [("classification" if classes else "regression",)], "task string")
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
