@@ -30,6 +30,8 @@ def outputs(trained, df):
     scored = trained.pipeline.transform(df)
     if trained.task == "regression":
         return scored.select("n", F.array("prediction").alias("f"))
+    if type(last).__name__ == "SoftmaxBoostedModel":
+        return scored.select("n", vector_to_array("rawPrediction").alias("f"))
     if type(last).__name__ == "AdaBoostModel":
         return scored.select("n", F.col("rawPrediction").alias("f"))
     if type(last).__name__ == "GBTClassificationModel":
@@ -68,6 +70,7 @@ CASES = [
     ("random_forest", "label", {"n_estimators": 4}),
     ("random_forest_regressor", "y", {"n_estimators": 3, "max_depth": 5}),
     ("gradient_boosting", "two", {"n_estimators": 4}),
+    ("gradient_boosting", "label", {"n_estimators": 3}),
     ("adaboost", "label", {"n_estimators": 3}),
 ]
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.columns import local_rows, quoted, require_columns, spread, value_of
 from tidemill.functions.lineage import cut, scratch_path
+from tidemill.operators.boosting import SoftmaxBoostedModel, fit_softmax_boosting
 from tidemill.operators.profile import detect_task
 from tidemill.operators.splits import random_split, should_stratify
 
@@ -67,7 +68,7 @@ def _boosted(params: dict, rows: int, classes: int, spread: float):
     gbt = C.GBTClassifier(
         maxIter=params["n_estimators"], stepSize=params["learning_rate"], maxDepth=params["max_depth"], seed=params["random_state"]
     )
-    return gbt if classes <= 2 else C.OneVsRest(classifier=gbt)
+    return gbt
 
 
 def _linear_svm(params: dict, rows: int, classes: int, spread: float):
@@ -306,7 +307,13 @@ def train(df: DataFrame, model_name: str, features: list[str], target: str, para
     prepared = prepared.persist()
     try:
         size = prepared.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("spread")).first()
-        if model_name == "adaboost":
+        if model_name == "gradient_boosting" and len(labels) > 2:
+            others = set(params) - set(spec.defaults)
+            if others:
+                log.warning("boosting of several classes has no %s: left out", ", ".join(sorted(others)))
+            own = {k: v for k, v in params.items() if k not in others}
+            fitted = fit_softmax_boosting(prepared, FEATURES, LABEL, len(labels), **own)
+        elif model_name == "adaboost":
             fitted = fit_adaboost(prepared, len(labels), **params)
         elif model_name == "mlp_classifier":
             layers = [len(features), *params["hidden_layer_sizes"], len(labels)]
@@ -340,7 +347,8 @@ def score(pipeline: PipelineModel, df: DataFrame, labels: list | None = None, la
 def class_probabilities(model, classes: int) -> Column:
     """An array of class probabilities over the output of a fitted classifier.
 
-    Margins go through the logistic link; those of one-versus-rest are scaled to add up to one. Weighted votes go
+    Margins go through the logistic link; those of one-versus-rest are scaled to add up to one, those of boosting over
+    several classes are a softmax. Weighted votes go
     through the exponential link of multi-class boosting.
     """
     if isinstance(model, (AdaBoostModel, NeighborModel)):
@@ -350,9 +358,8 @@ def class_probabilities(model, classes: int) -> Column:
         edge = F.transform(shares, lambda v: F.exp((v - (1.0 - v) / (classes - 1)) / (classes - 1)))
         return _scaled_to_one(edge)
     if isinstance(model, C.OneVsRestModel):
-        steep = 2.0 if isinstance(model.models[0], C.GBTClassificationModel) else 1.0
         margins = vector_to_array("rawPrediction")
-        return _scaled_to_one(F.transform(margins, lambda m: 1.0 / (1.0 + F.exp(m * -steep))))
+        return _scaled_to_one(F.transform(margins, lambda m: 1.0 / (1.0 + F.exp(-m))))
     if isinstance(model, C.LinearSVCModel):
         upper = 1.0 / (1.0 + F.exp(-vector_to_array("rawPrediction")[1]))
         return F.slice(F.array(1.0 - upper, upper), 1, classes)
@@ -374,15 +381,17 @@ def confidence(df: DataFrame, probability: str = "probability") -> DataFrame:
 
 _DESCRIPTION = (
     "name string, task string, features array<string>, target string, labels array<string>, label_type string, "
-    "weights array<double>, neighbours struct<k:int,weights:string,hashing:string>"
+    "weights array<double>, neighbours struct<k:int,weights:string,hashing:string>, boosted string"
 )
 
 
 def save_model(trained: Trained, path: str) -> None:
     """The pipeline and, beside it, a one-row description; both are written through Spark."""
     spark, last = SparkSession.active(), trained.pipeline.stages[-1]
-    weights = neighbours = None
+    weights = neighbours = boosted = None
     stages = trained.pipeline
+    if isinstance(last, SoftmaxBoostedModel):
+        boosted, stages = last.to_json(), PipelineModel(trained.pipeline.stages[:-1])
     if isinstance(last, AdaBoostModel):
         weights = [float(w) for w in last.weights]
         stages = PipelineModel([*trained.pipeline.stages[:-1], *last.models])
@@ -392,7 +401,7 @@ def save_model(trained: Trained, path: str) -> None:
         spark.read.parquet(last.path).write.mode("overwrite").parquet(f"{path}/neighbours")
     stages.write().overwrite().save(f"{path}/pipeline")
     labels = None if trained.labels is None else [str(v) for v in trained.labels]
-    row = (trained.name, trained.task, trained.features, trained.target, labels, trained.label_type, weights, neighbours)
+    row = (trained.name, trained.task, trained.features, trained.target, labels, trained.label_type, weights, neighbours, boosted)
     local_rows(spark, [row], _DESCRIPTION).coalesce(1).write.mode("overwrite").json(f"{path}/description")
 
 
@@ -401,7 +410,9 @@ def load_model(spark: SparkSession, path: str) -> Trained:
     row = found.withColumn("labels", F.col("labels").cast(f"array<{found.first()['label_type']}>")).first()
     pipeline = PipelineModel.load(f"{path}/pipeline")
     labels = list(row["labels"]) if row["labels"] is not None else None
-    if row["weights"] is not None:
+    if row["boosted"] is not None:
+        pipeline = PipelineModel([*pipeline.stages, SoftmaxBoostedModel.from_json(row["boosted"])])
+    elif row["weights"] is not None:
         trees = pipeline.stages[-len(row["weights"]) :]
         boosted = AdaBoostModel(list(trees), list(row["weights"]), len(labels))
         pipeline = PipelineModel([*pipeline.stages[: -len(trees)], boosted])
@@ -445,6 +456,8 @@ def feature_importance(trained: Trained) -> DataFrame:
 def importances(model) -> np.ndarray:
     if isinstance(model, C.OneVsRestModel):
         return np.mean([importances(m) for m in model.models], axis=0)
+    if isinstance(model, SoftmaxBoostedModel):
+        return np.array(model.weights)
     if isinstance(model, AdaBoostModel):
         weights = np.array(model.weights)
         return np.average([importances(m) for m in model.models], axis=0, weights=weights)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.columns import local_rows, value_of
 from tidemill.functions.lineage import scratch_path
+from tidemill.operators.boosting import SoftmaxBoostedModel
 from tidemill.operators.models import AdaBoostModel, Trained
 
 LEAVES = "tree int, leaf int, features array<int>, low array<double>, high array<double>, value array<double>"
@@ -32,6 +33,8 @@ _NODES = "tree", "id", "prediction", "impurityStats", "leftChild", "rightChild",
 
 def is_tree_model(model) -> bool:
     """Whether ``tree_leaves`` reads the fitted model."""
+    if isinstance(model, SoftmaxBoostedModel):
+        return True
     if isinstance(model, AdaBoostModel):
         return all(is_tree_model(m) for m in model.models)
     return hasattr(model, "treeWeights") or hasattr(model, "numNodes")
@@ -79,9 +82,11 @@ def tree_leaves(spark: SparkSession, model) -> DataFrame:
 
     A row reaches a leaf if ``low < x <= high`` for each of ``features`` (numbers of the columns); the values of the
     leaves it reaches add up to the model's output. That is the prediction of a regressor, the probability of each class
-    of a tree or forest, the share of votes for each class of weighted trees, and of a boosted classifier the margin of
-    its second class. As large as the model, which the driver has.
+    of a tree or forest, the share of votes for each class of weighted trees, of a boosted classifier the margin of its
+    second class, and of boosting over several classes the score of each. As large as the model, which the driver has.
     """
+    if isinstance(model, SoftmaxBoostedModel):
+        return local_rows(spark, list(_softmax_leaves(model)), LEAVES)
     if isinstance(model, AdaBoostModel):
         total = sum(model.weights) or 1.0
         rows = []
@@ -106,6 +111,28 @@ def tree_leaves(spark: SparkSession, model) -> DataFrame:
     return local_rows(spark, list(_leaf_rows(nodes.collect(), weight, values)), LEAVES)
 
 
+def _softmax_leaves(model: SoftmaxBoostedModel) -> Iterator[tuple]:
+    """The scores that all rows start with, as a tree of one leaf, and the leaves of the trees of each class."""
+    yield 0, 0, [], [], [], list(map(float, model.start))
+    number = 0
+    for trees in model.rounds:
+        for c, tree in enumerate(trees):
+            number += 1
+            waiting = [(0, {})]
+            while waiting:
+                at, path = waiting.pop()
+                if tree.left[at] == at:
+                    order = sorted(path)
+                    value = [0.0] * len(model.start)
+                    value[c] = float(tree.value[at])
+                    yield number, at, order, *([path[f][i] for f in order] for i in (0, 1)), value
+                    continue
+                feature, bound = int(tree.feature[at]), float(tree.threshold[at])
+                low, high = path.get(feature, (-math.inf, math.inf))
+                waiting.append((int(tree.left[at]), path | {feature: (low, min(high, bound))}))
+                waiting.append((int(tree.right[at]), path | {feature: (max(low, bound), high)}))
+
+
 @dataclass(frozen=True)
 class _Tree:
     """The leaves of one tree laid end to end, and the patterns in which background rows meet their intervals.
