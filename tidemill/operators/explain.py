@@ -7,7 +7,6 @@ from collections.abc import Mapping
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import one_row, require_columns, small_or_none, value_of
@@ -109,31 +108,36 @@ def sampled_shap(
             F.get(F.col("_b"), j)
         ),
     )
-    moved = F.get("_order", F.col("_step") - 1)
-    carried = ["_key", "_s", "_step", "_j", "_value"]
-    placed = steps.select(
-        "_key", "_s", "_step", moved.alias("_j"), F.get("_x", moved.cast("int")).alias("_value"), at_step.alias("_at")
-    ).select(*carried, *[F.get("_at", F.lit(i)).alias(c) for i, c in enumerate(features)])
+    # the output of a step counts for the feature that it moved, and against the one that the next step moves
+    moved = F.coalesce(F.get("_order", F.col("_step") - 1), F.lit(-1))
+    following = F.get("_order", F.col("_step"))
+    carried = ["_key", "_moved", "_following"]
+    placed = steps.select("_key", moved.alias("_moved"), following.alias("_following"), at_step.alias("_at")).select(
+        *carried, *[F.get("_at", F.lit(i)).alias(c) for i, c in enumerate(features)]
+    )
     labels = getattr(model, "labels", None)
     evaluated = getattr(model, "pipeline", model).transform(placed)
     if per_class:
-        shares = _probabilities(model, evaluated)
-        outputs = evaluated.select(*carried, F.posexplode(shares).alias("_class", "_f"))
+        shares, classes = _probabilities(model, evaluated), len(labels) if labels is not None else _classes(model)
+        found = [F.get(shares, F.lit(c)) for c in range(classes)]
     else:
-        outputs = evaluated.select(*carried, _model_output(model, evaluated).alias("_f"))
-    own_keys = ["_key", "_class"] if per_class else ["_key"]
-    # a walk is size + 1 rows; the row before a step is the one it changed
-    walk = W.partitionBy(*own_keys, "_s").orderBy("_step")
-    credited = outputs.withColumn("_change", F.col("_f") - F.lag("_f").over(walk))
-    mean = credited.groupBy(*own_keys, "_j").agg(
-        F.avg("_f").alias("_base"), F.avg("_change").alias("impact"), F.first("_value").alias("value")
+        found = [_model_output(model, evaluated)]
+    outputs = evaluated.select(*carried, *[f.alias(f"_f{c}") for c, f in enumerate(found)])
+    # -1: the background row itself, of whose outputs the base value is the mean
+    parts = F.array(F.struct(F.col("_moved").alias("_j"), F.lit(1.0).alias("_sign")), F.struct(F.col("_following").alias("_j"), F.lit(-1.0).alias("_sign")))
+    signed = outputs.select("_key", F.inline(parts), *[f"_f{c}" for c in range(len(found))]).where(F.col("_j").isNotNull())
+    sums = signed.groupBy("_key", "_j").agg(*[(F.sum(F.col("_sign") * F.col(f"_f{c}")) / F.count_if(F.col("_sign") > 0)).alias(f"_f{c}") for c in range(len(found))])
+    each = sums.select("_key", "_j", F.posexplode(F.array(*[f"_f{c}" for c in range(len(found))])).alias("_class", "_f"))
+    explained = each.groupBy("_key", "_class").agg(
+        F.max(F.when(F.col("_j") < 0, F.col("_f"))).alias("base_value"),
+        F.map_from_entries(F.collect_list(F.when(F.col("_j") >= 0, F.struct("_j", "_f")))).alias("_impacts"),
     )
     names = F.array(*[F.lit(c) for c in features])
-    impact = F.struct(F.get(names, F.col("_j")).alias("feature"), "impact", "value")
-    explained = mean.groupBy(*own_keys).agg(
-        F.max(F.when(F.col("_j").isNull(), F.col("_base"))).alias("base_value"),
-        F.collect_list(F.when(F.col("_j").isNotNull(), impact)).alias("impacts"),
+    impacts = F.transform(
+        F.sequence(F.lit(0), F.lit(size - 1)),
+        lambda j: F.struct(F.get(names, j).alias("feature"), F.element_at("_impacts", j).alias("impact"), F.get("_x", j).alias("value")),
     )
+    explained = explained.join(keyed.dropDuplicates(["_key"]), "_key").withColumn("impacts", impacts)
     out = [F.col("_key").alias(key)]
     if per_class:
         index = F.col("_class")
@@ -143,6 +147,10 @@ def sampled_shap(
     return explained.select(*out, "base_value", "impacts")
 
 
+def _classes(model) -> int:
+    return model.stages[-1].numClasses if hasattr(model, "stages") else model.numClasses
+
+
 def _probabilities(model, df: DataFrame) -> Column:
     labels = getattr(model, "labels", None)
     if labels is not None:
