@@ -8,7 +8,7 @@ from tidemill.functions.lineage import scratch_path
 from tidemill.operators import drift
 from tidemill.plans.base import before, query, rounded, since
 from tidemill.plans.drift import ks_sql
-from tidemill.sources.runs import run_metrics
+from tidemill.sources.runs import model_versions, run_metrics, run_params, runs, write_run
 from tidemill.sources.tables import append_drift_summary, drop_empty_rows, read_table
 
 _ORDERS = (
@@ -77,6 +77,71 @@ def run_tracking_scan(t):
     return rounded(run_metrics(t.spark, root), 4)
 
 
+def _tree(t, name: str, text) -> str:
+    """A run tree with one file for each order priority, as a tracker leaves them; ``name`` may hold the run."""
+    root = scratch_path(t.spark, "runs")
+    moment = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    per_run = t.orders.groupBy(F.substring("o_orderpriority", 1, 1).alias("run"), "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"), F.min(moment).alias("first"), F.max(moment).alias("last")
+    )
+    for row in per_run.select("run", text.alias("text")).collect():
+        t.spark.range(1).select(F.lit(row["text"]).alias("value")).write.text(f"{root}/{name.format(run=row['run'])}")
+    return root
+
+
+_RUNS_SQL = """SELECT substr(o_orderpriority, 1, 1) AS run, o_orderpriority, count(*) AS orders,
+  epoch_ms(min(o_orderdate)) AS first, epoch_ms(max(o_orderdate)) AS last FROM orders GROUP BY ALL"""
+
+
+@query(
+    "s5_run_params",
+    f"""SELECT 'orders' AS experiment_id, 'run-' || run AS run_id, 'count' AS key, CAST(orders AS VARCHAR) AS value FROM ({_RUNS_SQL})
+UNION ALL SELECT 'late', 'run-x', 'alpha', '0.5' FROM (SELECT count(*) FROM orders)""",
+)
+def run_parameters(t):
+    """Parameters from the files of a tree and from a run that was appended later."""
+    root = _tree(t, "orders/run-{run}/params/count", F.col("orders").cast("string"))
+    write_run(t.spark, root, "late", "run-x", {"rmse": 1.5}, {"alpha": "0.5"}, 1_700_000_000_000)
+    return run_params(t.spark, root)
+
+
+@query(
+    "s5_runs",
+    f"""SELECT 'orders' AS experiment_id, 'run-' || run AS run_id, o_orderpriority AS run_name, CAST(3 AS INTEGER) AS status,
+  first AS start_ms, last AS end_ms, round((last - first) / 1000, 6) AS seconds FROM ({_RUNS_SQL})""",
+)
+def run_documents(t):
+    """Name, state and times of every run from its document."""
+    lines = F.concat_ws(
+        "\n",
+        F.lit("experiment_id: 'orders'"),
+        F.concat(F.lit("run_id: run-"), "run"),
+        F.concat(F.lit("run_name: "), "o_orderpriority"),
+        F.lit("status: 3"),
+        F.concat(F.lit("start_time: "), "first"),
+        F.concat(F.lit("end_time: "), "last"),
+    )
+    return rounded(runs(t.spark, _tree(t, "orders/run-{run}/meta.yaml", lines)))
+
+
+@query(
+    "s5_model_versions",
+    f"""SELECT 'priority' AS model, CAST(run AS INTEGER) AS version, CASE WHEN orders % 2 = 0 THEN 'Production' ELSE 'Staging' END AS stage,
+  'run-' || run AS run_id, 'READY' AS status, first AS created_ms FROM ({_RUNS_SQL})""",
+)
+def registered_versions(t):
+    lines = F.concat_ws(
+        "\n",
+        F.lit("name: priority"),
+        F.concat(F.lit("version: '"), "run", F.lit("'")),
+        F.concat(F.lit("current_stage: "), F.when(F.col("orders") % 2 == 0, "Production").otherwise("Staging")),
+        F.concat(F.lit("run_id: run-"), "run"),
+        F.lit("status: READY"),
+        F.concat(F.lit("creation_timestamp: "), "first"),
+    )
+    return model_versions(t.spark, _tree(t, "models/priority/version-{run}/meta.yaml", lines))
+
+
 @query(
     "s6_drift_summary_sink",
     f"""WITH k AS (SELECT "column", statistic, p_value < 0.05 AS drifted FROM ({ks_sql(["l_quantity", "l_discount"])})),

@@ -6,10 +6,16 @@ Layout: ``<root>/<experiment>/<run>/metrics/<name>`` with lines ``epoch_ms value
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import local_rows
+from tidemill.sources.tables import read_if_exists
+
+METRICS = "experiment_id string, run_id string, key string, ts_ms bigint, value double, step int"
+PARAMS = "experiment_id string, run_id string, key string, value string"
 
 # A file of the tree, or a folder of part files as Spark writes it.
 _RUN = r"([^/]+)/([^/]+)/{}/([^/]+)(?:/part-[^/]*)?$"
@@ -28,17 +34,29 @@ def _path_parts(kind: str) -> list[Column]:
 def run_metrics(spark: SparkSession, root: str) -> DataFrame:
     """``(experiment_id, run_id, key, ts_ms, value, step)``, one row per logged value."""
     parts = F.split("value", " ")
-    return spark.read.text(f"{root}/*/*/metrics/*").select(
+    files = read_if_exists(spark.read.text, f"{root}/*/*/metrics/*")
+    tree = files and files.select(
         *_path_parts("metrics"),
         parts[0].cast("bigint").alias("ts_ms"),
         parts[1].cast("double").alias("value"),
         parts[2].cast("int").alias("step"),
     )
+    return _both(spark, tree, f"{root}/metrics", METRICS)
 
 
 def run_params(spark: SparkSession, root: str) -> DataFrame:
     """``(experiment_id, run_id, key, value)``."""
-    return spark.read.text(f"{root}/*/*/params/*", wholetext=True).select(*_path_parts("params"), "value")
+    files = read_if_exists(partial(spark.read.text, wholetext=True), f"{root}/*/*/params/*")
+    # a file that Spark wrote ends in a line break
+    tree = files and files.select(*_path_parts("params"), F.regexp_replace("value", r"\n$", "").alias("value"))
+    return _both(spark, tree, f"{root}/params", PARAMS)
+
+
+def _both(spark: SparkSession, tree: DataFrame | None, path: str, schema: str) -> DataFrame:
+    """The files of the tree and what ``write_run`` has appended."""
+    appended = read_if_exists(spark.read.schema(schema).parquet, path)
+    found = [df for df in (tree, appended) if df is not None]
+    return reduce(DataFrame.unionByName, found) if found else local_rows(spark, [], schema)
 
 
 def runs(spark: SparkSession, root: str) -> DataFrame:
@@ -80,14 +98,9 @@ def model_versions(spark: SparkSession, root: str) -> DataFrame:
 def write_run(
     spark: SparkSession, root: str, experiment: str, run: str, metrics: dict[str, float], params: dict[str, str], ts_ms: int
 ) -> None:
-    """Append one finished run to tables ``<root>/metrics`` and ``<root>/params`` (a few rows each)."""
-    local_rows(
-        spark,
-        [(experiment, run, k, ts_ms, float(v), 0) for k, v in metrics.items()],
-        "experiment_id string, run_id string, key string, ts_ms bigint, value double, step int",
-    ).coalesce(1).write.mode("append").parquet(f"{root}/metrics")
-    local_rows(
-        spark,
-        [(experiment, run, k, str(v)) for k, v in params.items()],
-        "experiment_id string, run_id string, key string, value string",
-    ).coalesce(1).write.mode("append").parquet(f"{root}/params")
+    """Append one finished run to tables ``<root>/metrics`` and ``<root>/params`` (a few rows each), which the readers
+    read with the tree."""
+    rows = [(experiment, run, k, ts_ms, float(v), 0) for k, v in metrics.items()]
+    local_rows(spark, rows, METRICS).coalesce(1).write.mode("append").parquet(f"{root}/metrics")
+    rows = [(experiment, run, k, str(v)) for k, v in params.items()]
+    local_rows(spark, rows, PARAMS).coalesce(1).write.mode("append").parquet(f"{root}/params")
