@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import local_rows, quoted, require_columns, spread, value_of
+from tidemill.functions.columns import local_rows, quoted, require_columns, small_or_none, spread, value_of
 from tidemill.functions.lineage import cut, scratch_path
 from tidemill.operators.boosting import SoftmaxBoostedModel, fit_softmax_boosting
 from tidemill.operators.profile import detect_task
@@ -33,6 +33,8 @@ DEEPEST_TREE = 30
 # Query rows of one nearest-neighbour pass: they travel to every task.
 KNN_QUERY_ROWS = 20_000
 KNN_QUERY_BYTES = 256 * 1024 * 1024
+# A target of more values is no set of classes: a string id, say.
+MOST_CLASSES = 10_000
 # Boosting rounds between two checkpoints.
 ROUNDS_PER_CUT = 10
 # Fixed value: share of the largest variance added to every class variance.
@@ -281,8 +283,10 @@ def train(df: DataFrame, model_name: str, features: list[str], target: str, para
     label_type = "string"
     if spec.task == "classification":
         label_type = df.schema[target].dataType.simpleString()
-        labels = [r[0] for r in data.select(target).distinct().orderBy(target).collect()]
-        written = [r[0] for r in data.select(F.col(target).cast("string"), F.col(target)).distinct().orderBy(target).collect()]
+        known = small_or_none(data.select(target, F.col(target).cast("string").alias("_written")).distinct(), MOST_CLASSES)
+        if known is None:
+            raise ValueError(f"target {target} has more than {MOST_CLASSES} values: no classes")
+        labels, written = ([r[i] for r in sorted(known, key=lambda r: r[0])] for i in (0, 1))
         indexer = StringIndexerModel.from_labels(written, inputCol=target, outputCol=LABEL)
         prepared = assembler.transform(indexer.transform(data)).select(FEATURES, LABEL)
     else:
