@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
 
@@ -53,6 +54,14 @@ def is_plain(text: str) -> bool:
     return _PLAIN_ONLY.search(text) is None
 
 
+def give_back() -> None:
+    """Free memory goes back to the system, as a worker waits idle for its next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Splitter:
     """Cuts texts into the matches of a tokenizer's pattern.
 

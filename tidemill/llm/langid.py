@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import local_rows
-from tidemill.llm.common import rows
+from tidemill.llm.common import give_back, rows
 
 UNKNOWN = "und"
 #: n-grams of 1 to GRAMS bytes of the text in lower case; their hashes name one of 2 ** BITS features.
@@ -282,3 +282,4 @@ def _typical(shared, least: float, text: int, batches: Iterator[pa.RecordBatch])
             texts = part.column(text).cast(pa.binary()).to_pylist()
             found = shared.value.weigh([t if ok else None for t, ok in zip(texts, letters, strict=True)])
             yield part.filter(pa.array((found > least) & np.array(letters, bool))).drop_columns(part.schema.names[-1:])
+    give_back()

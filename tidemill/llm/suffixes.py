@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import gram_hashes, partitions, rows, spans, stored, window_minima, word_hashes
+from tidemill.llm.common import give_back, gram_hashes, partitions, rows, spans, stored, window_minima, word_hashes
 from tidemill.llm.windows import (
     HOT_ROWS,
     NO_ID,
@@ -278,3 +278,4 @@ def _cleaned(place: int, size_at: int | None, batches: Iterator[pa.RecordBatch])
                 others[size_at] = pc.if_else(pa.array(changed), sizes, others[size_at])
             columns = [*others[:place], text, *others[place:]]
             yield pa.RecordBatch.from_arrays(columns, [str(i) for i in range(len(columns))]).filter(kept)
+    give_back()
