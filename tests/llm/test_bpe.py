@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from cases import documents, nasty, sha, table
 
 from tidemill.llm import bpe
@@ -95,3 +96,19 @@ def test_operator(spark, both):
         check(rows, bpe.encode(docs, ["doc_id"], with_ids=True).collect(), library)
     assert bpe.encode(table(spark, []), ["doc_id"]).count() == 0
     assert bpe.encode(table(spark), ["row", "doc_id"]).columns == ["row", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_kept_columns_of_any_type(spark):
+    df = table(spark).select(
+        F.col("doc_id").cast("int").alias("doc_id"),
+        "text",
+        F.col("doc_id").cast("decimal(9,2)").alias("price"),
+        F.timestamp_seconds("doc_id").alias("at"),
+        F.lit(None).cast("date").alias("none"),
+        F.array("lang", "source").alias("names"),
+        F.struct(F.col("doc_id").cast("short").alias("a"), "lang").alias("both"),
+    )
+    keep = [c for c in df.columns if c != "text"]
+    found = bpe.encode(df, keep, with_ids=True)
+    assert [f.dataType for f in found.schema.fields][: len(keep)] == [df.schema[c].dataType for c in keep]
+    assert sorted(map(str, found.select(keep).collect())) == sorted(map(str, df.select(keep).collect()))

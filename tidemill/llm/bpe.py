@@ -192,11 +192,9 @@ _DECODED = 1 << 18
 def _rows(path: str, pattern: str, with_ids: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encoder, split, spelled = load(path, pattern)
     known = encoder.encode_piece
-    names = ["row", "n_tokens", "ids_sha256", "decoded_sha256"]
     for batch in batches:
-        out: list[tuple] = []
-        size = 0
-        for row, text in rows(iter([batch]), "row", "text"):
+        kept_rows, out, size, begin = batch.column(0), [], 0, 0
+        for (text,) in rows(iter([batch]), "text"):
             count, ids_hash, text_hash, kept = 0, hashlib.sha256(), hashlib.sha256(), []
             for part in split.lists(text or ""):
                 packed = b"".join([known(p) for p in part])
@@ -208,21 +206,22 @@ def _rows(path: str, pattern: str, with_ids: bool, batches: Iterator[pa.RecordBa
                 if with_ids:
                     kept.append(packed)
                     size += len(packed)
-            out.append((row, count, ids_hash.hexdigest(), text_hash.hexdigest(), b"".join(kept)))
+            out.append((count, ids_hash.hexdigest(), text_hash.hexdigest(), b"".join(kept)))
             if size > 1 << 24:
-                yield _batch(names, out, with_ids)
-                out, size = [], 0
+                yield _batch(kept_rows.slice(begin, len(out)), out, with_ids)
+                begin, out, size = begin + len(out), [], 0
         if out:
-            yield _batch(names, out, with_ids)
+            yield _batch(kept_rows.slice(begin), out, with_ids)
 
 
-def _batch(names: list[str], out: list[tuple], with_ids: bool) -> pa.RecordBatch:
+def _batch(kept: pa.Array, out: list[tuple], with_ids: bool) -> pa.RecordBatch:
+    """The kept columns as they came, of whatever type, and the results of their rows."""
     columns = list(zip(*out, strict=True))
-    arrays = [columns[0], pa.array(columns[1], pa.int64()), *map(pa.array, columns[2:4])]
-    arrays[0] = pa.array(columns[0])
+    arrays = [kept, pa.array(columns[0], pa.int64()), *map(pa.array, columns[1:3])]
+    names = ["row", "n_tokens", "ids_sha256", "decoded_sha256"]
     if with_ids:
-        flat = np.frombuffer(b"".join(columns[4]), "<u4").astype(np.int32)
-        edges = np.cumsum([0, *map(len, columns[4])]) // 4
+        flat = np.frombuffer(b"".join(columns[3]), "<u4").astype(np.int32)
+        edges = np.cumsum([0, *map(len, columns[3])]) // 4
         arrays.append(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat)))
         names = [*names, "ids"]
     return pa.RecordBatch.from_arrays(arrays, names)
