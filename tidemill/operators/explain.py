@@ -53,6 +53,7 @@ def sampled_shap(
     samples: int | None = None,
     seed: int = 42,
     per_class: bool = False,
+    background_limit: int = BACKGROUND_LIMIT,
 ) -> DataFrame:
     """``(key, base_value, impacts)`` of a fitted model, by permutation sampling.
 
@@ -65,15 +66,15 @@ def sampled_shap(
     moved, so impacts and base value add up to the prediction exactly. All rows meet the same background rows, each of
     them once (``samples`` that are more go round again), so there is one base value for a model and class. Orders are
     hashes of key and sample. A missing feature counts as its background mean. The background, a table of at most
-    BACKGROUND_LIMIT rows, travels as a literal array.
+    ``background_limit`` rows, travels as a literal array. Tree models have an exact form (``operators.tree_shap``).
     """
     size = len(features)
     if size == 0:
         raise ValueError("no features to explain")
     held = background.select(*[value_of(background, c).cast("double").alias(c) for c in features])
-    held = small_or_none(held, BACKGROUND_LIMIT)
+    held = small_or_none(held, background_limit)
     if held is None:
-        raise ValueError(f"the background has more than {BACKGROUND_LIMIT} rows: sample it")
+        raise ValueError(f"the background has more than {background_limit} rows: sample it")
     if not held:
         raise ValueError("the background is empty")
     known = [[r[c] for r in held if r[c] is not None] for c in features]

@@ -19,7 +19,8 @@ from tidemill.operators.profile import feature_statistics, most_frequent, value_
 
 log = logging.getLogger(__name__)
 
-# One-hot encoding makes one column per category; beyond this the output schema itself is unusable.
+# One-hot encoding makes one column per category; beyond this the output schema itself is unusable, and
+# ``operators.dictionary`` makes one sparse vector instead.
 MAX_CATEGORIES = 20_000
 
 # What an entirely empty column is filled with.
@@ -78,14 +79,14 @@ def fit_numeric(df: DataFrame, columns: list[str]) -> dict[str, dict[str, float]
     return out
 
 
-def fit_categorical(df: DataFrame, columns: list[str]) -> dict[str, dict]:
-    """Most frequent value (the smallest of equals) and the sorted categories per column."""
+def fit_categorical(df: DataFrame, columns: list[str], most: int = MAX_CATEGORIES) -> dict[str, dict]:
+    """Most frequent value (the smallest of equals) and the sorted categories per column, ``most`` of them in all."""
     require_columns(df, columns)
     frequencies = value_frequencies(df, columns)
     modes = {r["column"]: r for r in most_frequent(frequencies).collect()}
     found = sum(r["unique_values"] for r in modes.values())
-    if found > MAX_CATEGORIES:
-        raise ValueError(f"{found} categories in {', '.join(columns)}: too many for one column each")
+    if found > most:
+        raise ValueError(f"{found} categories in {', '.join(columns)}: too many for one column each, fit a dictionary")
     categories: dict[str, list[str]] = {c: [] for c in columns}
     for r in frequencies.select("column", "value").orderBy("column", "value").collect():
         categories[r["column"]].append(r["value"])
