@@ -27,9 +27,9 @@ SHARES = [f"share_{i}" for i in range(len(LETTERS))]
 
 
 def languages(t):
-    """The share of each letter in a document; the label is its language."""
+    """The share of each letter in a document, in tenths; the label is its language."""
     text = F.lower("text")
-    size = F.greatest(F.length(text), F.lit(1))
+    size = F.greatest(F.length(text), F.lit(1)) / 10
     shares = [((F.length(text) - F.length(F.replace(text, F.lit(c)))) / size).alias(name) for c, name in zip(LETTERS, SHARES)]
     known = t.documents.where("text IS NOT NULL AND lang IS NOT NULL")
     return known.select("doc_id", F.col("lang").alias("label"), *shares)
