@@ -90,3 +90,32 @@ def test_a_model_carries_its_index(spark):
     assert sum(found[0][i] == found[1][i] for i in found[0]) >= 0.9 * 300
     with pytest.raises(ValueError, match="algorithm"):
         models.train(train, "knn_classifier", features, "label", {"algorithm": "guess"})
+
+
+def test_a_query_row_is_not_copied_for_its_buckets(spark):
+    """No join, which the planner would broadcast: query rows times buckets are more than it guesses."""
+    train = clustered(spark, 600, 6).persist()
+    index = neighbors.build_index(train, "id", "v", "label", scratch_path(spark, "index"), rows_per_bucket=32)
+    found = neighbors.approximate_neighbors(index, train, "id", "v")
+    assert "Join" not in found._jdf.queryExecution().toString()
+    assert found.count() == 600 * 5
+
+
+@pytest.mark.parametrize("bits", [0, 5, 14])
+def test_reach_is_the_last_probe(bits):
+    draw = np.random.default_rng(3)
+    planes = np.linalg.qr(draw.normal(size=(16, 16)))[0][:bits]
+    x = draw.normal(size=(40, 16))
+    hashing = neighbors.Hashing(np.zeros(16), planes.reshape(-1, 16), 9)
+    probed, reach, sides = hashing.probed(x), hashing.reach(x), hashing.sides(x)
+    for bucket in np.unique(probed).tolist():
+        assert (hashing.looks_into(sides, reach, bucket) == (probed == bucket).any(axis=1)).all()
+
+
+def test_nearest_of_odd_rows():
+    """Rows that are not finite are nobody's neighbour and hide no other row; ties far from the origin go to the smaller key."""
+    x = np.array([[np.nan, 0], [1, 0], [np.inf, 1], [2, 0], [0, 2]]) + 1e8
+    best = models._Nearest(np.array([90, 91]), np.array([[0.0, 0], [np.nan, 0]]) + 1e8, 2)
+    best.offer(np.array([5, 4, 3, 2, 1]), x, np.array(list("abcde"), object))
+    found = best.rows()
+    assert found.values.tolist() == [[90, 4, "b", 1.0], [90, 1, "e", 4.0]]
