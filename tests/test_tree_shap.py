@@ -128,3 +128,21 @@ def test_one_leaf_and_edges(spark, table):
     with pytest.raises(ValueError, match="background is empty"):
         tree_shap(trained, flat, "id", flat.limit(0))
     assert not is_tree_model(models.train(table, "linear_regression", FEATURES, "y").pipeline.stages[-1])
+
+
+def test_leaves_in_parts_give_the_same_impacts(spark, table, monkeypatch):
+    """Leaves are sent in parts of a bounded size, without the patterns of the background; their impacts add up alike."""
+    from tidemill.operators import tree_shap as module
+
+    trained = models.train(table, "decision_tree", FEATURES, "y")
+    background = table.orderBy("id").limit(9)
+    whole = sorted(map(str, tree_shap(trained, table, "id", background, True).select("id", "class", "base_value").collect()))
+    monkeypatch.setattr(module, "_LEAVES_AT_ONCE", 2)
+    rows = list(module._all_leaves(spark, trained.pipeline.stages[-1]))
+    parts = list(module._Leaves.parts(iter(rows), False))
+    assert max(len(p.sizes) for p in parts) == 2 and sum(len(p.sizes) for p in parts) == len(rows) > 2
+    found = tree_shap(trained, table, "id", background, True)
+    assert sorted(map(str, found.select("id", "class", "base_value").collect())) == whole
+    own = {(r["id"], k): v for r in trained.predict(table).collect() for k, v in r["probability"].items()}
+    for r in found.collect():
+        assert abs(r["base_value"] + sum(i["impact"] for i in r["impacts"]) - own[r["id"], r["class"]]) < 1e-9

@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.ml import classification as C
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import local_rows, value_of
+from tidemill.functions.columns import local_rows, spread, value_of
 from tidemill.functions.lineage import scratch_path
 from tidemill.operators.boosting import SoftmaxBoostedModel
 from tidemill.operators.models import AdaBoostModel, Trained
@@ -28,6 +29,8 @@ from tidemill.operators.models import AdaBoostModel, Trained
 LEAVES = "tree int, leaf int, features array<int>, low array<double>, high array<double>, value array<double>"
 # Rows and (row, pattern) pairs that a task works on at once.
 _ROWS, _PAIRS = 1024, 1 << 22
+# Leaves of a tree that are held against rows and background at once.
+_LEAVES_AT_ONCE = 256
 _NODES = "tree", "id", "prediction", "impurityStats", "leftChild", "rightChild", "split"
 
 
@@ -52,29 +55,54 @@ def _nodes(spark: SparkSession, model) -> tuple[DataFrame, dict[int, float]]:
     return data.select(F.col("treeID").alias("tree"), "nodeData.*").select(*_NODES), weights
 
 
-def _leaf_rows(nodes: list, weight, values) -> Iterator[tuple]:
+def node_arrays(nodes: DataFrame) -> dict[int, dict[str, np.ndarray]]:
+    """For each tree its nodes as arrays in the order of their numbers; ``left`` is negative at a leaf."""
+    split = F.col("split")
+    held = nodes.select(
+        "tree",
+        "id",
+        "prediction",
+        "impurityStats",
+        F.col("leftChild").alias("left"),
+        F.col("rightChild").alias("right"),
+        split["featureIndex"].alias("feature"),
+        F.coalesce(F.get(split["leftCategoriesOrThreshold"], F.lit(0)), F.lit(0.0)).alias("bound"),
+        split["numCategories"].alias("categories"),
+    ).toArrow()
+    columns = {c: held.column(c).combine_chunks() for c in held.column_names}
+    stats = columns.pop("impurityStats")
+    columns = {c: v.to_numpy(zero_copy_only=False) for c, v in columns.items()}
+    columns["stats"] = stats.flatten().to_numpy(zero_copy_only=False).reshape(len(stats), -1) if len(stats) else np.empty((0, 0))
+    if (columns["categories"][columns["left"] >= 0] >= 0).any():
+        raise ValueError("a split by categories has no interval")
+    out = {}
+    for tree in np.unique(columns["tree"]).tolist():
+        own = np.flatnonzero(columns["tree"] == tree)
+        own = own[np.argsort(columns["id"][own])]
+        out[tree] = {c: v[own] for c, v in columns.items()}
+        # children by place, in case numbers have gaps
+        for c in ("left", "right"):
+            out[tree][c] = np.where(out[tree][c] < 0, -1, np.searchsorted(out[tree]["id"], out[tree][c]))
+    return out
+
+
+def _leaf_rows(nodes: DataFrame, weight, values) -> Iterator[tuple]:
     """Leaves with the interval, open below and closed above, that each feature of their path must be in."""
-    trees: dict[int, dict[int, object]] = {}
-    for node in nodes:
-        trees.setdefault(node["tree"], {})[node["id"]] = node
-    for tree, by_id in sorted(trees.items()):
+    for tree, node in sorted(node_arrays(nodes).items()):
+        value = values(node) * weight(tree)
         # a node is stored before its children, and nobody's child is the root
         waiting = [(0, {})]
         while waiting:
             at, path = waiting.pop()
-            node = by_id[at]
-            if node["leftChild"] < 0:
+            if node["left"][at] < 0:
                 order = sorted(path)
                 low, high = ([path[f][i] for f in order] for i in (0, 1))
-                yield tree, at, order, low, high, [float(v) * weight(tree) for v in values(node)]
+                yield tree, int(node["id"][at]), order, low, high, value[at].tolist()
                 continue
-            split = node["split"]
-            if split["numCategories"] >= 0:
-                raise ValueError("a split by categories has no interval")
-            feature, bound = split["featureIndex"], split["leftCategoriesOrThreshold"][0]
+            feature, bound = int(node["feature"][at]), float(node["bound"][at])
             low, high = path.get(feature, (-math.inf, math.inf))
-            waiting.append((node["leftChild"], path | {feature: (low, min(high, bound))}))
-            waiting.append((node["rightChild"], path | {feature: (max(low, bound), high)}))
+            waiting.append((int(node["left"][at]), path | {feature: (low, min(high, bound))}))
+            waiting.append((int(node["right"][at]), path | {feature: (max(low, bound), high)}))
 
 
 def tree_leaves(spark: SparkSession, model) -> DataFrame:
@@ -85,30 +113,38 @@ def tree_leaves(spark: SparkSession, model) -> DataFrame:
     of a tree or forest, the share of votes for each class of weighted trees, of a boosted classifier the margin of its
     second class, and of boosting over several classes the score of each. As large as the model, which the driver has.
     """
-    if isinstance(model, SoftmaxBoostedModel):
-        return local_rows(spark, list(_softmax_leaves(model)), LEAVES)
-    if isinstance(model, AdaBoostModel):
-        total = sum(model.weights) or 1.0
-        rows = []
-        for i, (one, weight) in enumerate(zip(model.models, model.weights, strict=True)):
-            nodes, _ = _nodes(spark, one)
-            votes = lambda n: [float(n["prediction"] == c) for c in range(model.classes)]
-            rows += [(i, *r[1:]) for r in _leaf_rows(nodes.collect(), lambda _, w=weight: w / total, votes)]
-        return local_rows(spark, rows, LEAVES)
+    return local_rows(spark, _all_leaves(spark, model), LEAVES)
+
+
+def output_nodes(spark: SparkSession, model) -> tuple[DataFrame, object, object]:
+    """The nodes of a fitted tree, forest or boosted model, the weight of each tree and the outputs of its nodes."""
     nodes, weights = _nodes(spark, model)
     shares = isinstance(model, (C.DecisionTreeClassificationModel, C.RandomForestClassificationModel))
     boosted = isinstance(model, C.GBTClassificationModel) or type(model).__name__ == "GBTRegressionModel"
     count = 1 if boosted else len(weights)
 
-    def values(node) -> list[float]:
+    def values(node) -> np.ndarray:
         if not shares:
-            return [node["prediction"]]
-        whole = sum(node["impurityStats"])
-        return [v / whole for v in node["impurityStats"]]
+            return node["prediction"][:, None]
+        return node["stats"] / node["stats"].sum(axis=1, keepdims=True)
 
     # Trees of a forest weigh alike, those of a boosted model as it says.
-    weight = (lambda tree: weights[tree]) if boosted else (lambda tree: 1.0 / count)
-    return local_rows(spark, list(_leaf_rows(nodes.collect(), weight, values)), LEAVES)
+    return nodes, (lambda tree: weights[tree]) if boosted else (lambda tree: 1.0 / count), values
+
+
+def _all_leaves(spark: SparkSession, model) -> Iterator[tuple]:
+    """The rows of ``tree_leaves``, tree by tree."""
+    if isinstance(model, SoftmaxBoostedModel):
+        yield from _softmax_leaves(model)
+    elif isinstance(model, AdaBoostModel):
+        total = sum(model.weights) or 1.0
+        for i, (one, weight) in enumerate(zip(model.models, model.weights, strict=True)):
+            nodes, _ = _nodes(spark, one)
+            votes = lambda n: (n["prediction"][:, None] == np.arange(model.classes)).astype(float)
+            for row in _leaf_rows(nodes, lambda _, w=weight: w / total, votes):
+                yield i, *row[1:]
+    else:
+        yield from _leaf_rows(*output_nodes(spark, model))
 
 
 def _softmax_leaves(model: SoftmaxBoostedModel) -> Iterator[tuple]:
@@ -133,9 +169,29 @@ def _softmax_leaves(model: SoftmaxBoostedModel) -> Iterator[tuple]:
                 waiting.append((int(tree.right[at]), path | {feature: (max(low, bound), high)}))
 
 
+@dataclass(frozen=True)
+class _Leaves:
+    """Some leaves of one tree as it is sent to the tasks: ``sizes`` entries of feature and interval each, and values."""
+
+    feature: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    sizes: np.ndarray
+    value: np.ndarray
+
+    @staticmethod
+    def parts(rows: Iterator[tuple], last_only: bool) -> Iterator[_Leaves]:
+        """The leaves of each tree, a bounded number at a time."""
+        for _, tree in groupby(rows, key=lambda r: r[0]):
+            while some := list(islice(tree, _LEAVES_AT_ONCE)):
+                flat = [np.array([v for r in some for v in r[i]], kind) for i, kind in ((2, np.int32), (3, float), (4, float))]
+                value = np.array([r[5][-1:] if last_only else r[5] for r in some])
+                yield _Leaves(*flat, np.array([len(r[2]) for r in some]), value)
+
+
 @dataclass(frozen=True)
 class _Tree:
-    """The leaves of one tree laid end to end, and the patterns in which background rows meet their intervals.
+    """Some leaves of one tree laid end to end, and the patterns in which background rows meet their intervals.
 
     ``feature, low, high, bit``: an entry for each leaf and feature of its path, ``start`` where a leaf's entries begin.
     ``leaf, mask, share``: an entry for each pattern. ``full``: the pattern in which a leaf is reached.
@@ -153,24 +209,20 @@ class _Tree:
     share: np.ndarray
 
     @staticmethod
-    def of(leaves: list, background: np.ndarray) -> _Tree:
-        sizes = np.array([len(r["features"]) for r in leaves])
-        flat = {c: np.array([v for r in leaves for v in r[c]]) for c in ("features", "low", "high")}
+    def of(leaves: _Leaves, background: np.ndarray) -> _Tree:
+        sizes = leaves.sizes
         start = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        bit = np.arange(len(flat["features"])) - np.repeat(start, sizes)
-        value = np.array([r["value"] for r in leaves])
+        bit = np.arange(len(leaves.feature)) - np.repeat(start, sizes)
         full = (np.int64(1) << sizes.astype(np.int64)) - 1
         empty = np.empty(0, np.int64)
-        tree = _Tree(
-            flat["features"].astype(np.int64), flat["low"], flat["high"], bit.astype(np.int64), start, full, value, empty, empty, empty
-        )
+        tree = _Tree(leaves.feature, leaves.low, leaves.high, bit.astype(np.int64), start, full, leaves.value, empty, empty, empty)
         met = tree.masks(background)
         leaf, mask, share = [], [], []
-        for i in range(len(leaves)):
+        for i in range(len(sizes)):
             found, counts = np.unique(met[:, i], return_counts=True)
-            leaf.append(np.full(len(found), i))
-            mask.append(found)
-            share.append(counts / len(background))
+            leaf.append(np.full(len(found), i, np.int16))
+            mask.append(found.astype(np.min_scalar_type(-int(full[i]) - 1)))
+            share.append((counts / len(background)).astype(np.float64))
         parts = {"leaf": np.concatenate(leaf), "mask": np.concatenate(mask), "share": np.concatenate(share)}
         return _Tree(**{**tree.__dict__, **parts})
 
@@ -189,12 +241,13 @@ class _Tree:
 
     def add(self, rows: np.ndarray, impacts: np.ndarray) -> None:
         """Adds the impacts (class, row, feature) of the rows."""
-        own = self.masks(rows)
+        # the patterns of the rows and the full ones are as wide as those of the background
+        own, full = self.masks(rows).astype(self.mask.dtype), self.full.astype(self.mask.dtype)
         step = max(1, _PAIRS // max(1, len(rows)))
         for begin in range(0, len(self.leaf), step):
             some = slice(begin, begin + step)
             leaf, other = self.leaf[some], self.mask[some]
-            row, at = np.nonzero((own[:, leaf] | other) == self.full[leaf])
+            row, at = np.nonzero((own[:, leaf] | other) == full[leaf])
             leaf, other, share = leaf[at], other[at], self.share[some][at]
             mine = own[row, leaf]
             only, lacks = mine & ~other, other & ~mine
@@ -208,9 +261,11 @@ class _Tree:
                     place = np.bitwise_count(lowest - 1).astype(np.int64)
                     feature = self.feature[self.start[leaf[left]] + place]
                     where = row[left] * impacts.shape[2] + feature
+                    # a leaf that has grown to the end counts for one class
                     for c in range(len(impacts)):
-                        amount = part[left] * self.value[leaf[left], c]
-                        impacts[c] += np.bincount(where, amount, impacts[c].size).reshape(impacts[c].shape)
+                        value = self.value[leaf[left], c]
+                        met = np.flatnonzero(value)
+                        np.add.at(impacts[c].reshape(-1), where[met], part[left[met]] * value[met])
                     bits = bits & (bits - 1)
                     left = left[bits[left] != 0]
 
@@ -220,8 +275,10 @@ _BINOMIAL = np.array([[float(math.comb(n, k)) for k in range(64)] for n in range
 
 def _explained(shared, features: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batch and, for each of its rows, the impacts of all features, class by class."""
-    trees, classes = shared.value
+    leaves, background, classes = shared.value
+    trees = None
     for batch in batches:
+        trees = trees or [_Tree.of(some, background) for some in leaves]
         for begin in range(0, batch.num_rows, _ROWS):
             part = batch.slice(begin, _ROWS)
             rows = part.column(1).flatten().to_numpy().reshape(part.num_rows, features)
@@ -242,7 +299,8 @@ def tree_shap(
     Explains the output that ``tree_leaves`` names: of classes the last one, or with ``per_class`` each one in a row of
     its own, with the class in column ``class``. Base value and impacts add up to the output. A missing feature counts as
     its mean over the background; an empty background is an error. The background and the leaves reach every task, once;
-    rows are neither copied nor shuffled, and repeated keys give repeated rows.
+    rows are not copied, and shuffled only if they are in fewer partitions than there are cores; repeated keys give
+    repeated rows.
     """
     spark, features = df.sparkSession, model.features
     held = background.select(*[value_of(background, c).cast("double").alias(c) for c in features]).toPandas()
@@ -250,17 +308,12 @@ def tree_shap(
         raise ValueError("the background is empty")
     means = held.mean().fillna(0.0)
     points = held.fillna(means).to_numpy(float)
-    by_tree: dict[int, list] = {}
-    for row in tree_leaves(spark, model.pipeline.stages[-1]).collect():
-        by_tree.setdefault(row["tree"], []).append(row)
-    trees = [_Tree.of(leaves, points) for leaves in by_tree.values()]
-    base = np.sum([t.base() for t in trees], axis=0)
-    if not per_class:
-        trees = [_Tree(**{**t.__dict__, "value": t.value[:, -1:]}) for t in trees]
-        base = base[-1:]
-    shared = spark.sparkContext.broadcast((trees, len(base)))
+    leaves = list(_Leaves.parts(_all_leaves(spark, model.pipeline.stages[-1]), not per_class))
+    # the patterns of the background are many times the leaves: here only those of a few leaves at a time
+    base = np.sum([_Tree.of(some, points).base() for some in leaves], axis=0)
+    shared = spark.sparkContext.broadcast((leaves, points, len(base)))
     own = F.array(*[F.coalesce(value_of(df, c).cast("double"), F.lit(float(means[c]))) for c in features])
-    rows = df.select(F.col(key).alias("_key"), own.alias("_x"))
+    rows = spread(df.select(F.col(key).alias("_key"), own.alias("_x")))
     key_type = df.schema[key].dataType.simpleString()
     found = rows.mapInArrow(
         lambda batches: _explained(shared, len(features), batches),
