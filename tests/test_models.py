@@ -272,3 +272,20 @@ def test_registered_projection_of_four_columns(spark, tables):
         assert [r[:2] for r in ours] == [r[:2] for r in theirs]
         assert np.allclose([r[2] for r in ours], [r[2] for r in theirs], atol=1e-3)
         assert {round(r[f"share{i + 1}"], 5) for r in found} == {round(shares[i], 5)}
+
+
+def test_walks_down_trees_are_those_of_every_step(table):
+    """Steps of a walk that are evaluated together give what scoring each of them gives, for repeated keys too."""
+    twice = table.where("id < 30").unionByName(table.where("id < 4").withColumn("a", F.col("a") + 3))
+    for name, target in (("decision_tree", "y"), ("random_forest_regressor", "price")):
+        trained = models.train(table, name, FEATURES, target, {"max_depth": 6} | ({"n_estimators": 3} if "forest" in name else {}))
+        background = explain.background_sample(table, "id", FEATURES, 7)
+        together = explain.sampled_shap(trained, twice, "id", FEATURES, background, samples=9)
+        assert "MapInArrow" in together._jdf.queryExecution().toString()
+        apart = explain.sampled_shap(trained.pipeline, twice, "id", FEATURES, background, samples=9)
+        found, want = ({r["id"]: r for r in df.collect()} for df in (together, apart))
+        assert len(found) == len(want) == 30
+        for i, r in found.items():
+            assert r["base_value"] == pytest.approx(want[i]["base_value"])
+            assert [e["feature"] for e in r["impacts"]] == FEATURES
+            assert [e["impact"] for e in r["impacts"]] == pytest.approx([e["impact"] for e in want[i]["impacts"]], abs=1e-9)

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml import classification as C
+from pyspark.ml import regression as R
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +22,8 @@ MAX_DISPLAY = 10
 BACKGROUND_ROWS = 100
 # Larger backgrounds are refused: they travel in the plan.
 BACKGROUND_LIMIT = 1000
+# Walks that a task follows at once.
+_WALKS = 4096
 
 
 def linear_shap(
@@ -67,6 +74,9 @@ def sampled_shap(
     them once (``samples`` that are more go round again), so there is one base value for a model and class. Orders are
     hashes of key and sample. A missing feature counts as its background mean. The background, a table of at most
     ``background_limit`` rows, travels as a literal array. Tree models have an exact form (``operators.tree_shap``).
+
+    The steps of a walk down a tree or forest are evaluated together: at a node they part in two at the step that moves
+    its feature, and only steps that end in different leaves change the output. Other models score every step.
     """
     size = len(features)
     if size == 0:
@@ -85,6 +95,10 @@ def sampled_shap(
     own = F.array(*[F.coalesce(value_of(df, c).cast("double"), F.lit(m)) for c, m in zip(features, means)])
     # spread by key once: every later grouping is by the key and more, so none of them shuffles again
     keyed = df.select(F.col(key).alias("_key"), own.alias("_x")).repartition("_key")
+    trees = _walkable(model, features)
+    if trees:
+        # a null key joins nothing at the end of the other form
+        keyed = keyed.where(F.col("_key").isNotNull()).sortWithinPartitions("_key")
     rows = keyed.select("_key", "_x", F.explode(F.sequence(F.lit(0), F.lit(walks - 1))).alias("_s"))
     order = F.array_sort(
         F.transform(
@@ -99,6 +113,10 @@ def sampled_shap(
         F.get(base_points, F.pmod("_s", F.lit(len(points))).cast("int")).alias("_b"),
         F.transform(order, lambda o: o["j"]).alias("_order"),
     )
+    names = F.array(*[F.lit(c) for c in features])
+    labels = getattr(model, "labels", None)
+    if trees:
+        return _walked(model, started.select("_key", "_x", "_s", "_order"), np.array(points, float), features, key, per_class)
     # the place of each feature in the order, once for a walk and not for each of its steps
     ranks = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda j: F.array_position(F.col("_order"), j))
     started = started.withColumn("_ranks", ranks)
@@ -116,7 +134,6 @@ def sampled_shap(
     placed = steps.select("_key", moved.alias("_moved"), following.alias("_following"), at_step.alias("_at")).select(
         *carried, *[F.get("_at", F.lit(i)).alias(c) for i, c in enumerate(features)]
     )
-    labels = getattr(model, "labels", None)
     evaluated = getattr(model, "pipeline", model).transform(placed)
     if per_class:
         shares, classes = _probabilities(model, evaluated), len(labels) if labels is not None else _classes(model)
@@ -133,19 +150,120 @@ def sampled_shap(
         F.max(F.when(F.col("_j") < 0, F.col("_f"))).alias("base_value"),
         F.map_from_entries(F.collect_list(F.when(F.col("_j") >= 0, F.struct("_j", "_f")))).alias("_impacts"),
     )
-    names = F.array(*[F.lit(c) for c in features])
     impacts = F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),
         lambda j: F.struct(F.get(names, j).alias("feature"), F.element_at("_impacts", j).alias("impact"), F.get("_x", j).alias("value")),
     )
     explained = explained.join(keyed.dropDuplicates(["_key"]), "_key").withColumn("impacts", impacts)
-    out = [F.col("_key").alias(key)]
+    return explained.select(*_key_and_class(model, key, per_class), "base_value", "impacts")
+
+
+def _key_and_class(model, key: str, per_class: bool) -> list[Column]:
+    out, labels = [F.col("_key").alias(key)], getattr(model, "labels", None)
     if per_class:
         index = F.col("_class")
         if labels is not None:
             index = F.get(F.array(*[F.lit(v) for v in labels]).cast(f"array<{model.label_type}>"), index)
         out.append(index.alias("class"))
-    return explained.select(*out, "base_value", "impacts")
+    return out
+
+
+def _walkable(model, features: list[str]) -> bool:
+    """Whether the output is a sum over trees: a tree or forest fitted on these very features."""
+    kinds = C.DecisionTreeClassificationModel, C.RandomForestClassificationModel, R.DecisionTreeRegressionModel, R.RandomForestRegressionModel
+    return sorted(getattr(model, "features", [])) == sorted(features) and isinstance(model.pipeline.stages[-1], kinds)
+
+
+def _walked(model, started: DataFrame, points: np.ndarray, features: list[str], key: str, per_class: bool) -> DataFrame:
+    """The explanations by walks ``(_key, _x, _s, _order)``, which come key by key in each partition."""
+    from tidemill.operators.tree_shap import node_arrays, output_nodes
+
+    nodes, weight, values = output_nodes(started.sparkSession, model.pipeline.stages[-1])
+    place, trees = np.array([features.index(c) for c in model.features]), []
+    for tree, node in sorted(node_arrays(nodes).items()):
+        value = values(node) * weight(tree)
+        value = value[:, : len(model.labels)] if model.labels is not None else value
+        feature = place[np.maximum(node["feature"], 0)]
+        trees.append((feature, node["bound"], node["left"], node["right"], value if per_class else value[:, -1:]))
+    shared = started.sparkSession.sparkContext.broadcast((trees, points))
+    kind = started.schema["_key"].dataType.simpleString()
+    found = started.mapInArrow(
+        lambda batches: _walk_sums(shared, batches), f"_key {kind}, _x array<double>, _base array<double>, _impacts array<array<double>>"
+    )
+    found = found.select("*", F.posexplode("_impacts").alias("_class", "_own"))
+    names = F.array(*[F.lit(c) for c in features])
+    impacts = F.arrays_zip(names.alias("feature"), F.col("_own").alias("impact"), F.col("_x").alias("value"))
+    return found.select(
+        *_key_and_class(model, key, per_class),
+        F.get("_base", F.col("_class")).alias("base_value"),
+        impacts.cast("array<struct<feature: string, impact: double, value: double>>").alias("impacts"),
+    )
+
+
+def _walk_sums(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each key the means over its walks of the first output and of the changes by each feature, class by class."""
+    trees, points = shared.value
+    held = None  # key, row, walks, sums of the first outputs and of the changes: the last key may go on in the next batch
+
+    def row(key: pa.Array, x: np.ndarray, walks: int, base: np.ndarray, impacts: np.ndarray) -> pa.RecordBatch:
+        lists = [pa.array([v], pa.list_(pa.float64())) for v in (x, base / walks)]
+        nested = pa.array([list(impacts / walks)], pa.list_(pa.list_(pa.float64())))
+        return pa.RecordBatch.from_arrays([key, *lists, nested], ["_key", "_x", "_base", "_impacts"])
+
+    for batch in batches:
+        for start in range(0, batch.num_rows, _WALKS):
+            part = batch.slice(start, _WALKS)
+            keys, size = part.column(0), points.shape[1]
+            x, order = (part.column(i).flatten().to_numpy().reshape(len(keys), size) for i in (1, 3))
+            first = np.ones(len(keys), bool)
+            first[1:] = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+            begins, group = np.flatnonzero(first), np.cumsum(first) - 1
+            base, impacts = _walk_changes(trees, x, points[part.column(2).to_numpy() % len(points)], order, group)
+            walks = np.bincount(group)
+            for g, at in enumerate(begins):
+                own = keys.slice(at, 1)
+                if held and own.equals(held[0]):
+                    held = (*held[:2], held[2] + walks[g], held[3] + base[g], held[4] + impacts[g])
+                    continue
+                if held:
+                    yield row(*held)
+                held = own, x[at], walks[g], base[g], impacts[g]
+    if held:
+        yield row(*held)
+
+
+def _walk_changes(trees: list, x: np.ndarray, b: np.ndarray, order: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by group of the output at the background rows ``b``, and of what each feature changes on the way to ``x``."""
+    size, classes = x.shape[1], trees[0][4].shape[1]
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(1, size + 1, dtype=order.dtype)[None], axis=1)
+    base, impacts = np.zeros((group[-1] + 1, classes)), np.zeros((group[-1] + 1, classes, size))
+    for feature, bound, left, right, value in trees:
+        # steps low to high - 1 of a walk are at a node; a feature has moved from its step on
+        walk, low, high, node = np.arange(len(x)), np.zeros(len(x), int), np.full(len(x), size + 1), np.zeros(len(x), int)
+        ended = []
+        while len(walk):
+            done = left[node] < 0
+            ended.append((walk[done], low[done], node[done]))
+            walk, low, high, node = (v[~done] for v in (walk, low, high, node))
+            f = feature[node]
+            before = np.where(b[walk, f] <= bound[node], left[node], right[node])
+            after = np.where(x[walk, f] <= bound[node], left[node], right[node])
+            moved = np.where(before == after, high, np.clip(rank[walk, f], low, high))
+            early, late = moved > low, moved < high
+            walk, low, high, node = (
+                np.concatenate((p[early], q[late]))
+                for p, q in ((walk, walk), (low, moved), (moved, high), (before, after))
+            )
+        walk, low, node = (np.concatenate(v) for v in zip(*ended))
+        by_step = np.lexsort((low, walk))
+        walk, low, out = walk[by_step], low[by_step], value[node[by_step]]
+        np.add.at(base, group[walk[low == 0]], out[low == 0])
+        at = np.flatnonzero(low > 0)
+        change, by = out[at] - out[at - 1], order[walk[at], low[at] - 1]
+        for c in range(classes):
+            np.add.at(impacts, (group[walk[at]], c, by), change[:, c])
+    return base, impacts
 
 
 def _classes(model) -> int:
