@@ -101,3 +101,18 @@ def test_nasty_rows_and_no_rows(spark, tmp_path):
             stage(spark, docs, SMALL).write.parquet(path)
             docs = spark.read.parquet(path)
         assert docs.count() == 0 or rows
+
+
+def test_what_is_dropped_stays_out(spark, tmp_path):
+    """Rows that language ID drops, of unlearned languages or without a letter, are in no token row at the end."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。人間は、理性と良心とを授けられている。",
+        "12 + 30 = 42 !",
+        None,
+    ]
+    extra = spark.createDataFrame([(10**9 + i, t, None, "s", len(t or "")) for i, t in enumerate(texts)], docs.schema)
+    docs.unionByName(extra).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id for r in entry_points.queries()["pipeline"](spark, str(tmp_path)).select("doc_id").collect()}
+    assert found and max(found) < 10**9
