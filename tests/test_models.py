@@ -289,3 +289,20 @@ def test_walks_down_trees_are_those_of_every_step(table):
             assert r["base_value"] == pytest.approx(want[i]["base_value"])
             assert [e["feature"] for e in r["impacts"]] == FEATURES
             assert [e["impact"] for e in r["impacts"]] == pytest.approx([e["impact"] for e in want[i]["impacts"]], abs=1e-9)
+
+
+def test_boosting_holds_the_weights_of_a_round(spark, monkeypatch):
+    """A tree reads its rows several times: their weights are held meanwhile, and let go afterwards."""
+    rows = [(float(i % 7), float(i * 5 % 11), "a" if i * i % 13 < 6 else "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, y double, label string")
+    fit, held = models.C.DecisionTreeClassifier.fit, []
+
+    def watched(self, data, params=None):
+        held.append(data.storageLevel.useMemory)
+        return fit(self, data, params)
+
+    monkeypatch.setattr(models.C.DecisionTreeClassifier, "fit", watched)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    trained = models.train(df, "adaboost", ["x", "y"], "label", {"n_estimators": 4})
+    assert held and all(held) and len(held) >= len(trained.pipeline.stages[-1].models)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
