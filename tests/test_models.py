@@ -306,3 +306,18 @@ def test_boosting_holds_the_weights_of_a_round(spark, monkeypatch):
     trained = models.train(df, "adaboost", ["x", "y"], "label", {"n_estimators": 4})
     assert held and all(held) and len(held) >= len(trained.pipeline.stages[-1].models)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_a_forest_grows_on_all_cores(spark, monkeypatch):
+    """Rows of one partition are dealt to all cores, and a row's nodes are kept from level to level."""
+    df = spark.range(300).select((F.col("id") % 17).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("y")).coalesce(1)
+    fit, seen = models.R.RandomForestRegressor.fit, []
+
+    def watched(self, data, params=None):
+        seen.append((data.rdd.getNumPartitions(), self.getCacheNodeIds()))
+        return fit(self, data, params)
+
+    monkeypatch.setattr(models.R.RandomForestRegressor, "fit", watched)
+    trained = models.train(df, "random_forest_regressor", ["x"], "y", {"n_estimators": 3})
+    assert seen == [(spark.sparkContext.defaultParallelism, True)]
+    assert trained.predict(df).count() == 300

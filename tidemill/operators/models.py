@@ -66,7 +66,8 @@ def _tree(params: dict) -> dict:
 
 
 def _forest(params: dict) -> dict:
-    return _tree(params) | {"numTrees": params["n_estimators"]}
+    # a row finds its node in each tree from the one it was in a level before
+    return _tree(params) | {"numTrees": params["n_estimators"], "cacheNodeIds": True}
 
 
 def _boosted(params: dict, rows: int, classes: int, spread: float):
@@ -311,6 +312,9 @@ def train(df: DataFrame, model_name: str, features: list[str], target: str, para
             hashing = build_index(rows, "_row", FEATURES, LABEL, path, params["n_neighbors"]).hashing
         fitted = NeighborModel(path, params["n_neighbors"], params["weights"], len(labels or []), hashing)
         return Trained(model_name, spec.task, features, target, PipelineModel([assembler, fitted]), labels, label_type)
+    if model_name.startswith("random_forest"):
+        # each row is followed through every tree: few partitions would leave cores idle
+        prepared = spread(prepared)
     prepared = prepared.persist()
     try:
         size = prepared.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("spread")).first()
