@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.lineage import scratch_path
 from tidemill.operators import charts, evaluate, explain, models, training
+from tidemill.operators.tree_shap import tree_leaves
 
 FEATURES = ["a", "b"]
 
@@ -321,3 +322,65 @@ def test_a_forest_grows_on_all_cores(spark, monkeypatch):
     trained = models.train(df, "random_forest_regressor", ["x"], "y", {"n_estimators": 3})
     assert seen == [(spark.sparkContext.defaultParallelism, True)]
     assert trained.predict(df).count() == 300
+
+
+def test_parts_of_a_forest_vote_as_one(spark, monkeypatch, tmp_path):
+    """Trees that are grown side by side: few partitions each, and the mean over all trees, also once saved and loaded."""
+    rows = [(i, float(i % 17), float(i * 5 % 11), "abc"[i * i % 13 % 7 % 3], float(i % 17 * 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, x double, y double, label string, size double")
+    fit, seen = models.C.RandomForestClassifier.fit, []
+
+    def watched(self, data, params=None):
+        seen.append((data.rdd.getNumPartitions(), self.getNumTrees(), self.getSeed()))
+        return fit(self, data, params)
+
+    monkeypatch.setattr(models.C.RandomForestClassifier, "fit", watched)
+    trained = models.train(df, "random_forest", ["x", "y"], "label", {"n_estimators": 13})
+    forest = trained.pipeline.stages[-1]
+    assert [p for p, _, _ in seen] == [1] * len(seen) and len({s for _, _, s in seen}) == len(seen) > 1
+    assert sum(forest.trees) == 13 and sum(n for _, n, _ in seen) == 13
+    assert abs(models.importances(forest).sum() - 1) < 1e-12
+
+    each = [m.transform(trained.pipeline.stages[0].transform(df)).orderBy("id").collect() for m in forest.models]
+    expected = [sum(np.array(part[i]["rawPrediction"]) for part in each) / 13 for i in range(400)]
+    found = trained.predict(df).orderBy("id").collect()
+    for row, shares in zip(found, expected, strict=True):
+        assert np.allclose([row["probability"][c] for c in "abc"], shares, atol=1e-9)
+        assert row["prediction"] == "abc"[int(np.argmax(shares))]
+
+    models.save_model(trained, str(tmp_path / "m"))
+    again = models.load_model(spark, str(tmp_path / "m"))
+    assert again.pipeline.stages[-1].trees == forest.trees
+    assert [r["prediction"] for r in again.predict(df).orderBy("id").collect()] == [r["prediction"] for r in found]
+
+    leaves = tree_leaves(spark, forest).collect()
+    assert len({r["tree"] for r in leaves}) == 13
+    reached = [r["value"] for r in leaves if all(lo < [3.0, 4.0][f] <= hi for f, lo, hi in zip(r["features"], r["low"], r["high"]))]
+    point = trained.predict(spark.createDataFrame([(3.0, 4.0)], "x double, y double")).first()
+    assert np.allclose(np.sum(reached, axis=0), [point["probability"][c] for c in "abc"], atol=1e-9)
+
+    sized = models.train(df, "random_forest_regressor", ["x"], "size", {"n_estimators": 9})
+    assert sum(sized.pipeline.stages[-1].trees) == 9
+    worst = sized.predict(df).selectExpr("max(abs(prediction - size)) AS d").first()["d"]
+    assert worst < 4
+
+
+def test_rows_of_a_forest_stay_in_bounded_tasks(spark, monkeypatch):
+    """Where a task could not hold the rows, a part of the trees has as many partitions as they need."""
+    df = spark.range(300).select((F.col("id") % 17).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("y"))
+    seen = []
+    fit = models.R.RandomForestRegressor.fit
+
+    def watched(self, data, params=None):
+        seen.append(data.rdd.getNumPartitions())
+        return fit(self, data, params)
+
+    monkeypatch.setattr(models.R.RandomForestRegressor, "fit", watched)
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(models, "FOREST_VALUES", 150)
+    models.train(df, "random_forest_regressor", ["x"], "y", {"n_estimators": 8})
+    assert set(seen) == ({2} if cores >= 4 else {cores})
+    seen.clear()
+    monkeypatch.setattr(models, "FOREST_VALUES", 1)
+    models.train(df, "random_forest_regressor", ["x"], "y", {"n_estimators": 8})
+    assert len(seen) == 1 and seen[0] >= cores

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import one_row, require_columns, small_or_none, value_of
-from tidemill.operators.models import class_probabilities
+from tidemill.operators.models import ForestModel, class_probabilities
 
 # Impacts shown per row, and rows of a background sample.
 MAX_DISPLAY = 10
@@ -170,7 +170,7 @@ def _key_and_class(model, key: str, per_class: bool) -> list[Column]:
 
 def _walkable(model, features: list[str]) -> bool:
     """Whether the output is a sum over trees: a tree or forest fitted on these very features."""
-    kinds = C.DecisionTreeClassificationModel, C.RandomForestClassificationModel, R.DecisionTreeRegressionModel, R.RandomForestRegressionModel
+    kinds = C.DecisionTreeClassificationModel, C.RandomForestClassificationModel, R.DecisionTreeRegressionModel, R.RandomForestRegressionModel, ForestModel
     return sorted(getattr(model, "features", [])) == sorted(features) and isinstance(model.pipeline.stages[-1], kinds)
 
 

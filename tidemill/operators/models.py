@@ -5,15 +5,19 @@ from __future__ import annotations
 import logging
 import math
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,6 +42,8 @@ KNN_QUERY_BYTES = 256 * 1024 * 1024
 _QUERY_SLICE, _TRAIN_SLICE, _PAIRS, _MANY = 1024, 4096, 1 << 12, 4
 # A target of more values is no set of classes: a string id, say.
 MOST_CLASSES = 10_000
+# Values (rows times features) that a task holds of the rows of a forest, and the fewest trees that are grown by themselves.
+FOREST_VALUES, FOREST_TREES = 1 << 25, 4
 # Boosting rounds between two checkpoints.
 ROUNDS_PER_CUT = 10
 # Fixed value: share of the largest variance added to every class variance.
@@ -335,8 +341,11 @@ def train(df: DataFrame, model_name: str, features: list[str], target: str, para
             fitted = network.setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(prepared)
         else:
             estimator = spec.build(params, size["n"], len(labels or []), size["spread"] or 0.0)
-            estimator = _with_extras(estimator, model_name, params)
-            fitted = estimator.setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(prepared)
+            estimator = _with_extras(estimator, model_name, params).setFeaturesCol(FEATURES).setLabelCol(LABEL)
+            if model_name.startswith("random_forest"):
+                fitted = fit_forest(estimator, prepared, size["n"] * len(features))
+            else:
+                fitted = estimator.fit(prepared)
     finally:
         prepared.unpersist()
     return Trained(model_name, spec.task, features, target, PipelineModel([assembler, fitted]), labels, label_type)
@@ -392,27 +401,30 @@ def confidence(df: DataFrame, probability: str = "probability") -> DataFrame:
 
 _DESCRIPTION = (
     "name string, task string, features array<string>, target string, labels array<string>, label_type string, "
-    "weights array<double>, neighbours struct<k:int,weights:string,hashing:string>, boosted string"
+    "weights array<double>, neighbours struct<k:int,weights:string,hashing:string>, boosted string, forests int"
 )
 
 
 def save_model(trained: Trained, path: str) -> None:
     """The pipeline and, beside it, a one-row description; both are written through Spark."""
     spark, last = SparkSession.active(), trained.pipeline.stages[-1]
-    weights = neighbours = boosted = None
+    weights = neighbours = boosted = forests = None
     stages = trained.pipeline
     if isinstance(last, SoftmaxBoostedModel):
         boosted, stages = last.to_json(), PipelineModel(trained.pipeline.stages[:-1])
     if isinstance(last, AdaBoostModel):
         weights = [float(w) for w in last.weights]
         stages = PipelineModel([*trained.pipeline.stages[:-1], *last.models])
+    elif isinstance(last, ForestModel):
+        forests = len(last.models)
+        stages = PipelineModel([*trained.pipeline.stages[:-1], *last.models])
     elif isinstance(last, NeighborModel):
         neighbours = {"k": last.k, "weights": last.weights, "hashing": last.hashing and last.hashing.to_json()}
         stages = PipelineModel(trained.pipeline.stages[:-1])
         spark.read.parquet(last.path).write.mode("overwrite").parquet(f"{path}/neighbours")
     stages.write().overwrite().save(f"{path}/pipeline")
     labels = None if trained.labels is None else [str(v) for v in trained.labels]
-    row = (trained.name, trained.task, trained.features, trained.target, labels, trained.label_type, weights, neighbours, boosted)
+    row = (trained.name, trained.task, trained.features, trained.target, labels, trained.label_type, weights, neighbours, boosted, forests)
     local_rows(spark, [row], _DESCRIPTION).coalesce(1).write.mode("overwrite").json(f"{path}/description")
 
 
@@ -427,6 +439,9 @@ def load_model(spark: SparkSession, path: str) -> Trained:
         trees = pipeline.stages[-len(row["weights"]) :]
         boosted = AdaBoostModel(list(trees), list(row["weights"]), len(labels))
         pipeline = PipelineModel([*pipeline.stages[: -len(trees)], boosted])
+    elif row["forests"] is not None:
+        own = len(pipeline.stages) - row["forests"]
+        pipeline = PipelineModel([*pipeline.stages[:own], ForestModel(list(pipeline.stages[own:]))])
     elif row["neighbours"] is not None:
         k, weights, text = row["neighbours"]
         hashing = None
@@ -472,6 +487,9 @@ def importances(model) -> np.ndarray:
     if isinstance(model, AdaBoostModel):
         weights = np.array(model.weights)
         return np.average([importances(m) for m in model.models], axis=0, weights=weights)
+    if isinstance(model, ForestModel):
+        found = np.average([importances(m) for m in model.models], axis=0, weights=model.trees)
+        return found / (found.sum() or 1.0)
     if hasattr(model, "featureImportances"):
         return model.featureImportances.toArray()
     if isinstance(model, C.LogisticRegressionModel):
@@ -481,6 +499,68 @@ def importances(model) -> np.ndarray:
     raise ValueError(f"{type(model).__name__} has no importances")
 
 
+# --- forests in parts -----------------------------------------------------------------------------------------
+
+
+class ForestModel(Transformer):
+    """Forests that were grown side by side and vote as one: every tree weighs the same."""
+
+    def __init__(self, models: list | None = None):
+        super().__init__()
+        self.models = models or []
+
+    @property
+    def trees(self) -> list[int]:
+        return [m.getNumTrees for m in self.models]
+
+    @property
+    def classes(self) -> int:
+        """The number of classes, 0 for a number that is predicted."""
+        return getattr(self.models[0], "numClasses", 0)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        names, out = [f"_votes{i}" for i in range(len(self.models))], df
+        for name, model in zip(names, self.models):
+            voter = model.copy()
+            if self.classes:
+                voter.setPredictionCol("").setRawPredictionCol(name).setProbabilityCol("")
+            else:
+                voter.setPredictionCol(name)
+            out = voter.transform(out)
+        count = float(sum(self.trees))
+        if not self.classes:
+            votes = [F.col(name) * F.lit(float(n)) for name, n in zip(names, self.trees)]
+            return out.withColumn("prediction", reduce(add, votes) / count).drop(*names)
+        out = out.withColumns({name: vector_to_array(name) for name in names})
+        votes = F.array(*[reduce(add, [F.col(name)[c] for name in names]) for c in range(self.classes)])
+        out = out.withColumn("_votes", votes).drop(*names)
+        pairs = F.array(*[F.struct((-F.col("_votes")[c]).alias("rank"), F.lit(float(c)).alias("label")) for c in range(self.classes)])
+        shares = F.transform("_votes", lambda v: v / count)
+        return out.withColumns({"probability": array_to_vector(shares), "prediction": F.array_min(pairs)["label"]}).drop("_votes")
+
+
+def fit_forest(estimator, prepared: DataFrame, values: int):
+    """A random forest, its trees dealt to the cores as far as a task can hold the rows.
+
+    Spark sends a table of counts for each node from each partition of the rows, and a tree without a depth limit has
+    nodes in proportion to its rows. So the rows of a part of the trees are in no more partitions than their ``values``
+    ask for, and the cores grow different trees. Every part draws its own rows and features.
+    """
+    trees, cores = estimator.getNumTrees(), prepared.sparkSession.sparkContext.defaultParallelism
+    partitions = max(1, -(-values // FOREST_VALUES))
+    parts = min(cores // partitions, trees // FOREST_TREES)
+    if parts < 2:
+        return estimator.fit(prepared)
+
+    def grown(part: int):
+        own = estimator.copy().setNumTrees(trees * (part + 1) // parts - trees * part // parts)
+        # partitions draw by seeds that follow one another
+        return own.setSeed(estimator.getSeed() + part * (partitions + 1)).fit(prepared.repartition(partitions))
+
+    with ThreadPoolExecutor(parts) as pool:
+        return ForestModel([f.result() for f in [pool.submit(inheritable_thread_target(prepared.sparkSession)(grown), i) for i in range(parts)]])
+
+
 # --- boosting of weighted trees -------------------------------------------------------------------------------
 
 

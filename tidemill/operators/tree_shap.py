@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import groupby, islice
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.columns import local_rows, spread, value_of
 from tidemill.functions.lineage import scratch_path
 from tidemill.operators.boosting import SoftmaxBoostedModel
-from tidemill.operators.models import AdaBoostModel, Trained
+from tidemill.operators.models import AdaBoostModel, ForestModel, Trained
 
 LEAVES = "tree int, leaf int, features array<int>, low array<double>, high array<double>, value array<double>"
 # Rows and (row, pattern) pairs that a task works on at once.
@@ -40,11 +41,19 @@ def is_tree_model(model) -> bool:
         return True
     if isinstance(model, AdaBoostModel):
         return all(is_tree_model(m) for m in model.models)
-    return hasattr(model, "treeWeights") or hasattr(model, "numNodes")
+    return isinstance(model, ForestModel) or hasattr(model, "treeWeights") or hasattr(model, "numNodes")
 
 
 def _nodes(spark: SparkSession, model) -> tuple[DataFrame, dict[int, float]]:
     """One row for each node of every tree, as the model itself stores them, and the weights of the trees."""
+    if isinstance(model, ForestModel):
+        first, found, weights = 0, [], {}
+        for part in model.models:
+            nodes, own = _nodes(spark, part)
+            found.append(nodes.withColumn("tree", F.col("tree") + first))
+            weights |= {first + tree: weight for tree, weight in own.items()}
+            first += len(own)
+        return reduce(DataFrame.union, found), weights
     path = scratch_path(spark, "tree-model")
     model.write().save(path)
     data = spark.read.parquet(f"{path}/data")
@@ -120,6 +129,7 @@ def output_nodes(spark: SparkSession, model) -> tuple[DataFrame, object, object]
     """The nodes of a fitted tree, forest or boosted model, the weight of each tree and the outputs of its nodes."""
     nodes, weights = _nodes(spark, model)
     shares = isinstance(model, (C.DecisionTreeClassificationModel, C.RandomForestClassificationModel))
+    shares = shares or isinstance(model, ForestModel) and model.classes > 0
     boosted = isinstance(model, C.GBTClassificationModel) or type(model).__name__ == "GBTRegressionModel"
     count = 1 if boosted else len(weights)
 
