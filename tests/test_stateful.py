@@ -206,3 +206,72 @@ def test_warnings_are_held_back_while_the_critical_alert_is_active(spark):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     assert ("slow", "x", "warning", 30) not in set(map(tuple, found.collect()))
     assert spark.read.format("statestore").option("joinSide", "left").load(checkpoint).where("key is not null").count() == 0
+
+
+class Held:
+    """State of one key in memory, with the number of entries that were written."""
+
+    def __init__(self):
+        self.entries, self.value, self.written, self.timers = [], None, 0, []
+
+    def getListState(self, name, schema):
+        return self
+
+    def getValueState(self, name, schema):
+        return Value(self)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def appendList(self, new):
+        self.written += len(new)
+        self.entries += new
+
+    def put(self, new):
+        self.entries = []
+        self.appendList(new)
+
+    def clear(self):
+        self.entries = []
+
+    def get(self):
+        return iter(self.entries)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+class Value:
+    def __init__(self, held):
+        self.held = held
+
+    def exists(self):
+        return self.held.value is not None
+
+    def get(self):
+        return self.held.value
+
+    def update(self, value):
+        self.held.value = value
+
+
+def test_rows_of_a_key_wait_in_few_entries():
+    """Ten thousand rows of a user are three entries, and come back in order, those without a hit number as well."""
+    from pyspark.sql import Row
+
+    held, sessions = Held(), stateful._Sessions(3600, stateful.KINDS)
+    sessions.names = ["user", "kind", "at", "hit", "session", "session_start", "last_hit", "hits"]
+    sessions.init(held)
+    rows = [Row(user="u", _t=None, t=i * 1_000_000, hit=None if i == 7 else i) for i in random.Random(1).sample(range(10_000), 10_000)]
+    assert list(sessions.handleInputRows(("u",), iter(rows), None)) == [] and held.written == 3
+    held.watermark = 5_000_000
+    first = list(sessions.handleExpiredTimer(("u",), held, None))
+    assert [r["hit"] for r in first] == [None if i == 7 else i for i in range(5001)] and held.written == 5
+    held.watermark = 20_000_000
+    second = list(sessions.handleExpiredTimer(("u",), held, None))
+    assert [r["hit"] for r in second] == [*range(5001, 10_000), None] and second[-1]["hits"] == 10_000 and not held.entries
+
+    only = stateful._Sessions(3600, ["expired"])
+    assert only.follow(("u",), None, [(0, 1), (4000 * 10**6, 2)], 10**10)[0] == [
+        r for r in stateful._Sessions(3600, stateful.KINDS).follow(("u",), None, [(0, 1), (4000 * 10**6, 2)], 10**10)[0] if r[1] == "expired"
+    ]

@@ -167,7 +167,7 @@ GROUP BY user_id, session, variant HAVING epoch_us(max(ts)) + 3600000000 < {_CLO
 )
 def expired(t):
     """Sessions that no hit has renewed in time, each with the variant it had."""
-    stream = stateful.sticky_stream(stream_of(t), abtest_plans.TEST, "user_id", "ts", "event_id", DELAY)
+    stream = stateful.sticky_stream(stream_of(t), abtest_plans.TEST, "user_id", "ts", "event_id", DELAY, ["expired"])
     found = streams.run_to_scratch(stream, "expired").where("kind = 'expired'")
     moments = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start", "last_hit")]
     return found.select("user_id", "session", "variant", *moments, "hits")

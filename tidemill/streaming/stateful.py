@@ -9,6 +9,7 @@ of a batch bounds it. Such streams need the RocksDB state store (see ``streaming
 from __future__ import annotations
 
 import datetime as dt
+import pickle
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -20,6 +21,10 @@ from tidemill.functions.columns import epoch_seconds
 from tidemill.operators.abtest import ABTest, assign_variants
 from tidemill.operators.monitor import SCRAPE_SECONDS, WINDOW_5M, AlertRule
 
+# Kinds of rows of a stream of sticky sessions.
+KINDS = "assigned", "expired"
+# Waiting rows of a key that are one entry of its state.
+PACKED = 4096
 _EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
@@ -27,8 +32,17 @@ def _time(micros: int) -> dt.datetime:
     return _EPOCH + dt.timedelta(microseconds=micros)
 
 
+def _packed(rows: list[tuple]) -> list[tuple]:
+    """Rows as entries of the state."""
+    return [(pickle.dumps(rows[i : i + PACKED]),) for i in range(0, len(rows), PACKED)]
+
+
 class InOrder(StatefulProcessor):
-    """Hands on the rows of a key, ``(t, ...)`` with t in microseconds, once the watermark has passed them."""
+    """Hands on the rows of a key, ``(t, ...)`` with t in microseconds, once the watermark has passed them.
+
+    The rows that a batch brings wait as a few entries of bytes, each of many rows: columns of their own would be turned
+    into the state's types and back one by one.
+    """
 
     #: Columns of a waiting row, of what is remembered of a key, and names of those of an output row.
     row_schema: str
@@ -44,24 +58,24 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._waiting = handle.getListState("waiting", self.row_schema)
+        self._columns = [column.split(" ")[0] for column in self.row_schema.split(", ")]
+        self._waiting = handle.getListState("waiting", "rows binary")
         self._state = handle.getValueState("state", self.state_schema)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        names = self.row_schema.split(", ")
-        new = [tuple(row[name.split(" ")[0]] for name in names) for row in rows]
+        new = [tuple([getattr(row, name) for name in self._columns]) for row in rows]
         if new:
-            self._waiting.appendList(new)
+            self._waiting.appendList(_packed(new))
             self._call_at(min(row[0] for row in new))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self._waiting.get())
+        held = [row for entry in self._waiting.get() for row in pickle.loads(entry[0])]
         due = sorted((row for row in held if row[0] <= passed), key=lambda row: row[:2])
         rest = [row for row in held if row[0] > passed]
         if due and rest:
-            self._waiting.put(rest)
+            self._waiting.put(_packed(rest))
         elif due:
             self._waiting.clear()
         before = self._state.get() if self._state.exists() else None
@@ -237,8 +251,8 @@ class _Sessions(InOrder):
     row_schema = "t long, hit long"
     state_schema = "session long, live boolean, start long, last long, hits long"
 
-    def __init__(self, ttl: int):
-        self.ttl = ttl * 1_000_000
+    def __init__(self, ttl: int, kinds: Sequence[str]):
+        self.ttl, self.assigned, self.expired = ttl * 1_000_000, "assigned" in kinds, "expired" in kinds
 
     def follow(self, key, state, rows, passed):
         session, live, start, last, hits = state or (0, False, 0, 0, 0)
@@ -249,20 +263,23 @@ class _Sessions(InOrder):
 
         for t, hit in rows:
             if live and t - last > self.ttl:
-                out.append(ended())
+                if self.expired:
+                    out.append(ended())
                 live = False
             if not live:
                 session, live, start, hits = session + 1, True, t, 0
             last, hits = t, hits + 1
-            out.append((*key, "assigned", _time(t), hit, session, _time(start), _time(last), hits))
+            if self.assigned:
+                out.append((*key, "assigned", _time(t), hit, session, _time(start), _time(last), hits))
         if live and last + self.ttl < passed:
-            out.append(ended())
+            if self.expired:
+                out.append(ended())
             live = False
         return out, (session, live, start, last, hits), last + self.ttl + 1 if live else None
 
 
 def sticky_stream(
-    requests: DataFrame, test: ABTest, user: str, ts: str, hit: str, delay: str = "1 minute"
+    requests: DataFrame, test: ABTest, user: str, ts: str, hit: str, delay: str = "1 minute", kinds: Sequence[str] = KINDS
 ) -> DataFrame:
     """``(user, kind, at, hit, session, session_start, last_hit, hits, variant, model_name, model_version)``.
 
@@ -270,11 +287,11 @@ def sticky_stream(
     lifetime of the last one keeps session and variant and renews them. A row of kind 'expired' when no hit has come in time,
     with the session's variant, its first and last hit and their number. ``hit`` is a whole number that orders the hits
     of one moment. Of a user without a session one number is kept, that of the sessions so far, of which the next
-    variant is drawn.
+    variant is drawn. ``kinds`` are those of the rows that are wanted.
     """
     timed = _timed(requests, ts, delay).select(user, "_t", "t", F.col(hit).cast("bigint").alias("hit"))
     schema = (
         f"{_types(requests, [user])}, kind string, at timestamp, hit bigint, session bigint, session_start timestamp, "
         "last_hit timestamp, hits bigint"
     )
-    return assign_variants(_followed(timed, [user], _Sessions(test.sticky_ttl), schema), test, [user, "session"])
+    return assign_variants(_followed(timed, [user], _Sessions(test.sticky_ttl, kinds), schema), test, [user, "session"])
