@@ -89,3 +89,22 @@ def test_registered_features_and_missing_models(spark, trained):
         x = 4.5 if i % 10 == 3 else i % 12
         assert float(r["prediction"]) == pytest.approx(5 * (x - 4.5) / deviation, abs=0.6)
     assert {tuple(r["errors"]) for r in scoring.rejected_requests(spark, job.root).collect()} == {("model not found",)}
+
+
+def test_variants_are_drawn_once_a_batch(spark, trained, monkeypatch):
+    """What both tables and all models read is held: the columns that are read, with variant and model."""
+    held = []
+    whole = scoring.Scorer.score_assigned
+
+    def watched(self, assigned, columns):
+        held.append((assigned.columns, assigned.storageLevel.useMemory))
+        return whole(self, assigned, columns)
+
+    monkeypatch.setattr(scoring.Scorer, "score_assigned", watched)
+    job = scorer(spark, trained)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    batch = spark.createDataFrame(requests(0, 30), SCHEMA)
+    assert job.process(batch.withColumnRenamed("u", "U"), 0)
+    assert held == [(["id", "U", "ts", "x", "variant", "model_name", "model_version"], True)]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert scoring.prediction_log(spark, job.root).count() + scoring.rejected_requests(spark, job.root).count() == 30

@@ -6,7 +6,7 @@ alone, so a batch that was cut off leaves nothing to see, and one that comes aga
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial, reduce
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemill.functions.columns import epoch_seconds, local_rows, value_of
+from tidemill.functions.columns import epoch_seconds, local_rows, quoted, value_of
 from tidemill.operators.abtest import LATEST, ABTest, assign_variants
 from tidemill.operators.features import transform
 from tidemill.operators.models import Trained
@@ -60,9 +60,21 @@ class Scorer:
             {"variant": F.lit(None).cast("string"), "model_name": F.lit(name), "model_version": F.lit(version or LATEST)}
         )
 
+    def used(self, requests: DataFrame) -> DataFrame:
+        """The columns that scoring reads; a feature set may read any."""
+        if self.store is not None:
+            return requests
+        named = {self.key, self.user, self.ts}.union(*self.ranges.values(), *[m.features for m in self.models.values()])
+        # whatever the case, and also a field of a column
+        read = {part for c in named for part in (c.strip("`").lower(), c.strip("`").lower().split(".")[0])}
+        return requests.select(*[F.col(quoted(c)) for c in requests.columns if c.lower() in read])
+
     def score(self, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The rows of the log, and the rejected ones. A request for a model that is not there is rejected."""
-        assigned = self.assigned(requests)
+        return self.score_assigned(self.assigned(requests), requests.columns)
+
+    def score_assigned(self, assigned: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """As ``score``, of requests of these columns that have their variant and model."""
         about = [F.col(self.key).cast("string").alias("request"), F.col(self.user).cast("string").alias("user"), F.col(self.ts).cast("timestamp").alias("ts")]
         about += [F.col(c) for c in ("variant", "model_name", "model_version")]
         known = F.lit(False)
@@ -72,7 +84,7 @@ class Scorer:
             known = known | here
             checked = self._checked(assigned.where(here), name, trained)
             rejected.append(checked.where("not is_valid").select(*about, "errors"))
-            valid = checked.where("is_valid").select(F.struct(*about).alias("_about"), *requests.columns)
+            valid = checked.where("is_valid").select(F.struct(*about).alias("_about"), *columns)
             features = valid if self.store is None else self._features(valid, name)
             found = trained.predict(features)
             sure = F.col("confidence") if "confidence" in found.columns else F.lit(None).cast("double")
@@ -106,15 +118,17 @@ class Scorer:
         done = ledger(spark, self.root).where((F.col("job") == self.job) & (F.col("batch") == number))
         if done.take(1):
             return False
-        batch = batch.persist()
+        batch = self.used(batch)
+        # every model and both tables read the requests: their variants are drawn once
+        assigned = self.assigned(batch).persist()
         try:
             counts = []
-            for kind, rows in zip(("log", "rejected"), self.score(batch), strict=True):
+            for kind, rows in zip(("log", "rejected"), self.score_assigned(assigned, batch.columns), strict=True):
                 path = f"{self.root}/{kind}/job={self.job}/batch={number}"
                 rows.write.mode("overwrite").parquet(path)
                 counts.append(spark.read.parquet(path).count())
         finally:
-            batch.unpersist()
+            assigned.unpersist()
         entry = local_rows(spark, [(*counts, self.job, number)], LEDGER)
         entry.drop("job", "batch").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ledger/job={self.job}/batch={number}")
         return True
