@@ -1,5 +1,6 @@
 import base64
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -105,3 +106,18 @@ def test_stretches_are_the_whole_text(monkeypatch):
     monkeypatch.setattr(langid, "STRETCH", 7)
     assert b"".join(langid.stretches("Für 12 Äpfel, 3.50€!".encode())) == "Für Äpfel €".encode() + b" "
     assert langid.stretches(b"") == [b""]
+
+
+def test_a_fit_takes_little_memory():
+    """The driver holds the packed rows and the landmarks once, in single precision."""
+    draw = np.random.default_rng(1)
+    packed = np.packbits(draw.random((512, 1 << langid.BITS), dtype=np.float32) < 0.05, axis=1)
+    labels = np.arange(512) % 4
+    tracemalloc.start()
+    try:
+        langid.fit(list("abcd"), labels, packed)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    landmarks = langid.LANDMARKS * 4 << langid.BITS
+    assert peak < 2.2 * landmarks

@@ -155,7 +155,8 @@ def fit(
 
     def unpacked(some: np.ndarray) -> np.ndarray:
         rows_ = np.unpackbits(packed[some], axis=1).astype(np.float32)
-        return rows_ / np.sqrt(np.maximum(rows_.sum(axis=1, keepdims=True), 1))
+        rows_ /= np.sqrt(np.maximum(rows_.sum(axis=1, keepdims=True), 1))
+        return rows_
 
     marks = unpacked(chosen)
     kernel = np.concatenate([unpacked(part) @ marks.T for part in np.array_split(np.arange(len(labels)), len(labels) // 128 + 1)])
@@ -166,7 +167,10 @@ def fit(
     weight = (1 / np.bincount(labels, minlength=count))[labels][:, None]
     left = kernel.T @ (kernel * weight) + RIDGE * count * among + 1e-9 * np.eye(len(chosen))
     factors = np.linalg.solve(left, kernel.T @ (target * weight))
-    return Model(languages, marks.T.astype(np.float64) @ factors, *_evidence(labels, packed if letters is None else letters))
+    # twice as large in double precision: some features at a time
+    weights = np.concatenate([marks[:, i : i + STRETCH].T.astype(np.float64) @ factors for i in range(0, 1 << BITS, STRETCH)])
+    del marks
+    return Model(languages, weights, *_evidence(labels, packed if letters is None else letters))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -212,11 +216,19 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     few = usable.join(F.broadcast(marks), "lang").where(below).select("lang", "rank", "text")
     drawn = few.mapInArrow(_presence_rows, "lang string, rank long, bits binary, letters binary")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("rank").bitwiseAND(2**63 - 1), "rank", "bits"))
-    found = drawn.withColumn("place", place).where(F.col("place") <= share).orderBy("lang", "place").collect()
-    languages = sorted({r.lang for r in found})
-    labels = np.array([languages.index(r.lang) for r in found])
-    bits, letters = (np.array([np.frombuffer(r[c], np.uint8) for r in found]) for c in ("bits", "letters"))
-    return fit(languages, labels, bits, letters=letters)
+    found = drawn.withColumn("place", place).where(F.col("place") <= share).orderBy("lang", "place").drop("rank", "place").toArrow()
+    langs = found.column("lang").to_pylist()
+    if not langs:
+        return fit([], np.zeros(0, int), np.zeros((0, 0), np.uint8))
+    languages = sorted(set(langs))
+    labels = np.array([languages.index(lang) for lang in langs])
+    # rows of one width: the bytes are read where they are, and let go with the table
+    bits, letters = (np.stack([np.frombuffer(x.as_buffer(), np.uint8) for x in found.column(c)]) for c in ("bits", "letters"))
+    del found, langs
+    model = fit(languages, labels, bits, letters=letters)
+    del bits, letters
+    give_back()
+    return model
 
 
 def classify(model: Model, df: DataFrame, text_col: str = "text") -> Column:
