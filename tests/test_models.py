@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.lineage import scratch_path
 from tidemill.operators import charts, evaluate, explain, models, training
+from tidemill.operators.splits import should_stratify
 from tidemill.operators.tree_shap import tree_leaves
 
 FEATURES = ["a", "b"]
@@ -384,3 +385,18 @@ def test_rows_of_a_forest_stay_in_bounded_tasks(spark, monkeypatch):
     monkeypatch.setattr(models, "FOREST_VALUES", 1)
     models.train(df, "random_forest_regressor", ["x"], "y", {"n_estimators": 8})
     assert len(seen) == 1 and seen[0] >= cores
+
+
+def test_a_target_of_many_values_is_not_shuffled(spark):
+    """Whether a split goes by classes: a sketch tells many values from few, and few are counted."""
+    many = spark.range(5000).select(F.col("id").cast("double").alias("y"))
+    found = {n: should_stratify(spark.range(200).select(F.when(F.col("id") % 7 > 0, F.col("id") % n).alias("y")), "y") for n in (9, 10, 11)}
+    assert found == {9: True, 10: False, 11: False}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("stratify", "")
+    try:
+        assert not should_stratify(many, "y")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # one aggregate: the stage of its partial sketches and the one that joins them
+    assert len(tracker.getJobIdsForGroup("stratify")) <= 2

@@ -138,3 +138,27 @@ def test_chunks_do_not_show(spark):
             total += v
             assert got[(key, t)] == (before, total)
             before = v
+
+
+def test_only_rows_at_the_border_of_a_selection_move(spark):
+    """The border of a selection is sent to the rows, not the rows to it."""
+    from tidemill.functions import ranking
+
+    seen = []
+    whole = ranking.small_or_none
+    rows = spark.range(0, 20_000, 1, 4)
+
+    def watched(df, most):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return whole(df, most)
+
+    old, ranking.small_or_none = ranking.small_or_none, watched
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ranking.smallest_by_hash(rows, "id", 1, spark.createDataFrame([(700,)], "quota bigint"))
+    finally:
+        ranking.small_or_none = old
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert found.where("selected").count() == 700
+    assert "BroadcastHashJoin" in seen[-1] and "SortMergeJoin" not in seen[-1]

@@ -425,10 +425,14 @@ def smallest_by_hash(df: DataFrame, key: str, seed: int, quota: DataFrame, by: S
     border = upto.where((F.col("quota") <= F.col("upto")) & (F.col("quota") > F.col("upto") - F.col("m"))).select(
         *by, "_p", (F.col("quota") - (F.col("upto") - F.col("m"))).alias("_left")
     )
+    # one row for each group: with few groups only the rows at a border move
+    edges = small_or_none(border, SMALL_GROUPS)
+    if edges is not None:
+        border = local_rows(spark, edges, border.schema)
     ranked = W.partitionBy(*by).orderBy("_h", key, "_r")
     last = (
         hashed.select(*dict.fromkeys([*by, key]), "_h", "_p", "_r")
-        .join(border, by + ["_p"])
+        .join(broadcast_if(border, edges is not None), by + ["_p"])
         .withColumn("_rank", F.row_number().over(ranked))
         .where(F.col("_rank") == F.col("_left"))
         .select(*by, F.col("_h").alias("_last_h"), F.col(key).alias("_last_key"), F.col("_r").alias("_last_r"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.columns import local_rows
 from tidemill.functions.ranking import smallest_by_hash
+from tidemill.operators.profile import sketched_distinct
 
 # Allowed share of test rows and its default.
 MIN_TEST, MAX_TEST, DEFAULT_TEST = 0.1, 0.9, 0.2
@@ -61,5 +62,4 @@ def check_test_size(test_size: float) -> None:
 
 def should_stratify(df: DataFrame, label: str) -> bool:
     """A label with few classes is split class by class."""
-    few = df.select(label).dropna().distinct().limit(STRATIFY_CLASSES).count()
-    return few < STRATIFY_CLASSES
+    return sketched_distinct(df, [label], [STRATIFY_CLASSES])[label] < STRATIFY_CLASSES
