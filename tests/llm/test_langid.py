@@ -4,6 +4,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pytest
 from cases import documents, nasty, table
 from pyspark.sql import functions as F
 
@@ -121,3 +122,28 @@ def test_a_fit_takes_little_memory():
         tracemalloc.stop()
     landmarks = langid.LANDMARKS * 4 << langid.BITS
     assert peak < 2.2 * landmarks
+
+
+def test_keep_known_identifies_languages(spark):
+    """Documents without a label, or with another one that nobody learns from, leave with the language of their text."""
+    docs = documents(spark, MEDIUM)
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    wrong = F.when(langid.held_out(), F.lit("xx")).when(F.col("doc_id") % 3 != 0, F.col("lang"))
+    kept = langid.keep_known(docs.withColumn("lang", wrong))
+    found = {r.doc_id: r.lang for r in kept.collect()}
+    assert len(found) == docs.where(langid.has_letter()).count() and kept.schema == docs.schema
+    assert sum(truth[i] == lang for i, lang in found.items()) / len(found) > 0.98
+
+
+def test_no_language_is_left_out(spark, monkeypatch):
+    """More languages than landmarks: each is learned and stays."""
+    draw = random.Random(3)
+    words = {f"l{i}": ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(20)] for i in range(300)}
+    rows = [(i, " ".join(draw.choices(words[f"l{i % 300}"], k=60)), f"l{i % 300}") for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = langid.keep_known(docs).collect()
+    assert len({r.lang for r in kept}) == 300 and len(kept) > 0.97 * len(rows)
+    assert sum(r.lang == f"l{r.doc_id % 300}" for r in kept) / len(kept) > 0.95
+    monkeypatch.setattr(langid, "LANGUAGES", 299)
+    with pytest.raises(ValueError, match="more than 299"):
+        langid.keep_known(docs)

@@ -13,14 +13,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.columns import local_rows
+from tidemill.functions.columns import local_rows, small_or_none
 from tidemill.llm.common import give_back, rows
 
 UNKNOWN = "und"
 #: n-grams of 1 to GRAMS bytes of the text in lower case; their hashes name one of 2 ** BITS features.
 GRAMS, BITS = 4, 16
-#: Bound on the labelled documents a model is fitted on, on its landmarks and on its languages.
-SAMPLE, LANDMARKS, LANGUAGES = 2048, 256, 256
+#: Bound on the labelled documents a model is fitted on and on its landmarks (of each language one at least), and the
+#: languages beyond which a column is an error: it names something else.
+SAMPLE, LANDMARKS, LANGUAGES = 2048, 256, 4096
 RIDGE = 1e-4
 #: Evidence of a feature that no language has, as a part of its chance; allowance for texts with few features, in errors
 #: of a mean over places (the n-grams of a place are not independent).
@@ -116,22 +117,25 @@ def _evidence(labels: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, float
             found = np.flatnonzero(np.unpackbits(row))
             yield found, max(1, len(found))
 
+    def summed(of: int) -> np.ndarray:
+        sums = np.zeros(1 << BITS, np.float32)
+        for found, size in parts(of):
+            sums[found] += 1 / size
+        return sums
+
     count = int(labels.max()) + 1
     first, second, owner = np.zeros(1 << BITS), np.zeros(1 << BITS), np.full(1 << BITS, -1)
-    sums = np.zeros((count, 1 << BITS), np.float32)
     many = np.bincount(labels, minlength=count)
     for c in range(count):
-        for found, size in parts(c):
-            sums[c, found] += 1 / size
-        share = sums[c] / many[c]
+        share = summed(c) / many[c]
         ahead = share > first
         second = np.where(ahead, first, np.maximum(second, share))
         first, owner = np.where(ahead, share, first), np.where(ahead, c, owner)
     means, sizes, variances = [], [], []
     for c in range(count):
-        others = np.where(owner == c, second, first)
+        others, sums = np.where(owner == c, second, first), summed(c)
         for found, size in parts(c):
-            own = np.maximum(sums[c, found] - 1 / size, 0) / max(1, many[c] - 1)
+            own = np.maximum(sums[found] - 1 / size, 0) / max(1, many[c] - 1)
             values = scale(np.maximum(others[found], own))
             means.append(values.mean() if len(found) else 0.0)
             variances.append(values.var() if len(found) else 0.0)
@@ -196,16 +200,18 @@ def _presence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """A model from at most ``sample`` labelled documents outside the held-out fifth.
 
-    At most LANGUAGES languages, the most frequent ones, each with an equal share of the sample, chosen by a hash of
-    the id. Texts without a letter and rows without a language are not learned from. What reaches the driver is one
-    count for each language (of those) and 16 KB for each document of the sample.
+    Every language has an equal share of the sample, one document at least, chosen by a hash of the id; more than
+    LANGUAGES are an error. Texts without a letter and rows without a language are not learned from. What reaches the
+    driver is one count for each language and 16 KB for each document of the sample.
     """
     usable = df.where(~held_out(id_col) & F.col(f"`{lang_col}`").isNotNull() & has_letter(text_col)).select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
         F.xxhash64(F.lit("langid"), F.col(f"`{id_col}`").cast("long")).alias("rank"),
         F.col(f"`{text_col}`").cast("binary").alias("text"),
     )
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = small_or_none(usable.groupBy("lang").agg(F.count("*").alias("n")), LANGUAGES)
+    if counts is None:
+        raise ValueError(f"column {lang_col} has more than {LANGUAGES} values: no languages")
     if not counts:
         return fit([], np.zeros(0, int), np.zeros((0, 0), np.uint8))
     share = max(1, sample // len(counts))
@@ -268,10 +274,12 @@ def predict(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def keep_known(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", minimum: float | None = None
 ) -> DataFrame:
-    """The rows of ``df`` with a letter whose features are those of learned languages; all columns stay.
+    """The rows of ``df`` with a letter whose features are those of learned languages, each with its language identified.
 
     ``minimum`` is the evidence a text must exceed; None is what the labelled sample says. A text in several learned
-    languages has the evidence of each. A text of a few letters has little for or against it, and mostly stays.
+    languages has the evidence of each. A text of a few letters has little for or against it, and mostly stays. All
+    columns stay; the language column names the language whose machine decides for the whole text, as ``predict`` does,
+    labelled or not. If there is nothing to learn from, it stays as it is.
     """
     model = train(df, id_col, text_col, lang_col)
     if not model.languages:
@@ -281,17 +289,23 @@ def keep_known(
     while letter in df.columns:
         letter += "_"
     marked = df.withColumn(letter, has_letter(text_col))
-    run = partial(_typical, shared, least, marked.columns.index(text_col))
+    run = partial(_identified, shared, least, marked.columns.index(text_col), marked.columns.index(lang_col))
     return marked.mapInArrow(run, df.schema)
 
 
-def _typical(shared, least: float, text: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows with a letter, which the last column tells, whose evidence is enough; a few at a time."""
+def _identified(shared, least: float, text: int, lang: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with a letter, which the last column tells, whose evidence is enough, and their languages; a few at a time."""
+    names = pa.array(shared.value.languages)
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
             letters = part.column(part.num_columns - 1).to_pylist()
             texts = part.column(text).cast(pa.binary()).to_pylist()
             found = shared.value.weigh([t if ok else None for t, ok in zip(texts, letters, strict=True)])
-            yield part.filter(pa.array((found > least) & np.array(letters, bool))).drop_columns(part.schema.names[-1:])
+            kept = (found > least) & np.array(letters, bool)
+            part = part.filter(pa.array(kept)).drop_columns(part.schema.names[-1:])
+            best = shared.value.decide([t for t, ok in zip(texts, kept, strict=True) if ok]).argmax(axis=1)
+            columns = part.columns
+            columns[lang] = names.take(pa.array(best)).cast(columns[lang].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
     give_back()
