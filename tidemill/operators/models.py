@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.columns import local_rows, quoted, require_columns, small_or_none, spread, value_of
 from tidemill.functions.lineage import cut, scratch_path
+from tidemill.operators import growing
 from tidemill.operators.boosting import SoftmaxBoostedModel, fit_softmax_boosting
 from tidemill.operators.profile import detect_task
 from tidemill.operators.splits import random_split, should_stratify
@@ -342,7 +343,10 @@ def train(df: DataFrame, model_name: str, features: list[str], target: str, para
         else:
             estimator = spec.build(params, size["n"], len(labels or []), size["spread"] or 0.0)
             estimator = _with_extras(estimator, model_name, params).setFeaturesCol(FEATURES).setLabelCol(LABEL)
-            if model_name.startswith("random_forest"):
+            if growing.suits(estimator, size["n"], len(features), len(labels or [])):
+                grown = growing.grow(estimator, prepared, size["n"], len(features), len(labels))
+                fitted = ForestModel(grown=grown) if model_name == "random_forest" else grown.load()
+            elif model_name.startswith("random_forest"):
                 fitted = fit_forest(estimator, prepared, size["n"] * len(features))
             else:
                 fitted = estimator.fit(prepared)
@@ -487,6 +491,8 @@ def importances(model) -> np.ndarray:
     if isinstance(model, AdaBoostModel):
         weights = np.array(model.weights)
         return np.average([importances(m) for m in model.models], axis=0, weights=weights)
+    if isinstance(model, ForestModel) and model.grown is not None:
+        return model.grown.importances()
     if isinstance(model, ForestModel):
         found = np.average([importances(m) for m in model.models], axis=0, weights=model.trees)
         return found / (found.sum() or 1.0)
@@ -503,20 +509,29 @@ def importances(model) -> np.ndarray:
 
 
 class ForestModel(Transformer):
-    """Forests that were grown side by side and vote as one: every tree weighs the same."""
+    """Forests that were grown side by side and vote as one: every tree weighs the same.
 
-    def __init__(self, models: list | None = None):
+    A ``grown`` forest stays in its table until its trees are asked for.
+    """
+
+    def __init__(self, models: list | None = None, grown: growing.Grown | None = None):
         super().__init__()
-        self.models = models or []
+        self.held, self.grown = models or [], grown
+
+    @property
+    def models(self) -> list:
+        if not self.held and self.grown is not None:
+            self.held = [self.grown.load()]
+        return self.held
 
     @property
     def trees(self) -> list[int]:
-        return [m.getNumTrees for m in self.models]
+        return [self.grown.trees] if self.grown is not None else [m.getNumTrees for m in self.models]
 
     @property
     def classes(self) -> int:
         """The number of classes, 0 for a number that is predicted."""
-        return getattr(self.models[0], "numClasses", 0)
+        return self.grown.classes if self.grown is not None else getattr(self.models[0], "numClasses", 0)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         names, out = [f"_votes{i}" for i in range(len(self.models))], df
