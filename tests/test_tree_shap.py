@@ -146,3 +146,29 @@ def test_leaves_in_parts_give_the_same_impacts(spark, table, monkeypatch):
     own = {(r["id"], k): v for r in trained.predict(table).collect() for k, v in r["probability"].items()}
     for r in found.collect():
         assert abs(r["base_value"] + sum(i["impact"] for i in r["impacts"]) - own[r["id"], r["class"]]) < 1e-9
+
+
+def test_walks_and_patterns_agree(spark, monkeypatch):
+    """A tree of many leaves is walked by each pair of rows; the impacts are those of the patterns of its leaves."""
+    from tidemill.operators import tree_shap as module
+
+    draw = np.random.default_rng(7)
+    rows = [(i, *map(float, v), f"c{int(v[0] + v[1] > 1) + int(v[2] * v[3] > 0.3)}") for i, v in enumerate(draw.random((900, 6)).round(2))]
+    rows = [(*r[:-1], f"c{draw.integers(3)}" if i % 4 == 0 else r[-1]) for i, r in enumerate(rows)]
+    names = [f"x{i}" for i in range(6)]
+    df = spark.createDataFrame(rows, ["id", *names, "label"])
+    background = explain.background_sample(df, "id", names, 20)
+    for name, parameters in (("decision_tree", None), ("random_forest", {"n_estimators": 3})):
+        trained = models.train(df, name, names, "label", parameters)
+        found = []
+        for most in (1 << 20, 4):
+            monkeypatch.setattr(module, "_LEAVES_AT_ONCE", most)
+            monkeypatch.setattr(module, "_FORKS", 1 << 8)
+            for per_class in (True, False):
+                some = df.where("id < 60")
+                out = module.tree_shap(trained, some, "id", background, per_class).collect()
+                found.append(sorted((r["id"], r["class"] if per_class else "", r["base_value"], *[e["impact"] for e in r["impacts"]]) for r in out))
+        for patterns, walks in zip(found[:2], found[2:]):
+            assert [r[:2] for r in patterns] == [r[:2] for r in walks]
+            assert np.allclose([r[2:] for r in patterns], [r[2:] for r in walks], atol=1e-12)
+            assert np.abs([r[3:] for r in walks]).max() > 0.01

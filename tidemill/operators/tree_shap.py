@@ -30,8 +30,10 @@ from tidemill.operators.models import AdaBoostModel, ForestModel, Trained
 LEAVES = "tree int, leaf int, features array<int>, low array<double>, high array<double>, value array<double>"
 # Rows and (row, pattern) pairs that a task works on at once.
 _ROWS, _PAIRS = 1024, 1 << 22
-# Leaves of a tree that are held against rows and background at once.
+# Leaves of a tree that are held against rows and background at once; a tree with more is walked down instead.
 _LEAVES_AT_ONCE = 256
+# Places where pairs of a row and a background row part, that a task holds at once, times outputs.
+_FORKS = 1 << 20
 _NODES = "tree", "id", "prediction", "impurityStats", "leftChild", "rightChild", "split"
 
 
@@ -95,9 +97,9 @@ def node_arrays(nodes: DataFrame) -> dict[int, dict[str, np.ndarray]]:
     return out
 
 
-def _leaf_rows(nodes: DataFrame, weight, values) -> Iterator[tuple]:
+def _leaf_rows(trees: dict[int, dict[str, np.ndarray]], weight, values) -> Iterator[tuple]:
     """Leaves with the interval, open below and closed above, that each feature of their path must be in."""
-    for tree, node in sorted(node_arrays(nodes).items()):
+    for tree, node in sorted(trees.items()):
         value = values(node) * weight(tree)
         # a node is stored before its children, and nobody's child is the root
         waiting = [(0, {})]
@@ -151,10 +153,11 @@ def _all_leaves(spark: SparkSession, model) -> Iterator[tuple]:
         for i, (one, weight) in enumerate(zip(model.models, model.weights, strict=True)):
             nodes, _ = _nodes(spark, one)
             votes = lambda n: (n["prediction"][:, None] == np.arange(model.classes)).astype(float)
-            for row in _leaf_rows(nodes, lambda _, w=weight: w / total, votes):
+            for row in _leaf_rows(node_arrays(nodes), lambda _, w=weight: w / total, votes):
                 yield i, *row[1:]
     else:
-        yield from _leaf_rows(*output_nodes(spark, model))
+        nodes, weight, values = output_nodes(spark, model)
+        yield from _leaf_rows(node_arrays(nodes), weight, values)
 
 
 def _softmax_leaves(model: SoftmaxBoostedModel) -> Iterator[tuple]:
@@ -280,6 +283,129 @@ class _Tree:
                     left = left[bits[left] != 0]
 
 
+@dataclass(frozen=True)
+class _Walked:
+    """A tree of many leaves, which each pair of a row and a background row walks down together.
+
+    ``bit``: of the feature of a node among the features on its path. Where both rows of a pair go to the same side, so
+    do they together. Where they part, one walk goes on with the feature taken from the row, one with it taken from the
+    background row, and later splits by the feature go by that row. So a pair meets only leaves that it reaches, and the
+    feature of a fork is credited with what the leaves below it gain and lose.
+    """
+
+    feature: np.ndarray
+    bound: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    bit: np.ndarray
+
+    @staticmethod
+    def of(node: dict[str, np.ndarray], value: np.ndarray) -> _Walked:
+        left, right, feature = (node[c].astype(np.int32) for c in ("left", "right", "feature"))
+        bit = np.zeros(len(left), np.uint64)
+        # for each node of a level the features on its path, as far as they fit the longest one
+        at, paths = np.zeros(1, np.int64), np.empty((1, 0), np.int32)
+        while len(at):
+            inner = left[at] >= 0
+            at, paths = at[inner], paths[inner]
+            own = feature[at]
+            known = paths == own[:, None]
+            free = (paths >= 0).sum(axis=1)
+            place = np.where(known.any(axis=1), known.argmax(axis=1) if paths.shape[1] else 0, free)
+            bit[at] = np.uint64(1) << place.astype(np.uint64)
+            if len(at) and place.max() == paths.shape[1]:
+                paths = np.concatenate((paths, np.full((len(at), 1), -1, np.int32)), axis=1)
+            paths[np.arange(len(at)), place] = own
+            at, paths = np.concatenate((left[at], right[at])), np.concatenate((paths, paths))
+        return _Walked(np.maximum(feature, 0), node["bound"], left, right, value, bit)
+
+    def base(self, background: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(background), np.int64)
+        rows = np.arange(len(at))
+        while len(rows := rows[self.left[at[rows]] >= 0]):
+            own = at[rows]
+            at[rows] = np.where(background[rows, self.feature[own]] <= self.bound[own], self.left[own], self.right[own])
+        return self.value[at].mean(axis=0)
+
+    def add(self, rows: np.ndarray, background: np.ndarray, impacts: np.ndarray) -> None:
+        """Adds the impacts (class, row, feature) of the rows."""
+        most, pairs, begin, step = max(1, _FORKS // len(impacts)), len(rows) * len(background), 0, 64
+        while begin < pairs:
+            row, other = np.divmod(np.arange(begin, min(pairs, begin + step)), len(background))
+            begin += len(row)
+            forks = self._walk(rows, background, row, other, impacts)
+            # as many pairs as the last ones let expect
+            step = int(min(4 * step, max(1, most * len(row) // max(1, forks))))
+
+    def _walk(self, rows: np.ndarray, background: np.ndarray, row: np.ndarray, other: np.ndarray, impacts: np.ndarray) -> int:
+        """The impacts of some pairs; the number of their forks."""
+        classes, _, size = impacts.shape
+        x, z = np.ascontiguousarray(rows).ravel(), np.ascontiguousarray(background).ravel()
+        row, other = row * size, other * size
+        node, end = np.zeros(len(row), np.int32), np.full(len(row), -1)
+        mine, theirs = (np.zeros(len(row), np.uint64) for _ in range(2))
+        # of a fork: the end of the walk it is on, and the place of its impact; of a level of forks: the first one
+        above, credited, firsts, count = [], [], [], 0
+        leaves = []
+        while len(node):
+            done = self.left[node] < 0
+            if done.any():
+                leaf = np.flatnonzero(done & (end >= 0))
+                leaves.append((end[leaf], node[leaf], np.bitwise_count(mine[leaf]), np.bitwise_count(theirs[leaf])))
+                on = np.flatnonzero(~done)
+                node, end, row, other, mine, theirs = (v[on] for v in (node, end, row, other, mine, theirs))
+            feature, bound, bit = self.feature[node], self.bound[node], self.bit[node]
+            by_x, by_z = x.take(row + feature) <= bound, z.take(other + feature) <= bound
+            taken = (theirs & bit) != 0
+            fork = np.flatnonzero((by_x != by_z) & ~taken & ((mine & bit) == 0))
+            left, right = self.left[node], self.right[node]
+            node = np.where(np.where(taken, by_z, by_x), left, right)
+            number = count + np.arange(len(fork))
+            firsts.append(count)
+            count += len(fork)
+            above.append(end[fork])
+            credited.append(row[fork] + feature[fork])
+            beyond = np.where(by_z[fork], left[fork], right[fork])
+            theirs_too, own = theirs[fork] | bit[fork], mine[fork]
+            mine[fork] |= bit[fork]
+            end[fork] = 2 * number
+            pairs = (node, beyond), (end, 2 * number + 1), (row, row[fork]), (other, other[fork]), (mine, own), (theirs, theirs_too)
+            node, end, row, other, mine, theirs = (np.concatenate(p) for p in pairs)
+        if not count:
+            return 0
+        # what the features of the row gain and those of the background row lose below each end of a fork
+        sums = np.empty((2 * count, 2 * classes))
+        at, leaf, u, w = (np.concatenate(c) for c in zip(*leaves))
+        u, w = u.astype(np.int64), w.astype(np.int64)
+        split = 1 / (len(background) * _BINOMIAL[u + w, u])
+        value = self.value[leaf]
+        sums[at, :classes] = value * (split / np.maximum(u, 1))[:, None]
+        sums[at, classes:] = value * (-split / np.maximum(w, 1))[:, None]
+        for up, first in zip(above[::-1], firsts[::-1]):
+            both = sums[2 * first : 2 * (first + len(up))]
+            held = up >= 0
+            sums[up[held]] = (both[::2] + both[1::2])[held]
+        place = np.concatenate(credited)
+        gained = sums[::2, :classes] + sums[1::2, classes:]
+        for c in range(classes):
+            impacts[c].reshape(-1)[:] += np.bincount(place, gained[:, c], impacts[c].size)
+        return count
+
+
+def _parts(spark: SparkSession, model, last_only: bool) -> list[_Leaves | _Walked]:
+    """The model as it is sent to the tasks: trees of many leaves to be walked, the leaves of others a bounded number at a time."""
+    if isinstance(model, (SoftmaxBoostedModel, AdaBoostModel)):
+        return list(_Leaves.parts(_all_leaves(spark, model), last_only))
+    nodes, weight, values = output_nodes(spark, model)
+    trees, walked = node_arrays(nodes), []
+    for tree in [t for t, node in trees.items() if np.count_nonzero(node["left"] < 0) > _LEAVES_AT_ONCE]:
+        node = trees.pop(tree)
+        value = values(node) * weight(tree)
+        walked.append(_Walked.of(node, value[:, -1:] if last_only else value))
+    return walked + list(_Leaves.parts(_leaf_rows(trees, weight, values), last_only))
+
+
 _BINOMIAL = np.array([[float(math.comb(n, k)) for k in range(64)] for n in range(64)])
 
 
@@ -288,13 +414,16 @@ def _explained(shared, features: int, batches: Iterator[pa.RecordBatch]) -> Iter
     leaves, background, classes = shared.value
     trees = None
     for batch in batches:
-        trees = trees or [_Tree.of(some, background) for some in leaves]
+        trees = trees or [some if isinstance(some, _Walked) else _Tree.of(some, background) for some in leaves]
         for begin in range(0, batch.num_rows, _ROWS):
             part = batch.slice(begin, _ROWS)
             rows = part.column(1).flatten().to_numpy().reshape(part.num_rows, features)
             impacts = np.zeros((classes, len(rows), features))
             for tree in trees:
-                tree.add(rows, impacts)
+                if isinstance(tree, _Walked):
+                    tree.add(rows, background, impacts)
+                else:
+                    tree.add(rows, impacts)
             flat = pa.array(np.moveaxis(impacts, 0, 1).reshape(-1))
             inner = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, features), pa.int32()), flat)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(inner) + 1, classes), pa.int32()), inner)
@@ -318,9 +447,9 @@ def tree_shap(
         raise ValueError("the background is empty")
     means = held.mean().fillna(0.0)
     points = held.fillna(means).to_numpy(float)
-    leaves = list(_Leaves.parts(_all_leaves(spark, model.pipeline.stages[-1]), not per_class))
+    leaves = _parts(spark, model.pipeline.stages[-1], not per_class)
     # the patterns of the background are many times the leaves: here only those of a few leaves at a time
-    base = np.sum([_Tree.of(some, points).base() for some in leaves], axis=0)
+    base = np.sum([some.base(points) if isinstance(some, _Walked) else _Tree.of(some, points).base() for some in leaves], axis=0)
     shared = spark.sparkContext.broadcast((leaves, points, len(base)))
     own = F.array(*[F.coalesce(value_of(df, c).cast("double"), F.lit(float(means[c]))) for c in features])
     rows = spread(df.select(F.col(key).alias("_key"), own.alias("_x")))
