@@ -2,12 +2,13 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import regression as R
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemill.functions.lineage import scratch_path
-from tidemill.operators import models
+from tidemill.operators import boosting, models
 from tidemill.operators.boosting import fit_softmax_boosting
 
 
@@ -59,3 +60,29 @@ def test_catalog_model_saved_and_loaded(spark):
     assert first == second
     weights = [r["importance"] for r in models.feature_importance(trained).collect()]
     assert sum(weights) == pytest.approx(1) and models.feature_importance(trained).first()["feature"] in ("a", "b")
+
+
+def test_trees_of_a_round_are_those_of_spark(spark, monkeypatch):
+    """The first trees split as a regression tree on the residuals does; a level of all classes is one pass, of blocks."""
+    df = vectors(table(spark)).repartition(3).persist()
+    shares = {r["y"]: r["count"] / 600 for r in df.groupBy("y").count().collect()}
+    theirs = []
+    for c in range(4):
+        residual = F.when(F.col("y") == c, 1.0).otherwise(0.0) - shares[float(c)]
+        theirs.append(R.DecisionTreeRegressor(featuresCol="v", labelCol="r", maxDepth=2, leafCol="leaf").fit(df.withColumn("r", residual)))
+    monkeypatch.setattr(R.DecisionTreeRegressor, "fit", lambda *_: pytest.fail("a fit for each class and round"))
+    for block, sums in ((boosting._BLOCK_VALUES, boosting._SUMS), (300, 1)):
+        monkeypatch.setattr(boosting, "_BLOCK_VALUES", block)
+        monkeypatch.setattr(boosting, "_SUMS", sums)
+        model = fit_softmax_boosting(df, "v", "y", 4, n_estimators=1, learning_rate=0.3, max_depth=2)
+        x = np.array([r["v"].toArray() for r in df.select("v").collect()])
+        y = np.array([r["y"] for r in df.select("y").collect()])
+        for c, (tree, other) in enumerate(zip(model.rounds[0], theirs, strict=True)):
+            leaf = np.array([r["leaf"] for r in other.transform(df).select("leaf").collect()])
+            r = (y == c) - shares[float(c)]
+            want = np.zeros(len(x))
+            for own in (leaf == i for i in np.unique(leaf)):
+                want[own] = 0.3 * 3 / 4 * r[own].sum() / (abs(r[own]) * (1 - abs(r[own]))).sum()
+            assert tree.score(x) == pytest.approx(want)
+        each = np.mean([m.featureImportances.toArray() for m in theirs], axis=0)
+        assert model.weights == pytest.approx(each.tolist())

@@ -139,7 +139,7 @@ class _Top:
         return np.array(self.feature), np.array(self.cut), np.array(self.left)
 
 
-def _place(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray) -> np.ndarray:
+def place(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray) -> np.ndarray:
     """The node of each row; a right child has the number after the left one."""
     at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
     while len(rows := rows[left[at[rows]] >= 0]):
@@ -148,16 +148,30 @@ def _place(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndar
     return at
 
 
+def to_bins(x: np.ndarray, bounds: list[np.ndarray]) -> np.ndarray:
+    """The number of bounds below each value; a missing one is beyond all of them."""
+    bins = np.empty(x.shape, np.uint8)
+    for i, own in enumerate(bounds):
+        bins[:, i] = np.searchsorted(own, x[:, i])
+    return bins
+
+
+def bounds_of(rows: DataFrame, size: int, features: int, bins: int, seed: int) -> list[np.ndarray]:
+    """The candidates of each feature of arrays ``x``, read off a sample."""
+    share = max(bins * bins, _SAMPLE) / max(size, 1)
+    some = (rows if share >= 1 else rows.sample(False, share, seed)).select("x").toArrow().column("x").combine_chunks()
+    x = some.flatten().to_numpy(zero_copy_only=False).reshape(len(some), features)
+    return [candidates(x[:, i], bins - 1) for i in range(features)]
+
+
 def _binned(bounds: list[np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of rows: the bin of every value, and the classes. A missing value is beyond all bounds."""
+    """Blocks of rows: the bin of every value, and the classes."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         for start in range(0, batch.num_rows, _BLOCK):
             part = batch.slice(start, _BLOCK)
             x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
-            bins = np.empty(x.shape, np.uint8)
-            for i, own in enumerate(bounds):
-                bins[:, i] = np.searchsorted(own, x[:, i])
+            bins = to_bins(x, bounds)
             labels = part.column(1).to_numpy(zero_copy_only=False).astype(np.uint8)
             columns = [pa.array([number], pa.int64()), *[pa.array([v.tobytes()], pa.binary()) for v in (bins, labels)]]
             yield pa.RecordBatch.from_arrays(columns, ["block", "bins", "labels"])
@@ -181,7 +195,7 @@ def _histograms(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             weight = job.weights(tree, block, len(bins))
             number = np.full(len(trees[tree][0]), -1)
             number[nodes] = np.arange(len(nodes))
-            at = number[_place(bins, *trees[tree])]
+            at = number[place(bins, *trees[tree])]
             some = np.flatnonzero((at >= 0) & (weight > 0))
             at = at[some]
             cells = (at[:, None] * job.chosen + np.arange(job.chosen)) * job.bins + bins[some[:, None], columns[at]]
@@ -229,7 +243,7 @@ def _packs(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for block, bins, labels in _blocks(job, batches):
         for tree, arrays in trees.items():
             weight = job.weights(tree, block, len(bins))
-            at = _place(bins, *arrays)
+            at = place(bins, *arrays)
             at[weight == 0] = -1
             order = np.argsort(at, kind="stable")
             edges = np.flatnonzero(np.diff(at[order], prepend=-1))
@@ -488,11 +502,7 @@ def grow(estimator, prepared: DataFrame, rows: int, features: int, classes: int)
     trees = estimator.getNumTrees() if forest else 1
     plain = prepared.select(vector_to_array(estimator.getFeaturesCol()).alias("x"), F.col(estimator.getLabelCol()).cast("int").alias("y"))
     bins, seed = min(estimator.getMaxBins(), rows), estimator.getSeed() % (1 << 40)
-    share = max(bins * bins, _SAMPLE) / max(rows, 1)
-    some = (plain if share >= 1 else plain.sample(False, share, seed)).select("x").toArrow().column("x").combine_chunks()
-    x = some.flatten().to_numpy(zero_copy_only=False).reshape(len(some), -1)
-    bounds = [candidates(x[:, i], bins - 1) for i in range(features)]
-    del some, x
+    bounds = bounds_of(plain, rows, features, bins, seed)
     job = _Job(
         features, classes, bins, _chosen(estimator, features), estimator.getMinInstancesPerNode(), estimator.getMaxDepth(), seed,
         estimator.getSubsamplingRate() if forest else None, bounds,
